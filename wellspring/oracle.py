@@ -408,3 +408,35 @@ FROM (SELECT ward_id, event_date, CAST(count(*) AS BIGINT) AS household_events_t
 """
 
 cte("ward_day", WARD_DAY_SELECT.format(src="fact"))
+
+
+# --------------------------------------------------------------- variants --
+def closure(names) -> list[str]:
+    order: list[str] = []
+
+    def visit(n):
+        if n in order:
+            return
+        for d in _deps(CTES[n]):
+            if d != n:
+                visit(d)
+        order.append(n)
+
+    for n in names:
+        visit(n)
+    return order
+
+
+def clone(suffix: str, roots, raw_where: str) -> None:
+    """Copy the CTE chain behind ``roots`` under ``name + suffix``, with
+    every raw entity restricted by ``raw_where``."""
+    names = closure(roots)
+    raws = {"raw_submission", "raw_household", "raw_member", "raw_water_point"}
+    for n in names:
+        if n in raws:
+            CTES[n + suffix] = f"SELECT * FROM (\n{CTES[n]}\n) WHERE {raw_where}"
+            continue
+        body = CTES[n]
+        for m in names:
+            body = re.sub(rf"\b{m}\b", m + suffix, body)
+        CTES[n + suffix] = body

@@ -86,3 +86,255 @@ FROM mem_rollup
 oracle("strict_no_diarrhoea", "SELECT household_id, submission_id, has_no_diarrhoea_14d_members FROM mem_rollup")
 oracle("kpi_flags", "SELECT * FROM fact")
 oracle("eligible_events", "SELECT household_id, submission_id, member_count FROM safe_inputs WHERE member_count >= 1")
+
+
+# ------------------------------------------------------------ monitoring ---
+import datetime as _dt  # noqa: E402
+
+from .functions import valuesets as V  # noqa: E402
+from .oracle import CTES, clone, cte, fact_select, ratio_sql, ROLLUP_FLAGS, ROLLUP_SELECT, WARD_DAY_SELECT  # noqa: E402
+from .plans import scenario as SC  # noqa: E402
+
+BASE = f"TIMESTAMP '{V.INCREMENTAL_BASE_TS}'"
+EVENT_FROM = (_dt.date.fromisoformat(SC.AS_OF) - _dt.timedelta(days=V.EVENT_LOOKBACK_DAYS)).isoformat()
+
+
+def _count_union(parts, count_name):
+    return "\nUNION ALL\n".join(
+        f"SELECT '{m}' AS model_name, CAST(record_loaded_at AS DATE) AS event_date, "
+        f"CAST(count(*) AS BIGINT) AS {count_name} FROM {t} GROUP BY 1, 2" for m, t in parts)
+
+
+cte("mon_total", "SELECT *, split_part(model_name, '__', 1) AS base_model_name FROM (\n" + _count_union([
+    ("stg_kobo_submission__base", "sub_base"), ("stg_kobo_household__base", "hh_base"),
+    ("stg_kobo_member__base", "mem_base"), ("stg_kobo_water_point__base", "wp_base")], "base_row_count") + ")")
+cte("mon_rej", "SELECT *, split_part(model_name, '__', 1) AS base_model_name FROM (\n" + _count_union([
+    ("stg_kobo_submission__rejected", "sub_rej"), ("stg_kobo_household__rejected", "hh_rej"),
+    ("stg_kobo_member__rejected", "mem_rej"), ("stg_kobo_water_point__rejected", "wp_rej")],
+    "rejected_row_count") + ")")
+cte("mon_rate", f"""
+SELECT *, {ratio_sql('rejected_row_count', 'base_row_count', 4)} AS rejection_rate
+FROM (SELECT t.base_model_name AS model_name, t.event_date, t.base_row_count,
+             CAST(coalesce(r.rejected_row_count, 0) AS BIGINT) AS rejected_row_count
+      FROM mon_total t LEFT JOIN mon_rej r
+        ON t.base_model_name = r.base_model_name AND t.event_date = r.event_date)
+""")
+cte("mon_reason", """
+SELECT base_model_name, event_date, reason_bucket, CAST(count(*) AS BIGINT) AS rejected_rows FROM (
+  SELECT 'stg_kobo_submission' AS base_model_name, CAST(record_loaded_at AS DATE) AS event_date,
+         CASE WHEN dq_missing_submission_id THEN 'missing_keys'
+              WHEN dq_submitted_missing_submitted_at THEN 'invalid_required_field'
+              WHEN dq_invalid_gps THEN 'invalid_range' WHEN is_deleted THEN 'soft_deleted'
+              ELSE 'other' END AS reason_bucket
+  FROM sub_rej
+  UNION ALL
+  SELECT 'stg_kobo_household', CAST(record_loaded_at AS DATE),
+         CASE WHEN dq_missing_blank_household_id OR dq_missing_blank_submission_id THEN 'missing_keys'
+              WHEN dq_orphan_submission_id THEN 'orphan_fk'
+              WHEN dq_invalid_water_filter_type OR dq_invalid_primary_water_source THEN 'invalid_canonical'
+              WHEN dq_invalid_hh_size THEN 'invalid_range'
+              WHEN dq_unknown_other_filter_type OR dq_unknown_other_primary_water_source THEN 'unknown_other'
+              WHEN is_deleted THEN 'soft_deleted' ELSE 'other' END
+  FROM hh_rej
+  UNION ALL
+  SELECT 'stg_kobo_member', CAST(record_loaded_at AS DATE),
+         CASE WHEN dq_missing_household_id OR dq_missing_submission_id OR dq_missing_member_index THEN 'missing_keys'
+              WHEN dq_orphan_household_id OR dq_orphan_submission_id THEN 'orphan_fk'
+              WHEN dq_invalid_member_sex THEN 'invalid_canonical'
+              WHEN dq_invalid_age_in_years THEN 'invalid_range'
+              WHEN dq_blank_member_name THEN 'unknown_other'
+              WHEN is_deleted THEN 'soft_deleted' ELSE 'other' END
+  FROM mem_rej
+  UNION ALL
+  SELECT 'stg_kobo_water_point', CAST(record_loaded_at AS DATE),
+         CASE WHEN dq_missing_blank_water_point_id OR dq_missing_blank_submission_id THEN 'missing_keys'
+              WHEN dq_orphan_submission_id THEN 'orphan_fk'
+              WHEN dq_missing_blank_source_type THEN 'invalid_canonical'
+              WHEN dq_negative_distance_minutes THEN 'invalid_range'
+              WHEN is_deleted THEN 'soft_deleted' ELSE 'other' END
+  FROM wp_rej)
+GROUP BY base_model_name, event_date, reason_bucket
+""")
+cte("mon_unknown", f"""
+SELECT *, {ratio_sql('unknown_diarrhoea_count', 'member_count', 3)} AS unknown_rate
+FROM (SELECT ward_id, event_date, CAST(sum(member_count) AS BIGINT) AS member_count,
+             CAST(sum(total_diarrhoea_unknown_14d) AS BIGINT) AS unknown_diarrhoea_count
+      FROM fact GROUP BY ward_id, event_date)
+""")
+cte("mon_late", """
+SELECT ward_id, event_date, submissions_total, submissions_late,
+       CASE WHEN submissions_total = 0 THEN 0.0
+            ELSE CAST(submissions_late AS DOUBLE) / CAST(submissions_total AS DOUBLE) END AS late_arrival_rate
+FROM (SELECT ward_id, CAST(submitted_at AS DATE) AS event_date, CAST(count(*) AS BIGINT) AS submissions_total,
+             CAST(sum(CASE WHEN CAST(submitted_at AS DATE) < CAST(record_loaded_at AS DATE) THEN 1 ELSE 0 END)
+                  AS BIGINT) AS submissions_late
+      FROM sub_submitted WHERE submitted_at IS NOT NULL AND record_loaded_at IS NOT NULL
+      GROUP BY 1, 2)
+""")
+
+oracle("mon_total_by_model_day", "SELECT * FROM mon_total")
+oracle("mon_rejections_by_model_day", "SELECT * FROM mon_rej")
+oracle("mon_rejection_rate_day", "SELECT * FROM mon_rate")
+oracle("rejection_rate_join", "SELECT * FROM mon_rate")
+oracle("mon_rejection_by_reason_day", "SELECT * FROM mon_reason")
+oracle("mon_unknown_diarrhoea_rate_ward_day", "SELECT * FROM mon_unknown")
+oracle("mon_late_arrival_rate_ward_day", "SELECT * FROM mon_late")
+
+warn_s, err_s = V.FRESHNESS_SOURCE_HOURS[0] * 3600, V.FRESHNESS_SOURCE_HOURS[1] * 3600
+oracle("source_freshness", f"""
+SELECT source_name, max_loaded_at, snapshotted_at, age_seconds,
+       CASE WHEN age_seconds IS NULL THEN 'error' WHEN age_seconds > {err_s} THEN 'error'
+            WHEN age_seconds > {warn_s} THEN 'warn' ELSE 'pass' END AS status
+FROM (SELECT source_name, max_loaded_at, TIMESTAMP '{SC.FRESHNESS_NOW}' AS snapshotted_at,
+             CAST(date_diff('second', max_loaded_at, TIMESTAMP '{SC.FRESHNESS_NOW}') AS BIGINT) AS age_seconds
+      FROM (SELECT 'raw_kobo_submission' AS source_name, max(_loaded_at) AS max_loaded_at FROM raw_submission
+            UNION ALL SELECT 'raw_kobo_household', max(_loaded_at) FROM raw_household
+            UNION ALL SELECT 'raw_kobo_member', max(_loaded_at) FROM raw_member
+            UNION ALL SELECT 'raw_kobo_waterpoint', max(_loaded_at) FROM raw_water_point))
+""")
+
+# ----------------------------------------------------------- incremental ---
+clone("_b1", ["hh_event", "mem_rollup", "safe_inputs", "fact", "ward_day"],
+      f"_loaded_at < TIMESTAMP '{SC.CUTOFF_1}'")
+
+oracle("incremental_append", f"""
+SELECT * FROM raw_submission_b1
+UNION ALL
+SELECT * FROM raw_submission
+WHERE _loaded_at > (SELECT coalesce(max(_loaded_at), {BASE}) FROM raw_submission_b1)
+""")
+oracle("incremental_load_window", """
+SELECT * FROM hh_event
+WHERE record_loaded_at >= (SELECT coalesce(max(record_loaded_at), %s) FROM hh_event_b1) - INTERVAL 7 DAY
+""" % BASE)
+oracle("incremental_event_window", f"SELECT * FROM fact WHERE event_date >= DATE '{EVENT_FROM}'")
+
+cte("impacted_keys", f"""
+SELECT DISTINCT household_id, submission_id FROM mem_acc
+WHERE record_loaded_at >= (SELECT coalesce(max(record_loaded_at), {BASE}) FROM mem_rollup_b1) - INTERVAL 7 DAY
+""")
+cte("impacted_members", """
+SELECT m.* FROM mem_acc m
+WHERE EXISTS (SELECT 1 FROM impacted_keys k WHERE k.household_id = m.household_id
+              AND k.submission_id = m.submission_id)
+""")
+cte("impacted_grouped", ROLLUP_SELECT.format(src="impacted_members"))
+cte("impacted_rollup", ROLLUP_FLAGS.format(src="impacted_grouped"))
+oracle("impacted_keys_join", "SELECT * FROM impacted_rollup")
+oracle("distinct_keys", "SELECT DISTINCT household_id, submission_id FROM mem_acc")
+oracle("scalar_max", "SELECT max(record_loaded_at) AS max_record_loaded_at FROM hh_event")
+
+
+def _upsert(target: str, source: str, keys) -> str:
+    cond = " AND ".join(f"s.{k} = t.{k}" for k in keys)
+    return f"SELECT * FROM {target} t WHERE NOT EXISTS (SELECT 1 FROM {source} s WHERE {cond})\n" \
+           f"UNION ALL BY NAME\nSELECT * FROM {source}"
+
+
+KEYS = ("household_id", "submission_id")
+cte("ev_src2", f"""
+SELECT * FROM hh_event
+WHERE record_loaded_at >= (SELECT coalesce(max(record_loaded_at), {BASE}) FROM hh_event_b1) - INTERVAL 7 DAY
+""")
+cte("ev_final", _upsert("hh_event_b1", "ev_src2", KEYS))
+cte("ro_final", _upsert("mem_rollup_b1", "impacted_rollup", KEYS))
+cte("si_src2", f"""
+SELECT * FROM (
+  SELECT he.household_id, he.submission_id, he.submitted_at, he.ward_id, he.hh_size_reported,
+         he.water_filter_type, he.primary_water_source, he.record_loaded_at, he.has_toilet,
+         r.member_count, r.total_diarrhoea_case_count_14d, r.total_unknown_diarrhoea_count_14d,
+         r.total_no_diarrhoea_count_14d, r.has_no_diarrhoea_14d_members
+  FROM ev_final he JOIN ro_final r ON he.household_id = r.household_id AND he.submission_id = r.submission_id)
+WHERE record_loaded_at >= (SELECT coalesce(max(record_loaded_at), {BASE}) FROM safe_inputs_b1) - INTERVAL 7 DAY
+""")
+cte("si_final", _upsert("safe_inputs_b1", "si_src2", KEYS))
+cte("fact_src2", f"SELECT * FROM ({fact_select('si_final')}) WHERE event_date >= DATE '{EVENT_FROM}'")
+cte("fact_final", _upsert("fact_b1", "fact_src2", KEYS))
+cte("wd_src2", f"SELECT * FROM ({WARD_DAY_SELECT.format(src='fact_final')}) WHERE event_date >= DATE '{EVENT_FROM}'")
+cte("wd_final", _upsert("ward_day_b1", "wd_src2", ("ward_id", "event_date")))
+
+oracle("merge_upsert", "SELECT * FROM ev_final")
+oracle("impacted_group_recompute", "SELECT * FROM ro_final")
+oracle("merge_upsert_ward_day", "SELECT * FROM wd_final")
+
+cte("wd_sync_src", f"""
+SELECT *, household_events_total - household_events_safe AS household_events_unsafe
+FROM ward_day WHERE event_date >= DATE '{EVENT_FROM}'
+""")
+oracle("schema_sync", """
+SELECT t.*, CAST(NULL AS BIGINT) AS household_events_unsafe FROM ward_day_b1 t
+WHERE NOT EXISTS (SELECT 1 FROM wd_sync_src s WHERE s.ward_id = t.ward_id AND s.event_date = t.event_date)
+UNION ALL BY NAME
+SELECT * FROM wd_sync_src
+""")
+cte("fact_backfill", f"SELECT * FROM fact WHERE event_date BETWEEN DATE '{SC.BACKFILL_START}' "
+                     f"AND DATE '{SC.BACKFILL_END}'")
+oracle("backfill_range", _upsert("fact_b1", "fact_backfill", KEYS))
+oracle("full_rebuild", "SELECT * FROM ward_day")
+
+# ------------------------------------------------------------------ scd2 ---
+CHECK = ("ward_id", "district", "municipality", "hh_size_reported", "has_toilet", "water_filter_type",
+         "primary_water_source")
+CUR_COLS = ("household_id, ward_id, district, municipality, hh_size_reported, has_toilet, water_filter_type, "
+            "primary_water_source, submission_id")
+_CUR = """
+SELECT household_id, ward_id, district, municipality, hh_size_reported, has_toilet, water_filter_type,
+       primary_water_source, submission_id, record_loaded_at
+FROM {src}
+QUALIFY row_number() OVER (PARTITION BY household_id ORDER BY record_loaded_at DESC NULLS FIRST,
+                           submitted_at DESC NULLS FIRST, submission_id DESC NULLS FIRST) = 1
+"""
+cte("cur_src", _CUR.format(src="hh_event"))
+cte("cur_src_b1", _CUR.format(src="hh_event_b1"))
+T1, T2 = f"TIMESTAMP '{SC.SNAPSHOT_1}'", f"TIMESTAMP '{SC.SNAPSHOT_2}'"
+cte("snap1", f"SELECT {CUR_COLS}, {T1} AS dbt_valid_from, CAST(NULL AS TIMESTAMP) AS dbt_valid_to, "
+             f"{T1} AS dbt_updated_at FROM cur_src_b1")
+_same = " AND ".join(f"o.{c} IS NOT DISTINCT FROM s.{c}" for c in CHECK)
+_o = ", ".join(f"o.{c}" for c in CUR_COLS.split(", "))
+_s = ", ".join(f"s.{c}" for c in CUR_COLS.split(", "))
+cte("snap2", f"""
+SELECT {_o}, o.dbt_valid_from,
+       CASE WHEN s.household_id IS NULL THEN {T2} WHEN NOT ({_same}) THEN {T2} ELSE o.dbt_valid_to END
+         AS dbt_valid_to,
+       CASE WHEN s.household_id IS NULL OR NOT ({_same}) THEN {T2} ELSE o.dbt_updated_at END AS dbt_updated_at
+FROM snap1 o LEFT JOIN cur_src s ON o.household_id = s.household_id
+UNION ALL
+SELECT {_s}, {T2} AS dbt_valid_from, CAST(NULL AS TIMESTAMP) AS dbt_valid_to, {T2} AS dbt_updated_at
+FROM cur_src s LEFT JOIN snap1 o ON o.household_id = s.household_id
+WHERE o.household_id IS NULL OR NOT ({_same})
+""")
+HIST = (f"{CUR_COLS}, dbt_valid_to, dbt_valid_from")
+cte("enriched", """
+SELECT f.household_id, f.submission_id, f.submitted_at, f.event_date, f.total_diarrhoea_yes_14d,
+       f.total_diarrhoea_no_14d, f.total_diarrhoea_unknown_14d, f.has_no_diarrhoea_14d_members,
+       f.has_safe_primary_source, f.has_safe_water_filter, f.is_safe_drinking,
+       s.ward_id, s.district, s.municipality, s.hh_size_reported, s.has_toilet, s.water_filter_type,
+       s.primary_water_source, s.dbt_valid_from, s.dbt_valid_to
+FROM fact f LEFT JOIN snap2 s
+  ON f.household_id = s.household_id AND f.submitted_at >= s.dbt_valid_from
+ AND f.submitted_at < coalesce(s.dbt_valid_to, TIMESTAMP '9999-12-31 00:00:00')
+""")
+cte("snap_lag", """
+SELECT household_id, dbt_valid_from, dbt_valid_to,
+       lag(dbt_valid_to) OVER (PARTITION BY household_id ORDER BY dbt_valid_from ASC NULLS FIRST) AS prev_valid_to
+FROM (SELECT household_id, dbt_valid_from,
+             coalesce(dbt_valid_to, TIMESTAMP '9999-12-31 00:00:00') AS dbt_valid_to FROM snap2)
+""")
+oracle("scd2_snapshot", "SELECT * FROM snap2")
+oracle("scd2_history", f"SELECT {HIST} FROM snap2")
+oracle("scd2_current", f"SELECT {HIST} FROM snap2 WHERE dbt_valid_to IS NULL")
+oracle("asof_scd2_join", "SELECT * FROM enriched")
+oracle("lag", "SELECT * FROM snap_lag")
+oracle("singular_one_current_row", """
+SELECT household_id, CAST(count(*) AS BIGINT) AS current_rows FROM snap2 WHERE dbt_valid_to IS NULL
+GROUP BY household_id HAVING count(*) > 1
+""")
+oracle("singular_no_overlapping_windows",
+       "SELECT * FROM snap_lag WHERE prev_valid_to IS NOT NULL AND dbt_valid_from < prev_valid_to")
+oracle("singular_valid_range", """
+SELECT household_id, dbt_valid_from, dbt_valid_to FROM snap2
+WHERE dbt_valid_to IS NOT NULL AND dbt_valid_to <= dbt_valid_from
+""")
+oracle("having_count", """
+SELECT household_id, CAST(count(*) AS BIGINT) AS n_events FROM hh_event GROUP BY household_id HAVING count(*) > 1
+""")

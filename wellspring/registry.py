@@ -194,3 +194,265 @@ def q_kpi_flags(spark, sf_dir):
 def q_eligible_events(spark, sf_dir):
     b = _built(spark, sf_dir)
     return marts.eligible_events(b.safe_inputs).select("household_id", "submission_id", "member_count")
+
+
+# ------------------------------------------------------------ monitoring ---
+from .operators import incremental as I  # noqa: E402
+from .operators import scd2  # noqa: E402
+from .operators.expectations import run_expectations  # noqa: E402
+from .plans import checks as CK  # noqa: E402
+from .plans import monitors as MON  # noqa: E402
+from .plans import scenario as SC  # noqa: E402
+
+
+@query("mon_total_by_model_day")
+def q_mon_total(spark, sf_dir):
+    return MON.total_by_model_day(_built(spark, sf_dir).staged)
+
+
+@query("mon_rejections_by_model_day")
+def q_mon_rejections(spark, sf_dir):
+    return MON.rejections_by_model_day(_built(spark, sf_dir).staged)
+
+
+@query("mon_rejection_rate_day")
+def q_mon_rejection_rate(spark, sf_dir):
+    return MON.rejection_rate_day(_built(spark, sf_dir).staged)
+
+
+QUERIES["rejection_rate_join"] = QUERIES["mon_rejection_rate_day"]
+
+
+@query("mon_rejection_by_reason_day")
+def q_mon_reason(spark, sf_dir):
+    return MON.rejection_by_reason_day(_built(spark, sf_dir).staged)
+
+
+@query("mon_unknown_diarrhoea_rate_ward_day")
+def q_mon_unknown(spark, sf_dir):
+    return MON.unknown_diarrhoea_rate_ward_day(_built(spark, sf_dir).fact)
+
+
+@query("mon_late_arrival_rate_ward_day")
+def q_mon_late(spark, sf_dir):
+    return MON.late_arrival_rate_ward_day(_built(spark, sf_dir).submitted)
+
+
+@query("source_freshness")
+def q_source_freshness(spark, sf_dir):
+    return MON.source_freshness(bind_raw(spark, sf_dir), SC.FRESHNESS_NOW)
+
+
+# ----------------------------------------------------------- incremental ---
+@query("incremental_append")
+def q_incremental_append(spark, sf_dir):
+    """Raw submissions after appending batch 1 and then a full re-delivery."""
+    from .plans.increment import append_raw
+    b1, allr = SC.raw_pair(spark, sf_dir)
+    store = I.TableStore(spark, SC.scratch_path(spark, "append"))
+    append_raw(store, b1)
+    return append_raw(store, allr).submissions
+
+
+@query("incremental_load_window")
+def q_incremental_load_window(spark, sf_dir):
+    first, full = SC.full_pair(spark, sf_dir)
+    return I.load_window(full.events, I.target_max(first.events, "record_loaded_at"))
+
+
+@query("incremental_event_window")
+def q_incremental_event_window(spark, sf_dir):
+    return I.event_window(_built(spark, sf_dir).fact, SC.AS_OF)
+
+
+@query("impacted_keys_join")
+def q_impacted_keys_join(spark, sf_dir):
+    first, full = SC.full_pair(spark, sf_dir)
+    since = I.window_start(I.target_max(first.rollup, "record_loaded_at"))
+    members = full.staged.member.accepted
+    return marts.member_rollup(members, marts.impacted_keys(members, since))
+
+
+@query("distinct_keys")
+def q_distinct_keys(spark, sf_dir):
+    return marts.impacted_keys(_built(spark, sf_dir).staged.member.accepted)
+
+
+@query("scalar_max")
+def q_scalar_max(spark, sf_dir):
+    ev = _built(spark, sf_dir).events
+    return ev.agg(F.max("record_loaded_at").alias("max_record_loaded_at"))
+
+
+@query("merge_upsert")
+def q_merge_upsert(spark, sf_dir):
+    """int_household_event after two incremental runs (load-window upsert)."""
+    _, _, r2 = SC.two_increments(spark, sf_dir)
+    return r2.events
+
+
+@query("impacted_group_recompute")
+def q_impacted_group_recompute(spark, sf_dir):
+    """Member rollup after two incremental runs (impacted groups recomputed)."""
+    _, _, r2 = SC.two_increments(spark, sf_dir)
+    return r2.rollup
+
+
+@query("merge_upsert_ward_day")
+def q_merge_upsert_ward_day(spark, sf_dir):
+    """Ward-day KPI after two incremental runs (every window applied)."""
+    _, _, r2 = SC.two_increments(spark, sf_dir)
+    return r2.ward_day
+
+
+@query("schema_sync")
+def q_schema_sync(spark, sf_dir):
+    """Ward-day upsert whose source adds a column: history rows get NULL."""
+    first, full = SC.full_pair(spark, sf_dir)
+    src = I.event_window(full.ward_day, SC.AS_OF).withColumn(
+        "household_events_unsafe", F.col("household_events_total") - F.col("household_events_safe"))
+    store = I.TableStore(spark, SC.scratch_path(spark, "schema-sync"))
+    store.publish("ward_day", first.ward_day)
+    return store.upsert("ward_day", src, ["ward_id", "event_date"])
+
+
+@query("backfill_range")
+def q_backfill_range(spark, sf_dir):
+    first, full = SC.full_pair(spark, sf_dir)
+    src = I.backfill_range(full.fact, SC.BACKFILL_START, SC.BACKFILL_END)
+    return I.upsert(first.fact, src, ["household_id", "submission_id"])
+
+
+@query("full_rebuild")
+def q_full_rebuild(spark, sf_dir):
+    """Ward-day table written as a new full version and read back."""
+    store = I.TableStore(spark, SC.scratch_path(spark, "rebuild"))
+    return store.publish("fact_agg_safe_drinking_ward_day", _built(spark, sf_dir).ward_day)
+
+
+# ------------------------------------------------------------------ scd2 ---
+CHECK_COLS = ("ward_id", "district", "municipality", "hh_size_reported", "has_toilet", "water_filter_type",
+              "primary_water_source")
+
+
+def _snapshots(spark, sf_dir):
+    first, full = SC.full_pair(spark, sf_dir)
+    s1 = scd2.scd2_snapshot(None, marts.household_current_source(first.events), "household_id", CHECK_COLS,
+                            SC.SNAPSHOT_1, carry_cols=("submission_id",))
+    s2 = scd2.scd2_snapshot(s1, marts.household_current_source(full.events), "household_id", CHECK_COLS,
+                            SC.SNAPSHOT_2, carry_cols=("submission_id",))
+    return full, s2
+
+
+HISTORY_COLUMNS = ("household_id", "ward_id", "district", "municipality", "hh_size_reported", "has_toilet",
+                   "water_filter_type", "primary_water_source", "submission_id", "dbt_valid_to", "dbt_valid_from")
+
+
+@query("scd2_snapshot")
+def q_scd2_snapshot(spark, sf_dir):
+    return _snapshots(spark, sf_dir)[1]
+
+
+@query("scd2_history")
+def q_scd2_history(spark, sf_dir):
+    return _snapshots(spark, sf_dir)[1].select(*HISTORY_COLUMNS)
+
+
+@query("scd2_current")
+def q_scd2_current(spark, sf_dir):
+    return scd2.scd2_current(_snapshots(spark, sf_dir)[1]).select(*HISTORY_COLUMNS)
+
+
+@query("asof_scd2_join")
+def q_asof_scd2_join(spark, sf_dir):
+    from .operators.relational import asof_join
+    full, snap = _snapshots(spark, sf_dir)
+    fact = full.fact.select(*marts.ENRICHED_FACT_COLUMNS)
+    return asof_join(fact, snap, "household_id", "submitted_at", "dbt_valid_from", "dbt_valid_to",
+                     marts.ENRICHED_DIM_COLUMNS)
+
+
+@query("lag")
+def q_lag(spark, sf_dir):
+    """Previous version end per household (the overlap test's window)."""
+    from pyspark.sql import Window
+    snap = _snapshots(spark, sf_dir)[1]
+    w = Window.partitionBy("household_id").orderBy(F.col("dbt_valid_from").asc_nulls_first())
+    end = F.coalesce(F.col("dbt_valid_to"), F.lit("9999-12-31 00:00:00").cast("timestamp_ntz"))
+    return snap.select("household_id", "dbt_valid_from", end.alias("dbt_valid_to")) \
+        .withColumn("prev_valid_to", F.lag("dbt_valid_to").over(w))
+
+
+@query("singular_one_current_row")
+def q_singular_one_current(spark, sf_dir):
+    return scd2.one_current_row_violations(_snapshots(spark, sf_dir)[1], "household_id")
+
+
+@query("singular_no_overlapping_windows")
+def q_singular_overlap(spark, sf_dir):
+    return scd2.overlapping_window_violations(_snapshots(spark, sf_dir)[1], "household_id")
+
+
+@query("singular_valid_range")
+def q_singular_range(spark, sf_dir):
+    return scd2.valid_range_violations(_snapshots(spark, sf_dir)[1], "household_id")
+
+
+@query("having_count")
+def q_having_count(spark, sf_dir):
+    from .operators.relational import having_count
+    return having_count(_built(spark, sf_dir).events, ["household_id"], "n_events", 1)
+
+
+# ---------------------------------------------------------- expectations ---
+def survey_frames(spark, sf_dir) -> dict:
+    """Every model of one full build plus the two-run snapshot, by model name."""
+    full, snap = _snapshots(spark, sf_dir)
+    st = full.staged
+    raw = bind_raw(spark, sf_dir)
+    from .operators.relational import asof_join
+    enriched = asof_join(full.fact.select(*marts.ENRICHED_FACT_COLUMNS), snap, "household_id", "submitted_at",
+                         "dbt_valid_from", "dbt_valid_to", marts.ENRICHED_DIM_COLUMNS)
+    return {
+        "raw_kobo_submission": raw.submissions, "raw_kobo_household": raw.households,
+        "raw_kobo_member": raw.members, "raw_kobo_waterpoint": raw.water_points,
+        "stg_kobo_submission": st.submission.accepted, "stg_kobo_household": st.household.accepted,
+        "stg_kobo_member": st.member.accepted, "stg_kobo_water_point": st.water_point.accepted,
+        "int_household_event": full.events, "int_submission_submitted": full.submitted,
+        "int_household_member_health_rollup": full.rollup, "int_household_safe_inputs": full.safe_inputs,
+        "int_household_current_source": marts.household_current_source(full.events),
+        "snap_dim_household": snap,
+        "dim_household_history": snap.select(*HISTORY_COLUMNS),
+        "dim_household_current": scd2.scd2_current(snap).select(*HISTORY_COLUMNS),
+        "fact_household_wash_event": full.fact, "fact_agg_safe_drinking_ward_day": full.ward_day,
+        "fact_household_wash_event_enriched_scd2": enriched,
+        "mon_total_by_model_day": MON.total_by_model_day(st),
+        "mon_rejections_by_model_day": MON.rejections_by_model_day(st),
+        "mon_rejection_rate_day": MON.rejection_rate_day(st),
+        "mon_rejection_by_reason_day": MON.rejection_by_reason_day(st),
+        "mon_unknown_diarrhoea_rate_ward_day": MON.unknown_diarrhoea_rate_ward_day(full.fact),
+        "mon_late_arrival_rate_ward_day": MON.late_arrival_rate_ward_day(full.submitted),
+    }
+
+
+def _report(kind):
+    def fn(spark, sf_dir):
+        frames = survey_frames(spark, sf_dir)
+        checks = [c for c in CK.checks_for(frames) if kind is None or c.kind == kind]
+        return run_expectations(frames, checks)
+    return fn
+
+
+for _kind in ("not_null", "unique", "unique_combination", "accepted_values", "relationship", "expression"):
+    query(f"expect_{_kind}")(_report(_kind))
+query("run_expectations")(_report(None))
+
+
+@query("store_failures")
+def q_store_failures(spark, sf_dir):
+    """Failing rows of one check written to the audit folder and read back."""
+    frames = survey_frames(spark, sf_dir)
+    check = [c for c in CK.declared_checks() if c.name == "expression_stg_kobo_household_hh_size"]
+    root = SC.scratch_path(spark, "audit")
+    run_expectations(frames, check, store=root).collect()
+    return spark.read.parquet(f"{root}/expression_stg_kobo_household_hh_size")
