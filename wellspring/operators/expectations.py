@@ -99,21 +99,55 @@ def _threshold(cond: str, n: Column) -> Column:
     return {"!=": n != v, ">": n > v, ">=": n >= v, "=": n == v, "<": n < v, "<=": n <= v}[op]
 
 
+ROW_LEVEL = ("not_null", "expression")
+
+
+def _violation(c: Check) -> Column:
+    """Row-level predicate that is true exactly for a failing row of ``c``."""
+    if c.kind == "not_null":
+        bad = F.col(c.args["column"]).isNull()
+    else:
+        e = c.args["expression"]
+        bad = ~(F.expr(e) if isinstance(e, str) else e)
+    if c.where is not None:
+        w = F.expr(c.where) if isinstance(c.where, str) else c.where
+        bad = w & bad
+    return bad
+
+
+def _status(c: Check, n: Column) -> Column:
+    err = _threshold(c.error_if, n) if c.severity == "error" else F.lit(False)
+    return F.when(err, "error").when(_threshold(c.warn_if, n), "warn").otherwise("pass")
+
+
+def _result(c: Check, failures: Column) -> Column:
+    return F.struct(F.lit(c.name).alias("check_name"), F.lit(c.table).alias("table_name"),
+                    F.lit(c.kind).alias("kind"), F.lit(c.severity).alias("severity"),
+                    failures.cast("long").alias("failures"), _status(c, failures).alias("status"))
+
+
 def run_expectations(frames: Mapping[str, DataFrame], checks: Sequence[Check], store: str | None = None) -> DataFrame:
     """One result row per check: name, table, kind, severity, failures, status.
 
-    Severity ``error``: error when ``error_if`` holds, else warn when
-    ``warn_if`` holds. Severity ``warn``: warn when ``warn_if`` holds.
+    Row-level checks (not-null, expressions) on one table are counted in a
+    single aggregate pass over that table; set-level checks (uniqueness,
+    accepted values, relationships, custom) each run their own grouped
+    query. Severity ``error``: error when ``error_if`` holds, else warn when
+    ``warn_if`` holds; severity ``warn``: warn when ``warn_if`` holds.
     """
     parts = []
+    by_table: dict[str, list[Check]] = {}
     for c in checks:
-        bad = failing_rows(c, frames)
         if store:
-            bad.write.mode("overwrite").parquet(f"{store.rstrip('/')}/{c.name}")
-        n = F.col("failures")
-        err = _threshold(c.error_if, n) if c.severity == "error" else F.lit(False)
-        status = F.when(err, "error").when(_threshold(c.warn_if, n), "warn").otherwise("pass")
-        parts.append(bad.agg(F.count(F.lit(1)).cast("long").alias("failures")).select(
-            F.lit(c.name).alias("check_name"), F.lit(c.table).alias("table_name"), F.lit(c.kind).alias("kind"),
-            F.lit(c.severity).alias("severity"), "failures", status.alias("status")))
+            failing_rows(c, frames).write.mode("overwrite").parquet(f"{store.rstrip('/')}/{c.name}")
+        if c.kind in ROW_LEVEL:
+            by_table.setdefault(c.table, []).append(c)
+            continue
+        bad = failing_rows(c, frames)
+        parts.append(bad.agg(_result(c, F.count(F.lit(1))).alias("r")).select("r.*"))
+    for table, cs in by_table.items():
+        counts = frames[table].agg(*[F.sum(F.when(_violation(c), 1).otherwise(0)).alias(f"c{i}")
+                                     for i, c in enumerate(cs)])
+        rows = F.array(*[_result(c, F.coalesce(F.col(f"c{i}"), F.lit(0))) for i, c in enumerate(cs)])
+        parts.append(counts.select(F.inline(rows)))
     return union_all(parts)

@@ -427,14 +427,17 @@ def closure(names) -> list[str]:
     return order
 
 
-def clone(suffix: str, roots, raw_where: str) -> None:
+def clone(suffix: str, roots, raw_where: str | None = None, replace: dict | None = None) -> None:
     """Copy the CTE chain behind ``roots`` under ``name + suffix``, with
-    every raw entity restricted by ``raw_where``."""
+    every raw entity restricted by ``raw_where`` or replaced by another CTE."""
     names = closure(roots)
     raws = {"raw_submission", "raw_household", "raw_member", "raw_water_point"}
     for n in names:
         if n in raws:
-            CTES[n + suffix] = f"SELECT * FROM (\n{CTES[n]}\n) WHERE {raw_where}"
+            if replace:
+                CTES[n + suffix] = f"SELECT * FROM {replace[n]}"
+            else:
+                CTES[n + suffix] = f"SELECT * FROM (\n{CTES[n]}\n) WHERE {raw_where}"
             continue
         body = CTES[n]
         for m in names:

@@ -92,7 +92,8 @@ oracle("eligible_events", "SELECT household_id, submission_id, member_count FROM
 import datetime as _dt  # noqa: E402
 
 from .functions import valuesets as V  # noqa: E402
-from .oracle import CTES, clone, cte, fact_select, ratio_sql, ROLLUP_FLAGS, ROLLUP_SELECT, WARD_DAY_SELECT  # noqa: E402
+from .oracle import CTES, clone, cte, fact_select, ratio_sql, ROLLUP_FLAGS, ROLLUP_SELECT, WARD_DAY_SELECT, _list  # noqa: E402
+from .sources.bindings import FILTER_CYCLE, POINT_TYPE_CYCLE, SOURCE_CYCLE  # noqa: E402
 from .plans import scenario as SC  # noqa: E402
 
 BASE = f"TIMESTAMP '{V.INCREMENTAL_BASE_TS}'"
@@ -338,3 +339,178 @@ WHERE dbt_valid_to IS NOT NULL AND dbt_valid_to <= dbt_valid_from
 oracle("having_count", """
 SELECT household_id, CAST(count(*) AS BIGINT) AS n_events FROM hh_event GROUP BY household_id HAVING count(*) > 1
 """)
+
+# ---------------------------------------------------------- expectations ---
+from .plans.checks import declared_checks  # noqa: E402
+
+TABLE_SQL = {
+    "raw_kobo_submission": "raw_submission", "raw_kobo_household": "raw_household",
+    "raw_kobo_member": "raw_member", "raw_kobo_waterpoint": "raw_water_point",
+    "stg_kobo_submission": "sub_acc", "stg_kobo_household": "hh_acc", "stg_kobo_member": "mem_acc",
+    "stg_kobo_water_point": "wp_acc", "int_household_event": "hh_event", "int_submission_submitted": "sub_submitted",
+    "int_household_member_health_rollup": "mem_rollup", "int_household_safe_inputs": "safe_inputs",
+    "int_household_current_source": "cur_src", "snap_dim_household": "snap2",
+    "dim_household_history": f"(SELECT {HIST} FROM snap2)",
+    "dim_household_current": f"(SELECT {HIST} FROM snap2 WHERE dbt_valid_to IS NULL)",
+    "fact_household_wash_event": "fact", "fact_agg_safe_drinking_ward_day": "ward_day",
+    "fact_household_wash_event_enriched_scd2": "enriched",
+    "mon_total_by_model_day": "mon_total", "mon_rejections_by_model_day": "mon_rej",
+    "mon_rejection_rate_day": "mon_rate", "mon_rejection_by_reason_day": "mon_reason",
+    "mon_unknown_diarrhoea_rate_ward_day": "mon_unknown", "mon_late_arrival_rate_ward_day": "mon_late",
+}
+SINGULAR_SQL = {
+    "one_current_row_per_household":
+        "SELECT household_id FROM snap2 WHERE dbt_valid_to IS NULL GROUP BY household_id HAVING count(*) > 1",
+    "snapshot_no_overlapping_windows":
+        "SELECT * FROM snap_lag WHERE prev_valid_to IS NOT NULL AND dbt_valid_from < prev_valid_to",
+    "snapshot_valid_from_valid_to_range_valid":
+        "SELECT * FROM snap2 WHERE dbt_valid_to IS NOT NULL AND dbt_valid_to <= dbt_valid_from",
+}
+
+
+def _failing_sql(c) -> str:
+    t = TABLE_SQL.get(c.table)
+    a = c.args
+    w = f"({c.where})" if c.where else "TRUE"
+    if c.kind == "not_null":
+        return f"SELECT * FROM {t} WHERE {w} AND {a['column']} IS NULL"
+    if c.kind == "unique":
+        col = a["column"]
+        return f"SELECT {col} FROM {t} WHERE {w} AND {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1"
+    if c.kind == "unique_combination":
+        cols = ", ".join(a["columns"])
+        return f"SELECT {cols} FROM {t} WHERE {w} GROUP BY {cols} HAVING count(*) > 1"
+    if c.kind == "accepted_values":
+        vals = ", ".join(f"'{v}'" for v in a["values"])
+        return (f"SELECT * FROM (SELECT {a['column']} AS value_field FROM {t} WHERE {w} GROUP BY 1) "
+                f"WHERE value_field NOT IN ({vals})")
+    if c.kind == "relationship":
+        p = TABLE_SQL[a["to"]]
+        return (f"SELECT * FROM {t} c WHERE {w} AND c.{a['column']} IS NOT NULL AND NOT EXISTS "
+                f"(SELECT 1 FROM {p} p WHERE p.{a['field']} = c.{a['column']})")
+    if c.kind == "expression":
+        return f"SELECT * FROM {t} WHERE {w} AND NOT ({a['expression']})"
+    if c.kind == "custom":
+        return SINGULAR_SQL[c.name]
+    raise ValueError(c.kind)
+
+
+def _cond(cond: str) -> str:
+    op, _, v = cond.strip().partition(" ")
+    return f"failures {'<>' if op == '!=' else op} {int(v)}"
+
+
+def _report_sql(kind) -> str:
+    parts = []
+    for c in declared_checks():
+        if kind is not None and c.kind != kind:
+            continue
+        err = _cond(c.error_if) if c.severity == "error" else "FALSE"
+        parts.append(
+            f"SELECT '{c.name}' AS check_name, '{c.table}' AS table_name, '{c.kind}' AS kind, "
+            f"'{c.severity}' AS severity, failures, "
+            f"CASE WHEN {err} THEN 'error' WHEN {_cond(c.warn_if)} THEN 'warn' ELSE 'pass' END AS status "
+            f"FROM (SELECT CAST(count(*) AS BIGINT) AS failures FROM ({_failing_sql(c)}))")
+    return "\nUNION ALL\n".join(parts)
+
+
+for _k in ("not_null", "unique", "unique_combination", "accepted_values", "relationship", "expression"):
+    oracle(f"expect_{_k}", _report_sql(_k))
+oracle("run_expectations", _report_sql(None))
+oracle("store_failures", "SELECT * FROM hh_acc WHERE NOT (hh_size_reported > 0 and hh_size_reported < 15)")
+
+# --------------------------------------------------------------- landing ---
+cte("docs", """
+SELECT oc.*, li.l_orderkey, li.l_partkey, li.l_suppkey, li.l_linenumber, li.l_quantity, li.l_discount,
+       li.l_returnflag, li.l_linestatus, li.s_nationkey,
+       concat_ws(':', CAST(oc.o_orderkey AS VARCHAR), coalesce(CAST(li.l_linenumber AS VARCHAR), '-'),
+                 coalesce(CAST(li.l_partkey AS VARCHAR), '-'), coalesce(CAST(li.l_suppkey AS VARCHAR), '-'))
+         AS doc_key,
+       'raw/' || strftime(oc.a_loaded_at, '%Y/%m/%d') || '/wash_submissions_' || CAST(oc.o_orderkey % 7 AS VARCHAR)
+         || '.json' AS file_name,
+       oc.a_loaded_at + INTERVAL 1 HOUR AS ingested_at
+FROM order_ctx oc
+LEFT JOIN (SELECT l.*, s.s_nationkey FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey) li
+  ON oc.o_orderkey = li.l_orderkey
+""")
+oracle("scan_landing", """
+SELECT file_name, ingested_at, 1 AS n_submissions FROM docs
+UNION ALL
+SELECT file_name, ingested_at, CAST(NULL AS INTEGER) FROM docs WHERE o_orderkey % 211 = 0
+""")
+oracle("landing_corrupt", "SELECT doc_key, file_name, ingested_at FROM docs WHERE o_orderkey % 211 = 0")
+cte("ext_rows", f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS submission_id,
+       CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') END AS submitted_at,
+       CASE WHEN o_orderstatus = 'P' THEN 'draft' WHEN o_orderstatus = 'F' THEN ' Submitted '
+            ELSE 'submitted' END AS status,
+       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS collected_at,
+       CASE WHEN o_orderkey % 89 = 0 THEN '' ELSE o_orderpriority END AS enumerator_id,
+       'd' || CAST(o_custkey % 50 AS VARCHAR) AS device_id,
+       g_ward AS ward_id, g_municipality AS municipality, g_district AS district,
+       CASE WHEN o_orderkey % 83 = 0 THEN 123.456 WHEN o_orderkey % 79 = 0 THEN NULL ELSE 27.5 END::DOUBLE AS gps_lat,
+       85.3::DOUBLE AS gps_lon, (o_orderkey % 13 <> 0) AS consent,
+       CAST(o_custkey AS VARCHAR) AS household_id, g_ward AS household_ward_id, c_name AS household_head_name,
+       lpad(CAST(o_custkey % 10000 AS VARCHAR), 4, '0') AS phone_last4,
+       CAST(o_orderkey % 17 AS BIGINT) AS hh_size_reported,
+       list_element({_list(FILTER_CYCLE)}, CAST(o_orderkey % {len(FILTER_CYCLE)} AS INTEGER) + 1) AS water_filter_type,
+       list_element({_list(SOURCE_CYCLE)}, CAST(o_orderkey % {len(SOURCE_CYCLE)} AS INTEGER) + 1) AS primary_water_source,
+       (c_acctbal > 0) AS has_toilet,
+       a_batch_id AS _batch_id, a_is_deleted AS _is_deleted,
+       strftime(a_loaded_at, '%Y-%m-%dT%H:%M:%S') AS _loaded_at, a_source_file AS _source_file
+FROM docs
+""")
+oracle("explode_outer_submissions", "SELECT * FROM ext_rows")
+oracle("landing_ingest", "SELECT * FROM ext_rows")
+cte("lraw_submission", """
+SELECT rs.* FROM docs d JOIN raw_submission rs ON rs.submission_id = CAST(d.o_orderkey AS VARCHAR)
+""")
+cte("lraw_household", """
+SELECT rh.* FROM docs d JOIN raw_household rh ON rh.submission_id = CAST(d.o_orderkey AS VARCHAR)
+""")
+cte("lraw_member", """
+SELECT CAST(o_custkey AS VARCHAR) AS household_id, CAST(o_orderkey AS VARCHAR) AS submission_id,
+       CAST(l_linenumber AS BIGINT) AS member_index,
+       CASE WHEN l_orderkey IS NULL THEN NULL ELSE 'm' || CAST(l_partkey AS VARCHAR) END AS member_name,
+       CASE WHEN l_linestatus = 'O' THEN 'male' WHEN l_linestatus = 'F' THEN 'female' END AS sex,
+       CAST(l_quantity AS BIGINT) + CASE WHEN l_partkey % 50 = 0 THEN 100 ELSE 0 END AS age_years,
+       CASE WHEN l_returnflag = 'R' THEN TRUE WHEN l_returnflag = 'A' THEN FALSE END AS had_diarrhoea_14d,
+       CASE WHEN l_orderkey IS NULL THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END AS fla_submission_id,
+       CASE WHEN l_orderkey IS NULL THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS fla_household_id,
+       a_loaded_at AS _loaded_at, a_batch_id AS _batch_id, a_source_file AS _source_file,
+       a_is_deleted AS _is_deleted
+FROM docs
+""")
+cte("lraw_water_point", f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS submission_id, CAST(l_suppkey AS VARCHAR) AS water_point_id,
+       CAST(s_nationkey AS BIGINT) AS ward_id,
+       CASE WHEN l_orderkey IS NULL THEN NULL ELSE
+         list_element({_list(POINT_TYPE_CYCLE)}, CAST(l_partkey % {len(POINT_TYPE_CYCLE)} AS INTEGER) + 1) END
+         AS source_type,
+       CASE WHEN l_orderkey IS NULL THEN NULL ELSE (l_returnflag <> 'R') END AS functional,
+       CAST(round(l_discount * 100) AS BIGINT) - 1 AS distance_minutes,
+       CAST(NULL AS DOUBLE) AS gps_lat, CAST(NULL AS DOUBLE) AS gps_lon,
+       CASE WHEN l_orderkey IS NULL THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END AS fla_submission_id,
+       a_loaded_at AS _loaded_at, a_batch_id AS _batch_id, a_source_file AS _source_file,
+       a_is_deleted AS _is_deleted
+FROM docs
+""")
+oracle("json_path_cast", "SELECT * FROM lraw_submission")
+oracle("audit_columns",
+       "SELECT household_id, submission_id, _loaded_at, _batch_id, _source_file, _is_deleted FROM lraw_household")
+oracle("explode_outer_members", "SELECT * FROM lraw_member")
+oracle("nested_object_to_table", "SELECT * FROM lraw_water_point")
+oracle("child_parent_keys", """
+SELECT household_id, submission_id, member_index, fla_household_id, fla_submission_id FROM lraw_member
+WHERE household_id IS DISTINCT FROM fla_household_id OR submission_id IS DISTINCT FROM fla_submission_id
+""")
+clone("_l", ["ward_day", "sub_dedup"], replace={
+    "raw_submission": "lraw_submission", "raw_household": "lraw_household",
+    "raw_member": "lraw_member", "raw_water_point": "lraw_water_point"})
+oracle("stream_increment", "SELECT * FROM ward_day_l")
+oracle("stream_dedupe", "SELECT * FROM sub_dedup_l")
+oracle("late_data_window", """
+SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, event_type,
+       CAST(count(*) AS BIGINT) AS n_events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+FROM events GROUP BY 1, 2, 3
+""")

@@ -27,11 +27,12 @@ class Built:
 
 def build_full(raw, materialize=None, safe_sources=SAFE_SOURCES_CODE,
                safe_filters=SAFE_FILTERS_CODE) -> Built:
+    m = materialize or (lambda d: d)
     st = staging.stage_all(raw, materialize)
     submitted = staging.submitted_only(st.submission.accepted)
-    events = marts.household_event(st.household.accepted, submitted)
+    events = m(marts.household_event(st.household.accepted, submitted))
     # first run: every key is impacted, so the rollup needs no key filter
-    rollup = marts.member_rollup(st.member.accepted)
+    rollup = m(marts.member_rollup(st.member.accepted))
     inputs = marts.safe_inputs(events, rollup)
-    fact = marts.fact_household_wash_event(inputs, safe_sources, safe_filters)
+    fact = m(marts.fact_household_wash_event(inputs, safe_sources, safe_filters))
     return Built(st, submitted, events, rollup, inputs, fact, marts.ward_day(fact))

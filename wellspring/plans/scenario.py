@@ -36,10 +36,10 @@ def raw_pair(spark: SparkSession, sf_dir: str) -> tuple[RawFrames, RawFrames]:
     return batch_before(raw, CUTOFF_1), raw
 
 
-def full_pair(spark: SparkSession, sf_dir: str):
+def full_pair(spark: SparkSession, sf_dir: str, materialize=None):
     """(full build over batch 1, full build over everything)."""
     b1, allr = raw_pair(spark, sf_dir)
-    return build_full(b1), build_full(allr)
+    return build_full(b1, materialize), build_full(allr, materialize)
 
 
 def two_increments(spark: SparkSession, sf_dir: str, materialize=None):

@@ -9,8 +9,6 @@ computed after the dedupe: same result, fewer rows through the orphan joins.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -309,16 +307,35 @@ def split_water_point(base: DataFrame) -> Split:
 
 
 # ------------------------------------------------------------------ all ---
-@dataclass
 class Staged:
-    submission_base: DataFrame
-    submission: Split
-    household_base: DataFrame
-    household: Split
-    member_base: DataFrame
-    member: Split
-    water_point_base: DataFrame
-    water_point: Split
+    """Staged bases and their splits. Water points are staged on first use
+    (the KPI path does not read them)."""
+
+    def __init__(self, raw, materialize=None):
+        m = materialize or (lambda d: d)
+        self._m = m
+        self._raw = raw
+        self.submission_base = m(base_submission(raw.submissions))
+        self.submission = split_submission(self.submission_base)
+        self.household_base = m(base_household(raw.households, self.submission.accepted))
+        self.household = split_household(self.household_base)
+        self.member_base = m(base_member(raw.members, self.household.accepted, self.submission.accepted))
+        self.member = split_member(self.member_base)
+        self._wp = None
+
+    def _water(self):
+        if self._wp is None:
+            base = self._m(base_water_point(self._raw.water_points, self.submission.accepted))
+            self._wp = (base, split_water_point(base))
+        return self._wp
+
+    @property
+    def water_point_base(self) -> DataFrame:
+        return self._water()[0]
+
+    @property
+    def water_point(self) -> Split:
+        return self._water()[1]
 
 
 def stage_all(raw, materialize=None) -> Staged:
@@ -328,13 +345,4 @@ def stage_all(raw, materialize=None) -> Staged:
     write to the shared folder, because each base is read by the accepted
     view, the rejected view and the monitors.
     """
-    m = materialize or (lambda d: d)
-    sb = m(base_submission(raw.submissions))
-    ss = split_submission(sb)
-    hb = m(base_household(raw.households, ss.accepted))
-    hs = split_household(hb)
-    mb = m(base_member(raw.members, hs.accepted, ss.accepted))
-    ms = split_member(mb)
-    wb = m(base_water_point(raw.water_points, ss.accepted))
-    ws = split_water_point(wb)
-    return Staged(sb, ss, hb, hs, mb, ms, wb, ws)
+    return Staged(raw, materialize)

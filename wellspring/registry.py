@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from .plans import marts, staging
 from .plans.build import build_full
-from .session import tune
+from .session import materializer, tune
 from .sources.bindings import bind_raw
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -335,8 +335,8 @@ CHECK_COLS = ("ward_id", "district", "municipality", "hh_size_reported", "has_to
               "primary_water_source")
 
 
-def _snapshots(spark, sf_dir):
-    first, full = SC.full_pair(spark, sf_dir)
+def _snapshots(spark, sf_dir, materialize=None):
+    first, full = SC.full_pair(spark, sf_dir, materialize)
     s1 = scd2.scd2_snapshot(None, marts.household_current_source(first.events), "household_id", CHECK_COLS,
                             SC.SNAPSHOT_1, carry_cols=("submission_id",))
     s2 = scd2.scd2_snapshot(s1, marts.household_current_source(full.events), "household_id", CHECK_COLS,
@@ -407,7 +407,9 @@ def q_having_count(spark, sf_dir):
 # ---------------------------------------------------------- expectations ---
 def survey_frames(spark, sf_dir) -> dict:
     """Every model of one full build plus the two-run snapshot, by model name."""
-    full, snap = _snapshots(spark, sf_dir)
+    m = materializer(spark, "checks")
+    full, snap = _snapshots(spark, sf_dir, m)
+    snap = m(snap)
     st = full.staged
     raw = bind_raw(spark, sf_dir)
     from .operators.relational import asof_join
@@ -456,3 +458,130 @@ def q_store_failures(spark, sf_dir):
     root = SC.scratch_path(spark, "audit")
     run_expectations(frames, check, store=root).collect()
     return spark.read.parquet(f"{root}/expression_stg_kobo_household_hh_size")
+
+
+# --------------------------------------------------------------- landing ---
+from .sources import landing as L  # noqa: E402
+from .streaming import ingest as S  # noqa: E402
+
+EXT_COLUMNS = [c for c in L.SUBMISSION_FIELDS if c not in ("members", "water_point")]
+
+
+def corrupt_copies(docs: DataFrame) -> DataFrame:
+    """Truncated copies of some documents (orders with key % 211 = 0): unparseable records."""
+    key = F.split(F.col("doc_key"), ":").getItem(0).cast("long")
+    return docs.where(F.pmod(key, F.lit(211)) == 0).withColumn(
+        "json", F.substring(F.col("json"), 1, 40))
+
+
+def _landing(spark, sf_dir):
+    docs = L.landing_documents(spark, sf_dir)
+    return docs, L.landing_table(docs.unionByName(corrupt_copies(docs)))
+
+
+@query("scan_landing")
+def q_scan_landing(spark, sf_dir):
+    """Landing rows with the size of their submissions array (NULL when corrupt)."""
+    _, land = _landing(spark, sf_dir)
+    subs = F.try_variant_get(F.col("payload"), "$.submissions", "array<variant>")
+    return land.select("file_name", "ingested_at", F.size(subs).alias("n_submissions"))
+
+
+@query("landing_corrupt")
+def q_landing_corrupt(spark, sf_dir):
+    """Records whose payload does not parse, split off to the side table."""
+    docs = L.landing_documents(spark, sf_dir)
+    allr = docs.unionByName(corrupt_copies(docs))
+    land = allr.select("doc_key", "file_name", "ingested_at", F.try_parse_json("json").alias("payload"),
+                       F.col("json").alias("payload_text"))
+    _, corrupt = L.split_corrupt(land)
+    return corrupt.select("doc_key", "file_name", "ingested_at")
+
+
+@query("explode_outer_submissions")
+def q_explode_outer_submissions(spark, sf_dir):
+    _, land = _landing(spark, sf_dir)
+    good, _ = L.split_corrupt(land)
+    return L.flatten(good).select(*EXT_COLUMNS)
+
+
+def _landing_raw(spark, sf_dir):
+    _, land = _landing(spark, sf_dir)
+    good, _ = L.split_corrupt(land)
+    return L.raw_from_flat(L.flatten(good))
+
+
+@query("json_path_cast")
+def q_json_path_cast(spark, sf_dir):
+    return _landing_raw(spark, sf_dir).submissions
+
+
+@query("audit_columns")
+def q_audit_columns(spark, sf_dir):
+    return _landing_raw(spark, sf_dir).households.select("household_id", "submission_id", "_loaded_at",
+                                                         "_batch_id", "_source_file", "_is_deleted")
+
+
+@query("explode_outer_members")
+def q_explode_outer_members(spark, sf_dir):
+    return _landing_raw(spark, sf_dir).members
+
+
+@query("nested_object_to_table")
+def q_nested_object_to_table(spark, sf_dir):
+    return _landing_raw(spark, sf_dir).water_points
+
+
+@query("child_parent_keys")
+def q_child_parent_keys(spark, sf_dir):
+    """Members whose own copy of a parent key differs from the parent's (null-safe)."""
+    m = _landing_raw(spark, sf_dir).members
+    return m.where(~F.col("household_id").eqNullSafe(F.col("fla_household_id"))
+                   | ~F.col("submission_id").eqNullSafe(F.col("fla_submission_id"))) \
+        .select("household_id", "submission_id", "member_index", "fla_household_id", "fla_submission_id")
+
+
+# ------------------------------------------------------------- streaming ---
+def _write_landing_files(spark, sf_dir) -> str:
+    docs = L.landing_documents(spark, sf_dir)
+    src = SC.scratch_path(spark, "landing-src")
+    docs.unionByName(corrupt_copies(docs)).select(F.col("json").alias("value")).write.text(src)
+    return src
+
+
+@query("landing_ingest")
+def q_landing_ingest(spark, sf_dir):
+    """Stream ingest of landing files (run twice: the second run adds nothing), flattened."""
+    src = _write_landing_files(spark, sf_dir)
+    store = I.TableStore(spark, SC.scratch_path(spark, "landing"))
+    ckpt = SC.scratch_path(spark, "landing-ckpt")
+    S.ingest_landing(spark, src, ckpt, store, glob="part-*")
+    S.ingest_landing(spark, src, ckpt, store, glob="part-*")
+    return L.flatten(S.read_landing(store)).select(*EXT_COLUMNS)
+
+
+@query("stream_increment")
+def q_stream_increment(spark, sf_dir):
+    """Ward-day KPI after the streamed landing files ran through foreachBatch increments."""
+    src = _write_landing_files(spark, sf_dir)
+    store = I.TableStore(spark, SC.scratch_path(spark, "stream"))
+    S.stream_increment(spark, src, SC.scratch_path(spark, "stream-ckpt"), store, SC.AS_OF, glob="part-*")
+    return store.read("fact_agg_safe_drinking_ward_day")
+
+
+@query("stream_dedupe")
+def q_stream_dedupe(spark, sf_dir):
+    src = _write_landing_files(spark, sf_dir)
+    store = I.TableStore(spark, SC.scratch_path(spark, "dedupe"))
+    S.stream_dedupe(spark, src, SC.scratch_path(spark, "dedupe-ckpt"), store, glob="part-*")
+    return store.read("submission_latest")
+
+
+@query("late_data_window")
+def q_late_data_window(spark, sf_dir):
+    """Daily event counts per type from the events stream, watermark 30 days."""
+    store = I.TableStore(spark, SC.scratch_path(spark, "windows"))
+    events_dir = SC.scratch_path(spark, "events-src")
+    spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").write.parquet(events_dir)
+    S.windowed_counts(spark, events_dir, SC.scratch_path(spark, "windows-ckpt"), store)
+    return store.read("event_windows")

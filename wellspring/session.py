@@ -66,3 +66,22 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materializer(spark: SparkSession, tag: str = "stage"):
+    """A function that writes a DataFrame to the shared folder and reads it back.
+
+    Used for tables several consumers read (staging bases): the work runs
+    once, later readers get a parquet scan with pruning and pushdown, and
+    the lineage is cut, so a lost executor does not replay the whole chain.
+    """
+    root = scratch_path(spark, tag)
+    counter = {"n": 0}
+
+    def write(df):
+        counter["n"] += 1
+        path = f"{root}/t{counter['n']:03d}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    return write
