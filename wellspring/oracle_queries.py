@@ -514,3 +514,34 @@ SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1
        CAST(count(*) AS BIGINT) AS n_events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
 FROM events GROUP BY 1, 2, 3
 """)
+
+# --------------------------------------------------------------- scalars ---
+oracle("try_cast", """
+SELECT TRY_CAST(CAST(o_orderkey AS VARCHAR) AS BIGINT) AS submission_key,
+       TRY_CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS priority_rank,
+       TRY_CAST(o_orderpriority AS BIGINT) AS priority_as_number,
+       TRY_CAST(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS iso_time,
+       TRY_CAST(strftime(o_orderdate, '%d-%m-%Y') || ' 10:00' AS TIMESTAMP) AS day_first_time
+FROM orders
+""")
+oracle("text_scalars", """
+SELECT c_custkey, lower(trim('  ' || c_mktsegment || ' ')) AS segment,
+       'stg_' || lower(c_mktsegment) || '__base' AS model_name,
+       split_part('stg_' || lower(c_mktsegment) || '__base', '__', 1) AS base_model_name,
+       coalesce(nullif(c_mktsegment, 'BUILDING'), 'unknown') AS segment_or_unknown
+FROM customer
+""")
+oracle("date_scalars", """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS event_date,
+       CAST(CAST(o_orderdate AS DATE) - INTERVAL 30 DAY AS DATE) AS lookback_from,
+       o_orderdate + to_days(CAST(o_orderkey % 10 AS INTEGER)) AS loaded_at,
+       (CAST(o_orderdate AS DATE) < CAST(o_orderdate + to_days(CAST(o_orderkey % 10 AS INTEGER)) AS DATE)) AS is_late
+FROM orders
+""")
+oracle("pii_projection", "SELECT * EXCLUDE (household_head_name, phone_last4) FROM hh_acc")
+oracle("union_all", """
+SELECT 'submission' AS entity, submission_id FROM sub_acc
+UNION ALL SELECT 'household', submission_id FROM hh_acc
+UNION ALL SELECT 'member', submission_id FROM mem_acc
+UNION ALL SELECT 'water_point', submission_id FROM wp_acc
+""")

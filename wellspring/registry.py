@@ -585,3 +585,67 @@ def q_late_data_window(spark, sf_dir):
     spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").write.parquet(events_dir)
     S.windowed_counts(spark, events_dir, SC.scratch_path(spark, "windows-ckpt"), store)
     return store.read("event_windows")
+
+
+# --------------------------------------------------------------- scalars ---
+from .sources.tables import table as _table  # noqa: E402
+
+
+@query("try_cast")
+def q_try_cast(spark, sf_dir):
+    """NULL instead of an error for text that does not cast (ids, numbers, times)."""
+    o = _table(spark, sf_dir, "orders")
+    return o.select(
+        F.col("o_orderkey").cast("string").try_cast("long").alias("submission_key"),
+        F.substring("o_orderpriority", 1, 1).try_cast("long").alias("priority_rank"),
+        F.col("o_orderpriority").try_cast("long").alias("priority_as_number"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").try_cast("timestamp_ntz").alias("iso_time"),
+        F.concat(F.date_format("o_orderdate", "dd-MM-yyyy"), F.lit(" 10:00")).try_cast("timestamp_ntz")
+         .alias("day_first_time"))
+
+
+@query("text_scalars")
+def q_text_scalars(spark, sf_dir):
+    """lower/trim canonical text, model base names, coalesce defaults."""
+    from .functions.columns import base_model_name, canonical_text
+    c = _table(spark, sf_dir, "customer")
+    model = F.concat(F.lit("stg_"), F.lower("c_mktsegment"), F.lit("__base"))
+    return c.select(
+        "c_custkey",
+        canonical_text(F.concat(F.lit("  "), F.col("c_mktsegment"), F.lit(" "))).alias("segment"),
+        model.alias("model_name"),
+        base_model_name(model).alias("base_model_name"),
+        F.coalesce(F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")), F.lit("unknown")).alias("segment_or_unknown"))
+
+
+@query("date_scalars")
+def q_date_scalars(spark, sf_dir):
+    """to_date, day arithmetic and the late-arrival comparison on the order clock."""
+    o = _table(spark, sf_dir, "orders")
+    loaded = F.timestamp_add("DAY", F.pmod(F.col("o_orderkey"), F.lit(10)), F.col("o_orderdate"))
+    return o.select(
+        "o_orderkey",
+        F.to_date("o_orderdate").alias("event_date"),
+        F.date_sub(F.to_date("o_orderdate"), 30).alias("lookback_from"),
+        loaded.alias("loaded_at"),
+        (F.to_date("o_orderdate") < F.to_date(loaded)).alias("is_late"))
+
+
+@query("pii_projection")
+def q_pii_projection(spark, sf_dir):
+    """Accepted households without head name and phone (PII never leaves staging)."""
+    hh = _built(spark, sf_dir).staged.household.accepted
+    return hh.drop("household_head_name", "phone_last4")
+
+
+@query("union_all")
+def q_union_all(spark, sf_dir):
+    """Submission keys of the four accepted entity sets, by name (UNION ALL)."""
+    from .operators.relational import union_all
+    st = _built(spark, sf_dir).staged
+    return union_all([
+        st.submission.accepted.select(F.lit("submission").alias("entity"), "submission_id"),
+        st.household.accepted.select(F.lit("household").alias("entity"), "submission_id"),
+        st.member.accepted.select(F.lit("member").alias("entity"), "submission_id"),
+        st.water_point.accepted.select(F.lit("water_point").alias("entity"), "submission_id"),
+    ])
