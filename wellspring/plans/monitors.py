@@ -104,3 +104,8 @@ def source_freshness(raw, now: str) -> DataFrame:
 def landing_freshness(landing: DataFrame, now: str) -> DataFrame:
     warn, err = V.FRESHNESS_LANDING_HOURS
     return M.freshness({"landing": landing}, "ingested_at", now, warn, err)
+
+
+def ladder_column(spec):
+    """The reason-bucket CASE column for a ladder spec."""
+    return M.reason_bucket(ladder(spec))
