@@ -118,3 +118,20 @@ def test_rollup_counts(spark):
     assert r.total_recorded_cases == 12 and r.has_no_diarrhoea_14d_members is False
     assert r.dq_invalid_member_count is False
     assert b.events.collect()[0].record_loaded_at == T0
+
+
+def test_upsert_partitions(spark):
+    d1, d2, d3 = dt.date(2026, 1, 1), dt.date(2026, 1, 2), dt.date(2026, 1, 3)
+    schema = "k long, v string, event_date date"
+    store = I.TableStore(spark, scratch_path(spark, "test-parts"))
+    store.upsert_partitions("f", spark.createDataFrame([(1, "a", d1), (2, "b", d1), (3, "c", d2)], schema),
+                            ["k"], "event_date")
+    # key 2 moves from d1 to d3; key 4 is new in d2; d1 keeps key 1
+    out = store.upsert_partitions("f", spark.createDataFrame([(2, "B", d3), (4, "d", d2)], schema),
+                                  ["k"], "event_date")
+    got = sorted((r.k, r.v, r.event_date) for r in out.collect())
+    assert got == [(1, "a", d1), (2, "B", d3), (3, "c", d2), (4, "d", d2)]
+    # key 1 leaves d1, which becomes empty: exact fallback rewrites the table
+    out = store.upsert_partitions("f", spark.createDataFrame([(1, "A", d2)], schema), ["k"], "event_date")
+    got = sorted((r.k, r.v, r.event_date) for r in out.collect())
+    assert got == [(1, "A", d2), (2, "B", d3), (3, "c", d2), (4, "d", d2)]

@@ -70,12 +70,14 @@ def run_increment(store: I.TableStore, batch: RawFrames, as_of, materialize=None
     fa_src = marts.fact_household_wash_event(inputs, safe_sources, safe_filters)
     if fa_t is not None:
         fa_src = I.event_window(fa_src, as_of)
-    fact = store.upsert("fact_household_wash_event", fa_src, KEYS)
+    # facts are partitioned by event date: the 30-day window rewrites ~30 partitions, not the table
+    fact = store.upsert_partitions("fact_household_wash_event", fa_src, KEYS, "event_date")
 
     wd_t = store.read("fact_agg_safe_drinking_ward_day")
     wd_src = marts.ward_day(fact)
     if wd_t is not None:
         wd_src = I.event_window(wd_src, as_of)
-    ward_day = store.upsert("fact_agg_safe_drinking_ward_day", wd_src, ["ward_id", "event_date"])
+    ward_day = store.upsert_partitions("fact_agg_safe_drinking_ward_day", wd_src, ["ward_id", "event_date"],
+                                       "event_date")
 
     return IncrementResult(raw, st, events, rollup, inputs, fact, ward_day)
