@@ -135,3 +135,9 @@ def test_upsert_partitions(spark):
     out = store.upsert_partitions("f", spark.createDataFrame([(1, "A", d2)], schema), ["k"], "event_date")
     got = sorted((r.k, r.v, r.event_date) for r in out.collect())
     assert got == [(1, "A", d2), (2, "B", d3), (3, "c", d2), (4, "d", d2)]
+    # monthly grain: the partition column is hidden on read
+    m = store.upsert_partitions("g", spark.createDataFrame([(1, "a", d1), (2, "b", dt.date(2026, 2, 1))], schema),
+                                ["k"], "event_date", "month")
+    m = store.upsert_partitions("g", spark.createDataFrame([(2, "B", d2)], schema), ["k"], "event_date", "month")
+    assert sorted((r.k, r.v, r.event_date) for r in m.collect()) == [(1, "a", d1), (2, "B", d2)]
+    assert m.columns == ["k", "v", "event_date"]

@@ -100,6 +100,19 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], syn
     return kept.unionByName(source, allowMissingColumns=True)
 
 
+PART = "__part"
+
+
+def _by_partition(df: DataFrame, part: str = PART) -> DataFrame:
+    """Cluster rows by the partition column before a partitioned write.
+
+    A rebalance (not a plain repartition) lets adaptive execution split a hot
+    partition value over several tasks and merge small ones, so each output
+    partition gets few files and no task holds a whole skewed day.
+    """
+    return df.hint("rebalance", part)
+
+
 def _all_not_null(keys: Sequence[str]) -> Column:
     c = None
     for k in keys:
@@ -131,9 +144,12 @@ class TableStore:
         row = log.orderBy(F.col("seq").desc()).select("path").first()
         return None if row is None else row["path"]
 
-    def read(self, name: str) -> DataFrame | None:
+    def read(self, name: str, hide_part: bool = True) -> DataFrame | None:
         p = self.latest_version(name)
-        return None if p is None else self.spark.read.parquet(p)
+        if p is None:
+            return None
+        df = self.spark.read.parquet(p)
+        return df.drop(PART) if hide_part and PART in df.columns else df
 
     def publish(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         path = f"{self.root}/{name}/v-{dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
@@ -158,51 +174,57 @@ class TableStore:
         return self.spark.read.parquet(path)
 
     # ------------------------------------------------ partition-aware MERGE --
-    def upsert_partitions(self, name: str, source: DataFrame, keys: Sequence[str], part: str) -> DataFrame:
-        """MERGE into a table partitioned by ``part``, rewriting only the partitions it touches.
+    def upsert_partitions(self, name: str, source: DataFrame, keys: Sequence[str], part: str,
+                          grain: str | None = None) -> DataFrame:
+        """MERGE into a table partitioned by ``part`` (a date column), rewriting only touched partitions.
 
+        ``grain`` ("month", "year"...) partitions by ``trunc(part, grain)``
+        instead of the value itself, for tables whose daily slices are small;
+        the partition column is stored as ``__part`` and hidden on read.
         Touched partitions are those the source rows fall in plus those where
-        the source keys live now (a key may move partition; skipped when
-        ``part`` is one of the keys). The merged rows of those partitions are
-        written to the shared folder first, then swapped in with a dynamic
-        partition overwrite, so the job never overwrites what it reads and a
-        retry re-applies the same idempotent merge. Exact fallbacks rewrite the
-        whole table: a schema change, or a touched partition left empty (a
-        dynamic overwrite cannot remove it).
+        the source keys live now (a key may move partition). The merged rows
+        of those partitions are written to the shared folder first, then
+        swapped in with a dynamic partition overwrite, so the job never
+        overwrites what it reads and a retry re-applies the same idempotent
+        merge. Exact fallbacks rewrite the whole table: a schema change, or a
+        touched partition left empty (a dynamic overwrite cannot remove it).
         """
+        pcol = F.trunc(F.col(part), grain) if grain else F.col(part)
+        src = source.withColumn(PART, pcol)
         path = f"{self.root}/{name}/current"
-        target = self.read(name)
+        target = self.read(name, hide_part=False)
         if target is None:
-            source.write.mode("errorifexists").partitionBy(part).parquet(path)
+            _by_partition(src).write.mode("errorifexists").partitionBy(PART).parquet(path)
             self._log_path(name, path)
-            return self.spark.read.parquet(path)
-        if set(target.columns) != set(source.columns):
-            return self._rewrite_all(name, path, upsert(target, source, keys), part)
-        affected = source.select(part)
-        if part not in keys:
+            return self.read(name)
+        if set(target.columns) != set(src.columns):
+            return self._rewrite_all(name, path, upsert(target.drop(PART), source, keys).withColumn(PART, pcol))
+        affected = src.select(PART)
+        if part not in keys or grain:
             src_keys = source.select(*keys).where(_all_not_null(keys)).distinct()
-            affected = affected.unionByName(target.join(src_keys, list(keys), "left_semi").select(part))
-        affected = affected.distinct().withColumnRenamed(part, "__part")
-        touched = target.join(affected, F.col(part).eqNullSafe(F.col("__part")), "left_semi")
+            affected = affected.unionByName(target.join(src_keys, list(keys), "left_semi").select(PART))
+        affected = affected.distinct().withColumnRenamed(PART, "__touched")
+        touched = target.join(affected, F.col(PART).eqNullSafe(F.col("__touched")), "left_semi")
         staging = f"{self.root}/{name}/_staging-{uuid.uuid4().hex[:12]}"
-        upsert(touched, source, keys).write.mode("errorifexists").partitionBy(part).parquet(staging)
+        merged = upsert(touched, src, keys)
+        _by_partition(merged).write.mode("errorifexists").partitionBy(PART).parquet(staging)
         staged = self.spark.read.parquet(staging)
-        emptied = affected.join(staged.select(F.col(part).alias("__p")).distinct(),
-                                F.col("__part").eqNullSafe(F.col("__p")), "left_anti")
+        emptied = affected.join(staged.select(F.col(PART).alias("__p")).distinct(),
+                                F.col("__touched").eqNullSafe(F.col("__p")), "left_anti")
         if emptied.limit(1).count() > 0:
-            return self._rewrite_all(name, path, upsert(target, source, keys), part)
+            return self._rewrite_all(name, path, upsert(target, src, keys))
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(part).parquet(path))
-        return self.spark.read.parquet(path)
+         .partitionBy(PART).parquet(path))
+        return self.read(name)
 
     def _log_path(self, name: str, path: str) -> None:
         seq = dt.datetime.now(dt.timezone.utc).timestamp()
         self.spark.createDataFrame([(seq, path)], "seq double, path string") \
             .coalesce(1).write.mode("append").json(self._log(name))
 
-    def _rewrite_all(self, name: str, path: str, merged: DataFrame, part: str) -> DataFrame:
+    def _rewrite_all(self, name: str, path: str, merged: DataFrame) -> DataFrame:
         staging = f"{self.root}/{name}/_staging-{uuid.uuid4().hex[:12]}"
-        merged.write.mode("errorifexists").partitionBy(part).parquet(staging)
+        _by_partition(merged).write.mode("errorifexists").partitionBy(PART).parquet(staging)
         self.spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "static") \
-            .partitionBy(part).parquet(path)
-        return self.spark.read.parquet(path)
+            .partitionBy(PART).parquet(path)
+        return self.read(name)

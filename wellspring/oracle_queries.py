@@ -545,3 +545,19 @@ UNION ALL SELECT 'household', submission_id FROM hh_acc
 UNION ALL SELECT 'member', submission_id FROM mem_acc
 UNION ALL SELECT 'water_point', submission_id FROM wp_acc
 """)
+
+# --------------------------------------------------------- small models ---
+oracle("constant_column", "SELECT submission_id, form_id, form_version FROM raw_submission")
+oracle("not_null_times", """
+SELECT ward_id, CAST(submitted_at AS DATE) AS event_date, submitted_at, record_loaded_at FROM sub_submitted
+WHERE submitted_at IS NOT NULL AND record_loaded_at IS NOT NULL
+""")
+_lw, _le = V.FRESHNESS_LANDING_HOURS[0] * 3600, V.FRESHNESS_LANDING_HOURS[1] * 3600
+oracle("landing_freshness", f"""
+SELECT source_name, max_loaded_at, snapshotted_at, age_seconds,
+       CASE WHEN age_seconds IS NULL THEN 'error' WHEN age_seconds > {_le} THEN 'error'
+            WHEN age_seconds > {_lw} THEN 'warn' ELSE 'pass' END AS status
+FROM (SELECT 'landing' AS source_name, max_loaded_at, TIMESTAMP '{SC.FRESHNESS_NOW}' AS snapshotted_at,
+             CAST(date_diff('second', max_loaded_at, TIMESTAMP '{SC.FRESHNESS_NOW}') AS BIGINT) AS age_seconds
+      FROM (SELECT max(ingested_at) AS max_loaded_at FROM docs))
+""")

@@ -44,8 +44,33 @@ def query(name: str):
     return deco
 
 
+# Model definitions are lazy plans; they are defined once per session and
+# input folder and shared by every query (like registering views). Each
+# query still executes its whole plan from the input tables.
+_MODELS: dict = {}
+
+
+def model(spark, sf_dir: str, name: str, build):
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    if key not in _MODELS:
+        _MODELS[key] = build()
+    return _MODELS[key]
+
+
+def clear_models() -> None:
+    _MODELS.clear()
+
+
+def _raw(spark, sf_dir):
+    return model(spark, sf_dir, "raw", lambda: bind_raw(spark, sf_dir))
+
+
 def _built(spark, sf_dir):
-    return build_full(bind_raw(spark, sf_dir))
+    return model(spark, sf_dir, "built", lambda: build_full(_raw(spark, sf_dir)))
+
+
+def _pair(spark, sf_dir):
+    return model(spark, sf_dir, "pair", lambda: SC.full_pair(spark, sf_dir))
 
 
 # ------------------------------------------------------------- flagship ---
@@ -58,25 +83,25 @@ def q_safe_drinking_ward_day(spark, sf_dir):
 # ---------------------------------------------------------------- dedupe ---
 @query("dedupe_submission")
 def q_dedupe_submission(spark, sf_dir):
-    raw = bind_raw(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     return staging.dedupe_submission(staging.standardise_submission(raw.submissions))
 
 
 @query("dedupe_household")
 def q_dedupe_household(spark, sf_dir):
-    raw = bind_raw(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     return staging.dedupe_household(staging.standardise_household(raw.households))
 
 
 @query("dedupe_member")
 def q_dedupe_member(spark, sf_dir):
-    raw = bind_raw(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     return staging.dedupe_member(staging.standardise_member(raw.members))
 
 
 @query("dedupe_water_point")
 def q_dedupe_water_point(spark, sf_dir):
-    raw = bind_raw(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     return staging.dedupe_water_point(staging.standardise_water_point(raw.water_points))
 
 
@@ -240,7 +265,7 @@ def q_mon_late(spark, sf_dir):
 
 @query("source_freshness")
 def q_source_freshness(spark, sf_dir):
-    return MON.source_freshness(bind_raw(spark, sf_dir), SC.FRESHNESS_NOW)
+    return MON.source_freshness(_raw(spark, sf_dir), SC.FRESHNESS_NOW)
 
 
 # ----------------------------------------------------------- incremental ---
@@ -256,7 +281,7 @@ def q_incremental_append(spark, sf_dir):
 
 @query("incremental_load_window")
 def q_incremental_load_window(spark, sf_dir):
-    first, full = SC.full_pair(spark, sf_dir)
+    first, full = _pair(spark, sf_dir)
     return I.load_window(full.events, I.target_max(first.events, "record_loaded_at"))
 
 
@@ -267,7 +292,7 @@ def q_incremental_event_window(spark, sf_dir):
 
 @query("impacted_keys_join")
 def q_impacted_keys_join(spark, sf_dir):
-    first, full = SC.full_pair(spark, sf_dir)
+    first, full = _pair(spark, sf_dir)
     since = I.window_start(I.target_max(first.rollup, "record_loaded_at"))
     members = full.staged.member.accepted
     return marts.member_rollup(members, marts.impacted_keys(members, since))
@@ -308,7 +333,7 @@ def q_merge_upsert_ward_day(spark, sf_dir):
 @query("schema_sync")
 def q_schema_sync(spark, sf_dir):
     """Ward-day upsert whose source adds a column: history rows get NULL."""
-    first, full = SC.full_pair(spark, sf_dir)
+    first, full = _pair(spark, sf_dir)
     src = I.event_window(full.ward_day, SC.AS_OF).withColumn(
         "household_events_unsafe", F.col("household_events_total") - F.col("household_events_safe"))
     store = I.TableStore(spark, SC.scratch_path(spark, "schema-sync"))
@@ -318,7 +343,7 @@ def q_schema_sync(spark, sf_dir):
 
 @query("backfill_range")
 def q_backfill_range(spark, sf_dir):
-    first, full = SC.full_pair(spark, sf_dir)
+    first, full = _pair(spark, sf_dir)
     src = I.backfill_range(full.fact, SC.BACKFILL_START, SC.BACKFILL_END)
     return I.upsert(first.fact, src, ["household_id", "submission_id"])
 
@@ -336,7 +361,12 @@ CHECK_COLS = ("ward_id", "district", "municipality", "hh_size_reported", "has_to
 
 
 def _snapshots(spark, sf_dir, materialize=None):
-    first, full = SC.full_pair(spark, sf_dir, materialize)
+    if materialize is None:
+        return model(spark, sf_dir, "snapshots", lambda: _snapshots_of(*_pair(spark, sf_dir)))
+    return _snapshots_of(*SC.full_pair(spark, sf_dir, materialize))
+
+
+def _snapshots_of(first, full):
     s1 = scd2.scd2_snapshot(None, marts.household_current_source(first.events), "household_id", CHECK_COLS,
                             SC.SNAPSHOT_1, carry_cols=("submission_id",))
     s2 = scd2.scd2_snapshot(s1, marts.household_current_source(full.events), "household_id", CHECK_COLS,
@@ -411,7 +441,7 @@ def survey_frames(spark, sf_dir) -> dict:
     full, snap = _snapshots(spark, sf_dir, m)
     snap = m(snap)
     st = full.staged
-    raw = bind_raw(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     from .operators.relational import asof_join
     enriched = asof_join(full.fact.select(*marts.ENRICHED_FACT_COLUMNS), snap, "household_id", "submitted_at",
                          "dbt_valid_from", "dbt_valid_to", marts.ENRICHED_DIM_COLUMNS)
@@ -475,8 +505,10 @@ def corrupt_copies(docs: DataFrame) -> DataFrame:
 
 
 def _landing(spark, sf_dir):
-    docs = L.landing_documents(spark, sf_dir)
-    return docs, L.landing_table(docs.unionByName(corrupt_copies(docs)))
+    def build():
+        docs = L.landing_documents(spark, sf_dir)
+        return docs, L.landing_table(docs.unionByName(corrupt_copies(docs)))
+    return model(spark, sf_dir, "landing", build)
 
 
 @query("scan_landing")
@@ -506,9 +538,11 @@ def q_explode_outer_submissions(spark, sf_dir):
 
 
 def _landing_raw(spark, sf_dir):
-    _, land = _landing(spark, sf_dir)
-    good, _ = L.split_corrupt(land)
-    return L.raw_from_flat(L.flatten(good))
+    def build():
+        _, land = _landing(spark, sf_dir)
+        good, _ = L.split_corrupt(land)
+        return L.raw_from_flat(L.flatten(good))
+    return model(spark, sf_dir, "landing_raw", build)
 
 
 @query("json_path_cast")
@@ -649,3 +683,25 @@ def q_union_all(spark, sf_dir):
         st.member.accepted.select(F.lit("member").alias("entity"), "submission_id"),
         st.water_point.accepted.select(F.lit("water_point").alias("entity"), "submission_id"),
     ])
+
+
+# --------------------------------------------------------- small models ---
+@query("constant_column")
+def q_constant_column(spark, sf_dir):
+    """Raw submissions carry the form id and version as typed constants."""
+    return _raw(spark, sf_dir).submissions.select("submission_id", "form_id", "form_version")
+
+
+@query("not_null_times")
+def q_not_null_times(spark, sf_dir):
+    """Submitted submissions with both clocks present (the late-arrival base)."""
+    s = _built(spark, sf_dir).submitted
+    return s.where(F.col("submitted_at").isNotNull() & F.col("record_loaded_at").isNotNull()) \
+        .select("ward_id", F.to_date("submitted_at").alias("event_date"), "submitted_at", "record_loaded_at")
+
+
+@query("landing_freshness")
+def q_landing_freshness(spark, sf_dir):
+    """Age of the newest landing row against the landing thresholds (24 h / 48 h)."""
+    _, land = _landing(spark, sf_dir)
+    return MON.landing_freshness(land, SC.FRESHNESS_NOW)

@@ -85,3 +85,14 @@ def materializer(spark: SparkSession, tag: str = "stage"):
         return spark.read.parquet(path)
 
     return write
+
+
+def persisted(df):
+    """Keep a frame that several branches of one plan read (memory, spilling to disk).
+
+    Lost blocks are recomputed from lineage, so this survives executor loss;
+    it only saves recomputing the same chain in each branch.
+    """
+    from pyspark import StorageLevel
+
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
