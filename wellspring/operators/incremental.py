@@ -176,9 +176,9 @@ class TableStore:
     # ------------------------------------------------ partition-aware MERGE --
     def upsert_partitions(self, name: str, source: DataFrame, keys: Sequence[str], part: str,
                           grain: str | None = None) -> DataFrame:
-        """MERGE into a table partitioned by ``part`` (a date column), rewriting only touched partitions.
+        """MERGE into a table partitioned by ``part``, rewriting only touched partitions.
 
-        ``grain`` ("month", "year"...) partitions by ``trunc(part, grain)``
+        ``grain`` ("month", "year"...) partitions by ``trunc(to_date(part), grain)``
         instead of the value itself, for tables whose daily slices are small;
         the partition column is stored as ``__part`` and hidden on read.
         Touched partitions are those the source rows fall in plus those where
@@ -189,7 +189,7 @@ class TableStore:
         merge. Exact fallbacks rewrite the whole table: a schema change, or a
         touched partition left empty (a dynamic overwrite cannot remove it).
         """
-        pcol = F.trunc(F.col(part), grain) if grain else F.col(part)
+        pcol = F.trunc(F.to_date(F.col(part)), grain) if grain else F.col(part)
         src = source.withColumn(PART, pcol)
         path = f"{self.root}/{name}/current"
         target = self.read(name, hide_part=False)
@@ -200,7 +200,7 @@ class TableStore:
         if set(target.columns) != set(src.columns):
             return self._rewrite_all(name, path, upsert(target.drop(PART), source, keys).withColumn(PART, pcol))
         affected = src.select(PART)
-        if part not in keys or grain:
+        if part not in keys:  # a partition derived from a key cannot move
             src_keys = source.select(*keys).where(_all_not_null(keys)).distinct()
             affected = affected.unionByName(target.join(src_keys, list(keys), "left_semi").select(PART))
         affected = affected.distinct().withColumnRenamed(PART, "__touched")
