@@ -97,3 +97,23 @@ def test_entry_contract(spark):
                                "pct_safe"}
     q, o = E.queries(), E.oracle_sql()
     assert set(o) == set(q) and len(q) >= 80  # every registered query has an oracle
+
+
+def test_stream_ingest_each_file_once(spark):
+    from wellspring.operators.incremental import TableStore
+    from wellspring.session import scratch_path
+    from wellspring.streaming import ingest as S
+
+    src = scratch_path(spark, "test-landing-src")
+    docs = [json.dumps({"submissions": [{"submission_id": f"s{i}", "_loaded_at": "2026-02-04T08:00:00"}]})
+            for i in range(3)] + ['{"submissions": [']
+    spark.createDataFrame([(d,) for d in docs], "value string").coalesce(1).write.text(src)
+    store = TableStore(spark, scratch_path(spark, "test-landing"))
+    ckpt = scratch_path(spark, "test-landing-ckpt")
+    S.ingest_landing(spark, src, ckpt, store, glob="part-*")
+    S.ingest_landing(spark, src, ckpt, store, glob="part-*")  # nothing new: no rows added
+    landing = S.read_landing(store)
+    assert landing.count() == 3
+    assert store.read("landing_corrupt").count() == 1
+    ids = sorted(r.submission_id for r in L.flatten(landing).collect())
+    assert ids == ["s0", "s1", "s2"]
