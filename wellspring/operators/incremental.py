@@ -101,6 +101,7 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], syn
 
 
 PART = "__part"
+LOG_SCHEMA = "seq double, path string"
 
 
 def _by_partition(df: DataFrame, part: str = PART) -> DataFrame:
@@ -138,7 +139,7 @@ class TableStore:
 
     def latest_version(self, name: str) -> str | None:
         try:
-            log = self.spark.read.json(self._log(name))
+            log = self.spark.read.schema(LOG_SCHEMA).json(self._log(name))
         except AnalysisException:
             return None
         row = log.orderBy(F.col("seq").desc()).select("path").first()
@@ -209,10 +210,12 @@ class TableStore:
         merged = upsert(touched, src, keys)
         _by_partition(merged).write.mode("errorifexists").partitionBy(PART).parquet(staging)
         staged = self.spark.read.parquet(staging)
-        emptied = affected.join(staged.select(F.col(PART).alias("__p")).distinct(),
-                                F.col("__touched").eqNullSafe(F.col("__p")), "left_anti")
-        if emptied.limit(1).count() > 0:
-            return self._rewrite_all(name, path, upsert(target, src, keys))
+        if part not in keys:
+            # keys that moved out may leave a touched partition empty
+            emptied = affected.join(staged.select(F.col(PART).alias("__p")).distinct(),
+                                    F.col("__touched").eqNullSafe(F.col("__p")), "left_anti")
+            if emptied.limit(1).count() > 0:
+                return self._rewrite_all(name, path, upsert(target, src, keys))
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(PART).parquet(path))
         return self.read(name)
