@@ -200,6 +200,11 @@ class TableStore:
             return self.read(name)
         if set(target.columns) != set(src.columns):
             return self._rewrite_all(name, path, upsert(target.drop(PART), source, keys).withColumn(PART, pcol))
+        # the source (an increment: small by design) is read three times below; write it once
+        src_path = f"{self.root}/{name}/_source-{uuid.uuid4().hex[:12]}"
+        src.write.mode("errorifexists").parquet(src_path)
+        src = self.spark.read.parquet(src_path)
+        source = src.drop(PART)
         affected = src.select(PART)
         if part not in keys:  # a partition derived from a key cannot move
             src_keys = source.select(*keys).where(_all_not_null(keys)).distinct()
