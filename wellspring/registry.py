@@ -516,7 +516,9 @@ def q_scan_landing(spark, sf_dir):
     """Landing rows with the size of their submissions array (NULL when corrupt)."""
     _, land = _landing(spark, sf_dir)
     subs = F.try_variant_get(F.col("payload"), "$.submissions", "array<variant>")
-    return land.select("file_name", "ingested_at", F.size(subs).alias("n_submissions"))
+    # NULL (not -1) for a corrupt payload whatever the session's ANSI setting
+    n = F.when(subs.isNotNull(), F.size(subs))
+    return land.select("file_name", "ingested_at", n.alias("n_submissions"))
 
 
 @query("landing_corrupt")
