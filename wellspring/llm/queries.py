@@ -8,8 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellspring.llm import quality_classifier, quality_rules
-from wellspring.llm.shared import table
+from wellspring.llm import (
+    balanced_shards,
+    decontaminate,
+    ngram_join,
+    perspectives,
+    piece_codec,
+    quality_classifier,
+    quality_rules,
+    suffix_tree_lm,
+    token_files,
+    url_lists,
+)
+from wellspring.llm.shared import Workspace, table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 FERTILITY = quality_rules.Vocabularies(PIECE_MODEL, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -17,11 +28,69 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 KEEP_SCORE = 0.3
 
 
+def op1_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views = perspectives.rotate(table(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return views.withColumn("mask", F.array_join(spans, ","))
+
+
 def op2_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality_rules.judge(docs, FERTILITY).select("doc_id", "measures.*", "base_failed", "kept")
 
 
+def op3_balanced_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = balanced_shards.assign(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+        "first_shard", "n_links",
+    )
+
+
+def op4_elias_fano_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = Workspace(spark, "token-files").root
+    token_files.write_corpus(table(spark, sf_dir, "documents"), folder, WORD_BPE, end_id=2)
+    return token_files.read_corpus(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids_le").alias("ids_crc32"))
+
+
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_items(docs, table(spark, sf_dir, "benchmark")).select("doc_id", F.explode("item_matches").alias("m"))
+    return found.select("doc_id", "m.*")
+
+
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_classes(table(spark, sf_dir, "documents"))
+
+
+def op7_suffix_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = suffix_tree_lm.is_held_out("doc_id")
+    return suffix_tree_lm.score(docs, docs.where(~held_out)).withColumn("held_out", held_out)
+
+
+def op8_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = piece_codec.decode(piece_codec.encode(docs, PIECE_MODEL, drop_text=True), PIECE_MODEL)
+    return piece_digests(coded)
+
+
+def piece_digests(coded: DataFrame) -> DataFrame:
+    """The contract's digests of encoded and decoded texts."""
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op9_temporal_list_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched_at", F.expr("date_add(DATE'2024-01-01', CAST((page_id * 37) % 730 AS INT))"))
+    return url_lists.evaluate(captures, url_lists.dated_changes(pages))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_classifier.train(docs, table(spark, sf_dir, "labels"))
@@ -34,8 +103,19 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_perspective_rotation": op1_perspective_rotation,
     "op2_tokeniser_fertility": op2_tokeniser_fertility,
+    "op3_balanced_label_propagation": op3_balanced_label_propagation,
+    "op4_elias_fano_corpus": op4_elias_fano_corpus,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_suffix_tree_scoring": op7_suffix_tree_scoring,
+    "op8_sentencepiece_codec": op8_sentencepiece_codec,
+    "op9_temporal_list_join": op9_temporal_list_join,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_perspective_rotation": perspectives.ORACLE_SQL,
+    "op9_temporal_list_join": url_lists.ORACLE_SQL,
+}

@@ -12,6 +12,7 @@ from functools import lru_cache
 import numpy as np
 
 CACHE_WORDS = 600_000
+CACHE_BYTES = 64 << 20
 
 
 class WordCache:
@@ -23,12 +24,13 @@ class WordCache:
 
     def _clear(self) -> None:
         self._index: dict = {}
+        self._bytes = 0
         self._ids = np.zeros(1 << 16, dtype=np.int32)
         self._cut = np.zeros(1 << 16, dtype=np.int64)
 
     @property
     def is_full(self) -> bool:
-        return len(self._index) > self._most
+        return len(self._index) > self._most or self._bytes > CACHE_BYTES
 
     def index(self, words: Sequence) -> np.ndarray:
         """Cache positions of the words, after encoding those that are new."""
@@ -38,6 +40,7 @@ class WordCache:
         if new:
             first = len(self._index)
             self._index.update(zip(new, range(first, first + len(new))))
+            self._bytes += sum(map(len, new))
             encoded = self._encode_new(new)
             cut = self._cut[first] + np.cumsum([len(x) for x in encoded])
             while len(self._cut) <= first + len(new):
@@ -96,6 +99,54 @@ def _byte_bpe(path: str, pattern: str):
     return tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+class SpacelessVocabulary(WordCache):
+    """A vocabulary of the tokenizers library that lower-cases, drops white space and splits letters from punctuation.
+
+    With such a vocabulary a text's ids are those of its words, ASCII capitals
+    may be folded beforehand, and a word may be cut between an ASCII letter and
+    the punctuation after it. Special tokens spelled in a text keep their case.
+    """
+
+    _MARKS = b".,;:!?|"
+
+    def __init__(self, path: str, cache_words: int):
+        import os
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        tok = Tokenizer.from_file(path)
+        super().__init__(
+            lambda new: [e.ids for e in tok.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)], cache_words
+        )
+        self._fold = np.arange(256, dtype=np.uint8)
+        self._fold[65:91] += 32
+        self._letter = np.zeros(256, dtype=bool)
+        self._letter[65:91] = self._letter[97:123] = True
+        self._mark = np.zeros(256, dtype=bool)
+        self._mark[list(self._MARKS)] = True
+
+    def encode_texts(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all rows one after another, offsets of each row's ids)."""
+        from wellspring.llm import words as W
+
+        if b"<|" not in data.tobytes():
+            data = self._fold[data]
+            at = np.flatnonzero(self._letter[data[:-1]] & self._mark[data[1:]]) + 1
+            at = at[~np.isin(at, offs)]
+            offs = offs + np.searchsorted(at, offs)
+            data = np.insert(data, at, 0x20)
+        words = W.find_words(data, offs)
+        raw = data.tobytes()
+        ids, cut = self.encode([raw[a:b] for a, b in zip(words.start.tolist(), words.end.tolist())])
+        return ids, cut[words.split]
+
+
+@lru_cache(maxsize=2)
+def spaceless_vocabulary(path: str, cache_words: int = 900_000) -> SpacelessVocabulary:
+    return SpacelessVocabulary(path, cache_words)
+
+
 @lru_cache(maxsize=2)
 def piece_vocabulary(path: str, byte_ranks: str | None = None, pattern: str = "") -> PieceVocabulary:
     return PieceVocabulary(path, byte_ranks, pattern)
