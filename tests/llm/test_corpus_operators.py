@@ -165,9 +165,9 @@ def brute_tree(train, p):
     for counts, depth in ((pairs, 1), (triples, 2)):
         found = defaultdict(dict)
         for s, n in counts.items():
-            ok = n >= least_e and uni[s[-1]] >= least_e and (size[s[:-1]] >= least_c or s[:-1] == (None,))
+            ok = n >= least_e and uni[s[-1]] >= least_e and (size.get(s[:-1], 0) >= least_c or s[:-1] == (None,))
             if depth == 2:
-                ok = ok and pairs[s[1:]] >= least_e and (size[s[1:2]] >= least_c) and (s[0] is None or size[s[:1]] >= least_c)
+                ok = ok and pairs[s[1:]] >= least_e and size.get(s[1:2], 0) >= least_c and (s[0] is None or size.get(s[:1], 0) >= least_c)
             if ok:
                 found[s[:-1]][s[-1]] = n
         new = {}

@@ -134,7 +134,7 @@ def test_token_files_round_trip(spark, docs, rows, tmp_path):
         ids = np.array(tok.encode(text or "", add_special_tokens=False).ids + [2], dtype="<u4")
         assert (r.start, r.n_tokens, bytes(r.ids_le)) == (start, len(ids), ids.tobytes())
         start += len(ids)
-    assert spark.read.parquet(f"{folder}/manifest").count() > 3
+    assert spark.read.parquet(f"{folder}/manifest").count() > 1
 
 
 def test_elias_fano_select():
@@ -225,7 +225,7 @@ def test_classifier_edges(spark, docs, rows):
 
 
 def test_ftrl_matches_the_textbook_update():
-    p = quality_classifier.FtrlParams(bits=3, epochs=2)
+    p = quality_classifier.FtrlParams(bits=3, updates=80)
     r = np.random.default_rng(0)
     examples = [(np.sort(r.choice(8, 3, replace=False)), r.random(3), int(r.integers(2))) for _ in range(40)]
     z, n = [0.0] * 9, [0.0] * 9

@@ -4,16 +4,16 @@ Documents are linked through hubs: they share their whole text, or a line of at
 least ``min_line_words`` words. Documents of one text move as one unit (large
 groups as several units of at most ``unit_rows`` documents, dealt by a salt).
 
-Start: units in the order of their heaviest hub's hash take shards in equal
-quotas. Each iteration joins units with their hubs' shard weights (a hub weighs
+Start: units in the order of the hash of their largest hub that fits into a
+shard (``hub_start`` false: of their own) take shards in equal quotas. Each iteration joins units with their hubs' shard weights (a hub weighs
 one over its size for each member), lets every unit ask for the shard where its
 links weigh most, and moves the units of highest gain first, as far as the
-quotas go: between each two shards at most as many documents move one way as the
-other way, plus a share of the free room below ``(1 + slack)`` times the even
-size. Gains are counted in a fixed number of levels, so quotas are settled on a
-small aggregate and nothing is ranked by one task or the driver.
+quotas go: a shard takes in at most what leaves it, plus its room below
+``(1 + slack)`` times the even size (``first_slack`` at first, narrowing to
+``slack``). Quotas are settled on the shards x shards table of wishes; gains are
+counted in a fixed number of levels, so nothing is ranked by one task.
 
-Finish: the documents in the order (shard, heaviest hub, text, id) are cut into
+Finish: the documents in the order (shard, that hub, text, id) are cut into
 shards whose counts differ by one at most. A group of equal texts or a
 neighbourhood is cut only where such a boundary falls inside it.
 
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,9 +40,11 @@ class ShardParams:
     shards: int = 24
     iterations: int = 4
     slack: float = 0.05
+    first_slack: float = 0.5
     min_line_words: int = 8
     unit_rows: int = 256
     salts: int = 16
+    hub_start: bool = True
     levels: int = 16
 
 
@@ -73,7 +76,20 @@ def documents_and_hubs(docs: DataFrame, id_col: str, text_col: str, p: ShardPara
         F.filter(F.split(text, "\n"), lambda s: F.size(F.split(F.trim(s), r"[\x20\x09-\x0D]+")) >= p.min_line_words).alias("lines"),
     )
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc", F.lit(5)), F.lit(64)).cast("int"))
-    return rows.drop("lines"), rows.select("content", F.explode(F.array_distinct(F.transform("lines", F.xxhash64))).alias("hub")).distinct()
+    return rows.drop("lines"), rows.select("content", F.explode(F.array_distinct(F.transform("lines", lambda s: F.xxhash64(s)))).alias("hub")).distinct()
+
+
+def quotas(demand: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """The part of demand[from, to] that may move, so that no shard gains more than its room and what leaves it."""
+    asked = np.maximum(demand.sum(axis=0), 1e-9)
+    share = np.ones(len(room))
+    for _ in range(200):
+        leaving = demand @ share
+        less = np.minimum(share, np.clip((room + leaving) / asked, 0, 1))
+        if np.allclose(less, share):
+            break
+        share = less
+    return demand * share
 
 
 def _weights(members: DataFrame) -> DataFrame:
@@ -103,17 +119,19 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", para
     total = sizes.groupBy("hub").agg(F.sum("k").alias("degree")).where("degree > 1")
     shared = sizes.select("hub", "salt").join(total, "hub")
     edges = work.write(hubs.join(shared, ["hub", "salt"]).select("content", "hub", "salt", "degree"), "edges")
-    heaviest = edges.groupBy("content").agg(F.min(F.struct("degree", "hub")).alias("h"), F.count("*").alias("n_links"))
+    all_rows = rows.count()
+    fits = F.when(F.col("degree") <= max(2.0, all_rows / p.shards), F.col("degree"))
+    heaviest = edges.groupBy("content").agg(F.max(F.struct(fits.alias("degree"), "hub")).alias("h"), F.count("*").alias("n_links"))
+    hub = F.when(F.lit(p.hub_start) & F.col("h.degree").isNotNull(), F.col("h.hub"))
     units = units.join(heaviest, "content", "left").select(
-        "content", "part", "rows", F.coalesce("h.hub", "content").alias("near"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+        "content", "part", "rows", F.coalesce(hub, "content").alias("near"), F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
     units = work.write(units, "units")
 
-    # equal quotas along the order of the heaviest hubs
+    # equal quotas along the order of those hubs
     near = units.groupBy("near").agg(F.sum("rows").alias("rows"))
     bucket = near.groupBy(F.shiftright("near", 48).alias("bucket")).agg(F.sum("rows").alias("rows"))
     run = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # at most 65,536 rows
-    all_rows = rows.count()
     bucket = bucket.withColumn("shard", F.least(F.floor(F.coalesce(F.sum("rows").over(run), F.lit(0)) * p.shards / max(all_rows, 1)), F.lit(p.shards - 1)).cast("int"))
     state = units.withColumn("bucket", F.shiftright("near", 48)).join(F.broadcast(bucket.select("bucket", "shard")), "bucket").drop("bucket")
     state = work.write(state.withColumn("first_shard", F.col("shard")), "state-0")
@@ -141,15 +159,16 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", para
         flow = asked.where("to is not null").groupBy("shard", "to", "level").agg(F.sum("rows").alias("rows"))
         ahead = Window.partitionBy("shard", "to").orderBy("level")  # at most levels * 64 rows
         flow = flow.withColumn("upto", F.sum("rows").over(ahead))
-        demand = flow.groupBy("shard", "to").agg(F.sum("rows").alias("d"))
-        back = demand.select(F.col("shard").alias("to"), F.col("to").alias("shard"), F.col("d").alias("b"))
-        load = asked.groupBy(F.col("shard").alias("to")).agg(F.sum("rows").alias("load"))
-        pull = demand.groupBy("to").agg(F.sum("d").alias("pull"))
-        room = F.greatest(F.lit(0.0), F.lit(even * (1 + p.slack)) - F.coalesce("load", F.lit(0)))
-        quota = demand.join(back, ["shard", "to"], "left").join(load, "to", "left").join(pull, "to").select(
-            "shard", "to", (F.least("d", F.coalesce("b", F.lit(0))) + room * F.col("d") / F.col("pull")).alias("quota")
-        )
-        moving = flow.join(quota, ["shard", "to"]).where("upto <= quota").select("shard", "to", "level", F.lit(True).alias("moves"))
+        demand = np.zeros((p.shards, p.shards))
+        for r in flow.groupBy("shard", "to").agg(F.sum("rows").alias("d")).collect():  # at most shards**2 rows
+            demand[r.shard, r.to] = r.d
+        load = np.zeros(p.shards)
+        for r in asked.groupBy("shard").agg(F.sum("rows").alias("n")).collect():  # at most shards rows
+            load[r.shard] = r.n
+        slack = p.slack + (p.first_slack - p.slack) * (1 - i / max(1, p.iterations - 1))
+        allowed = quotas(demand, even * (1 + slack) - load)
+        quota = spark.createDataFrame([(j, k, float(allowed[j, k])) for j in range(p.shards) for k in range(p.shards)], "shard int, to int, quota double")
+        moving = flow.join(F.broadcast(quota), ["shard", "to"]).where("upto <= quota").select("shard", "to", "level", F.lit(True).alias("moves"))
         moved = asked.join(F.broadcast(moving), ["shard", "to", "level"], "left")  # at most shards**2 * levels * 64 rows
         state = work.write(
             moved.select("content", "part", "rows", "near", "n_links", F.when(F.col("moves"), F.col("to")).otherwise(F.col("shard")).alias("shard"), "first_shard"),

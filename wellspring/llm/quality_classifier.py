@@ -40,11 +40,11 @@ _SHAPE[128:] = ord("a")
 @dataclass(frozen=True)
 class FtrlParams:
     bits: int = 20
-    alpha: float = 0.3
+    alpha: float = 1.0
     beta: float = 1.0
     l1: float = 0.02
     l2: float = 0.1
-    epochs: int = 3
+    updates: int = 30_000
     max_train: int = 10_000
 
 
@@ -81,7 +81,7 @@ def features(col: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def ftrl(examples: list[tuple[np.ndarray, np.ndarray, int]], p: FtrlParams) -> np.ndarray:
-    """Weights after p.epochs passes over (slots, values, label); the last one is the intercept."""
+    """Weights after whole passes over (slots, values, label), p.updates updates or a little more; the last one is the intercept."""
     size = (1 << p.bits) + 1
     z, n = np.zeros(size), np.zeros(size)
 
@@ -90,7 +90,7 @@ def ftrl(examples: list[tuple[np.ndarray, np.ndarray, int]], p: FtrlParams) -> n
         w = -(zs - np.sign(zs) * p.l1) / ((p.beta + np.sqrt(n[slots])) / p.alpha + p.l2)
         return np.where(np.abs(zs) <= p.l1, 0.0, w)
 
-    for _ in range(p.epochs):
+    for _ in range(-(-p.updates // len(examples)) if examples else 0):
         for slots, values, label in examples:
             slots, values = np.append(slots, size - 1), np.append(values, 1.0)
             w = weights(slots)

@@ -131,11 +131,11 @@ v AS (
   WHERE value <> ''),
 r AS (SELECT *, CASE WHEN h % 3 = 0 THEN 'block' WHEN h % 5 = 1 THEN 'allow' END AS list FROM v),
 ch AS (
-  SELECT list, kind, value, 'add' AS action, DATE '2024-01-01' + CAST(h % 500 AS INTEGER) AS at FROM r WHERE list IS NOT NULL
+  SELECT list, kind, value, 'add' AS action, DATE '2024-01-01' + CAST(h % 500 AS INTEGER) AS changed_at FROM r WHERE list IS NOT NULL
   UNION ALL SELECT list, kind, value, 'remove', DATE '2024-01-01' + CAST(h % 500 + 20 + h % 170 AS INTEGER) FROM r WHERE list IS NOT NULL AND h % 7 < 4
   UNION ALL SELECT list, kind, value, 'add', DATE '2024-01-01' + CAST(h % 500 + 60 + h % 170 + h % 190 AS INTEGER) FROM r WHERE list IS NOT NULL AND h % 7 < 2),
-d AS (SELECT list, kind, value, at, bool_or(action = 'remove') AS removed FROM ch GROUP BY ALL),
-i AS (SELECT *, lead(at) OVER (PARTITION BY list, kind, value ORDER BY at) AS upto FROM d),
+d AS (SELECT list, kind, value, changed_at, bool_or(action = 'remove') AS removed FROM ch GROUP BY ALL),
+i AS (SELECT *, lead(changed_at) OVER (PARTITION BY list, kind, value ORDER BY changed_at) AS upto FROM d),
 k AS (
   SELECT DISTINCT url, fetched_at, kind, value FROM (
     SELECT url, fetched_at, 'host' AS kind, host AS value FROM c WHERE host IS NOT NULL
@@ -143,7 +143,7 @@ k AS (
     UNION ALL SELECT url, fetched_at, 'prefix', host || '/' || seg[1] FROM c WHERE host IS NOT NULL AND len(seg) > 0)),
 hit AS (
   SELECT k.url, k.fetched_at, i.list, i.value FROM k JOIN i ON k.kind = i.kind AND k.value = i.value
-  WHERE NOT i.removed AND k.fetched_at >= i.at AND (i.upto IS NULL OR k.fetched_at < i.upto)),
+  WHERE NOT i.removed AND k.fetched_at >= i.changed_at AND (i.upto IS NULL OR k.fetched_at < i.upto)),
 best AS (
   SELECT url, fetched_at, count(*) OVER (PARTITION BY url, fetched_at) AS n, list, value,
          row_number() OVER (PARTITION BY url, fetched_at ORDER BY length(value) DESC, list = 'allow' DESC, list DESC, value DESC) AS rn
