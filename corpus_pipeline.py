@@ -50,8 +50,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digests of the encoded and decoded texts."""
-    coded = piece_codec.encode(docs.select("doc_id", "text"), PIECE_MODEL, drop_text=True)
-    return piece_digests(piece_codec.decode(coded, PIECE_MODEL))
+    return piece_digests(piece_codec.encode(docs.select("doc_id", "text"), PIECE_MODEL, drop_text=True, decoded_col="decoded"))
 
 
 STAGES = [

@@ -77,7 +77,8 @@ def test_empty_tables(spark, no_docs, tmp_path):
 
 def test_piece_codec_is_the_library(docs, rows):
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
-    coded = piece_codec.decode(piece_codec.encode(docs, PIECE_MODEL), PIECE_MODEL)
+    coded = piece_codec.decode(piece_codec.encode(docs, PIECE_MODEL, decoded_col="at_once"), PIECE_MODEL)
+    assert coded.where("not at_once <=> decoded").count() == 0
     assert coded.columns[: len(docs.columns)] == docs.columns
     for r in coded.collect():
         text = r.text or ""

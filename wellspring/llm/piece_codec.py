@@ -232,9 +232,13 @@ def piece_codec(path: str) -> PieceCodec:
     return PieceCodec(path)
 
 
-def encode(docs: DataFrame, model: str, text_col: str = "text", drop_text: bool = False) -> DataFrame:
-    """docs with ids, starts and ends (lists of int): each piece and its span of the text's UTF-8 bytes."""
-    base = [f for f in docs.schema.fields if f.name not in _CODED and not (drop_text and f.name == text_col)]
+def encode(docs: DataFrame, model: str, text_col: str = "text", drop_text: bool = False, decoded_col: str | None = None) -> DataFrame:
+    """docs with ids, starts and ends (lists of int): each piece and its span of the text's UTF-8 bytes.
+
+    decoded_col: a further column with the text that the ids decode to.
+    """
+    base = [f for f in docs.schema.fields if f.name not in (*_CODED, decoded_col) and not (drop_text and f.name == text_col)]
+    more = [decoded_col] if decoded_col else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = piece_codec(model)
@@ -242,11 +246,12 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", drop_text: bool
             for part in W.slices(batch, text_col, 1 << 20):
                 data, offs = W.text_bytes(part.column(text_col))
                 ids, start, end, cut = codec.encode_texts(data.tobytes(), offs)
-                cut = pa.array(cut.astype(np.int32))
-                lists = [pa.ListArray.from_arrays(cut, pa.array(x.astype(np.int32))) for x in (ids, start, end)]
-                yield pa.RecordBatch.from_arrays([part.column(f.name) for f in base] + lists, names=[f.name for f in base] + list(_CODED))
+                at = pa.array(cut.astype(np.int32))
+                out = [pa.ListArray.from_arrays(at, pa.array(x.astype(np.int32))) for x in (ids, start, end)]
+                out += [pa.array(codec.decode_ids(ids, cut), pa.string()) for _ in more]
+                yield pa.RecordBatch.from_arrays([part.column(f.name) for f in base] + out, names=[f.name for f in base] + [*_CODED, *more])
 
-    coded = [T.StructField(c, T.ArrayType(T.IntegerType())) for c in _CODED]
+    coded = [T.StructField(c, T.ArrayType(T.IntegerType())) for c in _CODED] + [T.StructField(c, T.StringType()) for c in more]
     return docs.mapInArrow(run, T.StructType([*base, *coded]))
 
 

@@ -71,8 +71,7 @@ def op7_suffix_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = piece_codec.decode(piece_codec.encode(docs, PIECE_MODEL, drop_text=True), PIECE_MODEL)
-    return piece_digests(coded)
+    return piece_digests(piece_codec.encode(docs, PIECE_MODEL, drop_text=True, decoded_col="decoded"))
 
 
 def piece_digests(coded: DataFrame) -> DataFrame:
