@@ -60,22 +60,25 @@ def window_width(n_words: int, share: float) -> int:
     return min(width, n_words)
 
 
-def fingerprints(hashes: np.ndarray, weights: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
-    """SimHash of the width words from each start (ascending)."""
-    out = np.zeros(len(start), dtype=np.uint64)
-    lo = 0
-    while lo < len(start):
-        hi = int(np.searchsorted(start, start[lo] + _SEGMENT))
-        first, last = start[lo], start[hi - 1] + width
-        lanes = np.unpackbits(hashes[first:last].view(np.uint8).reshape(-1, 8), axis=1).astype(np.int16)
+def fingerprints(hashes: np.ndarray, weights: np.ndarray, starts: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """SimHash of the width words from each start, for ascending starts by width.
+
+    Running sums of the 64 signed bits are made once per segment of the words
+    and shared by all widths; a window's sum is a difference of two of them.
+    """
+    out = {width: np.zeros(len(start), dtype=np.uint64) for width, start in starts.items()}
+    reach = max(starts, default=0)
+    for lo in range(0, len(hashes), _SEGMENT):
+        lanes = np.unpackbits(hashes[lo : lo + _SEGMENT + reach].view(np.uint8).reshape(-1, 8), axis=1).astype(np.int16)
         lanes *= 2
         lanes -= 1
-        lanes *= weights[first:last, None]
-        total = np.zeros((last - first + 1, 64), dtype=np.int16)
+        lanes *= weights[lo : lo + len(lanes), None]
+        total = np.zeros((len(lanes) + 1, 64), dtype=np.int16)
         np.cumsum(lanes, axis=0, dtype=np.int16, out=total[1:])
-        at = start[lo:hi] - first
-        out[lo:hi] = np.packbits(total[at + width] - total[at] > 0, axis=1).view(np.uint64).ravel()
-        lo = hi
+        for width, start in starts.items():
+            i, j = np.searchsorted(start, (lo, lo + _SEGMENT))
+            at = start[i:j] - lo
+            out[width][i:j] = np.packbits(total[at + width] > total[at], axis=1).view(np.uint64).ravel()
     return out
 
 
@@ -93,6 +96,13 @@ def _weighted(hashes: np.ndarray, sizes: np.ndarray, k: int) -> dict[int, int]:
     return out
 
 
+def _in_order(hashes: np.ndarray, weights: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
+    order = np.argsort(start, kind="stable")
+    out = np.empty(len(start), dtype=np.uint64)
+    out[order] = fingerprints(hashes, weights, {width: start[order]})[width]
+    return out
+
+
 class HammingIndex:
     """Fingerprints of one width, found by any of four blocks of 16 bits."""
 
@@ -148,7 +158,7 @@ class ItemIndex:
             item = np.repeat([i for i, _ in members], [self.size[i] - width + 1 for i, _ in members])
             start = np.concatenate([np.arange(a, a + self.size[i] - width + 1) for i, a in members])
             offset = start - words.split[:-1][item]
-            self.widths[width] = (HammingIndex(fingerprints(hashes, weights, start, width), p.radius), item, offset)
+            self.widths[width] = (HammingIndex(_in_order(hashes, weights, start, width), p.radius), item, offset)
 
     def matches(self, col: pa.Array) -> list[tuple[int, int, int, int, int, float]]:
         """(row, item, first word, words, distance, similarity): the best place of each row and item."""
@@ -159,11 +169,11 @@ class ItemIndex:
         place = np.arange(len(hashes)) - words.split[:-1][row]
         left = words.split[1:][row] - np.arange(len(hashes))
         gaps: dict[tuple[int, int, int], int] = {}
-        for width, (index, item, offset) in self.widths.items():
-            start = np.flatnonzero((place % max(1, width // 4) == 0) & (left >= width))
-            if not len(start):
-                continue
-            q, m, gap = index.search(fingerprints(hashes, weights, start, width))
+        starts = {width: np.flatnonzero((place % max(1, width // 4) == 0) & (left >= width)) for width in self.widths}
+        for width, prints in fingerprints(hashes, weights, starts).items():
+            index, item, offset = self.widths[width]
+            start = starts[width]
+            q, m, gap = index.search(prints)
             r = row[start[q]]
             # the item's place, moved inside the text where the text cuts the item off
             first = np.maximum(start[q] - offset[m], words.split[r])

@@ -196,6 +196,8 @@ def _smoothed(level: Level, context_count: np.ndarray, parent_p: np.ndarray, p:
     total[group] = context_count[order]
     n, above = level.count[order], parent_p[order]
     share = n / total[group]
+    if not len(n):
+        return Level(*(x[:0] for x in (level.key, level.context, level.suffix, level.count)))
     rest = np.maximum(1 - np.bincount(group, share, len(states)), 0)
     rest_above = np.maximum(1 - np.bincount(group, above, len(states)), 1e-12)
     kl = np.bincount(group, share * np.log(share / above), len(states))
