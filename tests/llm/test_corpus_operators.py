@@ -74,7 +74,7 @@ def similar_rows(seed=5):
     return out
 
 
-@pytest.mark.parametrize("params", [ngram_join.JoinParams(), ngram_join.JoinParams(sketch_bits=8, split_rows=4, max_match=6, rounds=1)])
+@pytest.mark.parametrize("params", [ngram_join.JoinParams(), ngram_join.JoinParams(sketch_bits=8, split_rows=4, star_from=3, max_match=6, rounds=1)])
 def test_ngram_join_equals_all_pairs(spark, rows, params):
     small = [(d, t) for d, t, *_ in rows if len(t or "") < 20_000] + similar_rows()
     want = brute_classes(small)
@@ -192,7 +192,7 @@ def test_suffix_tree_scores_by_definition(spark):
     for i in range(400):
         w = [f"v{r.randrange(30)}"]
         for _ in range(r.randrange(0, 40)):
-            w.append(r.choice(follow[w[-1]]) if r.random() < 0.9 else f"rare{r.randrange(400)}")
+            w.append(r.choice(follow.get(w[-1], ["v0"])) if r.random() < 0.9 else f"rare{r.randrange(400)}")
         texts.append((i, " ".join(w)))
     p = suffix_tree_lm.TreeParams(context_share=1e-3, edge_share=3e-4)
     train = [(i, t) for i, t in texts if i % 5]

@@ -17,12 +17,14 @@ the sketched lengths of the lists its longer prefix meets, plus verification of
 the candidates that m matches leave. Two documents become candidates when they
 share min(m1, m2) prefix shingles.
 
-Groups. Documents of equal sets are one vertex. In each round every shingle
+Groups. Documents of equal sets are one vertex. In each round every long list
 proposes only links between its pivot and members of other components, which
 are verified on the whole sets and merged; large groups of near copies collapse
 without their pairs being listed. After the rounds, all remaining candidate
 pairs between different components are listed and verified, so no link between
-components is lost. There is no cap on lists, candidates or partners.
+components is lost. There is no cap on lists, candidates or partners. Whole
+sets are made again from the texts, for those documents alone that some
+candidate pair can have.
 
 Defined results: null or blank texts have n_shingles 0 and their own id as
 component; repeated rows fall into one component; a null id never becomes a
@@ -49,7 +51,8 @@ _CHUNK = 1 << 16
 
 @dataclass(frozen=True)
 class JoinParams:
-    """threshold: Jaccard similarity in hundredths. split_rows: an estimated list length from which a shingle is dealt over many tasks."""
+    """threshold: Jaccard similarity in hundredths. split_rows: an estimated list length from which a shingle is dealt over many tasks.
+    star_from: a list length from which a list proposes pairs with pivots before all its pairs."""
 
     k: int = 5
     threshold: int = 75
@@ -57,6 +60,7 @@ class JoinParams:
     sketch_bits: int = 20
     rounds: int = 2
     split_rows: int = 4096
+    star_from: int = 64
 
 
 def _sets(col: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -253,31 +257,73 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     parts = work.write(_signed_and_counted(docs, id_col, text_col, p), "parts")
     signed = parts.where("chunk is null").select("id", "n_shingles", "sig")
 
-    index = _index(docs, text_col, _sketch(parts, p), p)
+    _write_lists(docs, text_col, _sketch(parts, p), p, work)
+    lists = work.read("lists")
+    first = signed.where("sig is not null").groupBy("sig").agg(F.min("id").alias("id"))
+    work.write(_whole_sets(docs, _wanted(lists, p).join(first, "sig"), id_col, text_col, p), "sets")
+    work.settle()
+    sets = work.read("sets")
+    comp = work.write(sets.select("sig").distinct().withColumn("comp", F.col("sig")), "comp")
+
+    for r in range(p.rounds):
+        links = work.write(_verified(_star_pairs(lists, comp, r, p), sets, p), f"links-{r}")
+        comp = _merged(comp, links, work, f"round-{r}")
+    links = work.write(_verified(_remaining_pairs(lists, comp, p, work), sets, p), "links-rest")
+    comp = _merged(comp, links, work, "rest")
+    work.drop("lists", "sets", "named", *(f"links-{r}" for r in range(p.rounds)))
+
+    first = first.join(comp, "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
+    least = first.groupBy("comp").agg(F.min("id").alias("component_id"))
+    named = first.select("sig", "comp").join(least, "comp").select("sig", "component_id")
+    return signed.join(named, "sig", "left").select(
+        F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id")
+    )
+
+
+def _write_lists(docs: DataFrame, text_col: str, sketch: np.ndarray, p: JoinParams, work: Workspace) -> None:
+    """Table ``lists``: (token, sig, n, matches, df) of the prefix shingles that several sets have."""
+    index = _index(docs, text_col, sketch, p)
     met = index.withColumn("c", F.count("*").over(Window.partitionBy("token", "salt"))).where("c > 1 or hot")
-    work.write(met.select("token", "sig", "n", "matches").distinct(), "met")
-    met = spark.read.parquet(work.path("met"))
-    several = met.groupBy("token").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("lo < hi").select("token")
-    lists = work.write(met.join(several, "token", "left_semi"), "lists")
+    met = work.write(met.select("token", "sig", "n", "matches").distinct(), "met")
+    work.settle()
+    several = met.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    work.write(met.join(several, "token"), "lists")
     work.drop("met")
 
-    wanted = lists.select("sig").distinct().join(signed.where("sig is not null").groupBy("sig").agg(F.min("id").alias("id")), "sig")
-    sets = work.write(_whole_sets(docs, wanted, id_col, text_col, p).dropDuplicates(["sig"]), "sets")
-    comp = work.write(lists.select("sig").distinct().withColumn("comp", F.col("sig")), "comp")
 
-    for r in range(p.rounds):
-        named = lists.join(comp, "sig")
-        pivot = named.groupBy("token").agg(
-            F.min(F.struct(F.xxhash64("sig", F.lit(r)).alias("h"), "sig", "n", "comp")).alias("p"), F.min("comp").alias("lo"), F.max("comp").alias("hi")
-        )
-        star = named.join(pivot.where("lo < hi"), "token").where((F.col("p.comp") != F.col("comp")) & _sizes_fit("n", "p.n", p))
-        pairs = star.select(F.least("sig", "p.sig").alias("a"), F.greatest("sig", "p.sig").alias("b")).distinct()
-        links = work.write(_verified(pairs, sets, p), f"links-{r}")
-        comp = _merged(comp, links, work, f"round-{r}")
+def _wanted(lists: DataFrame, p: JoinParams) -> DataFrame:
+    """(sig) of all sets that any candidate pair can have.
+
+    Pairs of lists up to ``star_from`` are few and counted here; every set with
+    a longer list is wanted, so that those lists' pairs need no counting.
+    """
+    long = lists.where(F.col("df") > p.star_from).select("sig")
+    one, two = (lists.where(F.col("df") <= p.star_from).select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("sig", "n", "matches"))) for s in "ab")
+    pairs = _enough(one.join(two, "token").where((F.col("sig_a") < F.col("sig_b")) & _sizes_fit("n_a", "n_b", p)))
+    return long.unionByName(pairs.select(F.explode(F.array("a", "b")).alias("sig"))).distinct()
+
 
+def _enough(met: DataFrame) -> DataFrame:
+    """Pairs (a, b) that share as many prefix shingles as the one with fewer matches asks for."""
+    pairs = met.groupBy(F.col("sig_a").alias("a"), F.col("sig_b").alias("b")).agg(
+        F.count("*").alias("shared"), F.least(F.first("matches_a"), F.first("matches_b")).alias("need")
+    )
+    return pairs.where("shared >= need").select("a", "b")
+
+
+def _star_pairs(lists: DataFrame, comp: DataFrame, r: int, p: JoinParams) -> DataFrame:
+    """Pairs of each long list's pivot with members of other components; the pivot changes with r."""
+    named = lists.where(F.col("df") > p.star_from).join(comp, "sig")
+    pivot = named.groupBy("token").agg(
+        F.min(F.struct(F.xxhash64("sig", F.lit(r)).alias("h"), "sig", "n", "comp")).alias("p"), F.min("comp").alias("lo"), F.max("comp").alias("hi")
+    )
+    star = named.join(pivot.where("lo < hi"), "token").where((F.col("p.comp") != F.col("comp")) & _sizes_fit("n", "p.n", p))
+    return star.select(F.least("sig", "p.sig").alias("a"), F.greatest("sig", "p.sig").alias("b")).distinct()
+
+
+def _remaining_pairs(lists: DataFrame, comp: DataFrame, p: JoinParams, work: Workspace) -> DataFrame:
+    """All candidate pairs between different components, from the components that meet in each list."""
     named = work.write(lists.join(comp, "sig"), "named")
-    split = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
-    named = named.join(split, "token", "left_semi")
     sides = named.groupBy("token", "comp").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
     left, right = (sides.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("comp", "least_n", "most_n"))) for s in "ab")
     apart = left.join(right, "token").where(
@@ -286,18 +332,5 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         & (100 * F.col("most_n_b") >= p.threshold * F.col("least_n_a"))
     )
     one, two = (named.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("comp", "sig", "n", "matches"))) for s in "ab")
-    met = apart.select("token", "comp_a", "comp_b").join(one, ["token", "comp_a"]).join(two, ["token", "comp_b"]).where(_sizes_fit("n_a", "n_b", p))
-    rest = met.groupBy(F.col("sig_a").alias("a"), F.col("sig_b").alias("b")).agg(
-        F.count("*").alias("shared"), F.least(F.first("matches_a"), F.first("matches_b")).alias("need")
-    )
-    links = work.write(_verified(rest.where("shared >= need").select("a", "b"), sets, p), "links-rest")
-    comp = _merged(comp, links, work, "rest")
-    work.drop("lists", "sets", "named", *(f"links-{r}" for r in range(p.rounds)))
-
-    first = signed.where("sig is not null").groupBy("sig").agg(F.min("id").alias("id")).join(comp, "sig", "left")
-    first = first.withColumn("comp", F.coalesce("comp", "sig"))
-    least = first.groupBy("comp").agg(F.min("id").alias("component_id"))
-    named = first.select("sig", "comp").join(least, "comp").select("sig", "component_id")
-    return signed.join(named, "sig", "left").select(
-        F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id")
-    )
+    met = apart.select("token", "comp_a", "comp_b").join(one, ["token", "comp_a"]).join(two, ["token", "comp_b"])
+    return _enough(met.where(_sizes_fit("n_a", "n_b", p)))

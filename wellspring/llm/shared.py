@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -36,6 +37,14 @@ class Workspace:
         df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(schema).parquet(self.path(name))
 
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self.path(name))
+
+    def settle(self) -> None:
+        """Collect garbage, so that Spark's cleaner drops shuffle files of plans that are written and done."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         """Delete tables that no later plan reads."""
         jvm = self.spark.sparkContext._jvm
