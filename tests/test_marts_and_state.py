@@ -131,7 +131,7 @@ def test_upsert_partitions(spark):
                                   ["k"], "event_date")
     got = sorted((r.k, r.v, r.event_date) for r in out.collect())
     assert got == [(1, "a", d1), (2, "B", d3), (3, "c", d2), (4, "d", d2)]
-    # key 1 leaves d1, which becomes empty: exact fallback rewrites the table
+    # key 1 leaves d1, which becomes empty
     out = store.upsert_partitions("f", spark.createDataFrame([(1, "A", d2)], schema), ["k"], "event_date")
     got = sorted((r.k, r.v, r.event_date) for r in out.collect())
     assert got == [(1, "A", d2), (2, "B", d3), (3, "c", d2), (4, "d", d2)]
@@ -141,3 +141,98 @@ def test_upsert_partitions(spark):
     m = store.upsert_partitions("g", spark.createDataFrame([(2, "B", d2)], schema), ["k"], "event_date", "month")
     assert sorted((r.k, r.v, r.event_date) for r in m.collect()) == [(1, "a", d1), (2, "B", d2)]
     assert m.columns == ["k", "v", "event_date"]
+
+
+def test_failed_merge_leaves_the_table_as_it_was(spark, monkeypatch):
+    schema = "k long, v string, event_date date"
+    d1, d2 = dt.date(2026, 1, 1), dt.date(2026, 1, 2)
+    store = I.TableStore(spark, scratch_path(spark, "test-fail"))
+    held = store.upsert_partitions("f", spark.createDataFrame([(1, "a", d1), (2, "b", d2)], schema), ["k", "event_date"], "event_date")
+    source = spark.createDataFrame([(2, "B", d2)], schema)
+    with monkeypatch.context() as m:
+        m.setattr(I.TableStore, "_commit", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+        try:
+            store.upsert_partitions("f", source, ["k", "event_date"], "event_date")
+        except OSError:
+            pass
+    assert sorted(r.v for r in store.read("f").collect()) == ["a", "b"]
+    out = store.upsert_partitions("f", source, ["k", "event_date"], "event_date")
+    assert sorted(r.v for r in out.collect()) == ["B", "a"]
+    assert sorted(r.v for r in held.collect()) == ["a", "b"]  # frames read before keep their files
+    # only the touched partition was written again
+    assert len({f.rsplit("/", 2)[0] for f in out.inputFiles()}) == 2
+
+
+def test_type_change_rewrites_the_table(spark):
+    d1 = dt.date(2026, 1, 1)
+    store = I.TableStore(spark, scratch_path(spark, "test-types"))
+    store.upsert_partitions("f", spark.createDataFrame([(1, 5, d1)], "k long, v int, event_date date"), ["k"], "event_date")
+    out = store.upsert_partitions("f", spark.createDataFrame([(2, 2.5, d1)], "k long, v double, event_date date"), ["k"], "event_date")
+    assert out.schema["v"].dataType.typeName() == "double"
+    assert sorted((r.k, r.v) for r in out.collect()) == [(1, 5.0), (2, 2.5)]
+
+
+def test_named_batch_replaces_itself(spark):
+    store = I.TableStore(spark, scratch_path(spark, "test-batch"))
+    rows = lambda *v: spark.createDataFrame([(x,) for x in v], "v long")
+    store.append("t", rows(1, 2), batch="0")
+    store.append("t", rows(3), batch="1")
+    store.append("t", rows(1, 2), batch="0")
+    assert sorted(r.v for r in store.read("t").collect()) == [1, 2, 3]
+
+
+def test_equal_load_times_have_one_winner(spark):
+    from conftest import SUB_SCHEMA, sub
+    from wellspring.plans import staging
+
+    a, b = sub("s", status="draft"), sub("s", status="submitted")
+    for rows in ([a, b], [b, a]):
+        got = staging.dedupe_submission(staging.standardise_submission(spark.createDataFrame(rows, SUB_SCHEMA))).collect()
+        assert [r.status for r in got] == ["submitted"]
+
+
+def test_numbers_and_booleans_from_text(spark):
+    from wellspring.functions.columns import try_boolean, try_number
+
+    rows = [("6.5", 7), ("-6.5", -7), ("5.4", 5), ("12", 12), ("x", None), (None, None), ("9" * 25, None)]
+    got = spark.createDataFrame(rows, "t string, want long").select(try_number("t").alias("n"), "want").collect()
+    assert all(r.n == r.want for r in got)
+    rows = [("on", True), ("OFF", False), ("t", True), ("0", False), (" yes ", True), ("maybe", None), (None, None)]
+    got = spark.createDataFrame(rows, "t string, want boolean").select(try_boolean("t").alias("b"), "want").collect()
+    assert all(r.b == r.want for r in got)
+
+
+def test_late_rows_change_their_window(spark):
+    from wellspring.streaming import ingest as S
+
+    store = I.TableStore(spark, scratch_path(spark, "test-late"))
+    src, ckpt = scratch_path(spark, "test-late-src"), scratch_path(spark, "test-late-ckpt")
+    schema = "ts timestamp_ntz, event_type string, value double"
+    for rows in ([("2026-03-05 10:00:00", "a", 1.0)], [("2026-03-06 10:00:00", "a", 2.0)], [("2025-01-01 01:00:00", "a", 4.0), ("2026-03-05 23:00:00", "a", 8.0)]):
+        df = spark.createDataFrame([(dt.datetime.fromisoformat(t), e, v) for t, e, v in rows], schema)
+        df.coalesce(1).write.mode("append").parquet(src)
+        S.windowed_counts(spark, src, ckpt, store, max_files=1)
+    got = {str(r.window_start): (r.n_events, float(r.total_value)) for r in store.read("event_windows").collect()}
+    assert got == {"2026-03-05 00:00:00": (2, 9.0), "2026-03-06 00:00:00": (1, 2.0), "2025-01-01 00:00:00": (1, 4.0)}
+
+
+def test_whole_files_and_null_ids_over_deliveries(spark):
+    import json
+
+    from wellspring.sources import landing as L
+    from wellspring.streaming import ingest as S
+
+    src, ckpt = scratch_path(spark, "test-whole") + "/raw", scratch_path(spark, "test-whole-ckpt")
+    store = I.TableStore(spark, scratch_path(spark, "test-whole-store"))
+    docs = [{"submissions": [{"submission_id": "s1", "status": "draft", "ward_id": 5.7, "_loaded_at": "2026-02-04T08:00:00"},
+                             {"status": "submitted", "_loaded_at": "2026-02-04T08:00:00"}]},
+            {"submissions": [{"submission_id": "s1", "status": "submitted", "_loaded_at": "2026-02-05T08:00:00"},
+                             {"status": "late", "_loaded_at": "2026-02-06T08:00:00"}]}]
+    for i, d in enumerate(docs):
+        spark.createDataFrame([(json.dumps(d, indent=2),)], "value string").coalesce(1).write.text(f"{src}/day={i}")
+    S.stream_dedupe(spark, src, ckpt, store, glob="part-*", max_files=1)
+    assert store.read("landing").count() == 2 and store.read("landing_corrupt").count() == 0
+    got = {r.submission_id: r.status for r in store.read("submission_latest").collect()}
+    assert got == {"s1": "submitted", None: "late"}
+    wards = [r.ward_id for r in L.flatten(store.read("landing")).where("status = 'draft'").collect()]
+    assert wards == [6]

@@ -95,8 +95,8 @@ def test_entry_contract(spark):
     assert df.count() > 0
     assert set(df.columns) == {"ward_id", "event_date", "household_events_total", "household_events_safe",
                                "pct_safe"}
-    q, o = E.queries(), E.oracle_sql()
-    assert set(o) == set(q) and len(q) >= 80  # every registered query has an oracle
+    own = {k for k in E.queries() if not k.startswith("op") and k != "pipeline"}
+    assert own <= set(E.oracle_sql()) and len(own) >= 85  # every one of them has an oracle
 
 
 def test_stream_ingest_each_file_once(spark):
@@ -110,8 +110,10 @@ def test_stream_ingest_each_file_once(spark):
     spark.createDataFrame([(d,) for d in docs], "value string").coalesce(1).write.text(src)
     store = TableStore(spark, scratch_path(spark, "test-landing"))
     ckpt = scratch_path(spark, "test-landing-ckpt")
-    S.ingest_landing(spark, src, ckpt, store, glob="part-*")
-    S.ingest_landing(spark, src, ckpt, store, glob="part-*")  # nothing new: no rows added
+    lines = {"glob": "part-*", "whole_files": False}
+    S.ingest_landing(spark, src, ckpt, store, **lines)
+    S.ingest_landing(spark, src, ckpt, store, **lines)  # nothing new: no rows added
+    S.ingest_landing(spark, src, ckpt + "-lost", store, **lines)  # the batch is replayed: still no rows added
     landing = S.read_landing(store)
     assert landing.count() == 3
     assert store.read("landing_corrupt").count() == 1

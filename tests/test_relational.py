@@ -5,18 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wellspring.operators.relational import dedupe_latest, orphan_flag
-from wellspring.sources.tables import bounded_broadcast
-
-
-def _plan(df) -> str:
-    return df._jdf.queryExecution().analyzed().toString()
-
-
-def test_bounded_broadcast_respects_bound(spark):
-    small = spark.range(5)
-    big = spark.range(50)
-    assert "broadcast" in _plan(bounded_broadcast(small, 10)).lower()
-    assert "broadcast" not in _plan(bounded_broadcast(big, 10)).lower()  # above the bound: left to the planner
 
 
 def test_dedupe_ties_and_nulls(spark):

@@ -45,11 +45,6 @@ def out_of_range_not_null(c: str | Column, lo, hi) -> Column:
     return x.isNotNull() & ((x < F.lit(lo)) | (x > F.lit(hi)))
 
 
-def not_in_set(c: str | Column, values: Iterable[str]) -> Column:
-    """``c NOT IN (values)``; NULL when ``c`` is NULL."""
-    return ~col(c).isin(list(values))
-
-
 def present_not_in_set(c: str | Column, values: Iterable[str], non_blank: bool = False) -> Column:
     """``c IS NOT NULL [AND trim(c) <> ''] AND c NOT IN (values)``."""
     x = col(c)
@@ -83,9 +78,20 @@ def canonical_text(c: str | Column) -> Column:
     return F.lower(F.trim(col(c).try_cast("string")))
 
 
+def try_number(c: str | Column) -> Column:
+    """Whole number of a value or text, rounding half away from zero; NULL if it is none or over range."""
+    return F.round(col(c).try_cast("decimal(38,9)")).try_cast("long")
+
+
+def try_boolean(c: str | Column) -> Column:
+    """Boolean of a value or text (true/t/yes/y/on/1 and their opposites, any case); NULL otherwise."""
+    text = F.lower(F.trim(col(c).try_cast("string")))
+    return F.when(text == "on", True).when(text == "off", False).otherwise(text.try_cast("boolean"))
+
+
 def tri_state(c: str | Column) -> Column:
     """Boolean-ish value to 'yes' / 'no' / 'unknown'."""
-    b = col(c).try_cast("boolean")
+    b = try_boolean(c)
     return F.when(b == F.lit(True), "yes").when(b == F.lit(False), "no").otherwise("unknown")
 
 
@@ -99,10 +105,6 @@ def iff(cond: str | Column, a, b) -> Column:
     return F.when(col(cond), a).otherwise(b)
 
 
-def bool_to_int(cond: Column) -> Column:
-    return cond.cast("int")
-
-
 # ----------------------------------------------------------------- ratios --
 def safe_ratio(n: str | Column, d: str | Column, scale: int | None = None) -> Column:
     """``div0(n, d)`` optionally rounded half away from zero to ``scale`` digits.
@@ -138,10 +140,6 @@ def audit_columns(loaded_at: str | Column = "_loaded_at",
         col(loaded_at).try_cast("timestamp_ntz").alias("_loaded_at"),
         col(batch_id).cast("string").alias("_batch_id"),
         col(source_file).cast("string").alias("_source_file"),
-        col(is_deleted).try_cast("boolean").alias("_is_deleted"),
+        try_boolean(is_deleted).alias("_is_deleted"),
     ]
 
-
-def ts_literal(value: str) -> Column:
-    """A constant TIMESTAMP_NTZ."""
-    return F.lit(value).cast("timestamp_ntz")

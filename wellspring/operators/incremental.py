@@ -2,10 +2,10 @@
 
 Spark's parquet tables have no MERGE, and a job cannot overwrite a path it
 reads. An upsert is therefore a pure DataFrame step (``upsert``: target rows
-whose key is not in the source, plus all source rows) written as a *new
-version* of the table; the version becomes visible only after its data is
-committed (a one-row entry appended to the table's log), so a failed or
-retried job never exposes partial output.
+whose key is not in the source, plus all source rows) written to a *new
+folder*; it becomes visible only after its data is committed (a one-row entry
+appended to the table's log), so a failed or retried job never exposes partial
+output.
 
 Scalar bounds (max load time of a target) are one-row aggregates collected
 once and passed back as literals, which lets parquet skip row groups.
@@ -14,12 +14,13 @@ once and passed back as literals, which lets parquet skip row groups.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.valuesets import EVENT_LOOKBACK_DAYS, INCREMENTAL_BASE_TS, LOAD_LOOKBACK_DAYS
 
@@ -101,7 +102,8 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], syn
 
 
 PART = "__part"
-LOG_SCHEMA = "seq double, path string"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+LOG_SCHEMA = "seq double, kind string, path string, touched array<string>, written array<string>, columns string"
 
 
 def _by_partition(df: DataFrame, part: str = PART) -> DataFrame:
@@ -114,6 +116,10 @@ def _by_partition(df: DataFrame, part: str = PART) -> DataFrame:
     return df.hint("rebalance", part)
 
 
+def _columns(schema: T.StructType) -> dict[str, str]:
+    return {f.name: f.dataType.simpleString() for f in schema.fields}
+
+
 def _all_not_null(keys: Sequence[str]) -> Column:
     c = None
     for k in keys:
@@ -123,11 +129,15 @@ def _all_not_null(keys: Sequence[str]) -> Column:
 
 
 class TableStore:
-    """Named, versioned parquet tables under one root in the shared folder.
+    """Named parquet tables under one root in the shared folder.
+
+    Data always goes to a new folder (an append's folder is named by its
+    batch), and one row appended to the table's log afterwards makes it
+    visible. A run that fails before that leaves nothing to see, a retry
+    writes again, and frames read earlier keep their files.
 
-    ``publish`` writes a full new version and then appends one log entry;
-    ``read`` returns the newest logged version (or None). ``append`` adds
-    files to an append-only table.
+    ``version`` rows replace the table, ``append`` rows add a folder, ``merge``
+    rows name the partitions they replace and those of them that have rows.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -137,102 +147,110 @@ class TableStore:
     def _log(self, name: str) -> str:
         return f"{self.root}/{name}/_log"
 
-    def latest_version(self, name: str) -> str | None:
-        try:
-            log = self.spark.read.schema(LOG_SCHEMA).json(self._log(name))
-        except AnalysisException:
-            return None
-        row = log.orderBy(F.col("seq").desc()).select("path").first()
-        return None if row is None else row["path"]
-
-    def read(self, name: str, hide_part: bool = True) -> DataFrame | None:
-        p = self.latest_version(name)
-        if p is None:
-            return None
-        df = self.spark.read.parquet(p)
-        return df.drop(PART) if hide_part and PART in df.columns else df
+    def _entries(self, name: str) -> list:
+        """Log rows in order; one row per run, so this is metadata only."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self._log(name))
+        if not path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            return []
+        return self.spark.read.schema(LOG_SCHEMA).json(self._log(name)).orderBy("seq").collect()
+
+    def _commit(self, name: str, kind: str, path: str, df: DataFrame, touched: Sequence[str] = (),
+                written: Sequence[str] = ()) -> None:
+        seq = dt.datetime.now(dt.timezone.utc).timestamp()
+        row = (seq, kind, path, list(touched), list(written), df.schema.json())
+        self.spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").json(self._log(name))
+
+    def _folders(self, name: str) -> tuple[dict[str, str], T.StructType | None]:
+        """Live folders (by partition for merged tables) and the newest schema."""
+        live: dict[str, str] = {}
+        schema = None
+        for e in self._entries(name):
+            if e.kind == "version":
+                live = {}
+            for p in e.touched or ():
+                live.pop(p, None)
+            if e.kind == "merge":
+                live |= {p: f"{e.path}/{PART}={p}" for p in e.written}
+            else:
+                live[e.path] = e.path
+            schema = T.StructType.fromJson(json.loads(e.columns))
+        return live, schema
+
+    def _frame(self, folders: Sequence[str], schema: T.StructType) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*folders)
+
+    def read(self, name: str) -> DataFrame | None:
+        live, schema = self._folders(name)
+        return None if schema is None else self._frame(list(dict.fromkeys(live.values())), schema)
+
+    def _new_folder(self, name: str) -> str:
+        return f"{self.root}/{name}/d-{uuid.uuid4().hex}"
 
     def publish(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        path = f"{self.root}/{name}/v-{dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
+        path = self._new_folder(name)
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        seq = dt.datetime.now(dt.timezone.utc).timestamp()
-        self.spark.createDataFrame([(seq, path)], "seq double, path string") \
-            .coalesce(1).write.mode("append").json(self._log(name))
-        return self.spark.read.parquet(path)
+        self._commit(name, "version", path, df)
+        return self.read(name)
+
+    def upsert(self, name: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return self.publish(name, upsert(self.read(name), source, keys))
 
-    def upsert(self, name: str, source: DataFrame, keys: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
-        return self.publish(name, upsert(self.read(name), source, keys), partition_by)
+    def append(self, name: str, df: DataFrame, batch: str | None = None) -> DataFrame:
+        """Add rows. A named batch that is written again replaces its own rows."""
+        path = f"{self.root}/{name}/batch-{batch}" if batch is not None else self._new_folder(name)
+        df.write.mode("overwrite").parquet(path)
+        self._commit(name, "append", path, df)
+        return self.read(name)
 
-    def append(self, name: str, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/{name}/data"
-        df.write.mode("append").parquet(path)
-        if self.latest_version(name) is None:
-            self.spark.createDataFrame([(0.0, path)], "seq double, path string") \
-                .coalesce(1).write.mode("append").json(self._log(name))
-        return self.spark.read.parquet(path)
+    def read_batch(self, name: str, batch: str) -> DataFrame:
+        """Rows of one named batch."""
+        _, schema = self._folders(name)
+        return self._frame([f"{self.root}/{name}/batch-{batch}"], schema)
 
     # ------------------------------------------------ partition-aware MERGE --
     def upsert_partitions(self, name: str, source: DataFrame, keys: Sequence[str], part: str,
                           grain: str | None = None) -> DataFrame:
-        """MERGE into a table partitioned by ``part``, rewriting only touched partitions.
+        """MERGE into a table kept by ``part``, reading and writing only touched partitions.
 
         ``grain`` ("month", "year"...) partitions by ``trunc(to_date(part), grain)``
-        instead of the value itself, for tables whose daily slices are small;
-        the partition column is stored as ``__part`` and hidden on read.
+        instead of the value itself, for tables whose daily slices are small.
         Touched partitions are those the source rows fall in plus those where
-        the source keys live now (a key may move partition). The merged rows
-        of those partitions are written to the shared folder first, then
-        swapped in with a dynamic partition overwrite, so the job never
-        overwrites what it reads and a retry re-applies the same idempotent
-        merge. Exact fallbacks rewrite the whole table: a schema change, or a
-        touched partition left empty (a dynamic overwrite cannot remove it).
+        the source keys live now (a key may move partition). Only their folders
+        are read; their merged rows go to a new folder, and the log names it as
+        the newest one of these partitions. A partition left empty has no
+        folder. A change of columns or types rewrites the table once.
         """
         pcol = F.trunc(F.to_date(F.col(part)), grain) if grain else F.col(part)
-        src = source.withColumn(PART, pcol)
-        path = f"{self.root}/{name}/current"
-        target = self.read(name, hide_part=False)
-        if target is None:
-            _by_partition(src).write.mode("errorifexists").partitionBy(PART).parquet(path)
-            self._log_path(name, path)
-            return self.read(name)
-        if set(target.columns) != set(src.columns):
-            return self._rewrite_all(name, path, upsert(target.drop(PART), source, keys).withColumn(PART, pcol))
-        # the source (an increment: small by design) is read three times below; write it once
-        src_path = f"{self.root}/{name}/_source-{uuid.uuid4().hex[:12]}"
-        src.write.mode("errorifexists").parquet(src_path)
-        src = self.spark.read.parquet(src_path)
-        source = src.drop(PART)
-        affected = src.select(PART)
-        if part not in keys:  # a partition derived from a key cannot move
-            src_keys = source.select(*keys).where(_all_not_null(keys)).distinct()
-            affected = affected.unionByName(target.join(src_keys, list(keys), "left_semi").select(PART))
-        affected = affected.distinct().withColumnRenamed(PART, "__touched")
-        touched = target.join(affected, F.col(PART).eqNullSafe(F.col("__touched")), "left_semi")
-        staging = f"{self.root}/{name}/_staging-{uuid.uuid4().hex[:12]}"
-        merged = upsert(touched, src, keys)
-        _by_partition(merged).write.mode("errorifexists").partitionBy(PART).parquet(staging)
-        staged = self.spark.read.parquet(staging)
-        if part not in keys:
-            # keys that moved out may leave a touched partition empty
-            emptied = affected.join(staged.select(F.col(PART).alias("__p")).distinct(),
-                                    F.col("__touched").eqNullSafe(F.col("__p")), "left_anti")
-            if emptied.limit(1).count() > 0:
-                return self._rewrite_all(name, path, upsert(target, src, keys))
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(PART).parquet(path))
+        name_of = F.coalesce(F.col(PART).cast("string"), F.lit(NULL_PARTITION))
+        live, schema = self._folders(name)
+        path = self._new_folder(name)
+        if schema is None or _columns(schema) != _columns(source.schema):
+            target = None if schema is None else self._frame(list(live.values()), schema)
+            merged, touched = upsert(target, source, keys), list(live)
+        else:
+            # the source (an increment: small by design) is read three times below; write it once
+            source.write.mode("errorifexists").parquet(f"{path}-source")
+            source = self.spark.read.schema(source.schema).parquet(f"{path}-source")
+            affected = source.withColumn(PART, pcol).select(name_of.alias("p"))
+            if part not in keys and live:  # a partition derived from a key cannot move
+                src_keys = source.select(*keys).where(_all_not_null(keys)).distinct()
+                held = self._frame(list(live.values()), schema).withColumn(PART, pcol)
+                affected = affected.unionByName(held.join(src_keys, list(keys), "left_semi").select(name_of.alias("p")))
+            touched = [r.p for r in affected.distinct().collect()]  # partition names, not rows
+            merged = upsert(self._frame([live[p] for p in touched if p in live], schema), source, keys)
+        _by_partition(merged.withColumn(PART, pcol)).write.mode("errorifexists").partitionBy(PART).parquet(path)
+        self._commit(name, "merge", path, merged, touched, self._partitions_of(path))
         return self.read(name)
 
-    def _log_path(self, name: str, path: str) -> None:
-        seq = dt.datetime.now(dt.timezone.utc).timestamp()
-        self.spark.createDataFrame([(seq, path)], "seq double, path string") \
-            .coalesce(1).write.mode("append").json(self._log(name))
-
-    def _rewrite_all(self, name: str, path: str, merged: DataFrame) -> DataFrame:
-        staging = f"{self.root}/{name}/_staging-{uuid.uuid4().hex[:12]}"
-        _by_partition(merged).write.mode("errorifexists").partitionBy(PART).parquet(staging)
-        self.spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "static") \
-            .partitionBy(PART).parquet(path)
-        return self.read(name)
+    def _partitions_of(self, path: str) -> list[str]:
+        """Names of the partition folders that a write made."""
+        jvm = self.spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        found = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+        return [f.getPath().getName().split("=", 1)[1] for f in found if f.getPath().getName().startswith(f"{PART}=")]

@@ -31,6 +31,24 @@ def count_by_model_day(frames: Mapping[str, DataFrame], count_name: str,
     return out.withColumn("base_model_name", base_model_name("model_name"))
 
 
+def rejection_rate_by_day(bases: Mapping[str, tuple[DataFrame, Column]], load_col: str = "record_loaded_at",
+                          scale: int = 4) -> DataFrame:
+    """Totals, rejections and their rate per model and load date, one aggregate per base.
+
+    ``bases`` maps a model name to its base and the predicate of its rejected
+    rows. Rejections of the NULL-date group count as 0: in the join form
+    (``rejection_rate``) NULL dates match nothing.
+    """
+    parts = []
+    for name, (df, rejected) in bases.items():
+        hit = F.when(rejected & F.col(load_col).isNotNull(), 1).otherwise(0)
+        parts.append(
+            df.groupBy(F.to_date(F.col(load_col)).alias("event_date"))
+            .agg(F.count(F.lit(1)).cast("long").alias("base_row_count"), F.sum(hit).cast("long").alias("rejected_row_count"))
+            .select(base_model_name(F.lit(name)).alias("model_name"), "event_date", "base_row_count", "rejected_row_count"))
+    return union_all(parts).withColumn("rejection_rate", safe_ratio("rejected_row_count", "base_row_count", scale))
+
+
 def rejection_rate(total: DataFrame, rejected: DataFrame, scale: int = 4) -> DataFrame:
     """Totals left-joined to rejections per base model and day; rate rounded."""
     t = total.select(F.col("base_model_name").alias("model_name"), "event_date", "base_row_count")

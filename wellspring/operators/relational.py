@@ -52,7 +52,10 @@ def orphan_flag(df: DataFrame, key: str, ref: DataFrame, ref_key: str, name: str
     The flag is never NULL, like ``x IS NOT NULL AND NOT EXISTS (...)``.
     """
     ks = key_set(ref, ref_key)
-    joined = df.join(ks, F.col(key) == F.col("__ref_key"), "left")
+    # NULL keys match nothing; as NULLs they would all meet in one partition
+    spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*df.columns), F.lit(1024)).cast("string"))
+    probe = F.coalesce(F.col(key).cast("string"), spread)
+    joined = df.join(ks, probe == F.col("__ref_key").cast("string"), "left")
     cond = F.col(key).isNotNull()
     if non_blank:
         cond = cond & (F.col(key) != F.lit(""))

@@ -86,7 +86,7 @@ def overlapping_window_violations(history: DataFrame, key: str) -> DataFrame:
     """Versions that start before the previous version of the key ends."""
     h = history.select(key, VALID_FROM,
                        F.coalesce(F.col(VALID_TO), F.lit(OPEN_END_TS).cast("timestamp_ntz")).alias(VALID_TO))
-    w = Window.partitionBy(key).orderBy(F.col(VALID_FROM).asc_nulls_first())
+    w = Window.partitionBy(key).orderBy(F.col(VALID_FROM).asc_nulls_first(), F.col(VALID_TO).asc_nulls_first())
     h = h.withColumn("prev_valid_to", F.lag(VALID_TO).over(w))
     return h.where(F.col("prev_valid_to").isNotNull() & (F.col(VALID_FROM) < F.col("prev_valid_to")))
 

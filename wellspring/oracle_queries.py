@@ -336,6 +336,33 @@ oracle("singular_valid_range", """
 SELECT household_id, dbt_valid_from, dbt_valid_to FROM snap2
 WHERE dbt_valid_to IS NOT NULL AND dbt_valid_to <= dbt_valid_from
 """)
+# planted violations: a second open version, a version inside another one, and one that ends before it starts
+cte("snap_planted", f"""
+SELECT * FROM snap2
+UNION ALL BY NAME
+SELECT * REPLACE (dbt_valid_from + INTERVAL 1 HOUR AS dbt_valid_from) FROM snap2
+WHERE dbt_valid_to IS NULL AND CAST(household_id AS BIGINT) % 7 = 0
+UNION ALL BY NAME
+SELECT * REPLACE (dbt_valid_from - INTERVAL 1 DAY AS dbt_valid_to) FROM snap2
+WHERE dbt_valid_to IS NULL AND CAST(household_id AS BIGINT) % 11 = 0
+""")
+oracle("singular_one_current_row_planted", """
+SELECT household_id, CAST(count(*) AS BIGINT) AS current_rows FROM snap_planted WHERE dbt_valid_to IS NULL
+GROUP BY household_id HAVING count(*) > 1
+""")
+oracle("singular_no_overlapping_windows_planted", """
+SELECT * FROM (
+  SELECT household_id, dbt_valid_from, dbt_valid_to,
+         lag(dbt_valid_to) OVER (PARTITION BY household_id ORDER BY dbt_valid_from ASC NULLS FIRST,
+                                 dbt_valid_to ASC NULLS FIRST) AS prev_valid_to
+  FROM (SELECT household_id, dbt_valid_from,
+               coalesce(dbt_valid_to, TIMESTAMP '9999-12-31 00:00:00') AS dbt_valid_to FROM snap_planted))
+WHERE prev_valid_to IS NOT NULL AND dbt_valid_from < prev_valid_to
+""")
+oracle("singular_valid_range_planted", """
+SELECT household_id, dbt_valid_from, dbt_valid_to FROM snap_planted
+WHERE dbt_valid_to IS NOT NULL AND dbt_valid_to <= dbt_valid_from
+""")
 oracle("having_count", """
 SELECT household_id, CAST(count(*) AS BIGINT) AS n_events FROM hh_event GROUP BY household_id HAVING count(*) > 1
 """)
@@ -358,6 +385,10 @@ TABLE_SQL = {
     "mon_rejection_rate_day": "mon_rate", "mon_rejection_by_reason_day": "mon_reason",
     "mon_unknown_diarrhoea_rate_ward_day": "mon_unknown", "mon_late_arrival_rate_ward_day": "mon_late",
 }
+# corrupt documents have no payload; they are no part of the flattened table
+TABLE_SQL["landing"] = ("(SELECT 'doc' AS payload, file_name, ingested_at FROM docs UNION ALL "
+                        "SELECT NULL, file_name, ingested_at FROM docs WHERE o_orderkey % 211 = 0)")
+TABLE_SQL["ext_kobo_source_flattened"] = "ext_rows"
 SINGULAR_SQL = {
     "one_current_row_per_household":
         "SELECT household_id FROM snap2 WHERE dbt_valid_to IS NULL GROUP BY household_id HAVING count(*) > 1",
@@ -414,9 +445,6 @@ def _report_sql(kind) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-for _k in ("not_null", "unique", "unique_combination", "accepted_values", "relationship", "expression"):
-    oracle(f"expect_{_k}", _report_sql(_k))
-oracle("run_expectations", _report_sql(None))
 oracle("store_failures", "SELECT * FROM hh_acc WHERE NOT (hh_size_reported > 0 and hh_size_reported < 15)")
 
 # --------------------------------------------------------------- landing ---
@@ -460,8 +488,16 @@ SELECT CAST(o_orderkey AS VARCHAR) AS submission_id,
        strftime(a_loaded_at, '%Y-%m-%dT%H:%M:%S') AS _loaded_at, a_source_file AS _source_file
 FROM docs
 """)
+for _k in ("not_null", "unique", "unique_combination", "accepted_values", "relationship", "expression"):
+    oracle(f"expect_{_k}", _report_sql(_k))
+oracle("run_expectations", _report_sql(None))
+
 oracle("explode_outer_submissions", "SELECT * FROM ext_rows")
 oracle("landing_ingest", "SELECT * FROM ext_rows")
+oracle("landing_ingest_corrupt", """
+SELECT substr('{"batch_meta":{"batch_id":"' || a_batch_id || '","generated_at":"', 1, 40) AS payload_text
+FROM docs WHERE o_orderkey % 211 = 0
+""")
 cte("lraw_submission", """
 SELECT rs.* FROM docs d JOIN raw_submission rs ON rs.submission_id = CAST(d.o_orderkey AS VARCHAR)
 """)
@@ -496,6 +532,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS submission_id, CAST(l_suppkey AS VARCHAR)
 FROM docs
 """)
 oracle("json_path_cast", "SELECT * FROM lraw_submission")
+oracle("raw_household_model", "SELECT * FROM lraw_household")
 oracle("audit_columns",
        "SELECT household_id, submission_id, _loaded_at, _batch_id, _source_file, _is_deleted FROM lraw_household")
 oracle("explode_outer_members", "SELECT * FROM lraw_member")
@@ -520,6 +557,9 @@ oracle("try_cast", """
 SELECT TRY_CAST(CAST(o_orderkey AS VARCHAR) AS BIGINT) AS submission_key,
        TRY_CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS priority_rank,
        TRY_CAST(o_orderpriority AS BIGINT) AS priority_as_number,
+       o_orderkey + 1 AS half_up, -(o_orderkey + 1) AS half_down, o_orderkey AS below_half,
+       CAST(NULL AS BIGINT) AS over_range,
+       CASE o_orderkey % 4 WHEN 0 THEN TRUE WHEN 1 THEN FALSE WHEN 2 THEN TRUE END AS flag_text,
        TRY_CAST(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS iso_time,
        TRY_CAST(strftime(o_orderdate, '%d-%m-%Y') || ' 10:00' AS TIMESTAMP) AS day_first_time
 FROM orders

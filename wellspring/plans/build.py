@@ -25,12 +25,10 @@ class Built:
     ward_day: DataFrame
 
 
-def build_full(raw, materialize=None, safe_sources=SAFE_SOURCES_CODE,
-               safe_filters=SAFE_FILTERS_CODE, share=None) -> Built:
-    """``materialize`` writes bases and marts (many readers); ``share`` only
-    the staging bases (e.g. a persisted frame reused within one job)."""
+def build_full(raw, materialize=None, safe_sources=SAFE_SOURCES_CODE, safe_filters=SAFE_FILTERS_CODE) -> Built:
+    """``materialize`` writes bases and marts, which have many readers."""
     m = materialize or (lambda d: d)
-    st = staging.stage_all(raw, materialize or share)
+    st = staging.stage_all(raw, materialize)
     submitted = staging.submitted_only(st.submission.accepted)
     events = m(marts.household_event(st.household.accepted, submitted))
     # first run: every key is impacted, so the rollup needs no key filter

@@ -39,7 +39,10 @@ def _av(table: str, col: str, values, severity="error", warn_if="!= 0", error_if
 
 
 def declared_checks() -> list[Check]:
+    # fixed rules: names, expressions and thresholds are those the models declare
     c: list[Check] = []
+    c += _nn("landing", ("payload", "file_name", "ingested_at"))
+    c += _nn("ext_kobo_source_flattened", ("_loaded_at", "_source_file", "_is_deleted"))
     for raw in ("raw_kobo_submission", "raw_kobo_household", "raw_kobo_member", "raw_kobo_waterpoint"):
         c += _nn(raw, AUDIT)
     # staging

@@ -1,8 +1,8 @@
 """One incremental build over stored tables (raw append -> staging -> upserts).
 
 Order matches the model dependencies; each model reads its upstream
-*table* after that table's update. Staging bases are written once per run
-(they are read by the accepted and rejected views and the monitors).
+*table* after that table's update. With ``materialize`` the staging bases are
+written once per run and read by all their consumers.
 """
 
 from __future__ import annotations
@@ -31,17 +31,23 @@ class IncrementResult:
     ward_day: DataFrame
 
 
-def append_raw(store: I.TableStore, batch: RawFrames) -> RawFrames:
+def append_raw(store: I.TableStore, frames: RawFrames, batch: str | None = None) -> RawFrames:
+    """Append to the raw tables and return them whole.
+
+    A named batch (a micro-batch: each record is delivered once) is added as it
+    is; otherwise only rows newer than the table are, by the strict bound.
+    """
     out = []
-    for name, df in zip(RAW_NAMES, (batch.submissions, batch.households, batch.members, batch.water_points)):
-        # the strict bound is read before anything of this batch is written
-        out.append(store.append(name, I.append_new(df, store.read(name))))
+    for name, df in zip(RAW_NAMES, (frames.submissions, frames.households, frames.members, frames.water_points)):
+        new = I.append_new(df, store.read(name)) if batch is None else df
+        out.append(store.append(name, new, batch))
     return RawFrames(*out)
 
 
-def run_increment(store: I.TableStore, batch: RawFrames, as_of, materialize=None,
+def run_increment(store: I.TableStore, frames: RawFrames, as_of, materialize=None,
                   safe_sources=SAFE_SOURCES_CODE, safe_filters=SAFE_FILTERS_CODE,
-                  fact_grain: str | None = "month", load_grain: str = "month") -> IncrementResult:
+                  fact_grain: str | None = "month", load_grain: str = "month",
+                  batch: str | None = None) -> IncrementResult:
     """One incremental run.
 
     Every upserted table is partitioned and only touched partitions are
@@ -50,7 +56,7 @@ def run_increment(store: I.TableStore, batch: RawFrames, as_of, materialize=None
     tables by load date at ``load_grain`` (their 7-day load window touches
     one or two months).
     """
-    raw = append_raw(store, batch)
+    raw = append_raw(store, frames, batch)
     st = staging.stage_all(raw, materialize)
     submitted = staging.submitted_only(st.submission.accepted)
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import valuesets as V
+from ..functions.columns import any_true
 from ..operators import monitoring as M
-from .staging import Staged
+from .staging import HOUSEHOLD_FLAGS, MEMBER_FLAGS, SUBMISSION_FLAGS, WATER_POINT_FLAGS, Staged
 
 # Reason ladders, first match wins (NULL counts as not true): (bucket, flags OR-ed).
 SUBMISSION_LADDER = (
@@ -71,7 +72,17 @@ def rejections_by_model_day(st: Staged) -> DataFrame:
 
 
 def rejection_rate_day(st: Staged) -> DataFrame:
-    return M.rejection_rate(total_by_model_day(st), rejections_by_model_day(st))
+    """One pass over each base; ``rejection_rate_join`` is the same from the two count tables."""
+    return M.rejection_rate_by_day({
+        f"{V.MODEL_SUBMISSION}__base": (st.submission_base, any_true(SUBMISSION_FLAGS + ("is_deleted",))),
+        f"{V.MODEL_HOUSEHOLD}__base": (st.household_base, any_true(("is_deleted",) + HOUSEHOLD_FLAGS)),
+        f"{V.MODEL_MEMBER}__base": (st.member_base, any_true(MEMBER_FLAGS)),
+        f"{V.MODEL_WATER_POINT}__base": (st.water_point_base, any_true(WATER_POINT_FLAGS)),
+    })
+
+
+def rejection_rate_join(total: DataFrame, rejections: DataFrame) -> DataFrame:
+    return M.rejection_rate(total, rejections)
 
 
 def rejection_by_reason_day(st: Staged) -> DataFrame:

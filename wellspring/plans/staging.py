@@ -25,7 +25,7 @@ def _audit_std() -> list:
         F.col("_loaded_at").alias("record_loaded_at"),
         F.col("_batch_id").try_cast("string").alias("batch_id"),
         F.col("_source_file").try_cast("string").alias("source_file"),
-        F.coalesce(F.col("_is_deleted").try_cast("boolean"), F.lit(False)).alias("is_deleted"),
+        F.coalesce(C.try_boolean("_is_deleted"), F.lit(False)).alias("is_deleted"),
     ]
 
 
@@ -48,12 +48,12 @@ def standardise_submission(raw: DataFrame) -> DataFrame:
         F.col("collected_at"),
         F.col("enumerator_id").try_cast("string").alias("enumerator_id"),
         F.col("device_id").try_cast("string").alias("device_id"),
-        F.col("ward_id").try_cast("long").alias("ward_id"),
+        C.try_number("ward_id").alias("ward_id"),
         F.col("municipality").try_cast("string").alias("municipality"),
         F.col("district").try_cast("string").alias("district"),
         F.col("gps_lat").try_cast("double").alias("gps_lat"),
         F.col("gps_lon").try_cast("double").alias("gps_lon"),
-        F.col("consent").try_cast("boolean").alias("consent"),
+        C.try_boolean("consent").alias("consent"),
         *_audit_std(),
     )
 
@@ -72,8 +72,16 @@ def flags_submission(df: DataFrame) -> DataFrame:
     })
 
 
+def _latest(df: DataFrame, keys: list[str], first: tuple[str, ...] = ()) -> DataFrame:
+    """Newest row per key. Ties on the load order are broken on every other
+    column (``first`` ones first), so the choice does not depend on the input's
+    order (the source rule leaves ties open)."""
+    rest = [c for c in df.columns if c not in (*keys, *LOAD_ORDER, *first)]
+    return dedupe_latest(df, keys, LOAD_ORDER, tie_breakers=[*first, *rest])
+
+
 def dedupe_submission(df: DataFrame) -> DataFrame:
-    return dedupe_latest(df, ["submission_id"], LOAD_ORDER)
+    return _latest(df, ["submission_id"])
 
 
 def base_submission(raw: DataFrame) -> DataFrame:
@@ -113,13 +121,13 @@ def standardise_household(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.col("household_id").try_cast("string").alias("household_id"),
         F.col("submission_id").try_cast("string").alias("submission_id"),
-        F.col("ward_id").try_cast("long").alias("ward_id"),
-        F.col("hh_size_reported").try_cast("long").alias("hh_size_reported"),
+        C.try_number("ward_id").alias("ward_id"),
+        C.try_number("hh_size_reported").alias("hh_size_reported"),
         F.trim(F.col("household_head_name").try_cast("string")).alias("household_head_name"),
         F.col("phone_last4").try_cast("string").alias("phone_last4"),
         C.canonical_text("water_filter_type").alias("water_filter_type"),
         C.canonical_text("primary_water_source").alias("primary_water_source"),
-        F.col("has_toilet").try_cast("boolean").alias("has_toilet"),
+        C.try_boolean("has_toilet").alias("has_toilet"),
         *_audit_std(),
     )
 
@@ -153,7 +161,7 @@ def _household_columns() -> list[str]:
 
 
 def dedupe_household(df: DataFrame) -> DataFrame:
-    return dedupe_latest(df, ["household_id", "submission_id"], LOAD_ORDER)
+    return _latest(df, ["household_id", "submission_id"])
 
 
 def base_household(raw: DataFrame, accepted_submissions: DataFrame) -> DataFrame:
@@ -178,8 +186,6 @@ MEMBER_FLAGS = (
     "dq_orphan_submission_id",
 )
 
-# Ties on the load order are broken on every member column, so the chosen
-# row is deterministic (the source rule leaves ties open).
 MEMBER_TIE_BREAKERS = ("submission_id", "member_name", "member_sex", "member_age_in_years",
                        "member_had_diarrhoea_14d")
 
@@ -188,8 +194,8 @@ def standardise_member(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.col("household_id").try_cast("string").alias("household_id"),
         F.col("submission_id").try_cast("string").alias("submission_id"),
-        F.col("member_index").try_cast("long").alias("member_index"),
-        F.col("age_years").try_cast("long").alias("member_age_in_years"),
+        C.try_number("member_index").alias("member_index"),
+        C.try_number("age_years").alias("member_age_in_years"),
         F.trim(F.col("member_name").try_cast("string")).alias("member_name"),
         C.canonical_text("sex").alias("member_sex"),
         C.tri_state("had_diarrhoea_14d").alias("member_had_diarrhoea_14d"),
@@ -199,8 +205,7 @@ def standardise_member(raw: DataFrame) -> DataFrame:
 
 def dedupe_member(df: DataFrame) -> DataFrame:
     # keyed on household and index only: a later round replaces the roster (Q4)
-    return dedupe_latest(df, ["household_id", "member_index"], LOAD_ORDER,
-                         tie_breakers=MEMBER_TIE_BREAKERS)
+    return _latest(df, ["household_id", "member_index"], MEMBER_TIE_BREAKERS)
 
 
 def flags_member(df: DataFrame, accepted_households: DataFrame, accepted_submissions: DataFrame) -> DataFrame:
@@ -249,20 +254,19 @@ def standardise_water_point(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.trim(F.col("water_point_id").try_cast("string")).alias("water_point_id"),
         F.trim(F.col("submission_id").try_cast("string")).alias("submission_id"),
-        F.col("ward_id").try_cast("long").alias("ward_id"),
-        # a hard cast in the source; values out of decimal(10,2) fail there
-        F.col("distance_minutes").cast("decimal(10,2)").alias("distance_minutes"),
+        C.try_number("ward_id").alias("ward_id"),
+        # a hard cast in the source, which fails there; here a value out of range is NULL and flagged
+        F.col("distance_minutes").try_cast("decimal(10,2)").alias("distance_minutes"),
         F.col("gps_lat").try_cast("double").alias("gps_lat"),
         F.col("gps_lon").try_cast("double").alias("gps_lon"),
         C.canonical_text("source_type").alias("source_type"),
-        F.col("functional").try_cast("boolean").alias("water_source_functional"),
+        C.try_boolean("functional").alias("water_source_functional"),
         *_audit_std(),
     )
 
 
 def dedupe_water_point(df: DataFrame) -> DataFrame:
-    return dedupe_latest(df, ["water_point_id", "submission_id"], LOAD_ORDER,
-                         tie_breakers=WATER_POINT_TIE_BREAKERS)
+    return _latest(df, ["water_point_id", "submission_id"], WATER_POINT_TIE_BREAKERS)
 
 
 def flags_water_point(df: DataFrame, accepted_submissions: DataFrame) -> DataFrame:

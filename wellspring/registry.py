@@ -51,7 +51,7 @@ _MODELS: dict = {}
 
 
 def model(spark, sf_dir: str, name: str, build):
-    key = (id(spark), sf_dir.rstrip("/"), name)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     if key not in _MODELS:
         _MODELS[key] = build()
     return _MODELS[key]
@@ -245,7 +245,11 @@ def q_mon_rejection_rate(spark, sf_dir):
     return MON.rejection_rate_day(_built(spark, sf_dir).staged)
 
 
-QUERIES["rejection_rate_join"] = QUERIES["mon_rejection_rate_day"]
+@query("rejection_rate_join")
+def q_rejection_rate_join(spark, sf_dir):
+    """The rate from the two count tables, joined by model and day."""
+    st = _built(spark, sf_dir).staged
+    return MON.rejection_rate_join(MON.total_by_model_day(st), MON.rejections_by_model_day(st))
 
 
 @query("mon_rejection_by_reason_day")
@@ -428,6 +432,31 @@ def q_singular_range(spark, sf_dir):
     return scd2.valid_range_violations(_snapshots(spark, sf_dir)[1], "household_id")
 
 
+def _planted(spark, sf_dir):
+    """The snapshot with violations planted for some households."""
+    snap = _snapshots(spark, sf_dir)[1]
+    now = snap.where(F.col("dbt_valid_to").isNull())
+    key = F.col("household_id").cast("long")
+    second = now.where(key % 7 == 0).withColumn("dbt_valid_from", F.timestamp_add("HOUR", F.lit(1), F.col("dbt_valid_from")))
+    reversed_ = now.where(key % 11 == 0).withColumn("dbt_valid_to", F.timestamp_add("DAY", F.lit(-1), F.col("dbt_valid_from")))
+    return snap.unionByName(second).unionByName(reversed_)
+
+
+@query("singular_one_current_row_planted")
+def q_singular_one_current_planted(spark, sf_dir):
+    return scd2.one_current_row_violations(_planted(spark, sf_dir), "household_id")
+
+
+@query("singular_no_overlapping_windows_planted")
+def q_singular_overlap_planted(spark, sf_dir):
+    return scd2.overlapping_window_violations(_planted(spark, sf_dir), "household_id")
+
+
+@query("singular_valid_range_planted")
+def q_singular_range_planted(spark, sf_dir):
+    return scd2.valid_range_violations(_planted(spark, sf_dir), "household_id")
+
+
 @query("having_count")
 def q_having_count(spark, sf_dir):
     from .operators.relational import having_count
@@ -445,7 +474,9 @@ def survey_frames(spark, sf_dir) -> dict:
     from .operators.relational import asof_join
     enriched = asof_join(full.fact.select(*marts.ENRICHED_FACT_COLUMNS), snap, "household_id", "submitted_at",
                          "dbt_valid_from", "dbt_valid_to", marts.ENRICHED_DIM_COLUMNS)
+    _, land = _landing(spark, sf_dir)
     return {
+        "landing": land, "ext_kobo_source_flattened": L.flatten(L.split_corrupt(land)[0]),
         "raw_kobo_submission": raw.submissions, "raw_kobo_household": raw.households,
         "raw_kobo_member": raw.members, "raw_kobo_waterpoint": raw.water_points,
         "stg_kobo_submission": st.submission.accepted, "stg_kobo_household": st.household.accepted,
@@ -552,6 +583,11 @@ def q_json_path_cast(spark, sf_dir):
     return _landing_raw(spark, sf_dir).submissions
 
 
+@query("raw_household_model")
+def q_raw_household_model(spark, sf_dir):
+    return _landing_raw(spark, sf_dir).households
+
+
 @query("audit_columns")
 def q_audit_columns(spark, sf_dir):
     return _landing_raw(spark, sf_dir).households.select("household_id", "submission_id", "_loaded_at",
@@ -578,48 +614,63 @@ def q_child_parent_keys(spark, sf_dir):
 
 
 # ------------------------------------------------------------- streaming ---
+LINES = {"glob": "part-*", "whole_files": False}  # test files hold one document per line
+FILES, FILES_PER_TRIGGER = 9, 3
+
+
 def _write_landing_files(spark, sf_dir) -> str:
     docs = L.landing_documents(spark, sf_dir)
     src = SC.scratch_path(spark, "landing-src")
-    docs.unionByName(corrupt_copies(docs)).select(F.col("json").alias("value")).write.text(src)
+    both = docs.unionByName(corrupt_copies(docs)).repartition(FILES, "doc_key")
+    both.select(F.col("json").alias("value")).write.text(src)
     return src
 
 
-@query("landing_ingest")
-def q_landing_ingest(spark, sf_dir):
-    """Stream ingest of landing files (run twice: the second run adds nothing), flattened."""
+def _ingested(spark, sf_dir) -> I.TableStore:
+    """Landing tables after three triggers, a run without new files, and all batches replayed from a lost checkpoint."""
     src = _write_landing_files(spark, sf_dir)
     store = I.TableStore(spark, SC.scratch_path(spark, "landing"))
-    ckpt = SC.scratch_path(spark, "landing-ckpt")
-    S.ingest_landing(spark, src, ckpt, store, glob="part-*")
-    S.ingest_landing(spark, src, ckpt, store, glob="part-*")
-    return L.flatten(S.read_landing(store)).select(*EXT_COLUMNS)
+    kept, lost = SC.scratch_path(spark, "landing-ckpt"), SC.scratch_path(spark, "landing-ckpt")
+    for checkpoint in (kept, kept, lost):
+        S.ingest_landing(spark, src, checkpoint, store, max_files=FILES_PER_TRIGGER, **LINES)
+    return store
+
+
+@query("landing_ingest")
+def q_landing_ingest(spark, sf_dir):
+    """Stream ingest of landing files, each once, flattened."""
+    return L.flatten(S.read_landing(_ingested(spark, sf_dir))).select(*EXT_COLUMNS)
+
+
+@query("landing_ingest_corrupt")
+def q_landing_ingest_corrupt(spark, sf_dir):
+    """Records that the stream split off."""
+    return _ingested(spark, sf_dir).read("landing_corrupt").select("payload_text")
 
 
 @query("stream_increment")
 def q_stream_increment(spark, sf_dir):
-    """Ward-day KPI after the streamed landing files ran through foreachBatch increments."""
+    """Ward-day KPI after the streamed landing files ran through a foreachBatch increment."""
     src = _write_landing_files(spark, sf_dir)
     store = I.TableStore(spark, SC.scratch_path(spark, "stream"))
-    S.stream_increment(spark, src, SC.scratch_path(spark, "stream-ckpt"), store, SC.AS_OF, glob="part-*")
+    S.stream_increment(spark, src, SC.scratch_path(spark, "stream-ckpt"), store, SC.AS_OF, **LINES)
     return store.read("fact_agg_safe_drinking_ward_day")
 
 
 @query("stream_dedupe")
 def q_stream_dedupe(spark, sf_dir):
+    """Latest submission per id over three triggers."""
     src = _write_landing_files(spark, sf_dir)
     store = I.TableStore(spark, SC.scratch_path(spark, "dedupe"))
-    S.stream_dedupe(spark, src, SC.scratch_path(spark, "dedupe-ckpt"), store, glob="part-*")
+    S.stream_dedupe(spark, src, SC.scratch_path(spark, "dedupe-ckpt"), store, max_files=FILES_PER_TRIGGER, **LINES)
     return store.read("submission_latest")
 
 
 @query("late_data_window")
 def q_late_data_window(spark, sf_dir):
-    """Daily event counts per type from the events stream, watermark 30 days."""
+    """Daily event counts per type from the events stream, read in place."""
     store = I.TableStore(spark, SC.scratch_path(spark, "windows"))
-    events_dir = SC.scratch_path(spark, "events-src")
-    spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").write.parquet(events_dir)
-    S.windowed_counts(spark, events_dir, SC.scratch_path(spark, "windows-ckpt"), store)
+    S.windowed_counts(spark, f"{sf_dir.rstrip('/')}/events.parque[t]", SC.scratch_path(spark, "windows-ckpt"), store)
     return store.read("event_windows")
 
 
@@ -630,11 +681,17 @@ from .sources.tables import table as _table  # noqa: E402
 @query("try_cast")
 def q_try_cast(spark, sf_dir):
     """NULL instead of an error for text that does not cast (ids, numbers, times)."""
+    from .functions.columns import try_boolean, try_number
     o = _table(spark, sf_dir, "orders")
     return o.select(
         F.col("o_orderkey").cast("string").try_cast("long").alias("submission_key"),
         F.substring("o_orderpriority", 1, 1).try_cast("long").alias("priority_rank"),
         F.col("o_orderpriority").try_cast("long").alias("priority_as_number"),
+        try_number(F.concat(F.col("o_orderkey"), F.lit(".5"))).alias("half_up"),
+        try_number(F.concat(F.lit("-"), F.col("o_orderkey"), F.lit(".5"))).alias("half_down"),
+        try_number(F.concat(F.col("o_orderkey"), F.lit(".4"))).alias("below_half"),
+        try_number(F.concat(F.lit("9" * 24), F.lit("."), F.col("o_orderkey") % 10)).alias("over_range"),
+        try_boolean(F.element_at(F.array(*map(F.lit, ("on", "off", " Yes", "maybe"))), (F.col("o_orderkey") % 4 + 1).cast("int"))).alias("flag_text"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").try_cast("timestamp_ntz").alias("iso_time"),
         F.concat(F.date_format("o_orderdate", "dd-MM-yyyy"), F.lit(" 10:00")).try_cast("timestamp_ntz")
          .alias("day_first_time"))

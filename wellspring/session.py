@@ -7,6 +7,7 @@ our own when it is unset (local runs and tests).
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -49,17 +50,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
-    Uses ``spark.checkpoint.dir`` when the cluster sets it; otherwise (local
-    runs) creates a fresh temporary folder and registers it.
+    Uses ``spark.checkpoint.dir`` when the session sets it. Without one, a
+    local master gets a fresh temporary folder; any other master is an error,
+    since executors would each write to their own disk.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if d:
-        return d.rstrip("/")
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="wellspring-ckpt-")
-    sc.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return sc.getCheckpointDir().rstrip("/")
 
 
@@ -85,14 +87,3 @@ def materializer(spark: SparkSession, tag: str = "stage"):
         return spark.read.parquet(path)
 
     return write
-
-
-def persisted(df):
-    """Keep a frame that several branches of one plan read (memory, spilling to disk).
-
-    Lost blocks are recomputed from lineage, so this survives executor loss;
-    it only saves recomputing the same chain in each branch.
-    """
-    from pyspark import StorageLevel
-
-    return df.persist(StorageLevel.MEMORY_AND_DISK)

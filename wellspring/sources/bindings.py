@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.valuesets import FORM_ID, FORM_VERSION, WATER_FILTER_TYPES, WATER_SOURCES
-from .tables import bounded_broadcast, table
+from .tables import table
 
 # Value lists the binding cycles through: the canonical sets plus one
 # non-canonical label each (and a blank for water points).
@@ -50,12 +50,11 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ward / municipality / district per nation key (25 rows in TPC-H)."""
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = n.join(bounded_broadcast(r, 10_000), n.n_regionkey == r.r_regionkey, "left").select(
+    return n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
         F.col("n_nationkey").cast("long").alias("_ward"),
         F.col("n_name").alias("_municipality"),
         F.col("r_name").alias("_district"),
     )
-    return bounded_broadcast(geo, 10_000)
 
 
 def order_context(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import audit_columns
+from ..functions.columns import audit_columns, try_boolean, try_number
 from ..functions.valuesets import FORM_ID, FORM_VERSION
 from .bindings import RawFrames, order_context, pick, POINT_TYPE_CYCLE, FILTER_CYCLE, SOURCE_CYCLE
 from .tables import table
@@ -137,7 +137,12 @@ def split_corrupt(landing: DataFrame, text_col: str = "payload_text"):
 
 
 def vget(v: str | Column, path: str, typ: str) -> Column:
+    """Typed value at a path, NULL where it does not cast; whole numbers and booleans also from text."""
     c = F.col(v) if isinstance(v, str) else v
+    if typ == "long":
+        return try_number(F.try_variant_get(c, path, "string"))
+    if typ == "boolean":
+        return try_boolean(F.try_variant_get(c, path, "string"))
     return F.try_variant_get(c, path, typ)
 
 

@@ -1,13 +1,13 @@
 """Readers for the driver's parquet tables.
 
 Reads are lazy: Catalyst prunes columns and pushes filters into the parquet
-scan, so callers just select what they need.
+scan, so callers just select what they need. Splits, join strategies and
+broadcasts are left to Spark's statistics and adaptive execution.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -16,32 +16,8 @@ TABLES = (
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Read a driver table.
-
-    With ``spread``, an input that yields fewer scan splits than the cluster
-    has cores (a small file with one row group) is redistributed round-robin
-    right after the scan, so the narrow work that follows (projections,
-    broadcast joins, partial aggregation and top-1) runs on every core.
-    Large inputs already scan in many splits and are left alone, so no
-    extra shuffle is added at scale. Column pruning and filters still reach
-    the scan through the repartition.
-    """
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read a driver table."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if cores > 1 and df.rdd.getNumPartitions() * 2 <= cores and name in ("orders", "lineitem"):
-            df = df.repartition(cores)
-    return df
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
-
-    The check runs a bounded ``limit(max_rows + 1).count()``; above the bound
-    the frame is returned unchanged and the planner keeps a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

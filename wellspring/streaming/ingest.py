@@ -1,12 +1,14 @@
 """Structured Streaming: landing file ingest and the micro-batch increment.
 
-``ingest_landing`` reads new JSON-lines files as they arrive (file source,
-each file once, tracked by the checkpoint), splits unparseable records to
-a corrupt side table and appends the good ones to the landing table.
+``ingest_landing`` reads new JSON files as they arrive (file source, each file
+once, tracked by the checkpoint), splits unparseable records to a corrupt side
+table and appends the good ones to the landing table. Every append is named by
+its micro-batch, so a batch that is replayed replaces its own rows.
 ``stream_increment`` runs the incremental build for every micro-batch via
-``foreachBatch``; it is idempotent because every model is an upsert.
-Window functions such as ``row_number`` are not supported on streams, so
-de-duplication happens inside ``foreachBatch`` on the static batch.
+``foreachBatch``. Window functions such as ``row_number`` are not supported on
+streams, so de-duplication happens inside ``foreachBatch`` on the static batch.
+``max_files`` bounds the files of one micro-batch; results don't depend on it,
+except where an increment's own load and event windows do.
 ``trigger(availableNow=True)`` processes what is there and stops.
 """
 
@@ -15,17 +17,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.incremental import TableStore, upsert
+from ..operators.incremental import TableStore
 from ..plans.increment import run_increment
 from ..plans.staging import dedupe_submission, standardise_submission
 from ..sources.landing import flatten, raw_from_flat, split_corrupt
 
 
-def landing_stream(spark: SparkSession, src_dir: str, glob: str = "*.json") -> DataFrame:
-    """Streaming landing rows: payload VARIANT, raw text, source file, ingest time."""
-    lines = (spark.readStream.format("text").option("pathGlobFilter", glob)
-             .load(src_dir))
-    return lines.select(
+def landing_stream(spark: SparkSession, src_dir: str, glob: str = "*.json", whole_files: bool = True,
+                   max_files: int | None = None) -> DataFrame:
+    """Streaming landing rows: payload VARIANT, raw text, source file, ingest time.
+
+    ``whole_files``: a file is one document, however it is laid out; otherwise
+    each line is one. ``src_dir`` is the landing prefix (``.../raw``), read with
+    its sub-folders.
+    """
+    reader = (spark.readStream.format("text").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+              .option("wholetext", str(whole_files).lower()))
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.load(src_dir).select(
         F.try_parse_json(F.col("value")).alias("payload"),
         F.col("value").alias("payload_text"),
         F.col("_metadata.file_path").alias("file_name"),
@@ -33,88 +43,100 @@ def landing_stream(spark: SparkSession, src_dir: str, glob: str = "*.json") -> D
     )
 
 
-def ingest_landing(spark: SparkSession, src_dir: str, checkpoint: str, store: TableStore,
-                   glob: str = "*.json", max_files_per_trigger: int | None = None) -> None:
-    """Append new files' records to ``landing`` (corrupt ones to ``landing_corrupt``); run to completion."""
-    stream = landing_stream(spark, src_dir, glob)
+def _run(stream: DataFrame, batch, checkpoint: str) -> None:
+    (stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
 
-    def batch(df: DataFrame, batch_id: int) -> None:
-        good, bad = split_corrupt(df)
-        store.append("landing", good.drop("payload_text").withColumn("payload", F.col("payload").cast("string")))
-        store.append("landing_corrupt", bad.drop("payload"))
 
-    w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
-    if max_files_per_trigger:
-        w = w.option("maxFilesPerTrigger", max_files_per_trigger)
-    w.trigger(availableNow=True).start().awaitTermination()
+def land_batch(store: TableStore, df: DataFrame, batch_id: int) -> None:
+    """Append one micro-batch to ``landing`` and ``landing_corrupt``."""
+    good, bad = split_corrupt(df)
+    store.append("landing", good.drop("payload_text"), batch=str(batch_id))
+    store.append("landing_corrupt", bad.drop("payload"), batch=str(batch_id))
+
+
+def ingest_landing(spark: SparkSession, src_dir: str, checkpoint: str, store: TableStore, glob: str = "*.json",
+                   whole_files: bool = True, max_files: int | None = None) -> None:
+    """Append new files' records to ``landing`` (corrupt ones to ``landing_corrupt``); run to completion."""
+    stream = landing_stream(spark, src_dir, glob, whole_files, max_files)
+    _run(stream, lambda df, batch_id: land_batch(store, df, batch_id), checkpoint)
 
 
 def read_landing(store: TableStore) -> DataFrame | None:
-    """The landing table with ``payload`` back as VARIANT."""
-    df = store.read("landing")
-    return None if df is None else df.withColumn("payload", F.parse_json(F.col("payload")))
+    """The landing table (``payload`` is stored as VARIANT)."""
+    return store.read("landing")
 
 
 def stream_increment(spark: SparkSession, src_dir: str, checkpoint: str, store: TableStore, as_of,
-                     glob: str = "*.json") -> None:
-    """For each micro-batch of landing records: flatten, then one incremental build."""
-    stream = landing_stream(spark, src_dir, glob)
+                     glob: str = "*.json", whole_files: bool = True, max_files: int | None = None) -> None:
+    """For each micro-batch of landing records: land it, flatten, then one incremental build."""
+    stream = landing_stream(spark, src_dir, glob, whole_files, max_files)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        good, bad = split_corrupt(df)
-        store.append("landing_corrupt", bad.drop("payload"))
-        run_increment(store, raw_from_flat(flatten(good)), as_of)
+        land_batch(store, df, batch_id)
+        landed = store.read_batch("landing", str(batch_id))
+        run_increment(store, raw_from_flat(flatten(landed)), as_of, batch=str(batch_id))
 
-    (stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
-     .trigger(availableNow=True).start().awaitTermination())
+    _run(stream, batch, checkpoint)
 
 
-def stream_dedupe(spark: SparkSession, src_dir: str, checkpoint: str, store: TableStore,
-                  glob: str = "*.json") -> None:
-    """Latest submission per id across micro-batches (dedupe in the batch, then upsert)."""
-    stream = landing_stream(spark, src_dir, glob)
+def latest_submissions(store: TableStore, landed: DataFrame) -> None:
+    """Merge a batch's latest submission per id into ``submission_latest``.
+
+    Whichever of (stored, new) comes first under the dedupe's total order
+    stays; a NULL id is one key, as in the dedupe's window.
+    """
+    subs = dedupe_submission(standardise_submission(raw_from_flat(flatten(landed)).submissions))
+    current = store.read("submission_latest")
+    if current is None:
+        store.publish("submission_latest", subs)
+        return
+    keys = subs.select(F.col("submission_id").alias("__id"))
+    same = F.col("submission_id").eqNullSafe(F.col("__id"))
+    touched = current.join(keys, same, "left_semi")
+    merged = dedupe_submission(touched.unionByName(subs))
+    store.publish("submission_latest", current.join(keys, same, "left_anti").unionByName(merged))
+
+
+def stream_dedupe(spark: SparkSession, src_dir: str, checkpoint: str, store: TableStore, glob: str = "*.json",
+                  whole_files: bool = True, max_files: int | None = None) -> None:
+    """Latest submission per id across micro-batches (dedupe in the batch, then merge)."""
+    stream = landing_stream(spark, src_dir, glob, whole_files, max_files)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        good, _ = split_corrupt(df)
-        subs = dedupe_submission(standardise_submission(raw_from_flat(flatten(good)).submissions))
-        current = store.read("submission_latest")
-        if current is not None:
-            # keep whichever of (stored, new) is newer under the same ordering
-            both = current.unionByName(subs)
-            subs_keys = subs.select("submission_id")
-            merged = dedupe_submission(both.join(subs_keys, "submission_id", "left_semi"))
-            store.publish("submission_latest", upsert(current, merged, ["submission_id"]))
-        else:
-            store.publish("submission_latest", subs)
+        land_batch(store, df, batch_id)
+        latest_submissions(store, store.read_batch("landing", str(batch_id)))
 
-    (stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
-     .trigger(availableNow=True).start().awaitTermination())
+    _run(stream, batch, checkpoint)
 
 
-def windowed_counts(spark: SparkSession, events_dir: str, checkpoint: str, store: TableStore,
-                    watermark: str = "30 days", window: str = "1 day") -> None:
-    """Late-data aware daily counts per event type from the ``events`` stream.
+def windowed_counts(spark: SparkSession, events_path: str, checkpoint: str, store: TableStore, window: str = "day",
+                    max_files: int | None = None) -> None:
+    """Late-data aware counts per window and event type from the ``events`` stream.
 
-    The watermark bounds state; rows older than it are dropped by Spark.
-    Update-mode results are upserted per micro-batch, so the table holds the
-    latest value of every window.
+    Each micro-batch is stored, then every window it falls in is computed again
+    from the stored rows and upserted. A row is never too late, and no state is
+    held between batches. ``events_path`` may be a glob.
     """
-    schema = spark.read.parquet(events_dir).schema
-    tz = spark.conf.get("spark.sql.session.timeZone")
-    ev = spark.readStream.schema(schema).parquet(events_dir)
-    # watermarks need TIMESTAMP; map the wall clock to the same UTC instant so
-    # day windows start at wall-clock midnight whatever the session zone
-    ev = ev.withColumn("event_time", F.from_utc_timestamp(F.col("ts").cast("timestamp"), tz))
-    agg = (ev.withWatermark("event_time", watermark)
-           .groupBy(F.window("event_time", window).alias("w"), "event_type")
-           .agg(F.count(F.lit(1)).cast("long").alias("n_events"),
-                F.sum(F.col("value").cast("decimal(18,2)")).alias("total_value")))
-    wall = lambda c: F.to_utc_timestamp(F.col(c), tz).cast("timestamp_ntz")
-    agg = agg.select(wall("w.start").alias("window_start"), wall("w.end").alias("window_end"),
-                     "event_type", "n_events", "total_value")
+    reader = spark.readStream.schema(spark.read.parquet(events_path).schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        store.upsert("event_windows", df, ["window_start", "event_type"])
-
-    (agg.writeStream.outputMode("update").foreachBatch(batch).option("checkpointLocation", checkpoint)
-     .trigger(availableNow=True).start().awaitTermination())
+        start = F.date_trunc(window, F.col("ts")).cast("timestamp_ntz")
+        rows = df.withColumn("window_start", start)
+        stored = store.append("events", rows, batch=str(batch_id))
+        touched = store.read_batch("events", str(batch_id)).select("window_start", "event_type").distinct()
+        store.upsert("event_windows", window_totals(stored.join(touched, ["window_start", "event_type"], "left_semi"), window),
+                     ["window_start", "event_type"])
+
+    _run(reader.parquet(events_path), batch, checkpoint)
+
+
+def window_totals(rows: DataFrame, window: str) -> DataFrame:
+    """Counts and value totals per window_start and event type."""
+    end = F.timestamp_add(window.upper(), F.lit(1), F.col("window_start"))
+    return rows.groupBy("window_start", "event_type").agg(
+        F.count(F.lit(1)).cast("long").alias("n_events"),
+        F.sum(F.col("value").cast("decimal(18,2)")).alias("total_value"),
+    ).select("window_start", end.alias("window_end"), "event_type", "n_events", "total_value")
