@@ -21,8 +21,9 @@ Groups. Documents of equal sets are one vertex. In each round every long list
 proposes only links between its pivot and members of other components, which
 are verified on the whole sets and merged; large groups of near copies collapse
 without their pairs being listed. After the rounds, all remaining candidate
-pairs between different components are listed and verified, so no link between
-components is lost. There is no cap on lists, candidates or partners. Whole
+pairs between different components are listed, without their sets; each set
+tries one partner at a time for some rounds, and then all pairs still between
+different components are verified, so no link between components is lost. There is no cap on lists, candidates or partners. Whole
 sets are made again from the texts, for those documents alone that some
 candidate pair can have.
 
@@ -268,9 +269,21 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     for r in range(p.rounds):
         links = work.write(_verified(_star_pairs(lists, comp, r, p), sets, p), f"links-{r}")
         comp = _merged(comp, links, work, f"round-{r}")
-    links = work.write(_verified(_remaining_pairs(lists, comp, p, work), sets, p), "links-rest")
-    comp = _merged(comp, links, work, "rest")
-    work.drop("lists", "sets", "named", *(f"links-{r}" for r in range(p.rounds)))
+    work.settle()
+
+    pairs = work.write(_remaining_pairs(lists, comp, p, work), "pairs-0")
+    for r in range(p.rounds + 1):
+        # one partner of each set first, then, between components that are left, all pairs
+        tried = pairs.groupBy("b").agg(F.min("a").alias("a")) if r < p.rounds else pairs
+        tried = work.write(tried.select("a", "b"), f"tried-{r}")
+        links = work.write(_verified(tried, sets, p), f"pair-links-{r}")
+        comp = _merged(comp, links, work, f"pairs-{r}")
+        work.settle()
+        if r < p.rounds:
+            left = pairs.join(tried, ["a", "b"], "left_anti").join(comp.select(F.col("sig").alias("a"), F.col("comp").alias("ca")), "a")
+            left = left.join(comp.select(F.col("sig").alias("b"), F.col("comp").alias("cb")), "b").where("ca <> cb")
+            pairs = work.write(left.select("a", "b"), f"pairs-{r + 1}")
+    work.drop("lists", "sets", "named")
 
     first = first.join(comp, "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
     least = first.groupBy("comp").agg(F.min("id").alias("component_id"))
