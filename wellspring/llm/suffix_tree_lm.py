@@ -42,7 +42,7 @@ from wellspring.llm.shared import Workspace
 
 _END, _START = np.uint64(0x5BD1E9955BD1E995), np.uint64(0x27D4EB2F165667C5)
 _FACTOR = (np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))
-_HELD = 2_000_000
+_HELD = 1_000_000
 
 
 @dataclass(frozen=True)
