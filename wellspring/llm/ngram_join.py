@@ -15,7 +15,8 @@ its first n - ceil(t*n) + m shingles are indexed, partners share at least m of
 them. Each document chooses m (1 to max_match) with the least estimated cost:
 the sketched lengths of the lists its longer prefix meets, plus verification of
 the candidates that m matches leave. Two documents become candidates when they
-share min(m1, m2) prefix shingles.
+share min(m1, m2) prefix shingles and the place of the first one they share
+leaves room for enough overlap.
 
 Groups. Documents of equal sets are one vertex. In each round every long list
 proposes only links between its pivot and members of other components, which
@@ -48,6 +49,7 @@ from wellspring.llm.components import components
 from wellspring.llm.shared import Workspace
 
 _CHUNK = 1 << 16
+_MEMBER = ("sig", "n", "matches", "pos", "tail")
 
 
 @dataclass(frozen=True)
@@ -152,7 +154,7 @@ def choose_prefix(order_est: np.ndarray, n: int, p: JoinParams) -> tuple[int, in
 
 
 def _index(docs: DataFrame, text_col: str, sketch: np.ndarray, p: JoinParams) -> DataFrame:
-    """(token, sig, n, matches, salt, hot): the prefix shingles of every non-empty document."""
+    """(token, sig, n, matches, pos, salt, hot): the prefix shingles of every non-empty document, pos in their order."""
     noise = max(1.0, float(np.median(sketch)))
     hot_from = max(p.split_rows, 8 * noise)
     shared = docs.sparkSession.sparkContext.broadcast(sketch.astype(np.float32))
@@ -167,7 +169,7 @@ def _index(docs: DataFrame, text_col: str, sketch: np.ndarray, p: JoinParams) ->
                 est = est_all[value >> np.uint64(64 - p.sketch_bits)]
                 rank = np.where(est > 2 * noise, np.log2(np.maximum(est / noise, 1)).astype(np.int8) + 1, 0)
                 lists = np.maximum(est - noise, 0)
-                picked, sizes, matches, salts, rows = [], [], [], [], []
+                picked, sizes, matches, places, salts, rows = [], [], [], [], [], []
                 for i in range(part.num_rows):
                     lo, hi = cut[i], cut[i + 1]
                     if lo == hi:
@@ -178,6 +180,7 @@ def _index(docs: DataFrame, text_col: str, sketch: np.ndarray, p: JoinParams) ->
                     rows.append(np.full(length, i))
                     sizes.append(np.full(length, hi - lo))
                     matches.append(np.full(length, m))
+                    places.append(np.arange(length))
                     salts.append(np.full(length, turn & 63))
                     turn += 1
                 if not picked:
@@ -190,13 +193,14 @@ def _index(docs: DataFrame, text_col: str, sketch: np.ndarray, p: JoinParams) ->
                         pa.array(sig[np.concatenate(rows)]),
                         pa.array(np.concatenate(sizes).astype(np.int32)),
                         pa.array(np.concatenate(matches).astype(np.int8)),
+                        pa.array(np.concatenate(places).astype(np.int32)),
                         pa.array(np.where(hot, np.concatenate(salts), 0).astype(np.int8)),
                         pa.array(hot),
                     ],
-                    names=["token", "sig", "n", "matches", "salt", "hot"],
+                    names=["token", "sig", "n", "matches", "pos", "salt", "hot"],
                 )
 
-    return docs.select(text_col).mapInArrow(run, "token long, sig long, n int, matches byte, salt byte, hot boolean")
+    return docs.select(text_col).mapInArrow(run, "token long, sig long, n int, matches byte, pos int, salt byte, hot boolean")
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, p: JoinParams) -> DataFrame:
@@ -294,14 +298,21 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def _write_lists(docs: DataFrame, text_col: str, sketch: np.ndarray, p: JoinParams, work: Workspace) -> None:
-    """Table ``lists``: (token, sig, n, matches, df) of the prefix shingles that several sets have."""
+    """Table ``lists``: (token, sig, n, matches, pos, df, tail) of the prefix shingles that several sets have.
+
+    tail: how many shingles of the set stand from its first one with a long
+    list on; null if it has none. Sets that share long lists alone can't have
+    more in common than the smaller of their tails.
+    """
     index = _index(docs, text_col, sketch, p)
     met = index.withColumn("c", F.count("*").over(Window.partitionBy("token", "salt"))).where("c > 1 or hot")
-    met = work.write(met.select("token", "sig", "n", "matches").distinct(), "met")
+    met = work.write(met.select("token", "sig", "n", "matches", "pos").distinct(), "met")
     work.settle()
     several = met.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    work.write(met.join(several, "token"), "lists")
-    work.drop("met")
+    lists = work.write(met.join(several, "token"), "counted")
+    tails = lists.where(F.col("df") > p.star_from).groupBy("sig").agg((F.first("n") - F.min("pos")).alias("tail"))
+    work.write(lists.join(tails, "sig", "left"), "lists")
+    work.drop("met", "counted")
 
 
 def _wanted(lists: DataFrame, p: JoinParams) -> DataFrame:
@@ -310,18 +321,36 @@ def _wanted(lists: DataFrame, p: JoinParams) -> DataFrame:
     Pairs of lists up to ``star_from`` are few and counted here; every set with
     a longer list is wanted, so that those lists' pairs need no counting.
     """
-    long = lists.where(F.col("df") > p.star_from).select("sig")
-    one, two = (lists.where(F.col("df") <= p.star_from).select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("sig", "n", "matches"))) for s in "ab")
-    pairs = _enough(one.join(two, "token").where((F.col("sig_a") < F.col("sig_b")) & _sizes_fit("n_a", "n_b", p)))
+    long = lists.where(F.col("tail").isNotNull()).select("sig")
+    one, two = (lists.where(F.col("df") <= p.star_from).select("token", *(F.col(c).alias(f"{c}_{s}") for c in _MEMBER)) for s in "ab")
+    pairs = _enough(one.join(two, "token").where((F.col("sig_a") < F.col("sig_b")) & _sizes_fit("n_a", "n_b", p)), p)
     return long.unionByName(pairs.select(F.explode(F.array("a", "b")).alias("sig"))).distinct()
 
 
-def _enough(met: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share as many prefix shingles as the one with fewer matches asks for."""
+def _overlap_fits(most: F.Column, n_a: str | F.Column, n_b: str | F.Column, p: JoinParams) -> F.Column:
+    """Whether sets of these sizes with at most so much in common can be similar enough."""
+    size = (F.col(n_a) if isinstance(n_a, str) else n_a) + (F.col(n_b) if isinstance(n_b, str) else n_b)
+    return (100 + p.threshold) * most >= p.threshold * size
+
+
+def _enough(met: DataFrame, p: JoinParams) -> DataFrame:
+    """Candidate pairs (a, b) among the shared prefix shingles.
+
+    A pair must share as many as the set with fewer matches asks for. Where it
+    has long lists that were not listed (tails too small), what they share
+    there is unknown and one shared shingle is enough. In both cases the first
+    one they share (the order is the same for all sets) bounds their overlap.
+    """
+    tails = F.least(F.first("tail_a"), F.first("tail_b"))
+    listed = F.first("tail_a").isNull() | F.first("tail_b").isNull() | _overlap_fits(tails, F.first("n_a"), F.first("n_b"), p)
     pairs = met.groupBy(F.col("sig_a").alias("a"), F.col("sig_b").alias("b")).agg(
-        F.count("*").alias("shared"), F.least(F.first("matches_a"), F.first("matches_b")).alias("need")
+        F.count("*").alias("shared"),
+        F.when(listed, F.least(F.first("matches_a"), F.first("matches_b"))).otherwise(1).alias("need"),
+        F.least(F.first("n_a") - F.min("pos_a"), F.first("n_b") - F.min("pos_b")).alias("most"),
+        F.first("n_a").alias("n_a"),
+        F.first("n_b").alias("n_b"),
     )
-    return pairs.where("shared >= need").select("a", "b")
+    return pairs.where((F.col("shared") >= F.col("need")) & _overlap_fits(F.col("most"), "n_a", "n_b", p)).select("a", "b")
 
 
 def _star_pairs(lists: DataFrame, comp: DataFrame, r: int, p: JoinParams) -> DataFrame:
@@ -335,15 +364,21 @@ def _star_pairs(lists: DataFrame, comp: DataFrame, r: int, p: JoinParams) -> Dat
 
 
 def _remaining_pairs(lists: DataFrame, comp: DataFrame, p: JoinParams, work: Workspace) -> DataFrame:
-    """All candidate pairs between different components, from the components that meet in each list."""
-    named = work.write(lists.join(comp, "sig"), "named")
-    sides = named.groupBy("token", "comp").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
-    left, right = (sides.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("comp", "least_n", "most_n"))) for s in "ab")
-    apart = left.join(right, "token").where(
+    """All candidate pairs between different components, from the components that meet in each list.
+
+    In long lists only those meet whose tails allow enough in common; other
+    pairs share a shingle of a short list too, or are not similar.
+    """
+    named = work.write(lists.join(comp, "sig").withColumn("long", F.col("df") > p.star_from), "named")
+    sides = named.groupBy("token", "long", "comp").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.max("tail").alias("tail"))
+    left, right = (sides.select("token", "long", *(F.col(c).alias(f"{c}_{s}") for c in ("comp", "least_n", "most_n", "tail"))) for s in "ab")
+    apart = left.join(right.drop("long"), "token").where(
         (F.col("comp_a") < F.col("comp_b"))
         & (100 * F.col("most_n_a") >= p.threshold * F.col("least_n_b"))
         & (100 * F.col("most_n_b") >= p.threshold * F.col("least_n_a"))
+        & (~F.col("long") | _overlap_fits(F.least("tail_a", "tail_b"), "least_n_a", "least_n_b", p))
     )
-    one, two = (named.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("comp", "sig", "n", "matches"))) for s in "ab")
-    met = apart.select("token", "comp_a", "comp_b").join(one, ["token", "comp_a"]).join(two, ["token", "comp_b"])
-    return _enough(met.where(_sizes_fit("n_a", "n_b", p)))
+    one, two = (named.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("comp", *_MEMBER))) for s in "ab")
+    met = apart.select("token", "long", "comp_a", "comp_b").join(one, ["token", "comp_a"]).join(two, ["token", "comp_b"])
+    fits = ~F.col("long") | _overlap_fits(F.least("tail_a", "tail_b"), "n_a", "n_b", p)
+    return _enough(met.where(_sizes_fit("n_a", "n_b", p) & fits), p)
