@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_root(spark: SparkSession) -> str:
     """spark.checkpoint.dir; a temporary folder only for a local master without one."""
@@ -33,8 +35,13 @@ class Workspace:
         return f"{self.root}/{name}"
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        schema = df.schema
-        df.write.mode("overwrite").parquet(self.path(name))
+        schema, conf = df.schema, self.spark.conf
+        before = conf.get(_CLEANUP, "false")
+        conf.set(_CLEANUP, "true")  # the table replaces the shuffles that made it
+        try:
+            df.write.mode("overwrite").parquet(self.path(name))
+        finally:
+            conf.set(_CLEANUP, before)
         return self.spark.read.schema(schema).parquet(self.path(name))
 
     def read(self, name: str) -> DataFrame:
