@@ -219,6 +219,71 @@ def test_suffix_tree_empty(no_docs, docs):
     assert all(r.train_tokens == 0 and r.n_known == 0 for r in got)
 
 
+def brute_score(train, p, texts):
+    """Scores under a tree of any depth, by plain counting."""
+    seqs = [[None, *tokens(t), 0] for t in train]
+    count = Counter(tuple(s[i : i + k]) for s in seqs for k in range(1, p.depth + 2) for i in range(len(s) - k + 1))
+    n = sum(len(s) - 1 for s in seqs)
+    distinct = len([q for q in count if len(q) == 1 and q != (None,)])
+    states = {}
+
+    def prob(q):
+        if len(q) == 1:
+            return (count[q] + 1) / (n + distinct + 1)
+        below = prob(q[1:])
+        listed, left = states.get(q[:-1], ({}, 1.0))
+        return listed.get(q[-1], left * below)
+
+    for k in range(1, p.depth + 1):
+        found = defaultdict(dict)
+        for q, c in count.items():
+            if len(q) == k + 1 and c >= p.least_edge and (count[q[:-1]] >= p.least_context or q[:-1] == (None,)):
+                found[q[:-1]][q[-1]] = c
+        new = {}
+        for s, listed in found.items():
+            size, above = count[s], {w: prob((*s[1:], w)) for w in listed}
+            rest = 1 - sum(listed.values()) / size
+            kl = sum(c / size * math.log(c / size / above[w]) for w, c in listed.items())
+            if rest > 0:
+                kl += rest * math.log(rest / max(1 - sum(above.values()), 1e-12))
+            if kl >= p.divergence and kl * size >= p.evidence:
+                left = 1 - sum(c - p.discount for c in listed.values()) / size
+                new[s] = ({w: (c - p.discount) / size + left * above[w] for w, c in listed.items()}, left)
+        states.update(new)
+    out = []
+    for t in texts:
+        s = [None, *tokens(t), 0]
+        out.append(sum(math.log10(prob(tuple(s[max(0, i - p.depth) : i + 1]))) for i in range(1, len(s))))
+    return out, Counter(map(len, states))
+
+
+@pytest.mark.parametrize("depth, near", [(0, 1 << 20), (1, 1 << 20), (3, 1 << 20), (3, 8)])
+def test_suffix_tree_of_any_depth(spark, monkeypatch, depth, near):
+    monkeypatch.setattr(suffix_tree_lm, "_NEAR", near)  # small: most sequences meet their gains in the join
+    r = random.Random(9)
+    phrases = [[f"v{r.randrange(12)}" for _ in range(6)] for _ in range(12)]
+    texts = [(i, " ".join(w for _ in range(r.randrange(5)) for w in [*r.choice(phrases), f"u{r.randrange(40)}"])) for i in range(200)]
+    p = suffix_tree_lm.TreeParams(depth=depth)
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    want, states = brute_score([t for i, t in texts if i % 5], p, [t for _, t in texts])
+    assert all(states[k] > 3 for k in range(1, depth + 1))
+    got = {x.doc_id: x for x in suffix_tree_lm.score(frame, frame.where("doc_id % 5 <> 0"), params=p).collect()}
+    for (i, _), w in zip(texts, want):
+        assert got[i].score == pytest.approx(w, rel=1e-9), i
+
+
+def test_suffix_tree_keeps_a_phrase_at_any_corpus_size(spark):
+    phrase = "quartz lantern meadow harbour"
+    rise = []
+    for filler in (1, 600):
+        texts = [(i, phrase) for i in range(12)] + [(100 + i, "some other words " * 1000) for i in range(filler)]
+        frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+        got = suffix_tree_lm.score(frame.where("doc_id = 0"), frame).first()
+        rise.append((got.train_tokens, got.score - got.base_score))
+    assert rise[0][0] < 4_000 and rise[1][0] > 1_700_000  # 12 is less than 1e-5 of the larger corpus
+    assert rise[1][1] > rise[0][1] > 1
+
+
 def test_shards_are_even_and_keep_groups(spark, docs, rows):
     groups = [(50_000 + i, f"text of group {i % 7} with enough words to make a line of it") for i in range(700)]
     frame = docs.select("doc_id", "text").unionByName(spark.createDataFrame(groups, "doc_id long, text string"))

@@ -1,14 +1,17 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
 Tokens are lower-cased words and one end per text. A context is up to ``depth``
-(1 or 2) tokens, with a start mark before the first. As in the tree's original
-definition, a context is a candidate if its share of all training tokens is at
-least ``context_share``, and a continuation is listed if its share is at least
-``edge_share``; so a level has at most 1 / context_share contexts and
-1 / edge_share continuations whatever the corpus, which bounds what is collected
-and broadcast. All counts are exact and cover all training texts: a longer
-sequence is counted only where its shorter parts are frequent enough, since it
-can't be more frequent than they are.
+tokens, with a start mark before the first. A context is a candidate if it is
+seen at least ``least_context`` times (the start mark always), and a
+continuation is listed if it is seen at least ``least_edge`` times; these floors
+are the same at every size of the corpus, so the tree grows with it. Floors as
+shares of all training tokens (``context_share``, ``edge_share``) are off unless
+asked for. All counts are exact and cover all training texts.
+
+The tree is kept in Spark tables: counts are combined in the tasks, and a level
+is joined with the one before. A longer sequence is counted only where its
+shorter parts may be frequent enough, told from a filter of fixed size whose
+false hits cost rows, never results.
 
 A candidate is retained if its next-token distribution diverges from its
 parent's (the longest retained shorter suffix): Kullback-Leibler divergence of
@@ -18,9 +21,10 @@ Smoothing: P(w|s) = (c(s,w) - d) / c(s) for listed continuations, plus the mass
 left over times P(w|parent); the root is (c + 1) / (N + V + 1). Each
 distribution sums to one. A token is scored from its longest retained suffix.
 
-Words whose share is below ``edge_share`` are listed nowhere, so their
-probability is a product of left-over masses and the root's; their counts, as
-many as the corpus has words, are joined by a shuffle, not broadcast.
+As logarithms this is a sum over a text's sequences of 1 to depth + 1 tokens:
+a listed continuation gives what it adds to its suffix's, a retained context the
+mass left over. At most ``_NEAR`` of the most counted of these gains are
+broadcast; a row's other sequences meet theirs in a join.
 
 Defined results: null and blank texts are one end token; rows with a null id
 are scored and never learned from; without training texts N = V = 0 and every
@@ -30,7 +34,8 @@ token has probability 1; equal rows are scored alike.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,15 +46,18 @@ from wellspring.llm import words as W
 from wellspring.llm.shared import Workspace
 
 _END, _START = np.uint64(0x5BD1E9955BD1E995), np.uint64(0x27D4EB2F165667C5)
-_FACTOR = (np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))
+_FACTOR, _LEVEL = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 _HELD = 1_000_000
+_NEAR = 1 << 20
+_FILTER_WORDS = 1 << 21
+_SLICES = 4
 
 
 @dataclass(frozen=True)
 class TreeParams:
     depth: int = 2
-    context_share: float = 1e-5
-    edge_share: float = 1e-6
+    context_share: float = 0.0
+    edge_share: float = 0.0
     least_context: int = 8
     least_edge: int = 2
     discount: float = 0.75
@@ -62,15 +70,18 @@ def is_held_out(id_col: str, folds: int = 7, fold: int = 2) -> F.Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold, F.lit(True))
 
 
+def _joined(context: np.ndarray, suffix: np.ndarray, level: int) -> np.ndarray:
+    """Key of a sequence with level tokens before the last, from the keys of all but its last and all but its first."""
+    return W.mix(context * _FACTOR + suffix + np.uint64(level) * _LEVEL)
+
+
 @dataclass
 class Tokens:
-    """A chunk's tokens with the one and the two before; row offsets; has_two: two tokens or start and one stand before."""
+    """A chunk's tokens, row offsets, and each token's place in its row."""
 
     token: np.ndarray
-    one: np.ndarray
-    two: np.ndarray
     split: np.ndarray
-    has_two: np.ndarray
+    place: np.ndarray
 
     @staticmethod
     def of(col: pa.Array) -> Tokens:
@@ -78,19 +89,18 @@ class Tokens:
         words = W.find_words(data, offs)
         token = np.insert(W.hash_spans(data, words.start, words.end, lower=True), words.split[1:], _END)
         split = words.split + np.arange(len(words.split))
-        first = split[:-1]
-        one = np.empty_like(token)
-        one[1:] = token[:-1]
-        one[first] = _START
-        two = np.empty_like(token)
-        two[1:] = one[:-1]
-        has_two = np.ones(len(token), dtype=bool)
-        has_two[first] = False
-        return Tokens(token, one, two, split, has_two)
+        return Tokens(token, split, np.arange(len(token)) - np.repeat(split[:-1], np.diff(split)))
 
-
-def _edge(context: np.ndarray, token: np.ndarray, level: int) -> np.ndarray:
-    return W.mix(context * _FACTOR[level - 1] + token)
+    def sequences(self, depth: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Per level from 1: (level, last tokens that have that many tokens or the start before, context, suffix keys)."""
+        key = self.token
+        for level in range(1, depth + 1):
+            at = np.flatnonzero(self.place >= level - 1)
+            context = np.where(self.place[at] > 0, key[at - 1], _START) if level == 1 else key[at - 1]
+            suffix = key[at]
+            yield level, at, context, suffix
+            key = np.zeros_like(key)
+            key[at] = _joined(context, suffix, level)
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -101,48 +111,22 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
-@dataclass
-class Level:
-    """Listed sequences of one length, by sorted hash: context, suffix and count, then what the model needs."""
+def _key_filter(keys: DataFrame, key: str, work: Workspace) -> np.ndarray:
+    """Bloom filter of fixed size: three bits in one of its words for each key."""
+    bits = " | ".join(f"shiftleft(1L, cast(shiftrightunsigned({key}, {n}) & 63 AS int))" for n in (40, 46, 52))
+    words = keys.select(F.expr(f"{key} & {_FILTER_WORDS - 1}L").alias("word"), F.expr(bits).alias("bits"))
+    got = work.write(words.groupBy("word").agg(F.bit_or("bits").alias("bits")), "filter").toArrow()
+    work.drop("filter")
+    out = np.zeros(_FILTER_WORDS, dtype=np.uint64)
+    out[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
+    return out
 
-    key: np.ndarray
-    context: np.ndarray
-    suffix: np.ndarray
-    count: np.ndarray
-    log_p: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    states: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    log_rest: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
-
-@dataclass
-class SuffixTree:
-    """words: frequent words with their root log10 probability; levels: retained contexts and continuations."""
-
-    words: np.ndarray
-    word_count: np.ndarray
-    n_tokens: int
-    n_words: int
-    levels: list[Level]
-
-    def root(self, count: np.ndarray) -> np.ndarray:
-        return np.log10((count + 1) / (self.n_tokens + self.n_words + 1))
-
-    def score(self, t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per token: its place among the frequent words (-1: elsewhere), the root's and the tree's log10 probability; rare words lack their root part."""
-        at = _find(self.words, t.token)
-        base = np.where(at >= 0, self.root(self.word_count)[at], 0.0) if len(self.words) else np.zeros(len(t.token))
-        out = base.copy()
-        context = t.one
-        for depth, level in enumerate(self.levels, 1):
-            if depth == 2:
-                context = _edge(t.two, t.one, 1)
-            state = _find(level.states, context)
-            if depth == 2:
-                state[~t.has_two] = -1
-            inside = np.flatnonzero(state >= 0)
-            edge = _find(level.key, _edge(context[inside], t.token[inside], depth))
-            out[inside] = np.where(edge >= 0, level.log_p[edge] if len(level.key) else 0.0, out[inside] + level.log_rest[state[inside]])
-        return at, base, out
+def _may_have(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    bits = np.zeros(len(keys), dtype=np.uint64)
+    for n in (40, 46, 52):
+        bits |= np.uint64(1) << (keys >> np.uint64(n) & np.uint64(63))
+    return words[(keys & np.uint64(_FILTER_WORDS - 1)).view(np.int64)] & bits == bits
 
 
 class _Counter:
@@ -151,21 +135,21 @@ class _Counter:
     def __init__(self, names: list[str]):
         self.names, self.held, self.size = names, [], 0
 
-    def add(self, *cols: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.held.append(cols)
-        self.size += len(cols[0])
+    def add(self, key: np.ndarray, *cols: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append((key, *cols))
+        self.size += len(key)
         if self.size >= _HELD:
             yield self.flush()
 
     def flush(self) -> pa.RecordBatch:
-        cols = [np.concatenate(x) for x in zip(*self.held)]
-        _, first, count = np.unique(cols[0], return_index=True, return_counts=True)
+        key, *cols = [np.concatenate(x) for x in zip(*self.held)]
+        _, first, count = np.unique(key, return_index=True, return_counts=True)
         self.held, self.size = [], 0
         return pa.RecordBatch.from_arrays([*(pa.array(c[first].view(np.int64)) for c in cols), pa.array(count)], names=[*self.names, "n"])
 
 
 def _counted(texts: DataFrame, text_col: str, names: list[str], keys_of) -> DataFrame:
-    """Sums over all texts of the keys that keys_of(Tokens) gives."""
+    """Sums over all texts of the columns after the key that keys_of(Tokens) gives."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _Counter(names)
@@ -179,157 +163,185 @@ def _counted(texts: DataFrame, text_col: str, names: list[str], keys_of) -> Data
     return texts.select(text_col).mapInArrow(run, schema).groupBy(*names).agg(F.sum("n").alias("n"))
 
 
-def _collected(counts: DataFrame, least: int, names: list[str]) -> list[np.ndarray]:
-    """Columns of the rows with at least that count, in the order of the first as unsigned numbers."""
-    got = counts.where(F.col("n") >= least).toArrow()
-    cols = [got.column(c).to_numpy().view(np.uint64) for c in names]
-    order = np.argsort(cols[0])
-    return [c[order] for c in cols] + [got.column("n").to_numpy()[order]]
-
-
-def _smoothed(level: Level, context_count: np.ndarray, parent_p: np.ndarray, p: TreeParams) -> Level:
-    """Keep the contexts that pass the tests, with probabilities of their continuations."""
-    order = np.argsort(level.context, kind="stable")
-    states, first = np.unique(level.context[order], return_index=True)
-    group = np.repeat(np.arange(len(states)), np.diff([*first, len(order)]))
-    total = np.zeros(len(states))
-    total[group] = context_count[order]
-    n, above = level.count[order], parent_p[order]
-    share = n / total[group]
-    if not len(n):
-        return Level(*(x[:0] for x in (level.key, level.context, level.suffix, level.count)))
-    rest = np.maximum(1 - np.bincount(group, share, len(states)), 0)
-    rest_above = np.maximum(1 - np.bincount(group, above, len(states)), 1e-12)
-    kl = np.bincount(group, share * np.log(share / above), len(states))
-    kl += np.where(rest > 0, rest * np.log(np.maximum(rest, 1e-300) / rest_above), 0)
-    keep = (kl >= p.divergence) & (kl * total >= p.evidence)
-    left = 1 - np.bincount(group, (n - p.discount) / total[group], len(states))
-    prob = (n - p.discount) / total[group] + left[group] * above
-    back = np.empty(len(order))
-    back[order] = prob
-    kept = np.zeros(len(order), dtype=bool)
-    kept[order] = keep[group]
-    return Level(level.key[kept], level.context[kept], level.suffix[kept], level.count[kept], np.log10(back[kept]), states[keep], np.log10(left[keep]))
-
-
-def fit(texts: DataFrame, text_col: str, work: Workspace, params: TreeParams = TreeParams()) -> tuple[SuffixTree, DataFrame]:
-    """The tree of the texts, and the counts (token, n) of all their tokens."""
+def _with_key(counts: DataFrame, level: int) -> DataFrame:
+    """(context, suffix, n) with the sequence's key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            context, suffix = (b.column(c).to_numpy().view(np.uint64) for c in ("context", "suffix"))
+            yield pa.RecordBatch.from_arrays([pa.array(_joined(context, suffix, level).view(np.int64)), *b.columns], names=["key", *b.schema.names])
+
+    return counts.mapInArrow(run, "key long, context long, suffix long, n long")
+
+
+def _long(key: np.uint64) -> F.Column:
+    return F.lit(int(key.view(np.int64)))
+
+
+def _retained(edges: DataFrame, sizes: DataFrame, p: TreeParams) -> DataFrame:
+    """(context, total, left) of the contexts that pass the tests; sizes: (context, total) of the candidates."""
+    sums = edges.groupBy("context").agg(
+        F.sum("n").alias("listed"),
+        F.sum(F.col("n") - F.lit(p.discount)).alias("taken"),
+        F.sum(F.col("n") * F.ln(F.col("n") / F.col("above"))).alias("gain"),
+        F.sum("above").alias("above"),
+    )
+    rest = F.greatest(1 - F.col("listed") / F.col("total"), F.lit(0.0))
+    rest_above = F.greatest(1 - F.col("above"), F.lit(1e-12))
+    kl = F.col("gain") / F.col("total") - F.col("listed") / F.col("total") * F.ln("total")
+    kl += F.when(rest > 0, rest * F.ln(rest / rest_above)).otherwise(0.0)
+    tested = sums.join(sizes, "context").withColumn("kl", kl)
+    kept = tested.where((F.col("kl") >= p.divergence) & (F.col("kl") * F.col("total") >= p.evidence))
+    return kept.select("context", "total", (1 - F.col("taken") / F.col("total")).alias("left"))
+
+
+@dataclass
+class SuffixTree:
+    """gains: (key, n, gain, base), what a sequence adds to log10 of score and base score, less a word's log10 1 / (N + V + 1); base is above 0 for words only; start: of the start mark."""
+
+    gains: DataFrame
+    n_tokens: int
+    n_words: int
+    start: float
+
+
+def fit(texts: DataFrame, text_col: str, work: Workspace, params: TreeParams = TreeParams()) -> SuffixTree:
     p, spark = params, texts.sparkSession
-    counts = work.write(_counted(texts, text_col, ["token"], lambda t: (t.token,)), "counts")
-    total, distinct, texts_n = counts.agg(F.sum("n"), F.count("*"), F.sum(F.when(F.col("token") == int(_END.view(np.int64)), F.col("n")))).first()
+    if p.depth < 0 or not 0 < p.discount <= 1:
+        raise ValueError("depth must be 0 or more, discount above 0 and at most 1")
+    counts = work.write(_counted(texts, text_col, ["key"], lambda t: (t.token, t.token)), "counts")
+    total, distinct, texts_n = counts.agg(F.sum("n"), F.count("*"), F.sum(F.when(F.col("key") == _long(_END), F.col("n")))).first()
     n_tokens = total or 0
     least_edge = max(p.least_edge, int(np.ceil(p.edge_share * n_tokens)))
     least_context = max(p.least_context, int(np.ceil(p.context_share * n_tokens)))
-    words, word_count = _collected(counts, least_edge, ["token"])
-    tree = SuffixTree(words, word_count, n_tokens, distinct, [])
-    names = ["key", "context", "suffix"]
-
-    # contexts of one token: frequent words and the start
-    able = np.sort(np.append(words[(word_count >= least_context) & (words != _END)], _START))
-    shared = spark.sparkContext.broadcast((able, words))
-
-    def pairs(t: Tokens) -> tuple[np.ndarray, ...]:
-        contexts, tokens = shared.value
-        at = np.flatnonzero(_find(contexts, t.one) >= 0)
-        at = at[_find(tokens, t.token[at]) >= 0]
-        return _edge(t.one[at], t.token[at], 1), t.one[at], t.token[at]
-
-    raw = Level(*_collected(_counted(texts, text_col, names, pairs), least_edge, names))
-    of_word = dict(zip(words.tolist(), word_count.tolist())) | {int(_START): texts_n or 0}
-    root_p = 10 ** tree.root(word_count)
-    size = np.array([of_word[c] for c in raw.context.tolist()], dtype=float)
-    tree.levels.append(_smoothed(raw, size, root_p[_find(words, raw.suffix)] if len(words) else np.zeros(0), p))
-    if p.depth < 2:
-        return tree, counts
-
-    # contexts of two tokens: frequent pairs; their continuations end in listed pairs
-    frequent = raw.count >= least_context
-    able2 = raw.key[frequent & (raw.suffix != _END)]
-    shared2 = spark.sparkContext.broadcast((able2, raw.key))
-
-    def triples(t: Tokens) -> tuple[np.ndarray, ...]:
-        contexts, listed = shared2.value
-        at = np.flatnonzero(t.has_two)
-        context = _edge(t.two[at], t.one[at], 1)
-        ok = _find(contexts, context) >= 0
-        at, context = at[ok], context[ok]
-        suffix = _edge(t.one[at], t.token[at], 1)
-        ok = _find(listed, suffix) >= 0
-        at, context, suffix = at[ok], context[ok], suffix[ok]
-        return _edge(context, t.token[at], 2), context, suffix
-
-    deep = Level(*_collected(_counted(texts, text_col, names, triples), least_edge, names))
-    size = raw.count[_find(raw.key, deep.context)].astype(float) if len(deep.key) else np.zeros(0)
-    tree.levels.append(_smoothed(deep, size, _pair_probability(tree, raw, deep.suffix) if len(deep.key) else np.zeros(0), p))
-    return tree, counts
-
-
-def _pair_probability(tree: SuffixTree, raw: Level, pair: np.ndarray) -> np.ndarray:
-    """P(token | one) of listed pairs under the levels so far."""
-    one = tree.levels[0]
-    at = _find(raw.key, pair)
-    edge = _find(one.key, pair)
-    root = 10 ** tree.root(tree.word_count[_find(tree.words, raw.suffix[at])])
-    return np.where(edge >= 0, 10 ** one.log_p[edge] if len(one.key) else 0.0, root)
+
+    log_n = F.log10(F.col("n") + 1)
+    gains = counts.select("key", "n", log_n.alias("gain"), log_n.alias("base"))
+    below = counts.where(F.col("n") >= least_edge).select("key", "n", ((F.col("n") + 1) / F.lit(float(n_tokens + distinct + 1))).alias("p"))
+    start = 0.0
+    for level in range(1, p.depth + 1):
+        able = below.where(F.col("n") >= least_context).select(F.col("key").alias("context"), F.col("n").alias("total"))
+        contexts, listed = _key_filter(able, "context", work), _key_filter(below, "key", work)
+        if level == 1:
+            able = able.union(spark.range(1).select(_long(_START), F.lit(texts_n or 0).cast("long")))
+        shared = spark.sparkContext.broadcast((contexts, listed))
+
+        def keys(t: Tokens, level=level, shared=shared) -> tuple[np.ndarray, ...]:
+            contexts, listed = shared.value
+            *_, (_, _, context, suffix) = t.sequences(level)
+            ok = _may_have(contexts, context) & _may_have(listed, suffix) if level > 1 else ((context == _START) | _may_have(contexts, context)) & _may_have(listed, suffix)
+            context, suffix = context[ok], suffix[ok]
+            return _joined(context, suffix, level), context, suffix
+
+        found = _with_key(_counted(texts, text_col, ["context", "suffix"], keys).where(F.col("n") >= least_edge), level)
+        found = found.join(below.select(F.col("key").alias("suffix"), F.col("p").alias("above")), "suffix")
+        edges = work.write(found.select("key", "context", "n", "above"), f"edges{level}")
+        shared.destroy()
+        states = work.write(_retained(edges, able, p), f"states{level}")
+        smooth = (F.col("n") - F.lit(p.discount)) / F.col("total") + F.col("left") * F.col("above")
+        rise = F.log10(smooth) - F.log10("above") - F.log10("left")
+        below = work.write(edges.join(states, "context", "left").select("key", "n", F.coalesce(smooth, "above").alias("p"), rise.alias("gain")), f"level{level}")
+        work.drop(f"edges{level}")
+        none = F.lit(0.0).alias("base")
+        if level == 1:
+            start = next((np.log10(r["left"]) for r in states.where(F.col("context") == _long(_START)).collect()), 0.0)
+            states = states.where(F.col("context") != _long(_START))
+        gains = gains.union(below.where(F.col("gain").isNotNull()).select("key", "n", "gain", none))
+        gains = gains.union(states.select("context", "total", F.log10("left"), none))
+    each = gains.groupBy("key").agg(F.max("n").alias("n"), *(F.sum(c).alias(c) for c in ("gain", "base")))
+    tree = SuffixTree(work.write(each, "gains"), n_tokens, distinct, float(start))
+    work.drop("counts", *(f"{x}{level}" for x in ("states", "level") for level in range(1, p.depth + 1)))
+    return tree
+
+
+def _near(gains: DataFrame) -> tuple[list[np.ndarray], DataFrame]:
+    """Columns of the most counted gains in the order of their keys, at most _NEAR, and the table of the others."""
+    size = F.least("n", F.lit(1 << 16))
+    held = least = 0
+    for r in sorted(gains.groupBy(size.alias("size")).count().collect(), reverse=True):
+        held += r["count"]
+        if held > _NEAR:
+            least = r["size"] + 1
+            break
+    got = gains.where(size >= least).select("key", "gain", "base").toArrow()
+    key = got.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    return [key[order], *(got.column(c).to_numpy()[order] for c in ("gain", "base"))], gains.where(size < least)
 
 
 def score(
     docs: DataFrame, learn_from: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: TreeParams = TreeParams()
 ) -> DataFrame:
     """(id_col, n_tokens, n_known, train_tokens, base_score, score) of every row of docs."""
-    spark = docs.sparkSession
+    spark, depth = docs.sparkSession, params.depth
     work = Workspace(spark, "suffix-tree")
-    tree, counts = fit(learn_from, text_col, work, params)
-    shared = spark.sparkContext.broadcast(tree)
+    tree = fit(learn_from, text_col, work, params)
+    near, far = _near(tree.gains)
+    shared = spark.sparkContext.broadcast((near, _key_filter(tree.gains, "key", work)))
+    start, unseen = tree.start, -float(np.log10(tree.n_tokens + tree.n_words + 1))
+    sliced = [f"{x}{i}" for i in range(_SLICES) for x in ("key", "tf")]
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = shared.value
+        (keys, gain, base), able = shared.value
         for batch in batches:
             for part in W.slices(batch, text_col):
                 t = Tokens.of(part.column(text_col))
-                at, base, full = tree.score(t)
-                size = np.diff(t.split)
-                row = np.repeat(np.arange(part.num_rows), size)
-                rare = at < 0
-                order = np.lexsort((t.token[rare], row[rare]))
-                r, h = row[rare][order], t.token[rare][order]
+                size, n = np.diff(t.split), part.num_rows
+                of = np.repeat(np.arange(n), size)
+                full, low, known = size * unseen + start, size * unseen, np.zeros(n, dtype=np.int64)
+                rows, rest = [], []
+                for key, row in [(t.token, of)] + [(_joined(c, s, level), of[at]) for level, at, c, s in t.sequences(depth)]:
+                    may = _may_have(able, key)
+                    key, row = key[may], row[may]
+                    at = _find(keys, key)
+                    hit = at >= 0
+                    at, near_row = at[hit], row[hit]
+                    full += np.bincount(near_row, gain[at], n)
+                    low += np.bincount(near_row, base[at], n)
+                    known += np.bincount(near_row[base[at] > 0], minlength=n)
+                    rows.append(row[~hit])
+                    rest.append(key[~hit])
+                row, h = np.concatenate(rows), np.concatenate(rest)
+                order = np.lexsort((h, row))
+                r, h = row[order], h[order]
                 new = np.ones(len(r), dtype=bool)
                 new[1:] = (r[1:] != r[:-1]) | (h[1:] != h[:-1])
                 first = np.flatnonzero(new)
-                cut = pa.array(np.searchsorted(r[first], np.arange(part.num_rows + 1)).astype(np.int32))
                 tf = np.diff([*first, len(r)]).astype(np.int32)
-                total = lambda x, row=row, n=part.num_rows: pa.array(np.bincount(row, x, n))
+                r, h = r[first], h[first]
+                lists = []
+                for i in range(_SLICES):
+                    at = np.flatnonzero(h >> np.uint64(32) & np.uint64(_SLICES - 1) == i)
+                    cut = pa.array(np.searchsorted(r[at], np.arange(n + 1)).astype(np.int32))
+                    lists += [pa.ListArray.from_arrays(cut, pa.array(h[at].view(np.int64))), pa.ListArray.from_arrays(cut, pa.array(tf[at]))]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("row"), part.column("id"), pa.array(size),
-                        pa.array(np.bincount(row, ~rare, part.num_rows).astype(np.int64)), total(base), total(full),
-                        pa.ListArray.from_arrays(cut, pa.array(h[first].view(np.int64))),
-                        pa.ListArray.from_arrays(cut, pa.array(tf)),
-                    ],
-                    names=["row", "id", "n_tokens", "n_known", "base", "full", "rare", "tf"],
-                )
+                    [part.column("row"), part.column("id"), pa.array(size), pa.array(known), pa.array(low), pa.array(full), *lists],
+                    names=["row", "id", "n_tokens", "n_known", "base", "full", *sliced],
+                )
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), text_col)
-    parts = work.write(
-        rows.mapInArrow(run, f"row long, id {kind}, n_tokens long, n_known long, base double, full double, rare array<long>, tf array<int>"), "parts"
-    )
-    rare = parts.select("row", F.explode(F.arrays_zip("rare", "tf")).alias("x")).select("row", F.col("x.rare").alias("token"), F.col("x.tf").alias("tf"))
-    c = F.coalesce("n", F.lit(0))
-    rest = (
-        rare.join(counts, "token", "left")
-        .groupBy("row")
-        .agg(
-            F.sum(F.when(c > 0, F.col("tf")).otherwise(0)).alias("known"),
-            F.sum(F.col("tf") * F.log10((c + 1) / F.lit(float(tree.n_tokens + tree.n_words + 1)))).alias("log_p"),
+    schema = f"row long, id {kind}, n_tokens long, n_known long, base double, full double"
+    schema += "".join(f", key{i} array<long>, tf{i} array<int>" for i in range(_SLICES))
+    parts = work.write(rows.mapInArrow(run, schema), "parts")
+    more = []
+    for i in range(_SLICES):  # one after the other, so that the shuffles of one are on disk at a time
+        rest = parts.select("row", F.explode(F.arrays_zip(f"key{i}", f"tf{i}")).alias("x"))
+        rest = rest.select("row", F.col(f"x.key{i}").alias("key"), F.col(f"x.tf{i}").alias("tf"))
+        part = far.where(F.expr(f"shiftrightunsigned(key, 32) & {_SLICES - 1}") == i).select("key", "gain", "base")
+        sums = rest.join(part, "key").groupBy("row").agg(
+            F.sum(F.col("tf") * F.col("gain")).alias("more_gain"),
+            F.sum(F.col("tf") * F.col("base")).alias("more_base"),
+            F.sum(F.when(F.col("base") > 0, F.col("tf")).otherwise(0)).alias("more_known"),
         )
-    )
-    known, log_p = F.coalesce("known", F.lit(0)), F.coalesce("log_p", F.lit(0.0))
-    return parts.drop("rare", "tf").join(rest, "row", "left").select(
+        more.append(work.write(sums, f"more{i}"))
+    more = reduce(DataFrame.union, more).groupBy("row").agg(*(F.sum(c).alias(c) for c in ("more_gain", "more_base", "more_known")))
+    plus = lambda c, m: F.col(c) + F.coalesce(F.col(m), F.lit(0))
+    return parts.drop(*sliced).join(more, "row", "left").select(
         F.col("id").alias(id_col),
         "n_tokens",
-        (F.col("n_known") + known).alias("n_known"),
+        plus("n_known", "more_known").alias("n_known"),
         F.lit(tree.n_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + log_p).alias("base_score"),
-        (F.col("full") + log_p).alias("score"),
+        plus("base", "more_base").alias("base_score"),
+        plus("full", "more_gain").alias("score"),
     )
