@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -64,6 +65,46 @@ def test_quality_rules_script_bands(spark):
     assert sorted(r.script for r in got) == ["cjk", "cyrillic", "greek", "latin"]
 
 
+def test_quality_rules_each_band_decides(spark):
+    r = random.Random(3)
+    draw = lambda pool, n: " ".join(r.choice(pool) for _ in range(n))
+    letters = " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(3, 9))) for _ in range(300))
+    small = "the and for you was with that this from have not are but his her they one all she there been their would who what more".split()
+    large = ("information government development international university administration environment understanding particularly "
+             "communication organization responsibility significant relationship opportunity").split()
+    prose = ("Rain had fallen through the night, and by morning the lower road was closed. Two farmers brought their carts to the "
+             "bridge, looked at the brown water and turned back without a word. Later that week the council met to decide who "
+             "should pay for repairs; nobody had kept the old accounts, so the clerk was sent to search the attic.")
+    cases = {
+        "letters": letters,
+        "low entropy": draw(small, 400),
+        "long words": draw(large, 400),
+        "fallback": draw(small + ["water", "river", "stone", "house", "green", "paper", "night"] * 3, 150) + " " + draw(["𓀀", "𓂀", "𓃒"], 3),
+        "prose": prose,
+    }
+    frame = spark.createDataFrame([(k, v, "en") for k, v in cases.items()], "doc_id string, text string, lang string")
+    got = {x.doc_id: x for x in quality_rules.judge(frame, FERTILITY).select("doc_id", "measures.*", "base_failed", "kept").collect()}
+    assert not any(x.base_failed for x in got.values())
+    assert {k for k, x in got.items() if x.kept} == {"prose"}
+    band = quality_rules.LANGUAGES["en"]
+    assert got["letters"].chars_per_piece < band.chars_min[0] and got["letters"].chars_per_byte_token < band.chars_min[1]
+    assert got["letters"].entropy_share >= band.entropy_min and got["letters"].fallback_share <= band.fallback_max
+    out = lambda x: (x.entropy_share < band.entropy_min, x.chars_per_piece > band.chars_max[0], x.fallback_share > band.fallback_max)
+    assert out(got["low entropy"]) == (True, False, False)
+    assert out(got["long words"])[1]
+    assert out(got["fallback"]) == (False, False, True)
+
+
+def test_quality_rules_agree_with_labels(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where("quality is not null")
+    got = quality_rules.judge(docs, FERTILITY).where("not base_failed").join(labels, "doc_id").select("quality", "kept", "lang").collect()
+    share = lambda q, langs: np.mean([r.kept for r in got if r.quality == q and r.lang in langs])
+    assert share(1, ("en", "de", "fr", "es")) > 0.97
+    assert share(0, ("en",)) < 0.2
+
+
 def test_empty_tables(spark, no_docs, tmp_path):
     items = spark.createDataFrame([], "item_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, quality int")
