@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from wellspring.llm import (
     balanced_shards,
     decontaminate,
+    merkle_manifest,
     ngram_join,
+    periodic_runs,
     perspectives,
     piece_codec,
+    pii,
     quality_classifier,
     quality_rules,
     suffix_tree_lm,
@@ -101,6 +104,52 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents, checked against texts of which some lost their line ends."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    torn = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    leaf = merkle_manifest.row_hash("doc_id", "source", "lang", "n_chars", "text")
+    shown = merkle_manifest.row_hash("doc_id", "source", "lang", "n_chars", torn).alias("shown")
+    proofs = merkle_manifest.manifest(table(spark, sf_dir, "documents"), leaf, carry=("doc_id", shown)).select("doc_id", "shown", "merkle.*")
+    folded = proofs.withColumn("folded_root", merkle_manifest.fold(F.col("shown"), F.col("proof")))
+    return folded.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle_manifest.proof_hash(F.col("proof")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of all texts, every tenth of them made periodic from some word on."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.find_runs(docs, pattern=periodic_runs.planted("doc_id", "text"))
+    best = periodic_runs.strongest(F.col("runs"))
+    line = lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        "collapsed_sha256",
+    )
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), drop_text=True)
+    base = F.filter("pii", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *map(count, pii.BASE_KINDS), F.sha2(pii.written(base), 256).alias("base_sha256"), pii.written(F.col("pii")).alias("spans")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_perspective_rotation": op1_perspective_rotation,
     "op2_tokeniser_fertility": op2_tokeniser_fertility,
@@ -112,9 +161,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece_codec": op8_sentencepiece_codec,
     "op9_temporal_list_join": op9_temporal_list_join,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_pii": op13_pii,
 }
 
 ORACLE: dict[str, str] = {
     "op1_perspective_rotation": perspectives.ORACLE_SQL,
     "op9_temporal_list_join": url_lists.ORACLE_SQL,
+    "op11_merkle_manifest": merkle_manifest.ORACLE_SQL,
 }
