@@ -7,19 +7,19 @@ with word i equal to word i + q) are an unbroken interval at least
 ``(min_exponent - 1) * q`` long.
 
 For periods in [2**k, 2**(k+1)) the document is exploded into overlapping tiles
-of three spans of 2**(k+1) words around the multiples of that span. A match
-interval is longer than a span, so it contains a tile's centre. In each tile,
-on its own, two Z-functions give, for every period of the octave at once, how
-far the match reaches to the right and to the left of the centre, at most one
-span each way. A reach of a full span may go on in the next tile, whose
+around the multiples of a span of 2**(k+1) words. A match interval is longer
+than a span, so it contains a tile's centre. In each tile, on its own, two
+Z-functions give, for every period of the octave at once, how far the match
+reaches to the right and to the left of the centre, at most one span (``LOOK``
+words in short spans) each way. A full reach may go on in the next tile, whose
 fragment then overlaps or abuts, so fragments are shuffled by document and
 period and stitched into whole intervals. Periods whose block is a power of a
 shorter one are left out in the tile.
 
-Tiles without a chance (no period of the octave matches at the centre and over
-half a span to one side, looked at for up to four words, vectorised over a
-batch) are not emitted. The Z-functions are linear, so a text costs about its
-length for each octave, however repetitive it is.
+Tiles without a chance are not emitted: those in which no period of the octave
+matches over ``LOOK`` words to one side of the centre, or over as many as a run
+needs, vectorised over a batch. The Z-functions are linear, so a text costs
+about its length for each octave, however repetitive it is.
 
 Memory: a tile, or the words of one document where its own words are read. Long
 documents fall into many tiles, dealt over all tasks; the only groups are those
@@ -47,7 +47,7 @@ from wellspring.llm.shared import Workspace
 
 MIN_WORDS = 6
 MIN_EXPONENT = 4
-_LOOK = 4
+LOOK = 16
 _HELD_CODES = 1 << 20
 _SCAN_NAMES = ["key", "doc_id", "n_words", "words_sha256", "words", "octave", "centre", "left", "codes"]
 
@@ -85,25 +85,29 @@ def _prime_factors(q: int) -> list[int]:
     return out + [q] if q > 1 else out
 
 
+def _reach(octave: int) -> int:
+    return max(2 << octave, LOOK)
+
+
 def solve_tile(octave: int, codes: list[int], left: int) -> list[tuple[int, int, int]]:
     """(period, reach to the left, reach to the right) of the octave's fragments through word ``left``, the centre.
 
     Fragments whose matches end inside the tile and are too short for a run are dropped.
     """
-    span = 2 << octave
+    full = _reach(octave)
     right = codes[left:]
     z = z_function(right)
-    most = min(span, len(right))
+    most = min(2 << octave, len(right))
     back = codes[:left][::-1]
     # left reach of period q: common prefix of the words before the centre and of those before centre + q, both reversed
     behind = z_function(back + [-1] + codes[: left + most][::-1]) if left else []
     out = []
     for q in range(1 << octave, most):
-        reach = min(z[q], span)
+        reach = min(z[q], full)
         if not reach:
             continue
         ahead = behind[left + 1 + most - q] if left else 0
-        if reach < span and ahead < span and reach + ahead < max(MIN_WORDS, MIN_EXPONENT * q) - q:
+        if reach < full and ahead < full and reach + ahead < max(MIN_WORDS, MIN_EXPONENT * q) - q:
             continue
         if any(z[q // r] >= q - q // r for r in _prime_factors(q)):
             continue
@@ -111,6 +115,22 @@ def solve_tile(octave: int, codes: list[int], left: int) -> list[tuple[int, int,
     return out
 
 
+def _matches(hashes: np.ndarray, at: np.ndarray, q: np.ndarray, way: int, bound: np.ndarray) -> np.ndarray:
+    """How many words, up to LOOK, equal those q on, one after another from ``at`` one way; bound: the row's end or start."""
+    out = np.zeros(len(at), dtype=np.int64)
+    alive = np.arange(len(at))
+    for j in range(LOOK):
+        i = at[alive] + way * j
+        inside = i + q[alive] < bound[alive] if way > 0 else i >= bound[alive]
+        alive, i = alive[inside], i[inside]
+        same = hashes[i] == hashes[i + q[alive]]
+        alive = alive[same]
+        if not len(alive):
+            break
+        out[alive] += 1
+    return out
+
+
 def candidate_tiles(hashes: np.ndarray, split: np.ndarray) -> Iterator[tuple[int, int, int, np.ndarray]]:
     """(row, octave, centre in the row, its tile's words) of the tiles that may hold a fragment."""
     size = np.diff(split)
@@ -125,22 +145,16 @@ def candidate_tiles(hashes: np.ndarray, split: np.ndarray) -> Iterator[tuple[int
         for lo in range(0, len(row), step):
             c, end = centre[lo : lo + step, None], split[1:][row[lo : lo + step], None]
             other = c + np.arange(low, span)[None, :]
-            hit = (other < end) & (hashes[np.minimum(other, len(hashes) - 1)] == hashes[c])
-            at, lag = np.nonzero(hit)
-            b, q = centre[lo + at], lag + low
-            first, last = split[:-1][row[lo + at]], split[1:][row[lo + at]]
-            after = np.ones(len(b), dtype=bool)
-            before = np.ones(len(b), dtype=bool)
-            for j in range(1, min(low, _LOOK) + 1):
-                if j < min(low, _LOOK):
-                    up = b + j + q
-                    after &= (up < last) & (hashes[np.minimum(up, len(hashes) - 1)] == hashes[np.minimum(b + j, len(hashes) - 1)])
-                down = b - j
-                before &= (down >= first) & (hashes[np.maximum(down, 0)] == hashes[np.minimum(down + q, len(hashes) - 1)])
-            kept.append(np.unique(at[after | before]) + lo)
+            at, lag = np.nonzero((other < end) & (hashes[np.minimum(other, len(hashes) - 1)] == hashes[c]))
+            b, q, r = centre[lo + at], lag + low, row[lo + at]
+            ahead = _matches(hashes, b, q, 1, split[1:][r])
+            behind = _matches(hashes, b - 1, q, -1, split[:-1][r])
+            enough = ahead + behind >= np.maximum(MIN_WORDS, MIN_EXPONENT * q) - q
+            kept.append(np.unique(at[enough | (ahead == LOOK) | (behind == LOOK)]) + lo)
         for i in np.concatenate(kept).tolist():
             r, b = int(row[i]), int(centre[i])
-            yield r, octave, b - int(split[r]), hashes[max(int(split[r]), b - span) : min(int(split[r + 1]), b + 2 * span)]
+            reach = _reach(octave)
+            yield r, octave, b - int(split[r]), hashes[max(int(split[r]), b - reach) : min(int(split[r + 1]), b + reach + span)]
         octave += 1
 
 
@@ -167,7 +181,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r, octave, centre, span in candidate_tiles(hashes, found.split):
                 tiled.add(r)
                 codes = np.unique(span, return_inverse=True)[1].astype(np.int32)
-                held.append((r, octave, centre, min(centre, 2 << octave), codes))
+                held.append((r, octave, centre, min(centre, _reach(octave)), codes))
                 n_codes += len(codes)
                 if n_codes > _HELD_CODES:
                     yield _tile_rows(part, held)
@@ -245,7 +259,7 @@ def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept = np.flatnonzero(np.cumsum(drop)[:-1] == 0).tolist()
             digests.append(hashlib.sha256(b" ".join([words[i] for i in kept])).hexdigest())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("key"), pa.array(digests, pa.string())], names=["key", "collapsed_sha256"]
+            [batch.column("key"), batch.column("runs"), pa.array(digests, pa.string())], names=["key", "runs", "collapsed_sha256"]
         )
 
 
@@ -284,15 +298,16 @@ def find_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     runs = stitch(tiles.mapInArrow(_solve, "key long, period long, first long, last long"))
     texts = scan.where("octave IS NULL")
     of_doc = runs.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "period", "length"))).alias("runs"))
-    of_doc = work.write(of_doc, "runs")
-    repetitive = texts.where("words IS NOT NULL").select("key", "words").join(of_doc, "key")
-    digests = repetitive.mapInArrow(_collapse, "key long, collapsed_sha256 string")
-    digests = work.write(digests, "collapsed")
-    facts = texts.select("key", "doc_id", "n_words", "words_sha256").join(of_doc, "key", "left").join(digests, "key", "left")
+    # merge joins at every size: texts of repetitive documents only, then digests of all
+    repetitive = texts.where("words IS NOT NULL").select("key", "words").hint("merge").join(of_doc, "key")
+    listed = of_doc.schema["runs"].dataType
+    collapsed = repetitive.mapInArrow(_collapse, f"key long, runs {listed.simpleString()}, collapsed_sha256 string")
+    collapsed = work.write(collapsed, "collapsed")
+    facts = texts.select("key", "doc_id", "n_words", "words_sha256").hint("merge").join(collapsed, "key", "left")
     return facts.select(
         "doc_id",
         "n_words",
-        F.coalesce("runs", F.array().cast(of_doc.schema["runs"].dataType)).alias("runs"),
+        F.coalesce("runs", F.array().cast(listed)).alias("runs"),
         F.coalesce("collapsed_sha256", "words_sha256").alias("collapsed_sha256"),
     )
 
