@@ -327,3 +327,50 @@ def strongest(runs: Column) -> Column:
     better = lambda best, r: best["period"].isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
     none = F.lit(None).cast("struct<start:bigint,period:bigint,length:bigint>")
     return F.aggregate(runs, none, lambda best, r: F.when(better(best, r), r).otherwise(best))
+
+
+# The registered query's rows in DuckDB: all pairs of equal words up to a quarter of the text apart, and their islands.
+ORACLE_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS k, doc_id,
+         coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), CAST([] AS VARCHAR[])) AS own,
+         xor(CAST(4294967295 AS BIGINT), list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+           list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+           lambda crc, c: list_reduce(list_prepend(xor(crc, c), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+             lambda r, z: xor(r >> 1, (r & 1) * CAST(3988292384 AS BIGINT))))) AS h
+  FROM documents
+), sized AS (
+  SELECT *, len(own) AS n, h % 10 = 0 AND len(own) > 0 AS planted, (h // 10) % greatest(len(own), 1) AS a,
+         1 + (len(own) - (h // 10) % greatest(len(own), 1)) // (3 + (h // 10) % 8) AS p
+  FROM docs
+), texts AS (
+  SELECT k, doc_id, n, CASE WHEN planted
+    THEN list_transform(range(n), lambda i: own[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE own END AS w
+  FROM sized
+), words AS (
+  SELECT k, n, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM texts
+), equals AS (
+  SELECT x.k, y.i - x.i AS q, x.i FROM words x JOIN words y
+  ON x.k = y.k AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), islands AS (
+  SELECT k, q, i, i - row_number() OVER (PARTITION BY k, q ORDER BY i) AS island FROM equals
+), stretches AS (
+  SELECT k, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY k, q, island
+  HAVING count(*) + q >= greatest(6, 4 * q)
+), runs AS (
+  SELECT k, start, length, min(q) AS period FROM stretches GROUP BY k, start, length
+), listed AS (
+  SELECT k, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+  FROM runs GROUP BY k
+), best AS (
+  SELECT k, start, length, period FROM runs r
+  QUALIFY row_number() OVER (PARTITION BY k ORDER BY CAST(length AS DECIMAL(38, 18)) / period DESC, start, period) = 1
+), kept AS (
+  SELECT k, string_agg(word, ' ' ORDER BY i) AS text FROM words w
+  WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.k = w.k AND w.i >= r.start + r.period AND w.i < r.start + r.length)
+  GROUP BY k
+)
+SELECT t.doc_id, coalesce(l.n_runs, 0) AS n_runs, b.start, b.length, b.period, 1000 * b.length // b.period AS exponent_milli,
+       sha256(coalesce(l.lines, '')) AS runs_sha256, sha256(coalesce(c.text, '')) AS collapsed_sha256
+FROM texts t LEFT JOIN listed l ON l.k = t.k LEFT JOIN best b ON b.k = t.k LEFT JOIN kept c ON c.k = t.k
+"""

@@ -170,4 +170,5 @@ ORACLE: dict[str, str] = {
     "op1_perspective_rotation": perspectives.ORACLE_SQL,
     "op9_temporal_list_join": url_lists.ORACLE_SQL,
     "op11_merkle_manifest": merkle_manifest.ORACLE_SQL,
+    "op12_periodic_runs": periodic_runs.ORACLE_SQL,
 }
