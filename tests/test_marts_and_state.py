@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from conftest import T0, hh, mem, raw_frames, sub, ts
+from survey_rows import T0, hh, mem, raw_frames, sub, ts
 
 from pyspark.sql import functions as F
 
@@ -182,7 +182,7 @@ def test_named_batch_replaces_itself(spark):
 
 
 def test_equal_load_times_have_one_winner(spark):
-    from conftest import SUB_SCHEMA, sub
+    from survey_rows import SUB_SCHEMA, sub
     from wellspring.plans import staging
 
     a, b = sub("s", status="draft"), sub("s", status="submitted")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from conftest import hh, raw_frames, sub, ts
+from survey_rows import hh, raw_frames, sub, ts
 
 from pyspark.sql import functions as F
 

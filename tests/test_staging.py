@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import T0, hh, mem, raw_frames, sub, ts, wp
+from survey_rows import T0, hh, mem, raw_frames, sub, ts, wp
 
 from wellspring.plans import monitors, staging
 
