@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 
 import sentencepiece
-from conftest import SF
+from corpus_rows import SF
 from test_corpus_operators import brute_classes
 from test_text_operators import brute_base
 
