@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from survey_rows import T0, hh, mem, raw_frames, sub, ts
 
 from pyspark.sql import functions as F
@@ -172,6 +173,68 @@ def test_type_change_rewrites_the_table(spark):
     assert sorted((r.k, r.v) for r in out.collect()) == [(1, 5.0), (2, 2.5)]
 
 
+def test_added_columns_need_no_rewrite_and_dropped_ones_stay_gone(spark):
+    d1, d2 = dt.date(2026, 1, 1), dt.date(2026, 1, 2)
+    store = I.TableStore(spark, scratch_path(spark, "test-columns"))
+    first = store.upsert_partitions("f", spark.createDataFrame([(1, "a", d1)], "k long, v string, event_date date"), ["k"], "event_date")
+    out = store.upsert_partitions("f", spark.createDataFrame([(2, "b", d2, 7)], "k long, v string, event_date date, n int"), ["k"], "event_date")
+    assert sorted((r.k, r.n) for r in out.collect()) == [(1, None), (2, 7)]
+    assert set(first.inputFiles()) <= set(out.inputFiles())
+    store.upsert_partitions("f", spark.createDataFrame([(3, d2, 8)], "k long, event_date date, n int"), ["k"], "event_date")
+    out = store.upsert_partitions("f", spark.createDataFrame([(4, "d", d2, 9)], "k long, v string, event_date date, n int"), ["k"], "event_date")
+    assert sorted((r.k, r.v, r.n) for r in out.collect()) == [(1, None, None), (2, None, 7), (3, None, 8), (4, "d", 9)]
+
+
+def test_failed_replay_keeps_the_batch_and_earlier_frames(spark):
+    store = I.TableStore(spark, scratch_path(spark, "test-replay"))
+    held = store.append("t", spark.range(5), batch="0")
+    with pytest.raises(Exception, match="lost"):
+        store.append("t", spark.range(5).where(F.raise_error(F.lit("lost")).isNull()).select("id"), batch="0")
+    assert store.read("t").count() == held.count() == 5
+    again = store.append("t", spark.range(5), batch="0")
+    assert again.count() == held.count() == 5
+
+
+def test_two_writers_of_one_version_cannot_both_commit(spark):
+    store = I.TableStore(spark, scratch_path(spark, "test-race"))
+    store.publish("t", spark.range(1))
+    number, parts, schema = store._state("t")
+    store.publish("t", spark.range(2))
+    with pytest.raises(Exception):
+        store._commit("t", number + 1, parts, schema)
+    assert store.read("t").count() == 2
+
+
+def test_stream_dedupe_leaves_other_buckets_alone(spark):
+    store = I.TableStore(spark, scratch_path(spark, "test-buckets"))
+    bucket = F.pmod(F.xxhash64("k"), F.lit(64))
+    keep_last = lambda old, new: old.unionByName(new).groupBy("k").agg(F.max("v").alias("v"))
+    first = store.merge_partitions("t", spark.range(500).select(F.col("id").alias("k"), F.lit(1).alias("v")), bucket, keep_last)
+    second = store.merge_partitions("t", spark.createDataFrame([(7, 3), (8, 0)], "k long, v int"), bucket, keep_last)
+    assert second.count() == 500 and second.where("k = 7").first().v == 3 and second.where("k = 8").first().v == 1
+    parts = lambda df: {f.split("__part=")[1].split("/")[0]: f for f in df.inputFiles()}
+    before, after = parts(first), parts(second)
+    assert 1 <= sum(before[p] != after[p] for p in before) <= 2
+
+
+def test_snapshot_runs_keep_closed_files_and_equal_the_pure_form(spark):
+    from wellspring.operators import scd2
+
+    cols = "id string, a long, carried string"
+    states = [[("x", 1, "p"), ("y", 1, "p"), ("z", 1, "p")], [("x", 2, "q"), ("y", 1, "q")], [("x", 3, "r"), ("z", 5, "r")]]
+    store, pure, closed = I.TableStore(spark, scratch_path(spark, "test-scd2")), None, set()
+    for day, rows in enumerate(states, 1):
+        source = spark.createDataFrame(rows, cols)
+        pure = scd2.scd2_snapshot(pure, source, "id", ["a"], f"2026-01-0{day} 00:00:00", ["carried"])
+        stored = scd2.scd2_snapshot_run(store, "dim", source, "id", ["a"], f"2026-01-0{day} 00:00:00", ["carried"])
+        assert sorted(map(repr, stored.collect())) == sorted(map(repr, pure.collect()))
+        now = set(store.read("dim", lambda part: part != scd2.OPEN_PART).inputFiles())
+        assert closed <= now
+        closed = now
+    again = scd2.scd2_snapshot_run(store, "dim", spark.createDataFrame(states[-1], cols), "id", ["a"], "2026-01-03 00:00:00", ["carried"])
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, pure.collect()))
+
+
 def test_named_batch_replaces_itself(spark):
     store = I.TableStore(spark, scratch_path(spark, "test-batch"))
     rows = lambda *v: spark.createDataFrame([(x,) for x in v], "v long")

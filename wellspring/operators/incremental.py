@@ -2,10 +2,9 @@
 
 Spark's parquet tables have no MERGE, and a job cannot overwrite a path it
 reads. An upsert is therefore a pure DataFrame step (``upsert``: target rows
-whose key is not in the source, plus all source rows) written to a *new
-folder*; it becomes visible only after its data is committed (a one-row entry
-appended to the table's log), so a failed or retried job never exposes partial
-output.
+whose key is not in the source, plus all source rows) written to *new
+folders*, which one pointer file makes visible after their data is committed,
+so a failed or retried job never exposes partial output.
 
 Scalar bounds (max load time of a target) are one-row aggregates collected
 once and passed back as literals, which lets parquet skip row groups.
@@ -103,7 +102,6 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], syn
 
 PART = "__part"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-LOG_SCHEMA = "seq double, kind string, path string, touched array<string>, written array<string>, columns string"
 
 
 def _by_partition(df: DataFrame, part: str = PART) -> DataFrame:
@@ -116,10 +114,6 @@ def _by_partition(df: DataFrame, part: str = PART) -> DataFrame:
     return df.hint("rebalance", part)
 
 
-def _columns(schema: T.StructType) -> dict[str, str]:
-    return {f.name: f.dataType.simpleString() for f in schema.fields}
-
-
 def _all_not_null(keys: Sequence[str]) -> Column:
     c = None
     for k in keys:
@@ -131,126 +125,121 @@ def _all_not_null(keys: Sequence[str]) -> Column:
 class TableStore:
     """Named parquet tables under one root in the shared folder.
 
-    Data always goes to a new folder (an append's folder is named by its
-    batch), and one row appended to the table's log afterwards makes it
-    visible. A run that fails before that leaves nothing to see, a retry
-    writes again, and frames read earlier keep their files.
-
-    ``version`` rows replace the table, ``append`` rows add a folder, ``merge``
-    rows name the partitions they replace and those of them that have rows.
+    A table is a set of named parts (partitions, batches), each one folder. A
+    change writes its rows to new folders, then one small pointer file, numbered
+    one above the newest and created only if absent, lists the folders of all
+    parts. A run that fails before that leaves the table as it was, also when it
+    replays a batch that is already there; frames read earlier keep their files;
+    of two runs at once the later one fails. No clock is read.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _log(self, name: str) -> str:
-        return f"{self.root}/{name}/_log"
-
-    def _entries(self, name: str) -> list:
-        """Log rows in order; one row per run, so this is metadata only."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self._log(name))
-        if not path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-            return []
-        return self.spark.read.schema(LOG_SCHEMA).json(self._log(name)).orderBy("seq").collect()
-
-    def _commit(self, name: str, kind: str, path: str, df: DataFrame, touched: Sequence[str] = (),
-                written: Sequence[str] = ()) -> None:
-        seq = dt.datetime.now(dt.timezone.utc).timestamp()
-        row = (seq, kind, path, list(touched), list(written), df.schema.json())
-        self.spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").json(self._log(name))
-
-    def _folders(self, name: str) -> tuple[dict[str, str], T.StructType | None]:
-        """Live folders (by partition for merged tables) and the newest schema."""
-        live: dict[str, str] = {}
-        schema = None
-        for e in self._entries(name):
-            if e.kind == "version":
-                live = {}
-            for p in e.touched or ():
-                live.pop(p, None)
-            if e.kind == "merge":
-                live |= {p: f"{e.path}/{PART}={p}" for p in e.written}
-            else:
-                live[e.path] = e.path
-            schema = T.StructType.fromJson(json.loads(e.columns))
-        return live, schema
+    def _fs(self, path: str):
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def _names(self, path: str) -> list[str]:
+        fs, p = self._fs(path)
+        return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+    def _state(self, name: str) -> tuple[int, dict[str, str], T.StructType | None]:
+        """Number of the newest pointer, folder by part, schema."""
+        pointers = [n for n in self._names(f"{self.root}/{name}/_pointers") if n.endswith(".json")]
+        if not pointers:
+            return 0, {}, None
+        fs, p = self._fs(f"{self.root}/{name}/_pointers/{pointers[-1]}")
+        stream = fs.open(p)
+        held = json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        stream.close()
+        return int(pointers[-1].split(".")[0]), held["parts"], T.StructType.fromJson(held["schema"])
+
+    def _commit(self, name: str, number: int, parts: dict[str, str], schema: T.StructType) -> None:
+        fs, p = self._fs(f"{self.root}/{name}/_pointers/{number:09d}.json")
+        stream = fs.create(p, False)
+        stream.write(bytearray(json.dumps({"parts": parts, "schema": json.loads(schema.json())}).encode()))
+        stream.close()
 
     def _frame(self, folders: Sequence[str], schema: T.StructType) -> DataFrame:
         if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*folders)
-
-    def read(self, name: str) -> DataFrame | None:
-        live, schema = self._folders(name)
-        return None if schema is None else self._frame(list(dict.fromkeys(live.values())), schema)
+        return self.spark.read.schema(schema).parquet(*dict.fromkeys(folders))
 
     def _new_folder(self, name: str) -> str:
         return f"{self.root}/{name}/d-{uuid.uuid4().hex}"
 
-    def publish(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        path = self._new_folder(name)
-        w = df.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        self._commit(name, "version", path, df)
+    def read(self, name: str, only=None) -> DataFrame | None:
+        """The table, or its parts whose name ``only`` accepts; None before the first write."""
+        _, parts, schema = self._state(name)
+        return None if schema is None else self._frame([f for k, f in parts.items() if only is None or only(k)], schema)
+
+    def put(self, name: str, frames: dict[str, DataFrame], replace: bool = False) -> DataFrame:
+        """Write each frame as the named part, in one commit; ``replace`` drops all other parts."""
+        number, parts, _ = self._state(name)
+        new = {part: self._new_folder(name) for part in frames}
+        for part, df in frames.items():
+            df.write.mode("errorifexists").parquet(new[part])
+        self._commit(name, number + 1, new if replace else parts | new, next(iter(frames.values())).schema)
         return self.read(name)
 
+    def publish(self, name: str, df: DataFrame) -> DataFrame:
+        return self.put(name, {"all": df}, replace=True)
+
     def upsert(self, name: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
         return self.publish(name, upsert(self.read(name), source, keys))
 
     def append(self, name: str, df: DataFrame, batch: str | None = None) -> DataFrame:
         """Add rows. A named batch that is written again replaces its own rows."""
-        path = f"{self.root}/{name}/batch-{batch}" if batch is not None else self._new_folder(name)
-        df.write.mode("overwrite").parquet(path)
-        self._commit(name, "append", path, df)
-        return self.read(name)
+        return self.put(name, {f"batch-{batch}" if batch is not None else uuid.uuid4().hex: df})
 
     def read_batch(self, name: str, batch: str) -> DataFrame:
         """Rows of one named batch."""
-        _, schema = self._folders(name)
-        return self._frame([f"{self.root}/{name}/batch-{batch}"], schema)
+        return self.read(name, lambda part: part == f"batch-{batch}")
+
+    def merge_partitions(self, name: str, source: DataFrame, part: Column, combine, moved=None) -> DataFrame:
+        """Replace the partitions that ``source`` falls in by ``combine(their rows, source)``.
+
+        ``part`` gives a row's partition; partitions that are not touched keep
+        their files and are not read. ``moved(table, source)``, if given, returns
+        rows elsewhere in the table that the source replaces; their partitions
+        count as touched. Added columns need no rewrite (older files are read
+        with the newest schema, NULL there); a column that goes or changes its
+        type rewrites the table.
+        """
+        name_of = F.coalesce(part.cast("string"), F.lit(NULL_PARTITION))
+        number, parts, schema = self._state(name)
+        path = self._new_folder(name)
+        # the source (an increment: small by design) is read up to three times below; write it once
+        source.write.mode("errorifexists").parquet(f"{path}-source")
+        source = self.spark.read.schema(source.schema).parquet(f"{path}-source")
+        if schema is None:
+            schema = source.schema
+        if any(f.name not in source.columns or source.schema[f.name].dataType != f.dataType for f in schema.fields):
+            touched, current = list(parts), self._frame(list(parts.values()), schema)
+        else:
+            affected = source.select(name_of.alias("p"))
+            if moved is not None and parts:
+                held = moved(self._frame(list(parts.values()), source.schema), source)
+                affected = affected.unionByName(held.select(name_of.alias("p")))
+            touched = [r.p for r in affected.distinct().collect()]  # partition names, not rows
+            current = self._frame([parts[p] for p in touched if p in parts], source.schema)
+        merged = combine(current, source)
+        _by_partition(merged.withColumn(PART, name_of)).write.mode("errorifexists").partitionBy(PART).parquet(path)
+        written = [n.split("=", 1)[1] for n in self._names(path) if n.startswith(f"{PART}=")]
+        live = {p: f for p, f in parts.items() if p not in touched} | {p: f"{path}/{PART}={p}" for p in written}
+        self._commit(name, number + 1, live, merged.schema)
+        return self.read(name)
 
-    # ------------------------------------------------ partition-aware MERGE --
     def upsert_partitions(self, name: str, source: DataFrame, keys: Sequence[str], part: str,
                           grain: str | None = None) -> DataFrame:
         """MERGE into a table kept by ``part``, reading and writing only touched partitions.
 
         ``grain`` ("month", "year"...) partitions by ``trunc(to_date(part), grain)``
         instead of the value itself, for tables whose daily slices are small.
-        Touched partitions are those the source rows fall in plus those where
-        the source keys live now (a key may move partition). Only their folders
-        are read; their merged rows go to a new folder, and the log names it as
-        the newest one of these partitions. A partition left empty has no
-        folder. A change of columns or types rewrites the table once.
+        A key may move partition, unless ``part`` is one of the keys.
         """
         pcol = F.trunc(F.to_date(F.col(part)), grain) if grain else F.col(part)
-        name_of = F.coalesce(F.col(PART).cast("string"), F.lit(NULL_PARTITION))
-        live, schema = self._folders(name)
-        path = self._new_folder(name)
-        if schema is None or _columns(schema) != _columns(source.schema):
-            target = None if schema is None else self._frame(list(live.values()), schema)
-            merged, touched = upsert(target, source, keys), list(live)
-        else:
-            # the source (an increment: small by design) is read three times below; write it once
-            source.write.mode("errorifexists").parquet(f"{path}-source")
-            source = self.spark.read.schema(source.schema).parquet(f"{path}-source")
-            affected = source.withColumn(PART, pcol).select(name_of.alias("p"))
-            if part not in keys and live:  # a partition derived from a key cannot move
-                src_keys = source.select(*keys).where(_all_not_null(keys)).distinct()
-                held = self._frame(list(live.values()), schema).withColumn(PART, pcol)
-                affected = affected.unionByName(held.join(src_keys, list(keys), "left_semi").select(name_of.alias("p")))
-            touched = [r.p for r in affected.distinct().collect()]  # partition names, not rows
-            merged = upsert(self._frame([live[p] for p in touched if p in live], schema), source, keys)
-        _by_partition(merged.withColumn(PART, pcol)).write.mode("errorifexists").partitionBy(PART).parquet(path)
-        self._commit(name, "merge", path, merged, touched, self._partitions_of(path))
-        return self.read(name)
-
-    def _partitions_of(self, path: str) -> list[str]:
-        """Names of the partition folders that a write made."""
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        found = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
-        return [f.getPath().getName().split("=", 1)[1] for f in found if f.getPath().getName().startswith(f"{PART}=")]
+        in_keys = lambda table, new: table.join(new.select(*keys).where(_all_not_null(keys)).distinct(), list(keys), "left_semi")
+        return self.merge_partitions(name, source, pcol, lambda old, new: upsert(old, new, keys), None if part in keys else in_keys)

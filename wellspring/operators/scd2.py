@@ -10,16 +10,20 @@ or skew on a hot key.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.valuesets import OPEN_END_TS
+from ..session import scratch_path
+from .incremental import TableStore
 
 VALID_FROM = "dbt_valid_from"
 VALID_TO = "dbt_valid_to"
 UPDATED_AT = "dbt_updated_at"
+OPEN_PART = "open"
 
 
 def _ts(v):
@@ -41,9 +45,41 @@ def scd2_snapshot(current: DataFrame | None, source: DataFrame, key: str, check_
     if current is None:
         return src.select(*cols, ts.alias(VALID_FROM), F.lit(None).cast("timestamp_ntz").alias(VALID_TO),
                           ts.alias(UPDATED_AT))
+    closed = current.where(F.col(VALID_TO).isNotNull()).select(*cols, VALID_FROM, VALID_TO, UPDATED_AT)
+    return closed.unionByName(_changes(current.where(F.col(VALID_TO).isNull()), src, key, check_cols, carry_cols, ts,
+                                       hard_deletes))
+
+
+def scd2_snapshot_run(store: TableStore, name: str, source: DataFrame, key: str, check_cols: Sequence[str],
+                      snapshot_ts, carry_cols: Sequence[str] = (), hard_deletes: bool = True) -> DataFrame:
+    """One snapshot run over the stored table ``name``; returns all its versions.
+
+    Open versions are one part of the table, versions that a run closes another
+    one of their own. A run reads open versions only and writes both parts
+    in one commit; parts closed earlier keep their files. A retry of a run that
+    did not commit starts from the same open versions.
+    """
+    opened = store.read(name, lambda part: part == OPEN_PART)
+    if opened is None:
+        after = scd2_snapshot(None, source, key, check_cols, snapshot_ts, carry_cols)
+    else:
+        src = source.select(key, *check_cols, *carry_cols)
+        after = _changes(opened, src, key, check_cols, carry_cols, _ts(snapshot_ts), hard_deletes)
+    path = scratch_path(store.spark, "snapshot")
+    after.write.parquet(path)  # one join, read for both parts
+    after = store.spark.read.schema(after.schema).parquet(path)
+    parts = {OPEN_PART: after.where(F.col(VALID_TO).isNull())}
+    if opened is not None:
+        parts[f"closed-{uuid.uuid4().hex}"] = after.where(F.col(VALID_TO).isNotNull())
+    return store.put(name, parts)
+
+
+def _changes(opened: DataFrame, src: DataFrame, key: str, check_cols: Sequence[str], carry_cols: Sequence[str], ts,
+             hard_deletes: bool) -> DataFrame:
+    """The open versions after a run, some of them closed by it, and the versions it opens."""
+    cols = [key, *check_cols, *carry_cols]
     out_cols = cols + [VALID_FROM, VALID_TO, UPDATED_AT]
-    closed = current.where(F.col(VALID_TO).isNotNull()).select(*out_cols)
-    o = current.where(F.col(VALID_TO).isNull()).select(
+    o = opened.select(
         *[F.col(c).alias("o__" + c) for c in out_cols], F.lit(True).alias("__o_row"))
     s = src.select(*[F.col(c).alias("s__" + c) for c in cols], F.lit(True).alias("__s_row"))
     j = o.join(s, F.col("o__" + key) == F.col("s__" + key), "full")
@@ -69,7 +105,7 @@ def scd2_snapshot(current: DataFrame | None, source: DataFrame, key: str, check_
                  F.struct(*[F.col("s__" + c).alias(c) for c in cols], ts.alias(VALID_FROM),
                           F.lit(None).cast("timestamp_ntz").alias(VALID_TO), ts.alias(UPDATED_AT)))
     emitted = j.select(F.inline(F.filter(F.array(old, new), lambda x: x.isNotNull())))
-    return closed.unionByName(emitted.select(*out_cols))
+    return emitted.select(*out_cols)
 
 
 def scd2_current(history: DataFrame) -> DataFrame:

@@ -80,22 +80,17 @@ def stream_increment(spark: SparkSession, src_dir: str, checkpoint: str, store:
     _run(stream, batch, checkpoint)
 
 
-def latest_submissions(store: TableStore, landed: DataFrame) -> None:
+def latest_submissions(store: TableStore, landed: DataFrame, buckets: int = 64) -> None:
     """Merge a batch's latest submission per id into ``submission_latest``.
 
     Whichever of (stored, new) comes first under the dedupe's total order
-    stays; a NULL id is one key, as in the dedupe's window.
+    stays; a NULL id is one key, as in the dedupe's window. The table is kept
+    in hash buckets of the id: a batch reads and rewrites only those of its
+    keys.
     """
     subs = dedupe_submission(standardise_submission(raw_from_flat(flatten(landed)).submissions))
-    current = store.read("submission_latest")
-    if current is None:
-        store.publish("submission_latest", subs)
-        return
-    keys = subs.select(F.col("submission_id").alias("__id"))
-    same = F.col("submission_id").eqNullSafe(F.col("__id"))
-    touched = current.join(keys, same, "left_semi")
-    merged = dedupe_submission(touched.unionByName(subs))
-    store.publish("submission_latest", current.join(keys, same, "left_anti").unionByName(merged))
+    bucket = F.pmod(F.xxhash64("submission_id"), F.lit(buckets))
+    store.merge_partitions("submission_latest", subs, bucket, lambda old, new: dedupe_submission(old.unionByName(new)))
 
 
 def stream_dedupe(spark: SparkSession, src_dir: str, checkpoint: str, store: TableStore, glob: str = "*.json",
