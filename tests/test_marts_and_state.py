@@ -299,3 +299,51 @@ def test_whole_files_and_null_ids_over_deliveries(spark):
     assert got == {"s1": "submitted", None: "late"}
     wards = [r.ward_id for r in L.flatten(store.read("landing")).where("status = 'draft'").collect()]
     assert wards == [6]
+
+
+def test_ward_kpi_stream_equals_batch_with_late_and_timeless_rows(spark):
+    from wellspring.plans import marts
+    from wellspring.streaming import ingest as S
+
+    schema = "household_id string, submission_id string, ward_id long, submitted_at timestamp_ntz, event_date date, is_safe_drinking boolean"
+    def fact(i, ward, at, safe):
+        return (f"h{i}", f"s{i}", ward, ts(at) if at else None, ts(at).date() if at else None, safe)
+
+    batches = [
+        [fact(1, 1, "2026-01-01 08:00:00", True), fact(2, 1, "2026-01-01 23:59:59", False), fact(3, None, "2026-01-02 00:00:00", None)],
+        [fact(4, 1, "2026-01-01 09:00:00", True), fact(5, 2, "2026-03-10 09:00:00", True), fact(6, 2, None, True)],
+        [fact(7, 1, "2026-01-01 10:00:00", False), fact(8, 2, "2026-03-09 10:00:00", False), fact(9, None, "2026-01-02 11:00:00", True),
+         fact(10, 2, None, None)],
+    ]
+    src, checkpoint = scratch_path(spark, "kpi-src"), scratch_path(spark, "kpi-ckpt")
+    store = I.TableStore(spark, scratch_path(spark, "kpi"))
+    frames = [spark.createDataFrame(rows, schema) for rows in batches]
+    for n, df in enumerate(frames):
+        df.coalesce(1).write.parquet(f"{src}/{n}")
+    S.ward_kpi(spark, src, frames[0].schema, checkpoint, store, max_files=1)
+    want = sorted(map(repr, marts.ward_day(frames[0].unionByName(frames[1]).unionByName(frames[2])).collect()))
+    assert sorted(map(repr, S.read_ward_kpi(store).collect())) == want
+    late = {(r.ward_id, str(r.event_date)) for r in store.read("ward_day_late").collect()}
+    assert late == {(1, "2026-01-01"), (None, "2026-01-02"), (2, "None")}  # 8 Mar: within the watermark
+    S.ward_kpi(spark, src, frames[0].schema, scratch_path(spark, "kpi-lost"), store, max_files=1)  # replayed from a lost checkpoint
+    assert sorted(map(repr, S.read_ward_kpi(store).collect())) == want
+
+
+def test_asof_join_of_a_hot_household_with_many_versions(spark):
+    from wellspring.operators.relational import asof_join
+
+    start = ts("2026-01-01 00:00:00")
+    at = lambda m: start + dt.timedelta(minutes=m)
+    versions = [("h", f"v{i}", at(10 * i), at(10 * i + 8) if i % 3 else (at(10 * i + 10) if i < 999 else None)) for i in range(1000)]
+    versions += [(None, "x", at(0), None), ("g", "w", None, None)]
+    facts = [("h", i, at(i)) for i in range(10_000)] + [("h", -1, at(-1)), ("h", -2, None), (None, -3, at(5)), ("g", -4, at(5)), ("h", -5, at(30_000))]
+    fact = spark.createDataFrame(facts, "k string, n int, t timestamp_ntz").repartition(4)
+    hist = spark.createDataFrame(versions, "k string, name string, f timestamp_ntz, e timestamp_ntz").repartition(4)
+    for split_rows in (1_000_000, 700):
+        joined = asof_join(fact, hist, "k", "t", "f", "e", ["name"], split_rows=split_rows)
+        assert joined.columns == ["k", "n", "t", "name", "f", "e"]
+        got = {r.n: r.name for r in joined.collect()}
+        want = {i: f"v{i // 10}" if (i // 10) % 3 == 0 or i % 10 < 8 else None for i in range(10_000)}
+        assert got == want | {-1: None, -2: None, -3: None, -4: None, -5: "v999"}
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

@@ -16,6 +16,7 @@ import datetime as dt
 import json
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -227,8 +228,8 @@ class TableStore:
             current = self._frame([parts[p] for p in touched if p in parts], source.schema)
         merged = combine(current, source)
         _by_partition(merged.withColumn(PART, name_of)).write.mode("errorifexists").partitionBy(PART).parquet(path)
-        written = [n.split("=", 1)[1] for n in self._names(path) if n.startswith(f"{PART}=")]
-        live = {p: f for p, f in parts.items() if p not in touched} | {p: f"{path}/{PART}={p}" for p in written}
+        written = {unquote(n.split("=", 1)[1]): f"{path}/{n}" for n in self._names(path) if n.startswith(f"{PART}=")}
+        live = {p: f for p, f in parts.items() if p not in touched} | written
         self._commit(name, number + 1, live, merged.schema)
         return self.read(name)
 

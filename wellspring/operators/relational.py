@@ -80,15 +80,43 @@ def having_count(df: DataFrame, keys: Sequence[str], name: str = "n", more_than:
 
 def asof_join(fact: DataFrame, history: DataFrame, key: str, ts: str,
               from_col: str, to_col: str, cols: Sequence[str],
-              open_end: str = "9999-12-31 00:00:00") -> DataFrame:
+              open_end: str = "9999-12-31 00:00:00", split_rows: int = 1_000_000) -> DataFrame:
     """Left join each fact row to the history version valid at ``fact.ts``.
 
-    Validity is half-open ``[from, to)``; a NULL ``to`` means open-ended.
-    The equi part (``key``) partitions the work; the range part is a join
-    condition evaluated on the few versions per key. Adaptive execution
-    splits a skewed fact side.
+    Validity is half-open ``[from, to)``; a NULL ``to`` means open-ended. Facts
+    and versions of a key are one union sorted by time; a forward fill carries
+    the newest started version to each fact, which keeps it if it has not
+    ended. Versions of a key don't overlap (``overlapping_window_violations``
+    finds those that do; of such ones the latest started counts).
+
+    A key with more than ``split_rows`` facts is dealt over that many parts
+    more, each with a copy of the key's versions, so no task holds a hot key.
+    The table of such keys is broadcast: it has fewer than facts / split_rows
+    rows. Facts without key or time match nothing and stay out of the sort.
     """
-    h = history.select(F.col(key).alias("__h_key"), *[F.col(c) for c in cols], F.col(from_col), F.col(to_col))
-    end = F.coalesce(F.col(to_col), F.lit(open_end).cast("timestamp_ntz"))
-    cond = (F.col(key) == F.col("__h_key")) & (F.col(ts) >= F.col(from_col)) & (F.col(ts) < end)
-    return fact.join(h, cond, "left").drop("__h_key")
+    vals = [*cols, from_col, to_col]
+    hot = (fact.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__hot")).agg(F.count(F.lit(1)).alias("__n"))
+           .where(F.col("__n") > split_rows).select("__hot", F.ceil(F.col("__n") / split_rows).alias("__parts")))
+    hot = F.broadcast(hot)
+    n_parts = F.coalesce(F.col("__parts"), F.lit(1))
+    version = F.struct(*[F.col(c) for c in vals])
+    names = fact.columns
+    row = F.struct(*[F.col(c) for c in names])
+
+    placed = fact.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    placed = placed.join(hot, F.col(key) == F.col("__hot"), "left").select(
+        F.col(key).alias("__key"), F.pmod(F.xxhash64(*names), n_parts).alias("__part"), F.col(ts).cast("timestamp_ntz").alias("__at"),
+        F.lit(1).alias("__kind"), row.alias("__row"))
+    versions = history.where(F.col(key).isNotNull() & F.col(from_col).isNotNull())
+    versions = versions.join(hot, F.col(key) == F.col("__hot"), "left").select(
+        F.col(key).alias("__key"), F.explode(F.sequence(F.lit(0).cast("long"), n_parts - 1)).alias("__part"),
+        F.col(from_col).cast("timestamp_ntz").alias("__at"), F.lit(0).alias("__kind"), version.alias("__version"))
+    both = placed.unionByName(versions, allowMissingColumns=True)
+    w = Window.partitionBy("__key", "__part").orderBy("__at", "__kind", "__version").rowsBetween(Window.unboundedPreceding, 0)
+    filled = both.withColumn("__version", F.last("__version", ignorenulls=True).over(w)).where(F.col("__kind") == 1)
+    end = F.coalesce(F.col("__version")[to_col], F.lit(open_end).cast("timestamp_ntz"))
+    held = F.when(F.col("__at") < end, F.col("__version"))
+    matched = filled.withColumn("__version", held).select("__row.*", *[F.col("__version")[c].alias(c) for c in vals])
+    types = {f.name: f.dataType for f in history.schema.fields}
+    lone = fact.where(F.col(key).isNull() | F.col(ts).isNull()).select(*names, *[F.lit(None).cast(types[c]).alias(c) for c in vals])
+    return matched.unionByName(lone)

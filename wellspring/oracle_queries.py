@@ -546,6 +546,7 @@ clone("_l", ["ward_day", "sub_dedup"], replace={
     "raw_member": "lraw_member", "raw_water_point": "lraw_water_point"})
 oracle("stream_increment", "SELECT * FROM ward_day_l")
 oracle("stream_dedupe", "SELECT * FROM sub_dedup_l")
+oracle("stream_ward_kpi", "SELECT * FROM ward_day")
 oracle("late_data_window", """
 SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, event_type,
        CAST(count(*) AS BIGINT) AS n_events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value

@@ -406,7 +406,8 @@ def q_scd2_current(spark, sf_dir):
 def q_asof_scd2_join(spark, sf_dir):
     from .operators.relational import asof_join
     full, snap = _snapshots(spark, sf_dir)
-    fact = full.fact.select(*marts.ENRICHED_FACT_COLUMNS)
+    stored = materializer(spark, "asof")  # the join's two inputs are tables
+    fact, snap = stored(full.fact.select(*marts.ENRICHED_FACT_COLUMNS)), stored(snap)
     return asof_join(fact, snap, "household_id", "submitted_at", "dbt_valid_from", "dbt_valid_to",
                      marts.ENRICHED_DIM_COLUMNS)
 
@@ -671,6 +672,27 @@ def q_stream_dedupe(spark, sf_dir):
     return store.read("submission_latest")
 
 
+def _write_fact_files(spark, sf_dir) -> tuple[str, T.StructType]:
+    """Facts in three deliveries: the older half, the newer one, then a tenth of all days' rows, long after the watermark."""
+    fact = materializer(spark, "facts")(_built(spark, sf_dir).fact.select(
+        "household_id", "submission_id", "ward_id", "submitted_at", "event_date", "is_safe_drinking"))
+    src = SC.scratch_path(spark, "fact-src")
+    delayed = F.pmod(F.xxhash64("household_id", "submission_id"), F.lit(10)) == 0
+    newer = F.coalesce(F.col("event_date") >= F.lit("1995-06-01").cast("date"), F.lit(False))
+    for n, rows in enumerate((fact.where(~delayed & ~newer), fact.where(~delayed & newer), fact.where(delayed))):
+        rows.repartition(FILES_PER_TRIGGER, "household_id").write.parquet(f"{src}/{n}")
+    return src, fact.schema
+
+
+@query("stream_ward_kpi")
+def q_stream_ward_kpi(spark, sf_dir):
+    """Ward-day KPI as windows under a watermark over three triggers, late rows computed again from stored ones."""
+    src, schema = _write_fact_files(spark, sf_dir)
+    store = I.TableStore(spark, SC.scratch_path(spark, "ward-kpi"))
+    S.ward_kpi(spark, src, schema, SC.scratch_path(spark, "ward-kpi-ckpt"), store, max_files=FILES_PER_TRIGGER)
+    return S.read_ward_kpi(store)
+
+
 @query("late_data_window")
 def q_late_data_window(spark, sf_dir):
     """Daily event counts per type from the events stream, read in place."""

@@ -9,16 +9,21 @@ its micro-batch, so a batch that is replayed replaces its own rows.
 streams, so de-duplication happens inside ``foreachBatch`` on the static batch.
 ``max_files`` bounds the files of one micro-batch; results don't depend on it,
 except where an increment's own load and event windows do.
-``trigger(availableNow=True)`` processes what is there and stops.
+``trigger(availableNow=True)`` processes what is there and stops. ``ward_kpi`` is
+the stateful form of the headline aggregate: windows under a watermark, and a
+recompute from stored rows for what comes after it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.columns import iff, safe_ratio
 from ..operators.incremental import TableStore
 from ..plans.increment import run_increment
+from ..plans.marts import ward_day
 from ..plans.staging import dedupe_submission, standardise_submission
 from ..sources.landing import flatten, raw_from_flat, split_corrupt
 
@@ -43,8 +48,8 @@ def landing_stream(spark: SparkSession, src_dir: str, glob: str = "*.json", whol
     )
 
 
-def _run(stream: DataFrame, batch, checkpoint: str) -> None:
-    (stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+def _run(stream: DataFrame, batch, checkpoint: str, mode: str = "append") -> None:
+    (stream.writeStream.outputMode(mode).foreachBatch(batch).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())
 
 
@@ -135,3 +140,95 @@ def window_totals(rows: DataFrame, window: str) -> DataFrame:
         F.count(F.lit(1)).cast("long").alias("n_events"),
         F.sum(F.col("value").cast("decimal(18,2)")).alias("total_value"),
     ).select("window_start", end.alias("window_end"), "event_type", "n_events", "total_value")
+
+
+def ward_kpi(spark: SparkSession, src_dir: str, schema, checkpoint: str, store: TableStore, delay: str = "30 days",
+             max_files: int | None = None) -> None:
+    """Ward-by-day KPI of a stream of fact files, within and after the watermark; run to completion.
+
+    Each micro-batch is stored, and a second, stateful query reads the stored
+    batches, each whole as one micro-batch of its own: windows by ward and day
+    that stay open until the watermark (``delay`` behind the newest event of
+    earlier batches) has passed them, in update mode. Its changed ward days are
+    merged into ``ward_day_stream``. Spark drops rows of closed windows, and
+    rows without a time have no window: the ward days of such rows are computed
+    again from all stored rows into ``ward_day_late``. A batch is stored once
+    and its merges replace themselves, so a replay changes nothing.
+    ``read_ward_kpi`` joins the two tables.
+    """
+    feed = f"{store.root}/ward_facts"
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        folder = f"{feed}/batch={batch_id}"
+        # visible as a whole or not at all, and the same rows again in a replay: written once
+        if not _is_written(spark, folder):
+            month = F.coalesce(F.trunc("event_date", "month").cast("string"), F.lit("none"))
+            rows = df.withColumn("event_month", month).hint("rebalance", "event_month")
+            rows.write.mode("overwrite").partitionBy("event_month").parquet(folder)
+        late_ward_days(spark, store, feed, schema, batch_id, delay)
+        stored = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(feed)
+        _run(open_ward_days(stored, delay), lambda changed, _: merge_ward_days(store, "ward_day_stream", changed),
+             f"{checkpoint}/windows", "update")
+
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    _run(reader.parquet(src_dir), batch, f"{checkpoint}/files")
+
+
+def _is_written(spark: SparkSession, folder: str) -> bool:
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
+
+
+def open_ward_days(facts: DataFrame, delay: str) -> DataFrame:
+    """Stateful counts by ward and one-day window of the event time.
+
+    A watermark needs an instant; the wall-clock time is taken as UTC, whatever
+    the session's zone, so windows are its days.
+    """
+    at = F.expr("timestamp_micros(timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', submitted_at))")
+    timed = facts.withColumn("__at", at).withWatermark("__at", delay)
+    date = F.date_add(F.lit("1970-01-01").cast("date"), F.expr("cast(unix_seconds(day.start) div 86400 as int)"))
+    safe = F.sum(iff("is_safe_drinking", F.lit(1), F.lit(0))).cast("long")
+    return timed.groupBy(F.window("__at", "1 day").alias("day"), "ward_id").agg(
+        F.count(F.lit(1)).cast("long").alias("household_events_total"), safe.alias("household_events_safe"),
+    ).select("ward_id", date.alias("event_date"), "household_events_total", "household_events_safe")
+
+
+def merge_ward_days(store: TableStore, name: str, changed: DataFrame) -> None:
+    """Replace the changed ward days, in the event months that they fall in; a null ward or day is a key as any other."""
+    key = lambda df: df.select(F.col("ward_id").alias("__w"), F.col("event_date").alias("__d"))
+    same = F.col("ward_id").eqNullSafe(F.col("__w")) & F.col("event_date").eqNullSafe(F.col("__d"))
+    store.merge_partitions(name, changed, F.trunc("event_date", "month"),
+                           lambda old, new: old.join(key(new), same, "left_anti").unionByName(new))
+
+
+def late_ward_days(spark: SparkSession, store: TableStore, feed: str, schema, batch_id: int, delay: str) -> None:
+    """Compute the ward days of a stored batch's late and timeless rows again from the rows stored so far."""
+    batch = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{feed}/batch={batch_id}")
+    newest = store.append("ward_newest", batch.agg(F.max("submitted_at").alias("at"), F.lit(batch_id).alias("batch")), str(batch_id))
+    newest = newest.where(F.col("batch") < batch_id).agg(F.max("at")).first()[0]  # one row per batch
+    late = F.col("submitted_at").isNull()
+    if newest is not None:
+        bound = F.lit(newest).cast("timestamp_ntz") - F.expr(f"INTERVAL {delay}")
+        late = late | (F.timestamp_add("DAY", F.lit(1), F.to_date("submitted_at").cast("timestamp_ntz")) <= bound)
+    keys = batch.where(late).select("ward_id", "event_date").distinct()
+    month = F.coalesce(F.trunc("event_date", "month").cast("string"), F.lit("none"))
+    months = [r[0] for r in keys.select(month).distinct().collect()]  # event months of late rows, not rows
+    whole = T.StructType([*schema.fields, T.StructField("batch", T.LongType()), T.StructField("event_month", T.StringType())])
+    stored = spark.read.schema(whole).parquet(feed)  # by batch and event month: only late months' folders are read
+    touched = stored.where((F.col("batch") <= batch_id) & F.col("event_month").isin(months)).drop("batch", "event_month")
+    keys = keys.select(F.col("ward_id").alias("__w"), F.col("event_date").alias("__d"))
+    same = F.col("ward_id").eqNullSafe(F.col("__w")) & F.col("event_date").eqNullSafe(F.col("__d"))
+    again = ward_day(touched.join(keys, same, "left_semi"))
+    merge_ward_days(store, "ward_day_late", again.drop("pct_safe"))
+
+
+def read_ward_kpi(store: TableStore) -> DataFrame:
+    """The KPI of all rows so far: ward days computed again where late rows came, else the stream's own."""
+    late = store.read("ward_day_late")
+    key = late.select(F.col("ward_id").alias("__w"), F.col("event_date").alias("__d"))
+    same = F.col("ward_id").eqNullSafe(F.col("__w")) & F.col("event_date").eqNullSafe(F.col("__d"))
+    both = store.read("ward_day_stream").join(key, same, "left_anti").unionByName(late)
+    return both.withColumn("pct_safe", safe_ratio("household_events_safe", "household_events_total", 2))
