@@ -59,6 +59,42 @@ def test_expectations(spark):
     assert rep == {"nn": (1, "error"), "ex": (1, "warn"), "av": (1, "warn")}
 
 
+def test_one_shuffle_counts_equal_failing_rows(spark):
+    child = spark.createDataFrame([(1, "a", 5, None), (1, "a", None, "p"), (2, "b", 1, "p"), (None, "b", 1, "q"), (3, None, 2, None), (7, "z", 9, "q")],
+                                  "k long, v string, n long, w string")
+    parent = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "k long, v string")
+    frames = {"child": child, "parent": parent}
+    checks = [X.Check("nn", "child", "not_null", {"column": "k"}), X.Check("nn_w", "child", "not_null", {"column": "n"}, where="v = 'a'"),
+              X.Check("u", "child", "unique", {"column": "k"}), X.Check("u_w", "child", "unique", {"column": "w"}, where="n < 9"),
+              X.Check("uc", "child", "unique_combination", {"columns": ["v", "w"]}),
+              X.Check("uc2", "child", "unique_combination", {"columns": ["k", "v"]}),
+              X.Check("av", "child", "accepted_values", {"column": "v", "values": ["a"]}),
+              X.Check("rel", "child", "relationship", {"column": "k", "to": "parent", "field": "k"}),
+              X.Check("rel_w", "child", "relationship", {"column": "v", "to": "parent", "field": "v"}, where="n > 1"),
+              X.Check("ex", "child", "expression", {"expression": "n < 9"}), X.Check("pu", "parent", "unique", {"column": "k"}),
+              X.Check("custom", "child", "custom", {"fn": lambda f: f["child"].where("k = 3")})]
+    got = {r.check_name: r.failures for r in X.run_expectations(frames, checks).collect()}
+    assert got == {c.name: X.failing_rows(c, frames).count() for c in checks}
+    assert sum(got.values()) > 10
+    plan = X.count_failures(frames, checks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 3  # each table once, and the custom check's own
+
+
+def test_failing_rows_of_all_row_level_checks_are_kept_in_one_pass(spark):
+    from wellspring.session import scratch_path
+
+    df = spark.createDataFrame([(1, 5), (None, 20), (3, 30), (None, None)], "k long, n long")
+    frames = {"t": df, "clean": df.where("k = 1")}
+    checks = [X.Check("nn", "t", "not_null", {"column": "k"}), X.Check("ex", "t", "expression", {"expression": "n < 10"}),
+              X.Check("never", "t", "expression", {"expression": "n > 0"}), X.Check("ok", "clean", "not_null", {"column": "k"})]
+    root = scratch_path(spark, "audit-test")
+    assert X.store_failures(frames, checks, root) == {"nn": 2, "ex": 2, "never": 0, "ok": 0}
+    kept = X.read_failures(frames, root, "t")
+    assert sorted(((r.check_name, r.k, r.n) for r in kept.collect() if r.n), key=repr) == [("ex", 3, 30), ("ex", None, 20), ("nn", None, 20)]
+    assert kept.columns == ["k", "n", "check_name"] and kept.count() == 4
+    assert X.read_failures(frames, root, "clean").count() == 0
+
+
 def test_landing_flatten(spark):
     member = {"household_id": "h1", "submission_id": "s1", "member_index": 1, "member_name": "A", "sex": "f",
               "age_years": 30, "had_diarrhoea_14d": False}

@@ -1,9 +1,8 @@
 """Declarative data checks. Each ``expect_*`` returns the failing rows.
 
-``run_expectations`` evaluates many checks as one DataFrame (a union of
-one-row counts, so Spark runs them in one job) and applies severity and
-``warn_if`` / ``error_if`` thresholds. Failing rows can be written to an
-audit folder (``store``).
+``run_expectations`` counts many checks in one scan per table and one shuffle
+and applies severity and ``warn_if`` / ``error_if`` thresholds.
+``store_failures`` keeps the failing rows of all row-level checks in one pass.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .relational import union_all
@@ -126,28 +125,110 @@ def _result(c: Check, failures: Column) -> Column:
                     failures.cast("long").alias("failures"), _status(c, failures).alias("status"))
 
 
+_KEYED = "struct<check:int,key:array<string>,parent:boolean>"
+
+
+def _keyed(i: int, when: Column | None, key: Sequence[str] | None, parent: bool = False) -> Column:
+    """The row's entry for check ``i``: its key where the check looks at the row, else NULL."""
+    values = F.lit(None).cast("array<string>") if key is None else F.array(*[F.col(k).cast("string") for k in key])
+    entry = F.struct(F.lit(i).alias("check"), values.alias("key"), F.lit(parent).alias("parent")).cast(_KEYED)
+    return entry if when is None else F.when(when, entry)
+
+
+def _both(a: Column | None, b: Column) -> Column:
+    return b if a is None else a & b
+
+
+def _entries(checks: Sequence[Check]) -> dict[str, list[Column]]:
+    """For each table, the entries that one of its rows gives."""
+    out: dict[str, list[Column]] = {}
+    for i, c in enumerate(checks):
+        own = out.setdefault(c.table, [])
+        scope = (F.expr(c.where) if isinstance(c.where, str) else c.where) if c.where is not None else None
+        if c.kind in ROW_LEVEL:
+            own.append(_keyed(i, _violation(c), None))
+        elif c.kind == "unique":
+            own.append(_keyed(i, _both(scope, F.col(c.args["column"]).isNotNull()), [c.args["column"]]))
+        elif c.kind == "unique_combination":
+            own.append(_keyed(i, scope, c.args["columns"]))
+        elif c.kind == "accepted_values":
+            own.append(_keyed(i, _both(scope, ~F.col(c.args["column"]).isin(list(c.args["values"]))), [c.args["column"]]))
+        elif c.kind == "relationship":
+            own.append(_keyed(i, _both(scope, F.col(c.args["column"]).isNotNull()), [c.args["column"]]))
+            parent = out.setdefault(c.args["to"], [])
+            parent.append(_keyed(i, F.col(c.args["field"]).isNotNull(), [c.args["field"]], parent=True))
+    return out
+
+
+def count_failures(frames: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """(check, failures) of the checks that fail, by position in ``checks``.
+
+    Every table is scanned once: a row gives one entry for each check that
+    looks at it (its key for uniqueness, accepted values and relationships, on
+    the parent's side too; no key for a failing row-level check). One shuffle
+    of all tables' entries, counted before it on the map side, brings equal
+    keys of a check together. Failures are then duplicated keys, values outside
+    the set, children without a parent, or rows.
+    """
+    parts = []
+    for table, entries in _entries(checks).items():
+        if entries:
+            found = F.filter(F.array(*entries), lambda e: e.isNotNull())
+            parts.append(frames[table].select(F.explode(found).alias("e")).select("e.*"))
+    for i, c in enumerate(checks):
+        if c.kind == "custom":
+            parts.append(failing_rows(c, frames).select(_keyed(i, None, None).alias("e")).select("e.*"))
+    by_key = union_all(parts).groupBy("check", "key").agg(
+        F.count(F.when(~F.col("parent"), 1)).alias("n"), F.count(F.when(F.col("parent"), 1)).alias("parents"))
+    ids = lambda *kinds: F.col("check").isin([i for i, c in enumerate(checks) if c.kind in kinds])
+    failures = (F.when(ids("unique", "unique_combination"), (F.col("n") > 1).cast("long"))
+                .when(ids("accepted_values"), F.lit(1).cast("long"))
+                .when(ids("relationship"), F.when(F.col("parents") == 0, F.col("n")).otherwise(0))
+                .otherwise(F.col("n")))
+    return by_key.groupBy("check").agg(F.sum(failures).alias("failures"))
+
+
 def run_expectations(frames: Mapping[str, DataFrame], checks: Sequence[Check], store: str | None = None) -> DataFrame:
     """One result row per check: name, table, kind, severity, failures, status.
 
-    Row-level checks (not-null, expressions) on one table are counted in a
-    single aggregate pass over that table; set-level checks (uniqueness,
-    accepted values, relationships, custom) each run their own grouped
-    query. Severity ``error``: error when ``error_if`` holds, else warn when
-    ``warn_if`` holds; severity ``warn``: warn when ``warn_if`` holds.
+    All checks are counted in one scan per table and one shuffle
+    (``count_failures``). Severity ``error``: error when ``error_if`` holds,
+    else warn when ``warn_if`` holds; severity ``warn``: warn when ``warn_if``
+    holds. ``store`` keeps the failing rows of row-level checks
+    (``store_failures``).
+    """
+    if store:
+        store_failures(frames, checks, store)
+    counts = count_failures(frames, checks)
+    # one row: a map of at most as many entries as there are checks
+    by_check = counts.agg(F.map_from_entries(F.collect_list(F.struct("check", "failures"))).alias("m"))
+    rows = F.array(*[_result(c, F.coalesce(F.element_at("m", F.lit(i)), F.lit(0))) for i, c in enumerate(checks)])
+    return by_check.select(F.inline(rows))
+
+
+def store_failures(frames: Mapping[str, DataFrame], checks: Sequence[Check], root: str) -> dict[str, int]:
+    """Keep the failing rows of all row-level checks; returns the failures by check name.
+
+    One pass over each table: a row carries the names of the checks it fails,
+    is exploded once and goes to ``root/<table>/check_name=<check>``. The same
+    pass counts. A table whose rows all pass has an empty folder.
     """
-    parts = []
     by_table: dict[str, list[Check]] = {}
     for c in checks:
-        if store:
-            failing_rows(c, frames).write.mode("overwrite").parquet(f"{store.rstrip('/')}/{c.name}")
         if c.kind in ROW_LEVEL:
             by_table.setdefault(c.table, []).append(c)
-            continue
-        bad = failing_rows(c, frames)
-        parts.append(bad.agg(_result(c, F.count(F.lit(1))).alias("r")).select("r.*"))
-    for table, cs in by_table.items():
-        counts = frames[table].agg(*[F.sum(F.when(_violation(c), 1).otherwise(0)).alias(f"c{i}")
-                                     for i, c in enumerate(cs)])
-        rows = F.array(*[_result(c, F.coalesce(F.col(f"c{i}"), F.lit(0))) for i, c in enumerate(cs)])
-        parts.append(counts.select(F.inline(rows)))
-    return union_all(parts)
+    counted: dict[str, int] = {}
+    for table, own in by_table.items():
+        failed = F.filter(F.array(*[F.when(_violation(c), F.lit(c.name)) for c in own]), lambda name: name.isNotNull())
+        seen = Observation(f"failures of {table}")
+        rows = frames[table].withColumn("check_name", F.explode(failed))
+        rows = rows.observe(seen, *[F.count_if(F.col("check_name") == c.name).alias(c.name) for c in own])
+        rows.write.mode("overwrite").partitionBy("check_name").parquet(f"{root.rstrip('/')}/{table}")
+        counted |= seen.get
+    return counted
+
+
+def read_failures(frames: Mapping[str, DataFrame], root: str, table: str) -> DataFrame:
+    """The kept rows of a table with the name of the check they fail."""
+    schema = frames[table].schema.add("check_name", "string")
+    return frames[table].sparkSession.read.schema(schema).parquet(f"{root.rstrip('/')}/{table}")

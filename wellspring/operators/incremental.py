@@ -212,16 +212,19 @@ class TableStore:
         name_of = F.coalesce(part.cast("string"), F.lit(NULL_PARTITION))
         number, parts, schema = self._state(name)
         path = self._new_folder(name)
-        # the source (an increment: small by design) is read up to three times below; write it once
-        source.write.mode("errorifexists").parquet(f"{path}-source")
-        source = self.spark.read.schema(source.schema).parquet(f"{path}-source")
         if schema is None:
-            schema = source.schema
-        if any(f.name not in source.columns or source.schema[f.name].dataType != f.dataType for f in schema.fields):
+            schema = source.schema  # a new table: the source is read once
+        else:
+            # the source (an increment: small by design) is read up to three times below; write it once
+            source.write.mode("errorifexists").parquet(f"{path}-source")
+            source = self.spark.read.schema(source.schema).parquet(f"{path}-source")
+        if not parts:
+            touched, current = [], self._frame([], schema)
+        elif any(f.name not in source.columns or source.schema[f.name].dataType != f.dataType for f in schema.fields):
             touched, current = list(parts), self._frame(list(parts.values()), schema)
         else:
             affected = source.select(name_of.alias("p"))
-            if moved is not None and parts:
+            if moved is not None:
                 held = moved(self._frame(list(parts.values()), source.schema), source)
                 affected = affected.unionByName(held.select(name_of.alias("p")))
             touched = [r.p for r in affected.distinct().collect()]  # partition names, not rows

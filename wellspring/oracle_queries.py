@@ -491,6 +491,9 @@ FROM docs
 for _k in ("not_null", "unique", "unique_combination", "accepted_values", "relationship", "expression"):
     oracle(f"expect_{_k}", _report_sql(_k))
 oracle("run_expectations", _report_sql(None))
+oracle("store_failures_all", f"""
+SELECT table_name, check_name, failures FROM ({_report_sql(None)}) WHERE kind IN ('not_null', 'expression') AND failures > 0
+""")
 
 oracle("explode_outer_submissions", "SELECT * FROM ext_rows")
 oracle("landing_ingest", "SELECT * FROM ext_rows")

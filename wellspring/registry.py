@@ -223,8 +223,9 @@ def q_eligible_events(spark, sf_dir):
 
 # ------------------------------------------------------------ monitoring ---
 from .operators import incremental as I  # noqa: E402
+from .operators.relational import union_all  # noqa: E402
 from .operators import scd2  # noqa: E402
-from .operators.expectations import run_expectations  # noqa: E402
+from .operators.expectations import ROW_LEVEL, read_failures, run_expectations, store_failures  # noqa: E402
 from .plans import checks as CK  # noqa: E402
 from .plans import monitors as MON  # noqa: E402
 from .plans import scenario as SC  # noqa: E402
@@ -519,12 +520,25 @@ query("run_expectations")(_report(None))
 
 @query("store_failures")
 def q_store_failures(spark, sf_dir):
-    """Failing rows of one check written to the audit folder and read back."""
+    """Kept failing rows of one check, read back from the audit folder of all row-level checks of its table."""
     frames = survey_frames(spark, sf_dir)
-    check = [c for c in CK.declared_checks() if c.name == "expression_stg_kobo_household_hh_size"]
+    table = "stg_kobo_household"
     root = SC.scratch_path(spark, "audit")
-    run_expectations(frames, check, store=root).collect()
-    return spark.read.parquet(f"{root}/expression_stg_kobo_household_hh_size")
+    store_failures(frames, [c for c in CK.declared_checks() if c.table == table], root)
+    kept = read_failures(frames, root, table)
+    return kept.where(F.col("check_name") == "expression_stg_kobo_household_hh_size").drop("check_name")
+
+
+@query("store_failures_all")
+def q_store_failures_all(spark, sf_dir):
+    """Kept failing rows of every row-level check of every table, counted from the audit folder."""
+    frames = survey_frames(spark, sf_dir)
+    checks = [c for c in CK.checks_for(frames) if c.kind in ROW_LEVEL]
+    root = SC.scratch_path(spark, "audit")
+    store_failures(frames, checks, root)
+    tables = dict.fromkeys(c.table for c in checks)
+    kept = [read_failures(frames, root, t).select(F.lit(t).alias("table_name"), "check_name") for t in tables]
+    return union_all(kept).groupBy("table_name", "check_name").agg(F.count(F.lit(1)).alias("failures"))
 
 
 # --------------------------------------------------------------- landing ---
@@ -761,7 +775,6 @@ def q_pii_projection(spark, sf_dir):
 @query("union_all")
 def q_union_all(spark, sf_dir):
     """Submission keys of the four accepted entity sets, by name (UNION ALL)."""
-    from .operators.relational import union_all
     st = _built(spark, sf_dir).staged
     return union_all([
         st.submission.accepted.select(F.lit("submission").alias("entity"), "submission_id"),
