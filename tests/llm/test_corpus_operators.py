@@ -84,6 +84,33 @@ def test_ngram_join_equals_all_pairs(spark, rows, params):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == Counter((d, *want[d, t]) for d, t in small)
 
 
+def test_ngram_join_links_rows_without_id(spark):
+    r = random.Random(8)
+    base = [f"w{r.randrange(5000)}" for _ in range(400)]
+    edit = lambda *at: " ".join(f"e{i}" if i in at else w for i, w in enumerate(base))
+    far = [f"w{r.randrange(5000)}" for _ in range(300)]
+    chain = [" ".join(far[k : k + 200]) for k in (0, 24, 48)]  # neighbours at 0.78, ends at 0.60
+    rows = [(1, edit()), (None, edit(100)), (None, edit(100)), (2, "something else altogether here now"), (None, edit(200)), (10, chain[0]), (None, chain[1]), (20, chain[2]), (10, chain[0])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((x.doc_id, x.n_shingles, x.component_id) for x in ngram_join.similarity_classes(frame).collect())
+    assert got == Counter((d, *brute_classes(rows)[(d, t)]) for d, t in rows)
+    assert sum(k for (d, _, c), k in got.items() if d is None and c == 1) == 3 and (None, 196, 10) in got
+
+
+def test_ngram_join_of_a_large_group_with_few_links_among_it(spark):
+    r = random.Random(9)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(260):
+        w = base[:]
+        for _ in range(r.randrange(2, 5)):
+            w[r.randrange(len(w))] = f"x{i}-{r.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    got = {x.doc_id: x.component_id for x in ngram_join.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = brute_classes(rows)
+    assert got == {d: want[(d, t)][1] for d, t in rows} and len(set(got.values())) < 200
+
+
 def test_ngram_join_long_text_and_empty_table(docs, no_docs):
     got = {r.doc_id: r for r in ngram_join.similarity_classes(docs).collect()}
     assert got[10_010].component_id == got[10_011].component_id == 10_010

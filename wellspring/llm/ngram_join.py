@@ -6,7 +6,7 @@ sequence as one; no words: empty, linked with nothing). Two documents link when
 with its component under these links.
 
 Order. One pass counts shingles into a sketch of 2**sketch_bits counters, which
-is summed over the cluster and broadcast (fixed size). All documents order their
+is summed over the cluster and broadcast (fixed size, 16 bits each). All documents order their
 shingles by the class of the sketched frequency, then by hash, so that rare ones
 come first. The order only has to be the same everywhere to be correct.
 
@@ -49,6 +49,8 @@ from wellspring.llm.components import components
 from wellspring.llm.shared import Workspace
 
 _CHUNK = 1 << 16
+_MOST = (1 << 16) - 1
+_PART_NAMES = ["id", "text_hash", "n_shingles", "sig", "chunk", "counts"]
 _MEMBER = ("sig", "n", "matches", "pos", "tail")
 
 
@@ -60,8 +62,8 @@ class JoinParams:
     k: int = 5
     threshold: int = 75
     max_match: int = 4
-    sketch_bits: int = 20
-    rounds: int = 2
+    sketch_bits: int = 24
+    rounds: int = 3
     split_rows: int = 4096
     star_from: int = 64
 
@@ -89,33 +91,39 @@ def _signed_and_counted(docs: DataFrame, id_col: str, text_col: str, p: JoinPara
     """Rows of documents (id, n_shingles, sig) and, with chunk set, rows of each task's shingle counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << p.sketch_bits, dtype=np.uint32)
+        counts = np.zeros(1 << p.sketch_bits, dtype=np.uint16)
         seen = False
         for batch in batches:
             for part in W.slices(batch, text_col):
                 seen, n = True, part.num_rows
                 value, cut = _sets(part.column(text_col), p.k)
-                counts += np.bincount(value >> np.uint64(64 - p.sketch_bits), minlength=len(counts)).astype(np.uint32)
+                at, more = np.unique(value >> np.uint64(64 - p.sketch_bits), return_counts=True)
+                counts[at] = np.minimum(counts[at] + more, _MOST)
                 size = np.diff(cut)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(id_col), pa.array(size), pa.array(_signatures(value, cut), mask=size == 0), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-                    names=["id", "n_shingles", "sig", "chunk", "counts"],
+                    [
+                        part.column(id_col),
+                        part.column("text_hash"),
+                        pa.array(size),
+                        pa.array(_signatures(value, cut), mask=size == 0),
+                        pa.nulls(n, pa.int32()),
+                        pa.nulls(n, pa.binary()),
+                    ],
+                    names=_PART_NAMES,
                 )
         if seen:
             step = min(_CHUNK, len(counts))
-            chunks = [counts[i : i + step].tobytes() for i in range(0, len(counts), step)]
+            chunks = [pa.compress(counts[i : i + step].tobytes(), codec="zstd", asbytes=True) for i in range(0, len(counts), step)]
             m = len(chunks)
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(m, id_type), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.array(range(m), pa.int32()), pa.array(chunks)],
-                names=["id", "n_shingles", "sig", "chunk", "counts"],
-            )
+            none = [pa.nulls(m, kind) for kind in (id_type, pa.int64(), pa.int64(), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(range(m), pa.int32()), pa.array(chunks, pa.binary())], names=_PART_NAMES)
 
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = docs.schema[id_col].dataType
     id_type = to_arrow_type(kind)
-    return docs.select(id_col, text_col).mapInArrow(
-        run, f"id {kind.simpleString()}, n_shingles long, sig long, chunk int, counts binary"
+    return docs.select(id_col, text_col, F.xxhash64(text_col).alias("text_hash")).mapInArrow(
+        run, f"id {kind.simpleString()}, text_hash long, n_shingles long, sig long, chunk int, counts binary"
     )
 
 
@@ -126,15 +134,15 @@ def _sketch(parts: DataFrame, p: JoinParams) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist()):
-                more = np.frombuffer(counts, dtype=np.uint32)
-                total[chunk] = total.get(chunk, 0) + more.astype(np.uint64)
+                more = np.frombuffer(pa.decompress(counts, 2 * min(_CHUNK, 1 << p.sketch_bits), codec="zstd"), dtype=np.uint16)
+                total[chunk] = total.get(chunk, 0) + more.astype(np.uint32)
         for chunk, counts in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([counts.tobytes()], pa.binary())], names=["chunk", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([np.minimum(counts, _MOST).astype(np.uint16).tobytes()])], names=["chunk", "counts"])
 
     summed = parts.where("chunk is not null").select("chunk", "counts").repartition("chunk").mapInArrow(add, "chunk int, counts binary")
-    out = np.zeros(1 << p.sketch_bits, dtype=np.uint64)
+    out = np.zeros(1 << p.sketch_bits, dtype=np.uint16)
     for chunk, counts in summed.toLocalIterator():
-        got = np.frombuffer(counts, dtype=np.uint64)
+        got = np.frombuffer(counts, dtype=np.uint16)
         out[chunk * len(got) : (chunk + 1) * len(got)] = got
     return out
 
@@ -157,7 +165,7 @@ def _index(docs: DataFrame, text_col: str, sketch: np.ndarray, p: JoinParams) ->
     """(token, sig, n, matches, pos, salt, hot): the prefix shingles of every non-empty document, pos in their order."""
     noise = max(1.0, float(np.median(sketch)))
     hot_from = max(p.split_rows, 8 * noise)
-    shared = docs.sparkSession.sparkContext.broadcast(sketch.astype(np.float32))
+    shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         est_all = shared.value
@@ -166,7 +174,7 @@ def _index(docs: DataFrame, text_col: str, sketch: np.ndarray, p: JoinParams) ->
             for part in W.slices(batch, text_col):
                 value, cut = _sets(part.column(text_col), p.k)
                 sig = _signatures(value, cut)
-                est = est_all[value >> np.uint64(64 - p.sketch_bits)]
+                est = est_all[value >> np.uint64(64 - p.sketch_bits)].astype(np.float32)
                 rank = np.where(est > 2 * noise, np.log2(np.maximum(est / noise, 1)).astype(np.int8) + 1, 0)
                 lists = np.maximum(est - noise, 0)
                 picked, sizes, matches, places, salts, rows = [], [], [], [], [], []
@@ -204,7 +212,7 @@ def _index(docs: DataFrame, text_col: str, sketch: np.ndarray, p: JoinParams) ->
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, p: JoinParams) -> DataFrame:
-    """(sig, shingles) of the wanted(id, sig) documents; shingles are sorted 64-bit hashes."""
+    """(sig, shingles) of the wanted(id, text_hash, sig) documents, null ids included; shingles are sorted 64-bit hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,8 +224,10 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
                     names=["sig", "shingles"],
                 )
 
-    rows = docs.select(F.col(id_col).alias("id"), text_col).join(wanted, "id")
-    return rows.mapInArrow(run, "sig long, shingles binary")
+    own = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias(text_col), F.xxhash64(text_col).alias("__hash"))
+    rows = own.join(wanted, F.col("__hash").eqNullSafe(F.col("text_hash")) & F.col("__id").eqNullSafe(F.col("id")))
+    sets = rows.select("sig", text_col).mapInArrow(run, "sig long, shingles binary")
+    return sets.groupBy("sig").agg(F.first("shingles").alias("shingles"))  # repeated rows of one id and text give one set
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, p: JoinParams) -> DataFrame:
@@ -260,11 +270,13 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     p, spark = params, docs.sparkSession
     work = Workspace(spark, "ngram-join")
     parts = work.write(_signed_and_counted(docs, id_col, text_col, p), "parts")
-    signed = parts.where("chunk is null").select("id", "n_shingles", "sig")
+    signed = parts.where("chunk is null").select("id", "text_hash", "n_shingles", "sig")
 
     _write_lists(docs, text_col, _sketch(parts, p), p, work)
     lists = work.read("lists")
-    first = signed.where("sig is not null").groupBy("sig").agg(F.min("id").alias("id"))
+    # one row of each set: the least id, nulls last
+    first = signed.where("sig is not null").groupBy("sig").agg(F.min(F.struct(F.col("id").isNull(), "id", "text_hash")).alias("row"))
+    first = first.select("sig", "row.id", "row.text_hash")
     work.write(_whole_sets(docs, _wanted(lists, p).join(first, "sig"), id_col, text_col, p), "sets")
     work.settle()
     sets = work.read("sets")
@@ -278,7 +290,8 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pairs = work.write(_remaining_pairs(lists, comp, p, work), "pairs-0")
     for r in range(p.rounds + 1):
         # one partner of each set first, then, between components that are left, all pairs
-        tried = pairs.groupBy("b").agg(F.min("a").alias("a")) if r < p.rounds else pairs
+        one = F.min(F.struct(F.xxhash64("a", "b", F.lit(r)).alias("h"), "a")).getField("a").alias("a")
+        tried = pairs.groupBy("b").agg(one) if r < p.rounds else pairs
         tried = work.write(tried.select("a", "b"), f"tried-{r}")
         links = work.write(_verified(tried, sets, p), f"pair-links-{r}")
         comp = _merged(comp, links, work, f"pairs-{r}")
@@ -340,13 +353,20 @@ def _enough(met: DataFrame, p: JoinParams) -> DataFrame:
     has long lists that were not listed (tails too small), what they share
     there is unknown and one shared shingle is enough. In both cases the first
     one they share (the order is the same for all sets) bounds their overlap.
+    So does, where all is listed, what they do not share: of the two prefixes
+    the one that ends first in the order has no shingle in common with the
+    other set but the shared ones, so at most those and the shingles after that
+    prefix are in common.
     """
+    after = F.greatest(*(F.expr(f"(first(n_{s}) * {p.threshold} + 99) div 100 - first(matches_{s})") for s in "ab"))
     tails = F.least(F.first("tail_a"), F.first("tail_b"))
     listed = F.first("tail_a").isNull() | F.first("tail_b").isNull() | _overlap_fits(tails, F.first("n_a"), F.first("n_b"), p)
     pairs = met.groupBy(F.col("sig_a").alias("a"), F.col("sig_b").alias("b")).agg(
         F.count("*").alias("shared"),
         F.when(listed, F.least(F.first("matches_a"), F.first("matches_b"))).otherwise(1).alias("need"),
-        F.least(F.first("n_a") - F.min("pos_a"), F.first("n_b") - F.min("pos_b")).alias("most"),
+        F.least(
+            F.first("n_a") - F.min("pos_a"), F.first("n_b") - F.min("pos_b"), F.when(listed, after + F.count("*"))
+        ).alias("most"),
         F.first("n_a").alias("n_a"),
         F.first("n_b").alias("n_b"),
     )
@@ -354,12 +374,20 @@ def _enough(met: DataFrame, p: JoinParams) -> DataFrame:
 
 
 def _star_pairs(lists: DataFrame, comp: DataFrame, r: int, p: JoinParams) -> DataFrame:
-    """Pairs of each long list's pivot with members of other components; the pivot changes with r."""
+    """Pairs of each long list's pivot with members of other components, where their tails allow enough in common.
+
+    Every list has its own pivot in every round. Members of a group of near
+    copies meet in many lists, so each is tried with many others, also where
+    only a small share of the group's pairs are links.
+    """
     named = lists.where(F.col("df") > p.star_from).join(comp, "sig")
     pivot = named.groupBy("token").agg(
-        F.min(F.struct(F.xxhash64("sig", F.lit(r)).alias("h"), "sig", "n", "comp")).alias("p"), F.min("comp").alias("lo"), F.max("comp").alias("hi")
+        F.min(F.struct(F.xxhash64("sig", "token", F.lit(r)).alias("h"), "sig", "n", "tail", "comp")).alias("p"),
+        F.min("comp").alias("lo"),
+        F.max("comp").alias("hi"),
     )
-    star = named.join(pivot.where("lo < hi"), "token").where((F.col("p.comp") != F.col("comp")) & _sizes_fit("n", "p.n", p))
+    fits = _sizes_fit("n", "p.n", p) & _overlap_fits(F.least("tail", "p.tail"), "n", "p.n", p)
+    star = named.join(pivot.where("lo < hi"), "token").where((F.col("p.comp") != F.col("comp")) & fits)
     return star.select(F.least("sig", "p.sig").alias("a"), F.greatest("sig", "p.sig").alias("b")).distinct()
 
 
