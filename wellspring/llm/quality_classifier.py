@@ -182,7 +182,7 @@ def train(
             yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(w[part])], names=["slot", "weight"])
 
     # max_train rows at most, in the order of the hash: the updates are sequential
-    fitted = encoded.coalesce(1).sortWithinPartitions("_rank", "_id").mapInArrow(fit, "slot int, weight double").toArrow()
+    fitted = encoded.repartition(1).sortWithinPartitions("_rank", "_id").mapInArrow(fit, "slot int, weight double").toArrow()
     weights = np.zeros((1 << params.bits) + 1)
     weights[fitted.column("slot").to_numpy()] = fitted.column("weight").to_numpy()
     return QualityModel(weights, params)

@@ -178,6 +178,7 @@ def measure(docs: DataFrame, vocabularies: Vocabularies, text_col: str = "text",
                     [part.column(f.name) for f in base] + [pa.StructArray.from_arrays(values, names=MEASURES.names)],
                     names=[f.name for f in base] + [out_col],
                 )
+        piece_vocabulary.cache_clear()  # a reused worker takes no words into the next stage
 
     return docs.mapInArrow(run, T.StructType([*base, T.StructField(out_col, MEASURES)]))
 

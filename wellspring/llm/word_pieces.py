@@ -12,7 +12,8 @@ from functools import lru_cache
 import numpy as np
 
 CACHE_WORDS = 600_000
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 160 << 20
+_ENTRY_BYTES = 150  # a word's object, its place in the index and its ids
 
 
 class WordCache:
@@ -40,7 +41,7 @@ class WordCache:
         if new:
             first = len(self._index)
             self._index.update(zip(new, range(first, first + len(new))))
-            self._bytes += sum(map(len, new))
+            self._bytes += sum(map(len, new)) + _ENTRY_BYTES * len(new)
             encoded = self._encode_new(new)
             cut = self._cut[first] + np.cumsum([len(x) for x in encoded])
             while len(self._cut) <= first + len(new):
