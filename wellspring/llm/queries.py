@@ -69,7 +69,8 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_suffix_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = suffix_tree_lm.is_held_out("doc_id")
-    return suffix_tree_lm.score(docs, docs.where(~held_out)).withColumn("held_out", held_out)
+    scored = suffix_tree_lm.score(docs, docs.where(~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), *[c for c in scored.columns if c != "doc_id"])
 
 
 def op8_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ Reading adds up the manifest's counts for the global offsets and reads one file
 at a time.
 
 Defined results: null and empty texts hold the end id alone; null document ids
-come first; equal ids are ordered by their texts' hash.
+come first; equal ids are ordered by text.
 """
 
 from __future__ import annotations
@@ -162,9 +162,10 @@ def write_corpus(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_c
         if names:
             yield close()
 
-    # by the text's hash inside equal ids, so that the range sample on the driver holds no texts
-    order = (F.col(id_col).asc(), F.xxhash64(text_col).asc(), F.col(text_col).asc())
-    rows = docs.select(id_col, text_col).repartitionByRange(*order[:2]).sortWithinPartitions(*order)
+    # ranges by the first characters of the text inside equal ids, so that the sample on the driver holds no texts
+    id_order, text_order = F.col(id_col).asc(), F.col(text_col).asc()
+    rows = docs.select(id_col, text_col).repartitionByRange(id_order, F.substring(text_col, 1, 16).asc())
+    rows = rows.sortWithinPartitions(id_order, text_order)
     rows.mapInArrow(run, "file string, n_docs long, n_ids long, n_bytes long").write.mode("overwrite").parquet(f"{folder}/manifest")
 
 
