@@ -11,7 +11,11 @@ asked for. All counts are exact and cover all training texts.
 The tree is kept in Spark tables: counts are combined in the tasks, and a level
 is joined with the one before. A longer sequence is counted only where its
 shorter parts may be frequent enough, told from a filter of fixed size whose
-false hits cost rows, never results.
+false hits cost rows, never results. Most sequences are rare, so tasks combine
+little; they hand them on as packed ranges of keys, one row for each of about
+N / 2**19 ranges, and a range is summed in one piece. A range's size depends on
+how many sequences it has, not on the corpus, and a frequent one is in it once
+for each million tokens.
 
 A candidate is retained if its next-token distribution diverges from its
 parent's (the longest retained shorter suffix): Kullback-Leibler divergence of
@@ -51,6 +55,8 @@ _HELD = 1_000_000
 _NEAR = 1 << 20
 _FILTER_WORDS = 1 << 21
 _SLICES = 4
+_RANGE_BITS = 19
+_HEAD_BITS = 21
 
 
 @dataclass(frozen=True)
@@ -103,12 +109,24 @@ class Tokens:
             key[at] = _joined(context, suffix, level)
 
 
-def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+def _heads(keys: np.ndarray) -> np.ndarray:
+    """Where the sorted keys with each value of the first _HEAD_BITS bits start."""
+    starts = np.arange(1 << _HEAD_BITS, dtype=np.uint64) << np.uint64(64 - _HEAD_BITS)
+    return np.append(np.searchsorted(keys, starts), len(keys)).astype(np.int32)
+
+
+def _find(keys: np.ndarray, heads: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Place of each wanted key in the sorted keys, or -1."""
-    if not len(keys):
-        return np.full(len(wanted), -1)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
+    out = np.full(len(wanted), -1)
+    head = (wanted >> np.uint64(64 - _HEAD_BITS)).view(np.int64)
+    at, end, left = heads[head], heads[head + 1], np.arange(len(wanted))
+    while len(left):
+        more = at < end
+        at, end, left = at[more], end[more], left[more]
+        same = keys[at] == wanted[left]
+        out[left[same]] = at[same]
+        at, end, left = at[~same] + 1, end[~same], left[~same]
+    return out
 
 
 def _key_filter(keys: DataFrame, key: str, work: Workspace) -> np.ndarray:
@@ -129,6 +147,15 @@ def _may_have(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return words[(keys & np.uint64(_FILTER_WORDS - 1)).view(np.int64)] & bits == bits
 
 
+def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order that sorts the keys, where each different one starts in it)."""
+    order = np.argsort(key)
+    ordered = key[order]
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return order, np.flatnonzero(new)
+
+
 class _Counter:
     """Counts of keys with their attributes, given out when many are held."""
 
@@ -143,35 +170,69 @@ class _Counter:
 
     def flush(self) -> pa.RecordBatch:
         key, *cols = [np.concatenate(x) for x in zip(*self.held)]
-        _, first, count = np.unique(key, return_index=True, return_counts=True)
+        order, starts = _runs(key)
+        first, count = order[starts], np.diff(starts, append=len(key))
         self.held, self.size = [], 0
-        return pa.RecordBatch.from_arrays([*(pa.array(c[first].view(np.int64)) for c in cols), pa.array(count)], names=[*self.names, "n"])
+        return self.batch(key[first], count, [c[first] for c in cols])
+
+    def batch(self, key: np.ndarray, count: np.ndarray, cols: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*(pa.array(c.view(np.int64)) for c in cols), pa.array(count)], names=[*self.names, "n"])
 
 
-def _counted(texts: DataFrame, text_col: str, names: list[str], keys_of) -> DataFrame:
-    """Sums over all texts of the columns after the key that keys_of(Tokens) gives."""
+class _RangeCounter(_Counter):
+    """Counts given out as one row for each range of keys, its columns packed."""
+
+    def __init__(self, names: list[str], ranges: int):
+        super().__init__(names)
+        self.ranges = ranges
+
+    def batch(self, key: np.ndarray, count: np.ndarray, cols: list[np.ndarray]) -> pa.RecordBatch:
+        of = ((key >> np.uint64(32)) * np.uint64(self.ranges) >> np.uint64(32)).view(np.int64)  # ascending, as the keys are
+        cut = np.append(np.flatnonzero(np.diff(of, prepend=-1)), len(of))
+        packed = [
+            pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer((cut * c.itemsize).astype(np.int32)), pa.py_buffer(c)])
+            for c in (*cols, count.astype(np.int32))
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(of[cut[:-1]]), *packed], names=["range", *self.names, "n"])
+
+
+def _counting(texts: DataFrame, text_col: str, counter, keys_of, schema: str) -> DataFrame:
+    """What each task's counter() gives out for the columns after the key that keys_of(Tokens) gives."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter(names)
+        held = counter()
         for batch in batches:
             for part in W.slices(batch, text_col):
-                yield from counter.add(*keys_of(Tokens.of(part.column(text_col))))
-        if counter.size:
-            yield counter.flush()
+                yield from held.add(*keys_of(Tokens.of(part.column(text_col))))
+        if held.size:
+            yield held.flush()
 
-    schema = ", ".join(f"{n} long" for n in [*names, "n"])
-    return texts.select(text_col).mapInArrow(run, schema).groupBy(*names).agg(F.sum("n").alias("n"))
+    return texts.select(text_col).mapInArrow(run, schema)
 
 
-def _with_key(counts: DataFrame, level: int) -> DataFrame:
-    """(context, suffix, n) with the sequence's key."""
+def _word_counts(texts: DataFrame, text_col: str) -> DataFrame:
+    """(key, n) of all tokens."""
+    parts = _counting(texts, text_col, lambda: _Counter(["key"]), lambda t: (t.token, t.token), "key long, n long")
+    return parts.groupBy("key").agg(F.sum("n").alias("n"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            context, suffix = (b.column(c).to_numpy().view(np.uint64) for c in ("context", "suffix"))
-            yield pa.RecordBatch.from_arrays([pa.array(_joined(context, suffix, level).view(np.int64)), *b.columns], names=["key", *b.schema.names])
 
-    return counts.mapInArrow(run, "key long, context long, suffix long, n long")
+def _sequence_counts(texts: DataFrame, text_col: str, level: int, keys_of, least: int, ranges: int) -> DataFrame:
+    """(key, context, suffix, n) of the sequences seen at least so often."""
+
+    def total(table: pa.Table) -> pa.Table:
+        read = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=kind)
+        context, suffix, n = read("context", np.uint64), read("suffix", np.uint64), read("n", np.int32)
+        key = _joined(context, suffix, level)
+        order, starts = _runs(key)
+        sums = np.add.reduceat(n[order].astype(np.int64), starts)
+        keep = sums >= least
+        at = order[starts[keep]]
+        cols = [*(pa.array(c[at].view(np.int64)) for c in (key, context, suffix)), pa.array(sums[keep])]
+        return pa.Table.from_arrays(cols, names=["key", "context", "suffix", "n"])
+
+    names = ["context", "suffix"]
+    parts = _counting(texts, text_col, lambda: _RangeCounter(names, ranges), keys_of, "range long, context binary, suffix binary, n binary")
+    return parts.groupBy("range").applyInArrow(total, "key long, context long, suffix long, n long")
 
 
 def _long(key: np.uint64) -> F.Column:
@@ -209,7 +270,7 @@ def fit(texts: DataFrame, text_col: str, work: Workspace, params: TreeParams = T
     p, spark = params, texts.sparkSession
     if p.depth < 0 or not 0 < p.discount <= 1:
         raise ValueError("depth must be 0 or more, discount above 0 and at most 1")
-    counts = work.write(_counted(texts, text_col, ["key"], lambda t: (t.token, t.token)), "counts")
+    counts = work.write(_word_counts(texts, text_col), "counts")
     total, distinct, texts_n = counts.agg(F.sum("n"), F.count("*"), F.sum(F.when(F.col("key") == _long(_END), F.col("n")))).first()
     n_tokens = total or 0
     least_edge = max(p.least_edge, int(np.ceil(p.edge_share * n_tokens)))
@@ -233,7 +294,7 @@ def fit(texts: DataFrame, text_col: str, work: Workspace, params: TreeParams = T
             context, suffix = context[ok], suffix[ok]
             return _joined(context, suffix, level), context, suffix
 
-        found = _with_key(_counted(texts, text_col, ["context", "suffix"], keys).where(F.col("n") >= least_edge), level)
+        found = _sequence_counts(texts, text_col, level, keys, least_edge, (n_tokens >> _RANGE_BITS) + 1)
         found = found.join(below.select(F.col("key").alias("suffix"), F.col("p").alias("above")), "suffix")
         edges = work.write(found.select("key", "context", "n", "above"), f"edges{level}")
         shared.destroy()
@@ -255,7 +316,7 @@ def fit(texts: DataFrame, text_col: str, work: Workspace, params: TreeParams = T
 
 
 def _near(gains: DataFrame) -> tuple[list[np.ndarray], DataFrame]:
-    """Columns of the most counted gains in the order of their keys, at most _NEAR, and the table of the others."""
+    """Keys, their heads and the other columns of the most counted gains, at most _NEAR, and the table of the others."""
     size = F.least("n", F.lit(1 << 16))
     held = least = 0
     for r in sorted(gains.groupBy(size.alias("size")).count().collect(), reverse=True):
@@ -266,7 +327,7 @@ def _near(gains: DataFrame) -> tuple[list[np.ndarray], DataFrame]:
     got = gains.where(size >= least).select("key", "gain", "base").toArrow()
     key = got.column("key").to_numpy().view(np.uint64)
     order = np.argsort(key)
-    return [key[order], *(got.column(c).to_numpy()[order] for c in ("gain", "base"))], gains.where(size < least)
+    return [key[order], _heads(key[order]), *(got.column(c).to_numpy()[order] for c in ("gain", "base"))], gains.where(size < least)
 
 
 def score(
@@ -283,7 +344,7 @@ def score(
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (keys, gain, base), able = shared.value
+        (keys, heads, gain, base), able = shared.value
         for batch in batches:
             for part in W.slices(batch, text_col):
                 t = Tokens.of(part.column(text_col))
@@ -294,7 +355,7 @@ def score(
                 for key, row in [(t.token, of)] + [(_joined(c, s, level), of[at]) for level, at, c, s in t.sequences(depth)]:
                     may = _may_have(able, key)
                     key, row = key[may], row[may]
-                    at = _find(keys, key)
+                    at = _find(keys, heads, key)
                     hit = at >= 0
                     at, near_row = at[hit], row[hit]
                     full += np.bincount(near_row, gain[at], n)
@@ -303,7 +364,8 @@ def score(
                     rows.append(row[~hit])
                     rest.append(key[~hit])
                 row, h = np.concatenate(rows), np.concatenate(rest)
-                order = np.lexsort((h, row))
+                bits = np.uint64(n.bit_length())  # rows in order, equal keys of a row together (but for ones equal in all bits left)
+                order = np.argsort(row.astype(np.uint64) << (np.uint64(64) - bits) | h >> bits)
                 r, h = row[order], h[order]
                 new = np.ones(len(r), dtype=bool)
                 new[1:] = (r[1:] != r[:-1]) | (h[1:] != h[:-1])
