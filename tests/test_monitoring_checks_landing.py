@@ -155,3 +155,48 @@ def test_stream_ingest_each_file_once(spark):
     assert store.read("landing_corrupt").count() == 1
     ids = sorted(r.submission_id for r in L.flatten(landing).collect())
     assert ids == ["s0", "s1", "s2"]
+
+
+def test_documents_of_several_submissions_fan_out(spark):
+    """0 to 3 submissions of 0 to 3 members, from the documents' own JSON."""
+    import os
+
+    from wellspring.sources import batches as B
+    sf = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    docs = B.batch_documents(spark, sf)
+    want_subs, want_members, wrong = [], [], 0
+    sizes, rosters, absent = set(), set(), 0
+    for r in docs.collect():
+        doc = json.loads(r.json)
+        absent += "submissions" not in doc
+        subs = doc.get("submissions", [])
+        sizes.add(len(subs))
+        for s in subs or [None]:
+            want_subs.append((s or {}).get("submission_id"))
+            members = ((s or {}).get("household") or {}).get("members", [])
+            rosters.add(len(members) if s else None)
+            for m in members or [{}]:
+                want_members.append((want_subs[-1] or "", m.get("member_index") or 0))
+                wrong += bool(m) and m["household_id"] != s["household"]["household_id"]
+    good, bad = L.split_corrupt(L.landing_table(docs))
+    flat = L.flatten(good)
+    raw = L.raw_from_flat(flat)
+    key = lambda x: x or ""
+    assert bad.count() == 0 and absent > 0 and wrong > 0
+    assert sizes == {0, 1, 2, 3} and rosters >= {0, 1, 2, 3}
+    assert sorted((r[0] for r in flat.select("submission_id").collect()), key=key) == sorted(want_subs, key=key)
+    got = raw.members.select("submission_id", "member_index").collect()
+    assert sorted((r[0] or "", r[1] or 0) for r in got) == sorted(want_members)
+    assert raw.members.where("fla_household_id <> household_id").count() == wrong
+
+
+def test_missing_parts_of_a_document_keep_one_null_row(spark):
+    texts = ['{}', '{"submissions":[]}', '{"submissions":null}', '{"submissions":[{"submission_id":"a"}]}',
+             '{"submissions":[{"submission_id":"b","household":{"members":[]}},{"submission_id":"c"}]}', '{"submissions":[']
+    docs = spark.createDataFrame([(t,) for t in texts], "json string").select(
+        "json", F.lit("f").alias("file_name"), F.lit(None).cast("timestamp_ntz").alias("ingested_at"))
+    good, bad = L.split_corrupt(L.landing_table(docs))
+    flat = L.flatten(good)
+    assert bad.count() == 1
+    assert sorted((r[0] or "") for r in flat.select("submission_id").collect()) == ["", "", "", "a", "b", "c"]
+    assert L.raw_from_flat(flat).members.where("member_index is null").count() == 6

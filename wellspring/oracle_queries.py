@@ -95,6 +95,7 @@ from .functions import valuesets as V  # noqa: E402
 from .oracle import CTES, clone, cte, fact_select, ratio_sql, ROLLUP_FLAGS, ROLLUP_SELECT, WARD_DAY_SELECT, _list  # noqa: E402
 from .sources.bindings import FILTER_CYCLE, POINT_TYPE_CYCLE, SOURCE_CYCLE  # noqa: E402
 from .plans import scenario as SC  # noqa: E402
+from .plans.increment import RAW_NAMES  # noqa: E402
 
 BASE = f"TIMESTAMP '{V.INCREMENTAL_BASE_TS}'"
 EVENT_FROM = (_dt.date.fromisoformat(SC.AS_OF) - _dt.timedelta(days=V.EVENT_LOOKBACK_DAYS)).isoformat()
@@ -204,6 +205,23 @@ UNION ALL
 SELECT * FROM raw_submission
 WHERE _loaded_at > (SELECT coalesce(max(_loaded_at), {BASE}) FROM raw_submission_b1)
 """)
+if "raw_water_point_b1" not in CTES:
+    clone("_b1", ["raw_water_point"], f"_loaded_at < TIMESTAMP '{SC.CUTOFF_1}'")
+
+
+def _appended(raw: str, table: str, keys: dict[str, str]) -> str:
+    cols = ", ".join(f"{c} AS {n}" for n, c in keys.items())
+    return f"""SELECT '{table}' AS table_name, submission_id, {cols}, _loaded_at FROM (
+SELECT * FROM {raw}_b1 UNION ALL
+SELECT * FROM {raw} WHERE _loaded_at > (SELECT coalesce(max(_loaded_at), {BASE}) FROM {raw}_b1))"""
+
+
+_NONE = {"household_id": "CAST(NULL AS VARCHAR)", "member_index": "CAST(NULL AS BIGINT)", "water_point_id": "CAST(NULL AS VARCHAR)"}
+oracle("incremental_append_all", "\nUNION ALL\n".join(
+    _appended(raw, name, _NONE | {c: c for c in own}) for raw, name, own in (
+        ("raw_submission", RAW_NAMES[0], ()), ("raw_household", RAW_NAMES[1], ("household_id",)),
+        ("raw_member", RAW_NAMES[2], ("household_id", "member_index")), ("raw_water_point", RAW_NAMES[3], ("water_point_id",)))))
+oracle("scan_ref", "SELECT * FROM hh_event")
 oracle("incremental_load_window", """
 SELECT * FROM hh_event
 WHERE record_loaded_at >= (SELECT coalesce(max(record_loaded_at), %s) FROM hh_event_b1) - INTERVAL 7 DAY
@@ -547,6 +565,104 @@ WHERE household_id IS DISTINCT FROM fla_household_id OR submission_id IS DISTINC
 clone("_l", ["ward_day", "sub_dedup"], replace={
     "raw_submission": "lraw_submission", "raw_household": "lraw_household",
     "raw_member": "lraw_member", "raw_water_point": "lraw_water_point"})
+# Rounds of visits: one document per order, with 0 to 3 submissions of 0 to 3 members.
+cte("v_docs", """
+SELECT o_orderkey AS k, o_orderkey % 4 AS n, o.*,
+       'rounds/' || strftime(o_orderdate, '%Y/%m/%d') || '/' || CAST(o_orderkey % 7 AS VARCHAR) || '.json' AS v_file,
+       o_orderdate + INTERVAL 8 DAY AS v_ingested
+FROM order_ctx o
+""")
+oracle("scan_landing_rounds", """
+SELECT v_file AS file_name, v_ingested AS ingested_at,
+       CASE WHEN k % 8 = 0 THEN NULL ELSE CAST(n AS INTEGER) END AS n_submissions FROM v_docs
+UNION ALL
+SELECT v_file, v_ingested, NULL FROM v_docs WHERE k % 211 = 0
+""")
+cte("v_sub", """
+SELECT d.*, v.i, CAST(k AS VARCHAR) || '-' || CAST(i AS VARCHAR) AS sid,
+       CASE WHEN i IS NOT NULL THEN CAST(o_custkey AS VARCHAR) END AS hid,
+       CAST((k // 4 + i) % 4 AS BIGINT) AS n_members,
+       o_orderdate + to_days(CAST(i AS INTEGER)) AS visited, o_orderdate + to_days(CAST(i + 4 AS INTEGER)) AS v_loaded,
+       CASE WHEN i IS NOT NULL THEN 'round_' || CAST(k % 10 AS VARCHAR) END AS v_batch,
+       CASE WHEN i IS NOT NULL THEN 'f' || CAST(k % 7 AS VARCHAR) END AS v_source, (k + i) % 101 = 0 AS v_deleted,
+       CASE WHEN i IS NOT NULL THEN g_ward END AS v_ward
+FROM v_docs d LEFT JOIN (SELECT unnest([1, 2, 3]) AS i) v ON v.i <= d.n
+""")
+cte("v_raw_submission", f"""
+SELECT sid AS submission_id, CASE WHEN i IS NULL THEN NULL WHEN (k + i) % 9 = 0 THEN 'draft' ELSE 'submitted' END AS status,
+       '{V.FORM_ID}' AS form_id, CAST({V.FORM_VERSION} AS BIGINT) AS form_version,
+       visited AS submitted_at, visited AS collected_at,
+       CASE WHEN i IS NOT NULL THEN o_orderpriority END AS enumerator_id,
+       CASE WHEN i IS NOT NULL THEN 'd' || CAST(o_custkey % 50 AS VARCHAR) END AS device_id, v_ward AS ward_id,
+       CASE WHEN i IS NOT NULL THEN g_municipality END AS municipality,
+       CASE WHEN i IS NOT NULL THEN g_district END AS district,
+       CASE WHEN i IS NOT NULL THEN 27.5::DOUBLE END AS gps_lat, CASE WHEN i IS NOT NULL THEN 85.3::DOUBLE END AS gps_lon,
+       CASE WHEN i IS NOT NULL THEN TRUE END AS consent,
+       v_loaded AS _loaded_at, v_batch AS _batch_id, v_source AS _source_file, v_deleted AS _is_deleted
+FROM v_sub
+""")
+cte("v_raw_household", f"""
+SELECT hid AS household_id, sid AS submission_id, v_ward AS ward_id,
+       CASE WHEN i IS NOT NULL THEN c_name END AS household_head_name,
+       CASE WHEN i IS NOT NULL THEN lpad(CAST(o_custkey % 10000 AS VARCHAR), 4, '0') END AS phone_last4,
+       n_members AS hh_size_reported,
+       list_element({_list(FILTER_CYCLE)}, CAST((k + i) % {len(FILTER_CYCLE)} AS INTEGER) + 1) AS water_filter_type,
+       list_element({_list(SOURCE_CYCLE)}, CAST((k + i) % {len(SOURCE_CYCLE)} AS INTEGER) + 1) AS primary_water_source,
+       CASE WHEN i IS NOT NULL THEN c_acctbal > 0 END AS has_toilet,
+       v_loaded AS _loaded_at, v_batch AS _batch_id, v_source AS _source_file, v_deleted AS _is_deleted
+FROM v_sub
+""")
+cte("v_raw_member", """
+SELECT hid AS household_id, sid AS submission_id, CAST(j AS BIGINT) AS member_index,
+       'v' || CAST(k AS VARCHAR) || '-' || CAST(j AS VARCHAR) AS member_name,
+       CASE WHEN j IS NULL THEN NULL WHEN (k + i + j) % 2 = 0 THEN 'female' ELSE 'male' END AS sex,
+       CAST((k * i + j * 7) % 125 AS BIGINT) AS age_years,
+       CASE WHEN (k + i + j) % 5 <> 0 THEN (k + i + j) % 7 = 0 END AS had_diarrhoea_14d,
+       CASE WHEN (k + i + j) % 13 <> 0 THEN sid END AS fla_submission_id,
+       CASE WHEN j IS NOT NULL THEN CAST(o_custkey + CASE WHEN (k + i + j) % 11 = 0 THEN 1 ELSE 0 END AS VARCHAR) END
+         AS fla_household_id,
+       v_loaded AS _loaded_at, v_batch AS _batch_id, v_source AS _source_file, v_deleted AS _is_deleted
+FROM v_sub s LEFT JOIN (SELECT unnest([1, 2, 3]) AS j) m ON m.j <= s.n_members
+""")
+cte("v_raw_water_point", f"""
+SELECT sid AS submission_id, CASE WHEN i < 3 THEN 'w' || CAST((k + i) % 500 AS VARCHAR) END AS water_point_id,
+       CASE WHEN i < 3 THEN g_ward END AS ward_id,
+       CASE WHEN i < 3 THEN
+         list_element({_list(POINT_TYPE_CYCLE)}, CAST((k + i) % {len(POINT_TYPE_CYCLE)} AS INTEGER) + 1) END AS source_type,
+       CASE WHEN i < 3 THEN (k + i) % 5 <> 0 END AS functional,
+       CASE WHEN i < 3 THEN CAST((k + i) % 45 AS BIGINT) END AS distance_minutes,
+       CAST(NULL AS DOUBLE) AS gps_lat, CAST(NULL AS DOUBLE) AS gps_lon,
+       CASE WHEN i < 3 THEN sid END AS fla_submission_id,
+       v_loaded AS _loaded_at, v_batch AS _batch_id, v_source AS _source_file, v_deleted AS _is_deleted
+FROM v_sub
+""")
+oracle("explode_rounds_submissions", """
+SELECT s.submission_id, strftime(s.submitted_at, '%Y-%m-%dT%H:%M:%S') AS submitted_at, s.status,
+       strftime(s.collected_at, '%Y-%m-%dT%H:%M:%S') AS collected_at, s.enumerator_id, s.device_id, s.ward_id,
+       s.municipality, s.district, s.gps_lat, s.gps_lon, s.consent, h.household_id, h.ward_id AS household_ward_id,
+       h.household_head_name, h.phone_last4, h.hh_size_reported, h.water_filter_type, h.primary_water_source, h.has_toilet,
+       s._batch_id, s._is_deleted, strftime(s._loaded_at, '%Y-%m-%dT%H:%M:%S') AS _loaded_at, s._source_file
+FROM (SELECT * FROM v_raw_submission WHERE submission_id IS NOT NULL) s
+JOIN v_raw_household h ON h.submission_id = s.submission_id
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+       NULL, NULL, NULL, NULL FROM v_docs WHERE n = 0
+""")
+oracle("explode_rounds_members", "SELECT * FROM v_raw_member")
+oracle("nested_object_rounds", "SELECT * FROM v_raw_water_point")
+oracle("child_parent_mismatch", """
+SELECT * FROM (
+  SELECT household_id, submission_id, member_index, fla_household_id, fla_submission_id,
+         coalesce(fla_household_id <> household_id, FALSE) AS household_id_differs,
+         coalesce(fla_submission_id <> submission_id, FALSE) AS submission_id_differs,
+         fla_household_id IS NULL AS household_id_missing, fla_submission_id IS NULL AS submission_id_missing
+  FROM v_raw_member WHERE member_index IS NOT NULL)
+WHERE household_id_differs OR submission_id_differs OR household_id_missing OR submission_id_missing
+""")
+clone("_v", ["ward_day"], replace={
+    "raw_submission": "v_raw_submission", "raw_household": "v_raw_household",
+    "raw_member": "v_raw_member", "raw_water_point": "v_raw_water_point"})
+oracle("landing_to_ward_day", "SELECT * FROM ward_day_v")
 oracle("stream_increment", "SELECT * FROM ward_day_l")
 oracle("stream_dedupe", "SELECT * FROM sub_dedup_l")
 oracle("stream_ward_kpi", "SELECT * FROM ward_day")
@@ -582,6 +698,7 @@ SELECT o_orderkey, CAST(o_orderdate AS DATE) AS event_date,
        (CAST(o_orderdate AS DATE) < CAST(o_orderdate + to_days(CAST(o_orderkey % 10 AS INTEGER)) AS DATE)) AS is_late
 FROM orders
 """)
+oracle("pii_projection_member", "SELECT * EXCLUDE (member_name) FROM mem_acc")
 oracle("pii_projection", "SELECT * EXCLUDE (household_head_name, phone_last4) FROM hh_acc")
 oracle("union_all", """
 SELECT 'submission' AS entity, submission_id FROM sub_acc

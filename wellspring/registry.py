@@ -284,6 +284,33 @@ def q_incremental_append(spark, sf_dir):
     return append_raw(store, allr).submissions
 
 
+@query("incremental_append_all")
+def q_incremental_append_all(spark, sf_dir):
+    """Keys and load times of all four raw tables after the same two deliveries."""
+    from .plans.increment import RAW_NAMES, append_raw
+    b1, allr = SC.raw_pair(spark, sf_dir)
+    store = I.TableStore(spark, SC.scratch_path(spark, "append-all"))
+    append_raw(store, b1)
+    append_raw(store, allr)
+    own = {"household_id": F.col("household_id"), "member_index": F.col("member_index"), "water_point_id": F.col("water_point_id")}
+    tables = []
+    for name in RAW_NAMES:
+        df = store.read(name)
+        keys = [c if n in df.columns else F.lit(None).cast("long" if n == "member_index" else "string") for n, c in own.items()]
+        tables.append(df.select(F.lit(name).alias("table_name"), "submission_id", *(c.alias(n) for c, n in zip(keys, own)), "_loaded_at"))
+    return union_all(tables)
+
+
+@query("scan_ref")
+def q_scan_ref(spark, sf_dir):
+    """A stored model read by its name, after a second version was published over the first."""
+    first, full = _pair(spark, sf_dir)
+    store = I.TableStore(spark, SC.scratch_path(spark, "ref"))
+    store.publish("int_household_event", first.events)
+    store.publish("int_household_event", full.events)
+    return store.read("int_household_event")
+
+
 @query("incremental_load_window")
 def q_incremental_load_window(spark, sf_dir):
     first, full = _pair(spark, sf_dir)
@@ -542,17 +569,18 @@ def q_store_failures_all(spark, sf_dir):
 
 
 # --------------------------------------------------------------- landing ---
+from .sources import batches as B  # noqa: E402
 from .sources import landing as L  # noqa: E402
 from .streaming import ingest as S  # noqa: E402
 
 EXT_COLUMNS = [c for c in L.SUBMISSION_FIELDS if c not in ("members", "water_point")]
 
 
-def corrupt_copies(docs: DataFrame) -> DataFrame:
+def corrupt_copies(docs: DataFrame, text: F.Column | None = None) -> DataFrame:
     """Truncated copies of some documents (orders with key % 211 = 0): unparseable records."""
     key = F.split(F.col("doc_key"), ":").getItem(0).cast("long")
     return docs.where(F.pmod(key, F.lit(211)) == 0).withColumn(
-        "json", F.substring(F.col("json"), 1, 40))
+        "json", F.substring(F.col("json"), 1, 40) if text is None else text)
 
 
 def _landing(spark, sf_dir):
@@ -633,6 +661,65 @@ def q_child_parent_keys(spark, sf_dir):
         .select("household_id", "submission_id", "member_index", "fla_household_id", "fla_submission_id")
 
 
+# Documents of several submissions and members: rounds of visits.
+def _rounds(spark, sf_dir):
+    def build():
+        docs = B.batch_documents(spark, sf_dir)
+        unclosed = F.expr("left(json, length(json) - 1)")  # an empty round is shorter than the other cut
+        return L.landing_table(docs.unionByName(corrupt_copies(docs, unclosed)))
+    return model(spark, sf_dir, "rounds", build)
+
+
+def _rounds_raw(spark, sf_dir):
+    def build():
+        good, _ = L.split_corrupt(_rounds(spark, sf_dir))
+        return L.raw_from_flat(L.flatten(good))
+    return model(spark, sf_dir, "rounds_raw", build)
+
+
+@query("scan_landing_rounds")
+def q_scan_landing_rounds(spark, sf_dir):
+    """Landing rows of rounds: 0 to 3 submissions, NULL without the array and for corrupt payloads."""
+    subs = F.try_variant_get(F.col("payload"), "$.submissions", "array<variant>")
+    return _rounds(spark, sf_dir).select("file_name", "ingested_at", F.when(subs.isNotNull(), F.size(subs)).alias("n_submissions"))
+
+
+@query("explode_rounds_submissions")
+def q_explode_rounds_submissions(spark, sf_dir):
+    """One row per submission of a round, one NULL row for a round without any."""
+    good, _ = L.split_corrupt(_rounds(spark, sf_dir))
+    return L.flatten(good).select(*EXT_COLUMNS)
+
+
+@query("explode_rounds_members")
+def q_explode_rounds_members(spark, sf_dir):
+    """One row per member of every submission, one NULL row for an empty or missing roster."""
+    return _rounds_raw(spark, sf_dir).members
+
+
+@query("nested_object_rounds")
+def q_nested_object_rounds(spark, sf_dir):
+    """The nested water point of every submission of a round; NULL where a submission has none."""
+    return _rounds_raw(spark, sf_dir).water_points
+
+
+@query("child_parent_mismatch")
+def q_child_parent_mismatch(spark, sf_dir):
+    """Members whose own copy of a parent key is wrong or missing."""
+    m = _rounds_raw(spark, sf_dir).members.where(F.col("member_index").isNotNull())
+    keys = [(k, f"fla_{k}") for k in ("household_id", "submission_id")]
+    wrong = [F.coalesce(F.col(own) != F.col(k), F.lit(False)).alias(f"{k}_differs") for k, own in keys]
+    missing = [F.col(own).isNull().alias(f"{k}_missing") for k, own in keys]
+    out = m.select("household_id", "submission_id", "member_index", *(own for _, own in keys), *wrong, *missing)
+    return out.where("household_id_differs or submission_id_differs or household_id_missing or submission_id_missing")
+
+
+@query("landing_to_ward_day")
+def q_landing_to_ward_day(spark, sf_dir):
+    """Ward-day KPI from landing documents: parsed, flattened, staged, integrated and published in one batch."""
+    return build_full(_rounds_raw(spark, sf_dir)).ward_day
+
+
 # ------------------------------------------------------------- streaming ---
 LINES = {"glob": "part-*", "whole_files": False}  # test files hold one document per line
 FILES, FILES_PER_TRIGGER = 9, 3
@@ -772,6 +859,12 @@ def q_pii_projection(spark, sf_dir):
     return hh.drop("household_head_name", "phone_last4")
 
 
+@query("pii_projection_member")
+def q_pii_projection_member(spark, sf_dir):
+    """Accepted members without their names."""
+    return _built(spark, sf_dir).staged.member.accepted.drop("member_name")
+
+
 @query("union_all")
 def q_union_all(spark, sf_dir):
     """Submission keys of the four accepted entity sets, by name (UNION ALL)."""
