@@ -149,6 +149,51 @@ def test_piece_spans_are_the_text(docs):
                 assert raw[a:b] == (spelled[1:] if n == 0 else spelled)
 
 
+def test_piece_spans_in_the_query(spark, docs, monkeypatch):
+    """covered_bytes is the size of the text, spans_crc32 that of the pieces' spans by the library."""
+    from wellspring.llm import queries
+
+    monkeypatch.setattr(queries, "table", lambda *_: docs.select("doc_id", "text").where("doc_id is not null").dropDuplicates(["doc_id"]))
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
+    text = {r.doc_id: r.text or "" for r in queries.table().collect()}
+    got = queries.op8_sentencepiece_codec(spark, "").collect()
+    assert len(got) == len(text)
+    for r in got:
+        raw = text[r.doc_id]
+        assert r.covered_bytes == len(raw.encode())
+        if not any(map(sp.is_byte, sp.encode(raw))):  # the library gives all bytes of a character to its last byte piece
+            spans = ",".join(f"{p.begin}:{p.end}" for p in sp.encode(raw, return_type="proto").pieces)
+            assert r.spans_crc32 == zlib.crc32(spans.encode()), r.doc_id
+
+
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc_cf"])
+def test_encoding_through_a_character_map(spark, tmp_path, rule):
+    """A model with a compiled map that squeezes spaces: ids, spans and decoded texts are the library's."""
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    model, spec = pb.ModelProto(), pb.NormalizerSpec()
+    with open(PIECE_MODEL, "rb") as f:
+        model.ParseFromString(f.read())
+    spec.ParseFromString(sentencepiece.SentencePieceNormalizer(rule_name=rule).serialized_normalizer_spec())
+    model.normalizer_spec.precompiled_charsmap = spec.precompiled_charsmap
+    model.normalizer_spec.remove_extra_whitespaces = True
+    path = str(tmp_path / "mapped.model")
+    with open(path, "wb") as f:
+        f.write(model.SerializeToString())
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = ["ﬁne ① words", "  a  b  ", "Ａｂ　ｃ Straße", "é and é", "½ cup, ㍿", "", "   ", None, "a\tb c\n\nd", "x" * 3000, " ".join(["Ｗide ﬁsh"] * 500)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = piece_codec.decode(piece_codec.encode(frame, path), path).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        text = r.text or ""
+        proto = sp.encode(text, return_type="proto")
+        assert r.ids == [p.id for p in proto.pieces] and r.decoded == sp.decode(r.ids)
+        for p, a, b in zip(proto.pieces, r.starts, r.ends):
+            assert sp.is_byte(p.id) or (a, b) == (p.begin, p.end), text[:20]
+        assert all(a <= b for a, b in zip(r.starts, r.ends)) and list(r.starts) == sorted(r.starts)
+
+
 def test_compiled_character_map():
     from sentencepiece import sentencepiece_model_pb2 as pb
 

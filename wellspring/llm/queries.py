@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellspring.llm import (
@@ -75,16 +75,20 @@ def op7_suffix_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return piece_digests(piece_codec.encode(docs, PIECE_MODEL, drop_text=True, decoded_col="decoded"))
+    coded = piece_codec.encode(docs, PIECE_MODEL, drop_text=True, decoded_col="decoded")
+    spans = F.zip_with("starts", "ends", lambda a, b: F.concat_ws(":", a.cast("string"), b.cast("string")))
+    covered = F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda n, size: n + size)
+    return piece_digests(coded, covered.alias("covered_bytes"), F.crc32(F.array_join(spans, ",").cast("binary")).alias("spans_crc32"))
 
 
-def piece_digests(coded: DataFrame) -> DataFrame:
-    """The contract's digests of encoded and decoded texts."""
+def piece_digests(coded: DataFrame, *more: Column) -> DataFrame:
+    """The contract's digests of encoded and decoded texts, and further columns of coded."""
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        *more,
     )
 
 
