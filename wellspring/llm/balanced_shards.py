@@ -94,15 +94,31 @@ def _text_hubs(data: np.ndarray, offs: np.ndarray, p: ShardParams) -> tuple[np.n
     long = np.flatnonzero(stop - first >= p.min_line_words)
     line = W.hash_spans(data, words.start[first[long]], words.end[stop[long] - 1])
     value, _, row = W.windows(W.hash_spans(data, words.start, words.end, lower=True), words.split, 5)
-    key = np.unique(row.astype(np.uint64) << np.uint64(48) | value >> np.uint64(16))
-    of = (key >> np.uint64(48)).astype(np.int64)
-    place = np.arange(len(key)) - np.searchsorted(of, of)
-    least = place < p.min_shingles
-    rows, hubs = np.concatenate([lines.row[long], of[least]]), np.concatenate([line, key[least] << np.uint64(16)])
+    of, least = _least(value, row, len(offs) - 1, p.min_shingles)
+    rows, hubs = np.concatenate([lines.row[long], of]), np.concatenate([line, least])
     by = np.argsort(rows, kind="stable")
     return rows[by], hubs[by].view(np.int64)
 
 
+def _least(value: np.ndarray, row: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, value) of the k least different values (their upper 48 bits) of each row."""
+
+    def pick(some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        key = np.unique(row[some].astype(np.uint64) << np.uint64(48) | value[some] >> np.uint64(16))
+        of = (key >> np.uint64(48)).astype(np.int64)
+        first = np.arange(len(key)) - np.searchsorted(of, of) < k
+        return of[first], key[first] << np.uint64(16)
+
+    # few values lie below 8 k over the row's count; a row with too few of them is sorted whole
+    share = 8 * k / np.maximum(np.bincount(row, minlength=n), 8 * k)
+    low = value >> np.uint64(1) < (share * 2.0**63).astype(np.uint64)[row]
+    of, least = pick(low)
+    short = np.bincount(of, minlength=n) < k
+    more_of, more = pick(short[row])
+    good = ~short[of]
+    return np.concatenate([of[good], more_of]), np.concatenate([least[good], more])
+
+
 def documents_and_hubs(docs: DataFrame, id_col: str, text_col: str, p: ShardParams) -> tuple[DataFrame, DataFrame]:
     """(doc rows with text hash and salt, edges (content, hub)) of all documents."""
     text = F.coalesce(F.col(text_col), F.lit(""))
