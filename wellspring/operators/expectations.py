@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..session import PARQUET_CODEC
 from .relational import union_all
 
 
@@ -223,7 +224,7 @@ def store_failures(frames: Mapping[str, DataFrame], checks: Sequence[Check], roo
         seen = Observation(f"failures of {table}")
         rows = frames[table].withColumn("check_name", F.explode(failed))
         rows = rows.observe(seen, *[F.count_if(F.col("check_name") == c.name).alias(c.name) for c in own])
-        rows.write.mode("overwrite").partitionBy("check_name").parquet(f"{root.rstrip('/')}/{table}")
+        rows.write.mode("overwrite").option("compression", PARQUET_CODEC).partitionBy("check_name").parquet(f"{root.rstrip('/')}/{table}")
         counted |= seen.get
     return counted
 

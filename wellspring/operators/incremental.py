@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.valuesets import EVENT_LOOKBACK_DAYS, INCREMENTAL_BASE_TS, LOAD_LOOKBACK_DAYS
+from ..session import PARQUET_CODEC
 
 
 def target_max(target: DataFrame | None, col: str):
@@ -181,7 +182,7 @@ class TableStore:
         number, parts, _ = self._state(name)
         new = {part: self._new_folder(name) for part in frames}
         for part, df in frames.items():
-            df.write.mode("errorifexists").parquet(new[part])
+            df.write.mode("errorifexists").option("compression", PARQUET_CODEC).parquet(new[part])
         self._commit(name, number + 1, new if replace else parts | new, next(iter(frames.values())).schema)
         return self.read(name)
 
@@ -216,7 +217,7 @@ class TableStore:
             schema = source.schema  # a new table: the source is read once
         else:
             # the source (an increment: small by design) is read up to three times below; write it once
-            source.write.mode("errorifexists").parquet(f"{path}-source")
+            source.write.mode("errorifexists").option("compression", PARQUET_CODEC).parquet(f"{path}-source")
             source = self.spark.read.schema(source.schema).parquet(f"{path}-source")
         if not parts:
             touched, current = [], self._frame([], schema)
@@ -230,7 +231,7 @@ class TableStore:
             touched = [r.p for r in affected.distinct().collect()]  # partition names, not rows
             current = self._frame([parts[p] for p in touched if p in parts], source.schema)
         merged = combine(current, source)
-        _by_partition(merged.withColumn(PART, name_of)).write.mode("errorifexists").partitionBy(PART).parquet(path)
+        _by_partition(merged.withColumn(PART, name_of)).write.mode("errorifexists").option("compression", PARQUET_CODEC).partitionBy(PART).parquet(path)
         written = {unquote(n.split("=", 1)[1]): f"{path}/{n}" for n in self._names(path) if n.startswith(f"{PART}=")}
         live = {p: f for p, f in parts.items() if p not in touched} | written
         self._commit(name, number + 1, live, merged.schema)

@@ -56,11 +56,31 @@ def orphan_flag(df: DataFrame, key: str, ref: DataFrame, ref_key: str, name: str
     spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*df.columns), F.lit(1024)).cast("string"))
     probe = F.coalesce(F.col(key).cast("string"), spread)
     joined = df.join(ks, probe == F.col("__ref_key").cast("string"), "left")
+    return joined.withColumn(name, _absent(key, non_blank)).drop("__ref_key", "__ref_hit")
+
+
+def _absent(key: str, non_blank: bool) -> Column:
     cond = F.col(key).isNotNull()
     if non_blank:
         cond = cond & (F.col(key) != F.lit(""))
-    cond = cond & F.col("__ref_hit").isNull()
-    return joined.withColumn(name, cond).drop("__ref_key", "__ref_hit")
+    return cond & F.col("__ref_hit").isNull()
+
+
+def latest_with_orphan_flag(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], tie_breakers: Sequence[str | Column],
+                            key: str, ref: DataFrame, ref_key: str, name: str, non_blank: bool = False) -> DataFrame:
+    """``orphan_flag`` of the rows that ``dedupe_latest`` keeps, with one shuffle of the rows.
+
+    ``key`` is one of ``keys``, so equal dedupe keys lie together where the
+    rows are dealt by ``key`` for the join, and the window needs no shuffle of
+    its own. NULL keys are dealt by the other keys. A hot key's partition is
+    split by adaptive execution, which then shuffles for the window after all.
+    """
+    others = [k for k in keys if k != key]
+    spread = F.concat(F.lit("\0"), F.xxhash64(*others).cast("string"))
+    probe = F.coalesce(F.col(key).cast("string"), spread)
+    joined = df.join(key_set(ref, ref_key), probe == F.col("__ref_key").cast("string"), "left").drop("__ref_key")
+    latest = dedupe_latest(joined.withColumn("__probe", probe), ["__probe", *keys], order, tie_breakers)  # a column after the shuffle only
+    return latest.withColumn(name, _absent(key, non_blank)).drop("__probe", "__ref_hit")
 
 
 def union_all(frames: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:

@@ -9,13 +9,15 @@ computed after the dedupe: same result, fewer rows through the orphan joins.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions.valuesets import MEMBER_SEXES, WATER_FILTER_TYPES, WATER_SOURCES
 from ..operators.quarantine import Split, quarantine
-from ..operators.relational import dedupe_latest, orphan_flag
+from ..operators.relational import dedupe_latest, latest_with_orphan_flag, orphan_flag
 
 LOAD_ORDER = ("record_loaded_at", "source_file")
 
@@ -76,8 +78,11 @@ def _latest(df: DataFrame, keys: list[str], first: tuple[str, ...] = ()) -> Data
     """Newest row per key. Ties on the load order are broken on every other
     column (``first`` ones first), so the choice does not depend on the input's
     order (the source rule leaves ties open)."""
-    rest = [c for c in df.columns if c not in (*keys, *LOAD_ORDER, *first)]
-    return dedupe_latest(df, keys, LOAD_ORDER, tie_breakers=[*first, *rest])
+    return dedupe_latest(df, keys, LOAD_ORDER, tie_breakers=_ties(df, keys, first))
+
+
+def _ties(df: DataFrame, keys: list[str], first: tuple[str, ...] = ()) -> list[str]:
+    return [*first, *(c for c in df.columns if c not in (*keys, *LOAD_ORDER, *first))]
 
 
 def dedupe_submission(df: DataFrame) -> DataFrame:
@@ -117,6 +122,9 @@ HOUSEHOLD_FLAGS = (
 )
 
 
+HOUSEHOLD_KEYS = ["household_id", "submission_id"]
+
+
 def standardise_household(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.col("household_id").try_cast("string").alias("household_id"),
@@ -132,17 +140,15 @@ def standardise_household(raw: DataFrame) -> DataFrame:
     )
 
 
-def flags_household(df: DataFrame, accepted_submissions: DataFrame) -> DataFrame:
+def flags_household(df: DataFrame) -> DataFrame:
+    """The flags of rows that have ``dq_orphan_submission_id``."""
     wf, ps = F.col("water_filter_type"), F.col("primary_water_source")
-    df = df.withColumns({
+    return df.withColumns({
         "dq_missing_blank_household_id": C.missing_or_blank("household_id"),
         "dq_missing_blank_submission_id": C.missing_or_blank("submission_id"),
         "dq_missing_ward_id": C.missing("ward_id"),
         "dq_missing_blank_water_filter_type": C.missing_or_blank("water_filter_type"),
         "dq_missing_blank_primary_water_source": C.missing_or_blank("primary_water_source"),
-    })
-    df = orphan_flag(df, "submission_id", accepted_submissions, "submission_id", "dq_orphan_submission_id")
-    return df.withColumns({
         "dq_invalid_hh_size": C.out_of_range_not_null("hh_size_reported", 0, 15),
         # as shipped: requires blank AND 'unknown'/'other', so it is never true
         "dq_unknown_other_filter_type": (wf.isNotNull() & (F.trim(wf) == "")
@@ -161,11 +167,14 @@ def _household_columns() -> list[str]:
 
 
 def dedupe_household(df: DataFrame) -> DataFrame:
-    return _latest(df, ["household_id", "submission_id"])
+    return _latest(df, HOUSEHOLD_KEYS)
 
 
 def base_household(raw: DataFrame, accepted_submissions: DataFrame) -> DataFrame:
-    return flags_household(dedupe_household(standardise_household(raw)), accepted_submissions)
+    df = standardise_household(raw)
+    return flags_household(latest_with_orphan_flag(
+        df, HOUSEHOLD_KEYS, LOAD_ORDER, _ties(df, HOUSEHOLD_KEYS), "submission_id", accepted_submissions, "submission_id",
+        "dq_orphan_submission_id"))
 
 
 def split_household(base: DataFrame) -> Split:
@@ -210,6 +219,8 @@ def dedupe_member(df: DataFrame) -> DataFrame:
 
 def flags_member(df: DataFrame, accepted_households: DataFrame, accepted_submissions: DataFrame) -> DataFrame:
     sex = F.col("member_sex")
+    df = orphan_flag(df, "household_id", accepted_households, "household_id", "dq_orphan_household_id")
+    df = orphan_flag(df, "submission_id", accepted_submissions, "submission_id", "dq_orphan_submission_id")
     df = df.withColumns({
         "dq_missing_household_id": C.missing("household_id"),
         "dq_missing_submission_id": C.missing("submission_id"),
@@ -219,8 +230,6 @@ def flags_member(df: DataFrame, accepted_households: DataFrame, accepted_submiss
         "dq_blank_member_name": C.blank("member_name"),
         "dq_invalid_age_in_years": C.out_of_range("member_age_in_years", 0, 120),
     })
-    df = orphan_flag(df, "household_id", accepted_households, "household_id", "dq_orphan_household_id")
-    df = orphan_flag(df, "submission_id", accepted_submissions, "submission_id", "dq_orphan_submission_id")
     return df.select("household_id", "submission_id", "member_index", "member_age_in_years", "member_name",
                      "member_sex", "member_had_diarrhoea_14d", "record_loaded_at", "batch_id",
                      "source_file", "is_deleted", *MEMBER_FLAGS)
@@ -247,6 +256,7 @@ WATER_POINT_FLAGS = (
     "dq_missing_distance_minutes",
 )
 
+WATER_POINT_KEYS = ["water_point_id", "submission_id"]
 WATER_POINT_TIE_BREAKERS = ("source_type", "distance_minutes", "water_source_functional", "ward_id")
 
 
@@ -266,10 +276,11 @@ def standardise_water_point(raw: DataFrame) -> DataFrame:
 
 
 def dedupe_water_point(df: DataFrame) -> DataFrame:
-    return _latest(df, ["water_point_id", "submission_id"], WATER_POINT_TIE_BREAKERS)
+    return _latest(df, WATER_POINT_KEYS, WATER_POINT_TIE_BREAKERS)
 
 
-def flags_water_point(df: DataFrame, accepted_submissions: DataFrame) -> DataFrame:
+def flags_water_point(df: DataFrame) -> DataFrame:
+    """The flags of rows that have ``dq_orphan_submission_id``."""
     st, dist = F.col("source_type"), F.col("distance_minutes")
     df = df.withColumns({
         "dq_missing_blank_water_point_id": C.missing_or_blank("water_point_id"),
@@ -278,17 +289,18 @@ def flags_water_point(df: DataFrame, accepted_submissions: DataFrame) -> DataFra
         "dq_missing_blank_source_type": C.missing_or_blank(st),
         "dq_invalid_source_type": st.isNotNull() & ~st.isin(list(WATER_SOURCES)),
         "dq_negative_distance_minutes": dist.isNotNull() & (dist < 0),
+        "dq_missing_distance_minutes": dist.isNull(),
     })
-    df = orphan_flag(df, "submission_id", accepted_submissions, "submission_id",
-                     "dq_orphan_submission_id", non_blank=True)
-    df = df.withColumn("dq_missing_distance_minutes", dist.isNull())
     return df.select("water_point_id", "submission_id", "ward_id", "distance_minutes", "gps_lat", "gps_lon",
                      "source_type", "water_source_functional", "record_loaded_at", "batch_id",
                      "source_file", "is_deleted", *WATER_POINT_FLAGS)
 
 
 def base_water_point(raw: DataFrame, accepted_submissions: DataFrame) -> DataFrame:
-    return flags_water_point(dedupe_water_point(standardise_water_point(raw)), accepted_submissions)
+    df = standardise_water_point(raw)
+    return flags_water_point(latest_with_orphan_flag(
+        df, WATER_POINT_KEYS, LOAD_ORDER, _ties(df, WATER_POINT_KEYS, WATER_POINT_TIE_BREAKERS), "submission_id",
+        accepted_submissions, "submission_id", "dq_orphan_submission_id", non_blank=True))
 
 
 ACCEPTED_WATER_POINT_COLUMNS = (
@@ -312,34 +324,44 @@ def split_water_point(base: DataFrame) -> Split:
 
 # ------------------------------------------------------------------ all ---
 class Staged:
-    """Staged bases and their splits. Water points are staged on first use
-    (the KPI path does not read them)."""
+    """Staged bases and their splits, each staged on first use: what a caller
+    does not read is not written."""
 
     def __init__(self, raw, materialize=None):
-        m = materialize or (lambda d: d)
-        self._m = m
+        self._m = materialize or (lambda d: d)
         self._raw = raw
-        self.submission_base = m(base_submission(raw.submissions))
-        self.submission = split_submission(self.submission_base)
-        self.household_base = m(base_household(raw.households, self.submission.accepted))
-        self.household = split_household(self.household_base)
-        self.member_base = m(base_member(raw.members, self.household.accepted, self.submission.accepted))
-        self.member = split_member(self.member_base)
-        self._wp = None
-
-    def _water(self):
-        if self._wp is None:
-            base = self._m(base_water_point(self._raw.water_points, self.submission.accepted))
-            self._wp = (base, split_water_point(base))
-        return self._wp
-
-    @property
+
+    @cached_property
+    def submission_base(self) -> DataFrame:
+        return self._m(base_submission(self._raw.submissions))
+
+    @cached_property
+    def submission(self) -> Split:
+        return split_submission(self.submission_base)
+
+    @cached_property
+    def household_base(self) -> DataFrame:
+        return self._m(base_household(self._raw.households, self.submission.accepted))
+
+    @cached_property
+    def household(self) -> Split:
+        return split_household(self.household_base)
+
+    @cached_property
+    def member_base(self) -> DataFrame:
+        return self._m(base_member(self._raw.members, self.household.accepted, self.submission.accepted))
+
+    @cached_property
+    def member(self) -> Split:
+        return split_member(self.member_base)
+
+    @cached_property
     def water_point_base(self) -> DataFrame:
-        return self._water()[0]
+        return self._m(base_water_point(self._raw.water_points, self.submission.accepted))
 
-    @property
+    @cached_property
     def water_point(self) -> Split:
-        return self._water()[1]
+        return split_water_point(self.water_point_base)
 
 
 def stage_all(raw, materialize=None) -> Staged:

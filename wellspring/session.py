@@ -21,8 +21,12 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # a hot key is split even where a later step then needs a shuffle of its own
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+PARQUET_CODEC = "zstd"  # of all tables that are written: about a third smaller than with the default
+
 
 def tune(spark: SparkSession) -> SparkSession:
     for k, v in RUNTIME_CONF.items():
@@ -83,7 +87,7 @@ def materializer(spark: SparkSession, tag: str = "stage"):
     def write(df):
         counter["n"] += 1
         path = f"{root}/t{counter['n']:03d}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", PARQUET_CODEC).parquet(path)
         return spark.read.parquet(path)
 
     return write
