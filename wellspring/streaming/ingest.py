@@ -41,7 +41,7 @@ def landing_stream(spark: SparkSession, src_dir: str, glob: str = "*.json", whol
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(src_dir).select(
-        F.try_parse_json(F.col("value")).alias("payload"),
+        F.explode(F.array(F.try_parse_json(F.col("value")))).alias("payload"),  # parsed once, see landing_table
         F.col("value").alias("payload_text"),
         F.col("_metadata.file_path").alias("file_name"),
         F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("ingested_at"),
