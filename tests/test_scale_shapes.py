@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 
 from wellspring import registry as R
 from wellspring.functions.columns import try_boolean
+from wellspring.operators.incremental import TableStore
 from wellspring.operators.relational import dedupe_latest, latest_with_orphan_flag, orphan_flag
 from wellspring.plans.build import build_full
+from wellspring.session import dropping_shuffles, scratch_path
 from wellspring.sources import landing as L
+from wellspring.streaming.ingest import land_batch
 
 
 def test_latest_with_orphan_flag_shuffles_rows_once(spark):
@@ -77,3 +80,75 @@ def test_landing_files_are_compressed(spark, monkeypatch):
 def test_try_boolean_texts(spark):
     df = spark.createDataFrame([(" On ",), ("OFF",), ("yes",), ("0",), ("maybe",), (None,)], "c string")
     assert [r[0] for r in df.select(try_boolean("c")).collect()] == [True, False, True, False, None, None]
+
+
+def _by_path(docs):
+    """Submissions, members and water points read path by path, each object taken out as VARIANT."""
+    def read(df, v, fields):
+        return [L.vget(v, p, t).alias(n) for n, (p, t) in fields.items()]
+    good, _ = L.split_corrupt(L.landing_table(docs))
+    flat = L.explode_outer(good, "payload", "$.submissions", "s", keep=[])
+    flat = flat.select(*read(flat, "s", L.SUBMISSION_FIELDS))
+    members = L.explode_outer(flat, "members", "$", "m")
+    return flat, members.select(*read(members, "m", L.MEMBER_FIELDS)), flat.select(*read(flat, "water_point", L.WATER_POINT_FIELDS))
+
+
+def test_objects_are_read_in_one_pass(spark):
+    texts = ['{"submissions":[null,3,"x",[1],{"submission_id":{"x":1},"ward_id":"04","gps_lat":"x","consent":"on","household":[1],"water_point":[]}]}',
+             '{"submissions":[{"submission_id":12,"ward_id":2.5,"gps_lat":1,"household":{"household_id":null,"ward_id":true,"members":['
+             'null,4,{"member_index":"1","sex":{"a":1},"age_years":1.5}]},"water_point":{"water_point_id":7,"ward_id":"x","functional":"off","gps_lat":2}}]}',
+             '{"submissions":[{"household":{"members":{"member_index":1}},"water_point":"w"}]}', '{"submissions":{}}', '{"submissions":[]}', '[]', "null"]
+    docs = spark.createDataFrame([(t,) for t in texts], "json string").select(
+        "json", F.lit("f").alias("file_name"), F.lit(None).cast("timestamp_ntz").alias("ingested_at"))
+    flat = L.flatten(L.split_corrupt(L.landing_table(docs))[0])
+    raw = L.raw_from_flat(flat)
+    want = _by_path(docs)
+    got = (flat, raw.members.select(*L.MEMBER_FIELDS), raw.water_points.select(*L.WATER_POINT_FIELDS))
+    for a, b in zip(got, want):
+        assert a.schema == b.schema
+        rows = [sorted(map(repr, d.select(*[F.to_json(c) if t == "variant" else F.col(c) for c, t in d.dtypes]).collect())) for d in (a, b)]
+        assert rows[0] == rows[1]
+    plan = raw.water_points._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("variant_get") == 2  # the submissions and the water point, not each field of theirs
+
+
+def test_landing_files_shuffle_columns_once(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lambda files: L.landing_documents(spark, "/root/testdata/sf0.001", files)._jdf.queryExecution().executedPlan().toString()
+        assert plan(12).count("Exchange ") == plan(None).count("Exchange ")  # dealt by the shuffles of the join
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _folders(store, name):
+    return [n for n in store._names(f"{store.root}/{name}") if n.startswith("d-")]
+
+
+def test_replaced_batches_leave_no_files(spark):
+    store = TableStore(spark, scratch_path(spark, "test-vacuum"))
+    docs = L.landing_table(_docs(spark))
+    for batch in (0, 1, 0, 1, 0):
+        land_batch(store, docs, batch)
+    assert len(_folders(store, "landing")) == len(_folders(store, "landing_corrupt")) == 2
+    assert store.read("landing").count() == 6
+
+
+def test_vacuum_keeps_live_partitions(spark):
+    store = TableStore(spark, scratch_path(spark, "test-vacuum"))
+    rows = lambda *r: spark.createDataFrame(list(r), "k int, p string, v int")
+    for batch in (rows((1, "a b", 1), (2, "c/d", 1), (3, None, 1)), rows((1, "a b", 2)), rows((4, "e", 3))):
+        store.upsert_partitions("t", batch, ["k"], "p")
+        store.vacuum("t")
+    assert sorted(tuple(r) for r in store.read("t").select("k", "v").collect()) == [(1, 2), (2, 1), (3, 1), (4, 3)]
+    assert len(_folders(store, "t")) == 3 and not [n for n in _folders(store, "t") if n.endswith("-source")]
+
+
+def test_written_tables_drop_their_shuffles(spark):
+    df = spark.range(100).repartition(3, "id")
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    seen, before = [], spark.conf.get(name, "false")
+    with dropping_shuffles(df):
+        seen.append(spark.conf.get(name))
+    assert seen == ["true"] and spark.conf.get(name) == before

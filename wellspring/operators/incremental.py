@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.valuesets import EVENT_LOOKBACK_DAYS, INCREMENTAL_BASE_TS, LOAD_LOOKBACK_DAYS
-from ..session import PARQUET_CODEC
+from ..session import PARQUET_CODEC, dropping_shuffles
 
 
 def target_max(target: DataFrame | None, col: str):
@@ -182,10 +182,33 @@ class TableStore:
         number, parts, _ = self._state(name)
         new = {part: self._new_folder(name) for part in frames}
         for part, df in frames.items():
-            df.write.mode("errorifexists").option("compression", PARQUET_CODEC).parquet(new[part])
+            with dropping_shuffles(df):
+                df.write.mode("errorifexists").option("compression", PARQUET_CODEC).parquet(new[part])
         self._commit(name, number + 1, new if replace else parts | new, next(iter(frames.values())).schema)
         return self.read(name)
 
+    def vacuum(self, name: str) -> None:
+        """Delete the table's data that its newest pointer doesn't list.
+
+        For a table's only writer, when it holds no frames read earlier: these
+        may lose their files.
+        """
+        folders = self._state(name)[1].values()
+        base = f"{self.root}/{name}"
+        inside = {f.removeprefix(f"{base}/").split("/")[0]: [] for f in folders}
+        for f in folders:
+            inside[f.removeprefix(f"{base}/").split("/")[0]].append(f.rsplit("/", 1)[1])
+        for found in self._names(base):
+            if not found.startswith("d-"):
+                continue
+            if found not in inside:
+                old = [found]
+            else:  # a merge's folder: its partitions that later merges replaced
+                old = [f"{found}/{n}" for n in self._names(f"{base}/{found}") if n.startswith(f"{PART}=") and n not in inside[found]]
+            for n in old:
+                fs, p = self._fs(f"{base}/{n}")
+                fs.delete(p, True)
+
     def publish(self, name: str, df: DataFrame) -> DataFrame:
         return self.put(name, {"all": df}, replace=True)
 
@@ -217,7 +240,8 @@ class TableStore:
             schema = source.schema  # a new table: the source is read once
         else:
             # the source (an increment: small by design) is read up to three times below; write it once
-            source.write.mode("errorifexists").option("compression", PARQUET_CODEC).parquet(f"{path}-source")
+            with dropping_shuffles(source):
+                source.write.mode("errorifexists").option("compression", PARQUET_CODEC).parquet(f"{path}-source")
             source = self.spark.read.schema(source.schema).parquet(f"{path}-source")
         if not parts:
             touched, current = [], self._frame([], schema)
@@ -231,7 +255,9 @@ class TableStore:
             touched = [r.p for r in affected.distinct().collect()]  # partition names, not rows
             current = self._frame([parts[p] for p in touched if p in parts], source.schema)
         merged = combine(current, source)
-        _by_partition(merged.withColumn(PART, name_of)).write.mode("errorifexists").option("compression", PARQUET_CODEC).partitionBy(PART).parquet(path)
+        rows = _by_partition(merged.withColumn(PART, name_of))
+        with dropping_shuffles(rows):
+            rows.write.mode("errorifexists").option("compression", PARQUET_CODEC).partitionBy(PART).parquet(path)
         written = {unquote(n.split("=", 1)[1]): f"{path}/{n}" for n in self._names(path) if n.startswith(f"{PART}=")}
         live = {p: f for p, f in parts.items() if p not in touched} | written
         self._commit(name, number + 1, live, merged.schema)

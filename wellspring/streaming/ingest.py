@@ -54,10 +54,11 @@ def _run(stream: DataFrame, batch, checkpoint: str, mode: str = "append") -> Non
 
 
 def land_batch(store: TableStore, df: DataFrame, batch_id: int) -> None:
-    """Append one micro-batch to ``landing`` and ``landing_corrupt``."""
+    """Append one micro-batch to ``landing`` and ``landing_corrupt``; what a replay replaces is deleted."""
     good, bad = split_corrupt(df)
-    store.append("landing", good.drop("payload_text"), batch=str(batch_id))
-    store.append("landing_corrupt", bad.drop("payload"), batch=str(batch_id))
+    for name, rows in (("landing", good.drop("payload_text")), ("landing_corrupt", bad.drop("payload"))):
+        store.append(name, rows, batch=str(batch_id))
+        store.vacuum(name)
 
 
 def ingest_landing(spark: SparkSession, src_dir: str, checkpoint: str, store: TableStore, glob: str = "*.json",
@@ -96,6 +97,7 @@ def latest_submissions(store: TableStore, landed: DataFrame, buckets: int = 64)
     subs = dedupe_submission(standardise_submission(raw_from_flat(flatten(landed)).submissions))
     bucket = F.pmod(F.xxhash64("submission_id"), F.lit(buckets))
     store.merge_partitions("submission_latest", subs, bucket, lambda old, new: dedupe_submission(old.unionByName(new)))
+    store.vacuum("submission_latest")
 
 
 def stream_dedupe(spark: SparkSession, src_dir: str, checkpoint: str, store: TableStore, glob: str = "*.json",
