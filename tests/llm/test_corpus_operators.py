@@ -112,6 +112,23 @@ def test_ngram_join_of_a_large_group_with_few_links_among_it(spark):
     assert got == {d: want[(d, t)][1] for d, t in rows} and len(set(got.values())) < 200
 
 
+def test_ngram_join_sketch_stays_compressed_on_the_driver(docs, rows):
+    p = ngram_join.JoinParams()
+    chunks, median = ngram_join._sketch(ngram_join._signed_and_counted(docs, "doc_id", "text", p), p)
+    counters = ngram_join._counters(chunks, p)
+    assert len(counters) == 1 << p.sketch_bits and sum(map(len, chunks.values())) < counters.nbytes // 8
+    assert counters.sum() == sum(len(shingles(r[1])) for r in rows) and median == sorted(counters)[len(counters) // 2]
+
+
+def test_ngram_join_ends_when_no_pair_is_left(spark, monkeypatch):
+    written, write = [], Workspace.write
+    monkeypatch.setattr(Workspace, "write", lambda self, df, name: (written.append(name), write(self, df, name))[1])
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(20))) for i in range(30)]
+    got = ngram_join.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(x.component_id == x.doc_id for x in got) and len(got) == 30
+    assert not [name for name in written if name.startswith("tried") or name.endswith("-comp")]
+
+
 def test_ngram_join_long_text_and_empty_table(docs, no_docs):
     got = {r.doc_id: r for r in ngram_join.similarity_classes(docs).collect()}
     assert got[10_010].component_id == got[10_011].component_id == 10_010

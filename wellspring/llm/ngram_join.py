@@ -6,7 +6,7 @@ sequence as one; no words: empty, linked with nothing). Two documents link when
 with its component under these links.
 
 Order. One pass counts shingles into a sketch of 2**sketch_bits counters, which
-is summed over the cluster and broadcast (fixed size, 16 bits each). All documents order their
+is summed over the cluster and broadcast compressed (at most 16 bits each). All documents order their
 shingles by the class of the sketched frequency, then by hash, so that rare ones
 come first. The order only has to be the same everywhere to be correct.
 
@@ -24,7 +24,8 @@ are verified on the whole sets and merged; large groups of near copies collapse
 without their pairs being listed. After the rounds, all remaining candidate
 pairs between different components are listed, without their sets; each set
 tries one partner at a time for some rounds, and then all pairs still between
-different components are verified, so no link between components is lost. There is no cap on lists, candidates or partners. Whole
+different components are verified, so no link between components is lost. Rounds end when no pair is left. There is no cap on lists,
+candidates or partners. Whole
 sets are made again from the texts, for those documents alone that some
 candidate pair can have.
 
@@ -127,23 +128,36 @@ def _signed_and_counted(docs: DataFrame, id_col: str, text_col: str, p: JoinPara
     )
 
 
-def _sketch(parts: DataFrame, p: JoinParams) -> np.ndarray:
-    """Counters of the whole corpus: chunks are dealt over tasks and added up as they stream in."""
+def _sketch(parts: DataFrame, p: JoinParams) -> tuple[dict[int, bytes], float]:
+    """Counters of the whole corpus in compressed chunks, and their median: chunks are dealt over tasks and added up as they stream in."""
+    size = 2 * min(_CHUNK, 1 << p.sketch_bits)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist()):
-                more = np.frombuffer(pa.decompress(counts, 2 * min(_CHUNK, 1 << p.sketch_bits), codec="zstd"), dtype=np.uint16)
+                more = np.frombuffer(pa.decompress(counts, size, codec="zstd"), dtype=np.uint16)
                 total[chunk] = total.get(chunk, 0) + more.astype(np.uint32)
         for chunk, counts in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([np.minimum(counts, _MOST).astype(np.uint16).tobytes()])], names=["chunk", "counts"])
+            packed = pa.compress(np.minimum(counts, _MOST).astype(np.uint16).tobytes(), codec="zstd", asbytes=True)
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([packed])], names=["chunk", "counts"])
 
     summed = parts.where("chunk is not null").select("chunk", "counts").repartition("chunk").mapInArrow(add, "chunk int, counts binary")
-    out = np.zeros(1 << p.sketch_bits, dtype=np.uint16)
+    chunks: dict[int, bytes] = {}
+    having = np.zeros(_MOST + 1, dtype=np.int64)  # counters of each value
     for chunk, counts in summed.toLocalIterator():
-        got = np.frombuffer(counts, dtype=np.uint16)
-        out[chunk * len(got) : (chunk + 1) * len(got)] = got
+        chunks[chunk] = bytes(counts)
+        having += np.bincount(np.frombuffer(pa.decompress(chunks[chunk], size, codec="zstd"), dtype=np.uint16), minlength=_MOST + 1)
+    having[0] += (1 << p.sketch_bits) - having.sum()
+    middle = [((1 << p.sketch_bits) - 1) // 2, (1 << p.sketch_bits) // 2]
+    return chunks, float(np.searchsorted(np.cumsum(having), middle, side="right").mean())
+
+
+def _counters(chunks: dict[int, bytes], p: JoinParams) -> np.ndarray:
+    out = np.zeros(1 << p.sketch_bits, dtype=np.uint16)
+    step = min(_CHUNK, len(out))
+    for chunk, counts in chunks.items():
+        out[chunk * step : (chunk + 1) * step] = np.frombuffer(pa.decompress(counts, 2 * step, codec="zstd"), dtype=np.uint16)
     return out
 
 
@@ -161,14 +175,15 @@ def choose_prefix(order_est: np.ndarray, n: int, p: JoinParams) -> tuple[int, in
     return best[1], best[2]
 
 
-def _index(docs: DataFrame, text_col: str, sketch: np.ndarray, p: JoinParams) -> DataFrame:
+def _index(docs: DataFrame, text_col: str, sketch: tuple[dict[int, bytes], float], p: JoinParams) -> DataFrame:
     """(token, sig, n, matches, pos, salt, hot): the prefix shingles of every non-empty document, pos in their order."""
-    noise = max(1.0, float(np.median(sketch)))
+    chunks, median = sketch
+    noise = max(1.0, median)
     hot_from = max(p.split_rows, 8 * noise)
-    shared = docs.sparkSession.sparkContext.broadcast(sketch)
+    shared = docs.sparkSession.sparkContext.broadcast(chunks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        est_all = shared.value
+        est_all = _counters(shared.value, p)
         turn = 0
         for batch in batches:
             for part in W.slices(batch, text_col):
@@ -256,7 +271,9 @@ def _sizes_fit(a: str, b: str, p: JoinParams) -> F.Column:
 
 
 def _merged(comp: DataFrame, links: DataFrame, work: Workspace, name: str) -> DataFrame:
-    """comp(sig, comp) after joining the components of linked vertices."""
+    """comp(sig, comp) after joining the components of linked vertices; the same table if nothing is linked."""
+    if links.isEmpty():
+        return comp
     named = links.join(comp.select(F.col("sig").alias("a"), F.col("comp").alias("ca")), "a").join(
         comp.select(F.col("sig").alias("b"), F.col("comp").alias("cb")), "b"
     )
@@ -285,10 +302,12 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     for r in range(p.rounds):
         links = work.write(_verified(_star_pairs(lists, comp, r, p), sets, p), f"links-{r}")
         comp = _merged(comp, links, work, f"round-{r}")
-    work.settle()
+        work.settle()
 
     pairs = work.write(_remaining_pairs(lists, comp, p, work), "pairs-0")
     for r in range(p.rounds + 1):
+        if pairs.isEmpty():
+            break
         # one partner of each set first, then, between components that are left, all pairs
         one = F.min(F.struct(F.xxhash64("a", "b", F.lit(r)).alias("h"), "a")).getField("a").alias("a")
         tried = pairs.groupBy("b").agg(one) if r < p.rounds else pairs
@@ -310,7 +329,7 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
 
 
-def _write_lists(docs: DataFrame, text_col: str, sketch: np.ndarray, p: JoinParams, work: Workspace) -> None:
+def _write_lists(docs: DataFrame, text_col: str, sketch: tuple[dict[int, bytes], float], p: JoinParams, work: Workspace) -> None:
     """Table ``lists``: (token, sig, n, matches, pos, df, tail) of the prefix shingles that several sets have.
 
     tail: how many shingles of the set stand from its first one with a long
