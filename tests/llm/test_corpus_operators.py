@@ -112,6 +112,29 @@ def test_ngram_join_of_a_large_group_with_few_links_among_it(spark):
     assert got == {d: want[(d, t)][1] for d, t in rows} and len(set(got.values())) < 200
 
 
+def test_ngram_join_lists_only_members_that_fit_the_sets_they_meet(spark, monkeypatch):
+    p, listed, members = ngram_join.JoinParams(), [], ngram_join._first_members
+    # a component of 300 sets in two long lists, that meets 40 sets of one size there; few of its members can be as much alike
+    group = [(i, 0, 5 + i % 12, 5 + i % 12 if i % 5 == 0 else 4) for i in range(300)]
+    lone = [(1000 + i, 1000 + i, 10, 10) for i in range(40)]
+    rows = [(token, sig, n, 1, n - tail, 340, tail) for token in (1, 2) for sig, _, n, tail in group + lone]
+    lists = spark.createDataFrame(rows, "token long, sig long, n int, matches byte, pos int, df long, tail int")
+    comp = spark.createDataFrame([(sig, c) for sig, c, *_ in group + lone], "sig long, comp long")
+
+    def pairs(how):
+        monkeypatch.setattr(ngram_join, "_first_members", lambda *args: (listed.append(how(*args).cache()), listed[-1])[1])
+        return {(x.a, x.b) for x in ngram_join._remaining_pairs(lists, comp, p, Workspace(spark, "fits")).collect()}
+
+    def fits(x, y):
+        return 100 * min(x[2], y[2]) >= 75 * max(x[2], y[2]) and 175 * min(x[3], y[3]) >= 75 * (x[2] + y[2])
+
+    got = pairs(members)
+    all_members = pairs(lambda apart, one, p: apart.select("token", "long", "comp_a", "comp_b").join(one, ["token", "comp_a"]))
+    assert got == all_members and any(a < 300 for a, _ in got)
+    of_group = [d.where("comp_a = 0").count() for d in listed]  # each list brings a member to a set only where the two fit
+    assert of_group == [2 * sum(fits(x, y) for x in group for y in lone), 2 * 300 * 40]
+
+
 def test_ngram_join_sketch_stays_compressed_on_the_driver(docs, rows):
     p = ngram_join.JoinParams()
     chunks, median = ngram_join._sketch(ngram_join._signed_and_counted(docs, "doc_id", "text", p), p)

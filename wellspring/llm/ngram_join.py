@@ -426,6 +426,18 @@ def _remaining_pairs(lists: DataFrame, comp: DataFrame, p: JoinParams, work: Wor
         & (~F.col("long") | _overlap_fits(F.least("tail_a", "tail_b"), "least_n_a", "least_n_b", p))
     )
     one, two = (named.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("comp", *_MEMBER))) for s in "ab")
-    met = apart.select("token", "long", "comp_a", "comp_b").join(one, ["token", "comp_a"]).join(two, ["token", "comp_b"])
+    met = _first_members(apart, one, p).join(two, ["token", "comp_b"])
     fits = ~F.col("long") | _overlap_fits(F.least("tail_a", "tail_b"), "n_a", "n_b", p)
     return _enough(met.where(_sizes_fit("n_a", "n_b", p) & fits), p)
+
+
+def _first_members(apart: DataFrame, one: DataFrame, p: JoinParams) -> DataFrame:
+    """The lists' members of each comp_a that, by size and tail, some member of comp_b may be similar to.
+
+    Next to a component of one set this is the bound of the pair itself, so a
+    large component does not bring all its members to every set it meets.
+    """
+    others = apart.select("token", "long", "comp_a", "comp_b", "least_n_b", "most_n_b", F.col("tail_b").alias("most_tail_b"))
+    fits = (100 * F.col("n_a") >= p.threshold * F.col("least_n_b")) & (100 * F.col("most_n_b") >= p.threshold * F.col("n_a"))
+    fits &= ~F.col("long") | _overlap_fits(F.least("tail_a", "most_tail_b"), "n_a", "least_n_b", p)
+    return others.join(one, ["token", "comp_a"]).where(fits).drop("least_n_b", "most_n_b", "most_tail_b")
