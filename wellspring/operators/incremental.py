@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.valuesets import EVENT_LOOKBACK_DAYS, INCREMENTAL_BASE_TS, LOAD_LOOKBACK_DAYS
-from ..session import PARQUET_CODEC, dropping_shuffles
+from ..session import PARQUET_CODEC, dropping_shuffles, unsorted_partitions
 
 
 def target_max(target: DataFrame | None, col: str):
@@ -219,6 +219,27 @@ class TableStore:
         """Add rows. A named batch that is written again replaces its own rows."""
         return self.put(name, {f"batch-{batch}" if batch is not None else uuid.uuid4().hex: df})
 
+    def append_split(self, df: DataFrame, apart: Column, kept: tuple[str, Sequence[str]], rest: tuple[str, Sequence[str]],
+                     batch: str) -> None:
+        """Append a named batch to two tables in one pass over ``df``.
+
+        Both are (table, columns): rows for which ``apart`` is true go to
+        ``rest``, all others to ``kept``. One write keeps the two apart, in a
+        folder of the first table; the rest is copied from there to its own.
+        """
+        (name, columns), (other, other_columns) = kept, rest
+        number, parts, _ = self._state(name)
+        path = self._new_folder(name)
+        rows = df.withColumn(PART, F.when(apart, F.lit("rest")).otherwise(F.lit("kept")))
+        with dropping_shuffles(rows), unsorted_partitions(rows, 2):
+            rows.write.mode("errorifexists").option("compression", PARQUET_CODEC).partitionBy(PART).parquet(path)
+        folders = {p: f"{path}/{PART}={p}" for p in ("kept", "rest")}
+        for folder in folders.values():  # a part without rows has none yet
+            fs, p = self._fs(folder)
+            fs.mkdirs(p)
+        self._commit(name, number + 1, parts | {f"batch-{batch}": folders["kept"]}, df.select(*columns).schema)
+        self.append(other, self._frame([folders["rest"]], df.select(*other_columns).schema), batch)
+
     def read_batch(self, name: str, batch: str) -> DataFrame:
         """Rows of one named batch."""
         return self.read(name, lambda part: part == f"batch-{batch}")

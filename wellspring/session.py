@@ -25,6 +25,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     # a hot key is split even where a later step then needs a shuffle of its own
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # documents are read whole: shredded into a column per field, a VARIANT is taken apart and put together again
+    "spark.sql.variant.writeShredding.enabled": "false",
 }
 
 PARQUET_CODEC = "zstd"  # of all tables that are written: about a third smaller than with the default
@@ -77,17 +79,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def dropping_shuffles(df: DataFrame) -> Iterator[None]:
-    """Writes of ``df`` in this block drop their shuffle files when they end: the written table replaces them."""
-    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(name, "false")
-    conf.set(name, "true")
+def _setting(df: DataFrame, name: str, value: str, default: str) -> Iterator[None]:
+    conf = df.sparkSession.conf
+    before = conf.get(name, default)
+    conf.set(name, value)
     try:
         yield
     finally:
         conf.set(name, before)
 
 
+def dropping_shuffles(df: DataFrame):
+    """Writes of ``df`` in this block drop their shuffle files when they end: the written table replaces them."""
+    return _setting(df, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true", "false")
+
+
+def unsorted_partitions(df: DataFrame, n: int):
+    """Writes of ``df`` in this block keep a file open for each of up to ``n`` partitions instead of sorting rows by them."""
+    return _setting(df, "spark.sql.maxConcurrentOutputFileWriters", str(n + 1), "0")  # Spark sorts as soon as that many are open
+
+
 def materializer(spark: SparkSession, tag: str = "stage"):
     """A function that writes a DataFrame to the shared folder and reads it back.
 

@@ -15,6 +15,8 @@ up in one task.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -143,9 +145,14 @@ def landing_table(docs: DataFrame) -> DataFrame:
                        F.col("json").alias("payload_text"))
 
 
+def is_corrupt(text_col: str = "payload_text") -> Column:
+    """True for a row whose text does not parse, else false (never NULL)."""
+    return F.col("payload").isNull() & F.col(text_col).isNotNull()
+
+
 def split_corrupt(landing: DataFrame, text_col: str = "payload_text"):
     """(good, bad): rows whose text does not parse go to the side table."""
-    bad_cond = F.col("payload").isNull() & F.col(text_col).isNotNull()
+    bad_cond = is_corrupt(text_col)
     return landing.where(~bad_cond), landing.where(bad_cond)
 
 
@@ -227,10 +234,15 @@ def extract(df: DataFrame, struct_col: str, fields: dict, keep: list | None = No
     return df.select(*(keep or []), *[value(p, t).alias(n) for n, (p, t) in fields.items()])
 
 
-def flatten(landing: DataFrame) -> DataFrame:
-    """ext_kobo_source_flattened: one row per submission element (outer: none keeps one row of NULLs)."""
-    subs = F.try_variant_get(F.col("payload"), "$.submissions", f"array<{object_type(SUBMISSION_FIELDS)}>")
-    return extract(landing.select(F.explode_outer(subs).alias("__sub")), "__sub", SUBMISSION_FIELDS)
+def flatten(landing: DataFrame, columns: Collection[str] = tuple(SUBMISSION_FIELDS)) -> DataFrame:
+    """ext_kobo_source_flattened: one row per submission element (outer: none keeps one row of NULLs).
+
+    Every value of the cast costs about a microsecond and Spark does not prune
+    the cast, so a reader of some columns names these.
+    """
+    fields = {n: f for n, f in SUBMISSION_FIELDS.items() if n in columns}
+    subs = F.try_variant_get(F.col("payload"), "$.submissions", f"array<{object_type(fields)}>")
+    return extract(landing.select(F.explode_outer(subs).alias("__sub")), "__sub", fields)
 
 
 MEMBER_FIELDS = {
@@ -255,24 +267,50 @@ WATER_POINT_FIELDS = {
 }
 
 
-def raw_from_flat(ext: DataFrame) -> RawFrames:
-    sub = ext.select(
+AUDIT = ("_loaded_at", "_batch_id", "_source_file", "_is_deleted")
+RAW_SUBMISSION_READS = ("submission_id", "status", "submitted_at", "collected_at", "enumerator_id", "device_id", "ward_id",
+                        "municipality", "district", "gps_lat", "gps_lon", "consent", *AUDIT)
+RAW_HOUSEHOLD_READS = ("household_id", "submission_id", "household_ward_id", "household_head_name", "phone_last4",
+                       "hh_size_reported", "water_filter_type", "primary_water_source", "has_toilet", *AUDIT)
+RAW_MEMBER_READS = ("household_id", "submission_id", "members", *AUDIT)
+RAW_WATER_POINT_READS = ("submission_id", "water_point", *AUDIT)
+
+
+def raw_submission(ext: DataFrame) -> DataFrame:
+    return ext.select(
         F.col("submission_id"), F.col("status"), F.lit(FORM_ID).alias("form_id"),
         F.lit(FORM_VERSION).cast("long").alias("form_version"),
         F.col("submitted_at").try_cast("timestamp_ntz").alias("submitted_at"),
         F.col("collected_at").try_cast("timestamp_ntz").alias("collected_at"),
         "enumerator_id", "device_id", "ward_id", "municipality", "district", "gps_lat", "gps_lon", "consent",
         *audit_columns())
-    hh = ext.select(
+
+
+def raw_household(ext: DataFrame) -> DataFrame:
+    return ext.select(
         "household_id", "submission_id", F.col("household_ward_id").alias("ward_id"), "household_head_name",
         "phone_last4", "hh_size_reported", "water_filter_type", "primary_water_source", "has_toilet",
         *audit_columns())
-    audit = ["_loaded_at", "_batch_id", "_source_file", "_is_deleted"]
+
+
+def raw_member(ext: DataFrame) -> DataFrame:
     members = F.try_variant_get(F.col("members"), "$", f"array<{object_type(MEMBER_FIELDS)}>")
-    mem = ext.select("household_id", "submission_id", *audit, F.explode_outer(members).alias("__m"))
+    mem = ext.select("household_id", "submission_id", *AUDIT, F.explode_outer(members).alias("__m"))
     mem = extract(mem, "__m", MEMBER_FIELDS, ["household_id", "submission_id", *audit_columns()])
-    mem = mem.select("household_id", "submission_id", *MEMBER_FIELDS, *audit)
-    wp = ext.select("submission_id", *audit, F.try_variant_get(F.col("water_point"), "$", object_type(WATER_POINT_FIELDS)).alias("__w"))
+    return mem.select("household_id", "submission_id", *MEMBER_FIELDS, *AUDIT)
+
+
+def raw_water_point(ext: DataFrame) -> DataFrame:
+    wp = ext.select("submission_id", *AUDIT, F.try_variant_get(F.col("water_point"), "$", object_type(WATER_POINT_FIELDS)).alias("__w"))
     wp = extract(wp, "__w", WATER_POINT_FIELDS, ["submission_id", *audit_columns()])
-    wp = wp.select("submission_id", *WATER_POINT_FIELDS, *audit)
-    return RawFrames(sub, hh, mem, wp)
+    return wp.select("submission_id", *WATER_POINT_FIELDS, *AUDIT)
+
+
+def raw_from_flat(ext: DataFrame) -> RawFrames:
+    return RawFrames(raw_submission(ext), raw_household(ext), raw_member(ext), raw_water_point(ext))
+
+
+def raw_from_landing(landing: DataFrame) -> RawFrames:
+    """The raw entities, each from a flattening of the columns that it reads."""
+    return RawFrames(raw_submission(flatten(landing, RAW_SUBMISSION_READS)), raw_household(flatten(landing, RAW_HOUSEHOLD_READS)),
+                     raw_member(flatten(landing, RAW_MEMBER_READS)), raw_water_point(flatten(landing, RAW_WATER_POINT_READS)))

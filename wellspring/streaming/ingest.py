@@ -25,7 +25,7 @@ from ..operators.incremental import TableStore
 from ..plans.increment import run_increment
 from ..plans.marts import ward_day
 from ..plans.staging import dedupe_submission, standardise_submission
-from ..sources.landing import flatten, raw_from_flat, split_corrupt
+from ..sources.landing import is_corrupt, raw_from_landing
 
 
 def landing_stream(spark: SparkSession, src_dir: str, glob: str = "*.json", whole_files: bool = True,
@@ -54,11 +54,15 @@ def _run(stream: DataFrame, batch, checkpoint: str, mode: str = "append") -> Non
 
 
 def land_batch(store: TableStore, df: DataFrame, batch_id: int) -> None:
-    """Append one micro-batch to ``landing`` and ``landing_corrupt``; what a replay replaces is deleted."""
-    good, bad = split_corrupt(df)
-    for name, rows in (("landing", good.drop("payload_text")), ("landing_corrupt", bad.drop("payload"))):
-        store.append(name, rows, batch=str(batch_id))
-        store.vacuum(name)
+    """Append one micro-batch to ``landing`` and ``landing_corrupt``; what a replay replaces is deleted.
+
+    The files are read and parsed once for both; only corrupt rows keep their text.
+    """
+    rows = df.withColumn("payload_text", F.when(is_corrupt(), F.col("payload_text")))
+    columns = lambda without: [c for c in df.columns if c != without]
+    store.append_split(rows, is_corrupt(), ("landing", columns("payload_text")), ("landing_corrupt", columns("payload")), str(batch_id))
+    store.vacuum("landing")
+    store.vacuum("landing_corrupt")
 
 
 def ingest_landing(spark: SparkSession, src_dir: str, checkpoint: str, store: TableStore, glob: str = "*.json",
@@ -81,7 +85,7 @@ def stream_increment(spark: SparkSession, src_dir: str, checkpoint: str, store:
     def batch(df: DataFrame, batch_id: int) -> None:
         land_batch(store, df, batch_id)
         landed = store.read_batch("landing", str(batch_id))
-        run_increment(store, raw_from_flat(flatten(landed)), as_of, batch=str(batch_id))
+        run_increment(store, raw_from_landing(landed), as_of, batch=str(batch_id))
 
     _run(stream, batch, checkpoint)
 
@@ -94,7 +98,7 @@ def latest_submissions(store: TableStore, landed: DataFrame, buckets: int = 64)
     in hash buckets of the id: a batch reads and rewrites only those of its
     keys.
     """
-    subs = dedupe_submission(standardise_submission(raw_from_flat(flatten(landed)).submissions))
+    subs = dedupe_submission(standardise_submission(raw_from_landing(landed).submissions))
     bucket = F.pmod(F.xxhash64("submission_id"), F.lit(buckets))
     store.merge_partitions("submission_latest", subs, bucket, lambda old, new: dedupe_submission(old.unionByName(new)))
     store.vacuum("submission_latest")
