@@ -249,7 +249,7 @@ def q_mon_rejection_rate(spark, sf_dir):
 @query("rejection_rate_join")
 def q_rejection_rate_join(spark, sf_dir):
     """The rate from the two count tables, joined by model and day."""
-    st = _built(spark, sf_dir).staged
+    st = staging.stage_all(_raw(spark, sf_dir), materializer(spark, "rates"))  # each base is counted twice and read by others
     return MON.rejection_rate_join(MON.total_by_model_day(st), MON.rejections_by_model_day(st))
 
 
