@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.incremental import TableStore
 from ..session import scratch_path
-from ..sources.bindings import RawFrames, bind_raw
+from ..sources.bindings import LazyRaw, RawFrames, bind_raw
 from .build import build_full
 from .increment import run_increment
 
@@ -25,20 +25,20 @@ FRESHNESS_NOW = "2001-08-15 00:00:00"
 BACKFILL_START, BACKFILL_END = "1998-01-01", "1998-12-31"
 
 
-def batch_before(raw: RawFrames, cutoff: str) -> RawFrames:
+def batch_before(raw: RawFrames | LazyRaw, cutoff: str) -> LazyRaw:
     bound = F.lit(cutoff).cast("timestamp_ntz")
-    return RawFrames(*[df.where(F.col("_loaded_at") < bound)
-                       for df in (raw.submissions, raw.households, raw.members, raw.water_points)])
+    return LazyRaw(raw, lambda df: df.where(F.col("_loaded_at") < bound))
 
 
-def raw_pair(spark: SparkSession, sf_dir: str) -> tuple[RawFrames, RawFrames]:
-    raw = bind_raw(spark, sf_dir)
+def raw_pair(spark: SparkSession, sf_dir: str, raw: RawFrames | LazyRaw | None = None) -> tuple[LazyRaw, RawFrames | LazyRaw]:
+    """(batch 1, everything) of the bound raw tables, or of ``raw``: the same tables, stored for their many readers."""
+    raw = raw or bind_raw(spark, sf_dir)
     return batch_before(raw, CUTOFF_1), raw
 
 
-def full_pair(spark: SparkSession, sf_dir: str, materialize=None):
+def full_pair(spark: SparkSession, sf_dir: str, materialize=None, raw: RawFrames | LazyRaw | None = None):
     """(full build over batch 1, full build over everything)."""
-    b1, allr = raw_pair(spark, sf_dir)
+    b1, allr = raw_pair(spark, sf_dir, raw)
     return build_full(b1, materialize), build_full(allr, materialize)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from .plans import marts, staging
 from .plans.build import build_full
 from .session import dropping_shuffles, materializer, tune
-from .sources.bindings import bind_raw
+from .sources.bindings import LazyRaw, bind_raw
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -375,7 +375,9 @@ def q_schema_sync(spark, sf_dir):
 
 @query("backfill_range")
 def q_backfill_range(spark, sf_dir):
-    first, full = _pair(spark, sf_dir)
+    """Facts of 1998 from the second build merged into the first's; written step by step, so that no shuffle outlives its step."""
+    stored = materializer(spark, "backfill")
+    first, full = SC.full_pair(spark, sf_dir, stored, LazyRaw(_raw(spark, sf_dir), stored))
     src = I.backfill_range(full.fact, SC.BACKFILL_START, SC.BACKFILL_END)
     return I.upsert(first.fact, src, ["household_id", "submission_id"])
 

@@ -18,7 +18,9 @@ step produces from landing JSON), so staging runs on them unchanged.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -182,6 +184,29 @@ class RawFrames:
     water_points: DataFrame
 
 
+class LazyRaw:
+    """The raw entities, each made by ``make`` from that of ``raw`` when it is first read."""
+
+    def __init__(self, raw: RawFrames | LazyRaw, make: Callable[[DataFrame], DataFrame]):
+        self._raw, self._make = raw, make
+
+    @cached_property
+    def submissions(self) -> DataFrame:
+        return self._make(self._raw.submissions)
+
+    @cached_property
+    def households(self) -> DataFrame:
+        return self._make(self._raw.households)
+
+    @cached_property
+    def members(self) -> DataFrame:
+        return self._make(self._raw.members)
+
+    @cached_property
+    def water_points(self) -> DataFrame:
+        return self._make(self._raw.water_points)
+
+
 def bind_raw(spark: SparkSession, sf_dir: str) -> RawFrames:
     ctx = order_context(spark, sf_dir)
     return RawFrames(
