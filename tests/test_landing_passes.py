@@ -88,3 +88,43 @@ def test_raw_entities_from_landing(spark):
         assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
     plan = apart.submissions._jdf.queryExecution().optimizedPlan().toString()
     assert "household" not in plan and "water_point" not in plan
+
+
+def test_counted_landing_gives_the_same_failures(spark):
+    from wellspring import registry as R
+    from wellspring.operators.expectations import run_expectations
+    from wellspring.plans import checks as CK
+    from wellspring.session import materializer
+
+    whole = _landing(spark, GOOD, "{", None, '{"submissions":[{"_loaded_at":"t","_is_deleted":"no"},{"_source_file":4}]}', "[]", '{"submissions":[]}')
+    checks = [c for c in CK.declared_checks() if c.table in ("landing", "ext_kobo_source_flattened")]
+    columns = CK.columns_read(checks, "ext_kobo_source_flattened")
+    assert sorted(columns) == ["_is_deleted", "_loaded_at", "_source_file"] and CK.only_presence(checks, "landing")
+    written = []
+    keep = materializer(spark, "test-counted")
+    landing, flat = R.counted_landing(whole, columns, lambda df: written.append(keep(df)) or written[-1])
+    assert len(written) == 1 and "variant" not in dict(written[0].dtypes).values()
+    frames = {"landing": whole, "ext_kobo_source_flattened": L.flatten(L.split_corrupt(whole)[0])}
+    slim = {"landing": landing, "ext_kobo_source_flattened": flat}
+    rows = lambda f: sorted(map(tuple, run_expectations(f, checks).collect()))
+    assert rows(slim) == rows(frames) and sum(r[4] for r in rows(slim)) > 0
+
+
+def test_columns_of_checks():
+    from wellspring.operators.expectations import Check
+    from wellspring.plans import checks as CK
+
+    named = [Check("a", "t", "not_null", {"column": "x"}), Check("b", "t", "unique_combination", {"columns": ["y", "z"]}),
+             Check("c", "u", "relationship", {"column": "k", "to": "t", "field": "id"})]
+    assert CK.columns_read(named, "t") == ["x", "y", "z", "id"] and not CK.only_presence(named, "t")
+    for unknown in (Check("d", "t", "expression", {"expression": "x > 1"}), Check("e", "t", "not_null", {"column": "x"}, where="w > 1")):
+        assert CK.columns_read([*named, unknown], "t") is None and not CK.only_presence([unknown], "t")
+
+
+def test_raw_entities_are_made_when_read():
+    from wellspring.sources.bindings import LazyRaw, RawFrames
+
+    made = []
+    raw = LazyRaw(RawFrames(1, 2, 3, 4), lambda df: made.append(df) or df * 10)
+    half = LazyRaw(raw, lambda df: df // 2)
+    assert not made and (half.members, raw.members, half.members) == (15, 30, 15) and made == [3]

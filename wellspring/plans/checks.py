@@ -165,6 +165,25 @@ def declared_checks() -> list[Check]:
     return c
 
 
+def columns_read(checks: list[Check], table: str) -> list[str] | None:
+    """The columns of ``table`` that ``checks`` read; None where they aren't known by name (expressions, conditions, functions)."""
+    out: dict[str, None] = {}
+    for c in checks:
+        if c.table == table:
+            if c.where is not None or c.kind in ("expression", "custom"):
+                return None
+            out |= dict.fromkeys(c.args["columns"] if c.kind == "unique_combination" else [c.args["column"]])
+        if c.kind == "relationship" and c.args["to"] == table:
+            out[c.args["field"]] = None
+    return list(out)
+
+
+def only_presence(checks: list[Check], table: str) -> bool:
+    """True if the checks of ``table`` only look whether values are there."""
+    own = [c for c in checks if c.table == table]
+    return all(c.kind == "not_null" and c.where is None for c in own) and not any(c.args.get("to") == table for c in checks)
+
+
 def checks_for(frames: dict[str, DataFrame]) -> list[Check]:
     """Declared checks whose tables (and parents) are present in ``frames``."""
     out = []

@@ -240,9 +240,19 @@ def flatten(landing: DataFrame, columns: Collection[str] = tuple(SUBMISSION_FIEL
     Every value of the cast costs about a microsecond and Spark does not prune
     the cast, so a reader of some columns names these.
     """
+    return flatten_read(landing.select(submissions(columns).alias("__subs")), columns)
+
+
+def submissions(columns: Collection[str]) -> Column:
+    """The payload's submissions, read as structs of the named columns' values."""
+    fields = {n: f for n, f in SUBMISSION_FIELDS.items() if n in columns}
+    return F.try_variant_get(F.col("payload"), "$.submissions", f"array<{object_type(fields)}>")
+
+
+def flatten_read(landing: DataFrame, columns: Collection[str]) -> DataFrame:
+    """``flatten`` of landing rows whose ``submissions(columns)`` are in ``__subs``."""
     fields = {n: f for n, f in SUBMISSION_FIELDS.items() if n in columns}
-    subs = F.try_variant_get(F.col("payload"), "$.submissions", f"array<{object_type(fields)}>")
-    return extract(landing.select(F.explode_outer(subs).alias("__sub")), "__sub", fields)
+    return extract(landing.select(F.explode_outer("__subs").alias("__sub")), "__sub", fields)
 
 
 MEMBER_FIELDS = {
